@@ -127,3 +127,14 @@ def pct_change(current: Column, prior: Column, digits: int = 2) -> Column:
 def money(c: str | Column) -> Column:
     """Money leaves the engine as double (exact decimal sums cast once)."""
     return col_(c).cast("double")
+
+
+
+def rounded_money_avg(total: Column, count: Column) -> Column:
+    """round(total / count, 2) with halves rounded away from zero, decided on
+    integer cents so the halfway cases do not depend on binary rounding.
+    Exact while |total| < 2^52 cents."""
+    cents = (total * 100).cast("bigint")
+    n = count.cast("bigint")
+    whole = F.floor((F.abs(cents) * 2 + n) / (n * 2))
+    return F.signum(cents) * whole / F.lit(100.0)

@@ -70,3 +70,21 @@ def sessions_by_id(stg_clicks: DataFrame) -> DataFrame:
     firsts = [F.min_by(c, order_key).alias(c) for c in SESSION_KEYS[1:]]
     agg = stg_clicks.groupBy("session_id").agg(*firsts, *_session_measures())
     return _finish(agg, SESSION_KEYS)
+
+
+def click_session_windows(valid_clicks: DataFrame, gap: str = "30 minutes", ts: str = "event_timestamp",
+                          keys: tuple[str, ...] = ("session_id", "customer_id")) -> DataFrame:
+    """Gap-based sessions (``session_window``): events of a key closer than
+    ``gap`` (a gap of exactly ``gap`` still merges) form one session; the
+    window ends ``gap`` after its last event.  Works on streams in append
+    mode with a watermark."""
+    et = F.col("event_type")
+    agg = valid_clicks.groupBy(*keys, F.session_window(ts, gap).alias("w")).agg(
+        F.count(F.lit(1)).alias("event_count"),
+        F.count(F.when(et == "PAGE_VIEW", F.lit(1))).alias("page_views"),
+        F.count(F.when(et == "PRODUCT_VIEW", F.lit(1))).alias("product_views"),
+        F.count(F.when(et == "ADD_TO_CART", F.lit(1))).alias("add_to_cart_events"),
+        F.count(F.when(et == "CHECKOUT_COMPLETE", F.lit(1))).alias("conversions"),
+    )
+    return agg.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      "event_count", "page_views", "product_views", "add_to_cart_events", "conversions")

@@ -14,9 +14,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, TimestampType
 
-from ..operators import attribution, marts, sessions, staging
+from datetime import datetime
+
+from ..operators import attribution, catalog, hourly, ingest, inventory, marts, quality, sessions, staging, windows
+from ..schemas import (
+    CLICK_WIRE,
+    CUSTOMER_SEGMENTS,
+    FRESHNESS,
+    FUNNEL_STAGES,
+    INVENTORY_WIRE,
+    MART_SLA_MINUTES,
+    ORDER_STATUSES,
+    ORDER_WIRE,
+    RECENT_VOLUME_WINDOW,
+    SESSION_OUTCOMES,
+)
 from ..sources import fixtures
 
+# Fixed evaluation time for the freshness/volume/SLA checks of the registry
+# (the test data covers 2024-01-01 .. 2024-01-30).
+AS_OF = datetime(2024, 1, 31, 0, 30, 0)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -110,3 +128,219 @@ def q_product_rolling_calendar(spark, sf):
 @query("user_behavior")
 def q_user_behavior(spark, sf):
     return marts.user_behavior(enriched_df(spark, sf), sessions_df(spark, sf))
+
+
+@query("product_dim")
+def q_product_dim(spark, sf):
+    return fixtures.product_dim(spark, sf)
+
+
+# ---------------------------------------------------------------- ingest
+
+def order_topic_rows(spark, sf):
+    return ingest.to_kafka_rows(fixtures.raw_orders(spark, sf), ORDER_WIRE, key="customer_id", topic="orders",
+                                event_type="ORDER_PLACED", partition="kafka_partition",
+                                offset="kafka_offset", kafka_ts="processed_at")
+
+
+def click_topic_rows(spark, sf):
+    return ingest.to_kafka_rows(fixtures.raw_clicks(spark, sf), CLICK_WIRE, key="session_id",
+                                topic="clickstream", kafka_ts="processed_at")
+
+
+def inventory_topic_rows(spark, sf):
+    stock = inventory.clamped_stock(fixtures.raw_inventory(spark, sf))
+    return ingest.to_kafka_rows(stock, INVENTORY_WIRE, key="product_id", topic="inventory_updates",
+                                event_type="INVENTORY_UPDATE", kafka_ts="processed_at")
+
+
+def _no_audit(df):
+    return df.drop("processed_at")
+
+
+@query("parse_orders")
+def q_parse_orders(spark, sf):
+    return _no_audit(ingest.parse_orders(order_topic_rows(spark, sf)))
+
+
+@query("parse_clicks")
+def q_parse_clicks(spark, sf):
+    return _no_audit(ingest.parse_clicks(click_topic_rows(spark, sf)))
+
+
+@query("parse_inventory")
+def q_parse_inventory(spark, sf):
+    return _no_audit(ingest.parse_inventory(inventory_topic_rows(spark, sf)))
+
+
+@query("valid_orders")
+def q_valid_orders(spark, sf):
+    return _no_audit(ingest.valid_orders(ingest.parse_orders(order_topic_rows(spark, sf))))
+
+
+@query("rejected_orders")
+def q_rejected_orders(spark, sf):
+    return _no_audit(ingest.rejected_orders(ingest.parse_orders(order_topic_rows(spark, sf))))
+
+
+@query("valid_clicks")
+def q_valid_clicks(spark, sf):
+    return _no_audit(ingest.valid_clicks(ingest.parse_clicks(click_topic_rows(spark, sf))))
+
+
+# ------------------------------------------------------------ lake + windows
+
+def lake_orders_df(spark, sf):
+    """The order lake: validated landed orders (what the stream writes)."""
+    return ingest.valid_orders(fixtures.raw_orders(spark, sf))
+
+
+def lake_clicks_df(spark, sf):
+    return ingest.valid_clicks(fixtures.raw_clicks(spark, sf))
+
+
+@query("order_windows")
+def q_order_windows(spark, sf):
+    return windows.order_windows(lake_orders_df(spark, sf))
+
+
+@query("funnel_windows")
+def q_funnel_windows(spark, sf):
+    return windows.funnel_windows(lake_clicks_df(spark, sf))
+
+
+@query("click_session_windows")
+def q_click_session_windows(spark, sf):
+    return sessions.click_session_windows(lake_clicks_df(spark, sf))
+
+
+@query("hourly_revenue")
+def q_hourly_revenue(spark, sf):
+    return hourly.hourly_revenue(lake_orders_df(spark, sf))
+
+
+@query("hourly_top_products")
+def q_hourly_top_products(spark, sf):
+    return hourly.hourly_top_products(lake_orders_df(spark, sf))
+
+
+@query("hourly_attribution")
+def q_hourly_attribution(spark, sf):
+    return hourly.hourly_attribution(enriched_df(spark, sf))
+
+
+# ---------------------------------------------------------------- inventory
+
+def stock_df(spark, sf):
+    return inventory.clamped_stock(fixtures.raw_inventory(spark, sf))
+
+
+@query("inventory_stock")
+def q_inventory_stock(spark, sf):
+    return stock_df(spark, sf).drop("processed_at")
+
+
+@query("inventory_current")
+def q_inventory_current(spark, sf):
+    return inventory.current_stock(stock_df(spark, sf))
+
+
+@query("inventory_movement")
+def q_inventory_movement(spark, sf):
+    return inventory.movement(stock_df(spark, sf))
+
+
+@query("orders_with_catalog")
+def q_orders_with_catalog(spark, sf):
+    return catalog.orders_with_catalog(stg_orders_df(spark, sf), fixtures.product_dim(spark, sf))
+
+
+# ---------------------------------------------------------------- quality
+
+ACCEPTED = {
+    "order_status": ORDER_STATUSES,
+    "funnel_stage": FUNNEL_STAGES,
+    "session_outcome": SESSION_OUTCOMES,
+    "customer_segment": CUSTOMER_SEGMENTS,
+}
+
+
+@query("dq_not_null")
+def q_dq_not_null(spark, sf):
+    return quality.not_null(fixtures.raw_orders(spark, sf), "customer_id").select(
+        "order_id", "customer_id", "order_total")
+
+
+@query("dq_unique")
+def q_dq_unique(spark, sf):
+    return quality.unique(sessions_df(spark, sf), "session_id")
+
+
+@query("dq_accepted_values")
+def q_dq_accepted_values(spark, sf):
+    parts = [
+        (stg_orders_df(spark, sf), "stg_orders", "order_status"),
+        (stg_clicks_df(spark, sf), "stg_clickstream", "funnel_stage"),
+        (sessions_df(spark, sf), "user_sessions", "session_outcome"),
+    ]
+    out = None
+    for df, model, column in parts:
+        v = (quality.accepted_values(df, column, ACCEPTED[column]).groupBy(F.col(column).alias("value"))
+                .agg(F.count(F.lit(1)).alias("rows"))
+                .select(F.lit(model).alias("model"), F.lit(column).alias("column_name"), "value", "rows"))
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+@query("dq_expression")
+def q_dq_expression(spark, sf):
+    return quality.expression_is_true(fixtures.raw_orders(spark, sf), "order_total >= 0").select(
+        "order_id", "customer_id", "order_total")
+
+
+@query("dq_order_total")
+def q_dq_order_total(spark, sf):
+    return quality.order_total_positive(stg_orders_df(spark, sf))
+
+
+@query("dq_duplicate_orders")
+def q_dq_duplicate_orders(spark, sf):
+    return quality.duplicate_order_ids(enriched_df(spark, sf))
+
+
+@query("dq_freshness")
+def q_dq_freshness(spark, sf):
+    srcs = [("orders", fixtures.raw_orders(spark, sf)), ("clickstream", fixtures.raw_clicks(spark, sf)),
+            ("inventory_updates", fixtures.raw_inventory(spark, sf))]
+    out = None
+    for name, df in srcs:
+        warn, err = FRESHNESS[name]
+        f = quality.freshness(df, name, "processed_at", warn, err, AS_OF)
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+@query("dq_recent_volume")
+def q_dq_recent_volume(spark, sf):
+    return quality.recent_volume(fixtures.raw_orders(spark, sf), "processed_at", RECENT_VOLUME_WINDOW, AS_OF)
+
+
+@query("dq_mart_sla")
+def q_dq_mart_sla(spark, sf):
+    return quality.mart_sla(marts.daily_revenue(enriched_df(spark, sf)), "order_date", MART_SLA_MINUTES, AS_OF)
+
+
+def suite_models(spark, sf):
+    so, sc = stg_orders_df(spark, sf), stg_clicks_df(spark, sf)
+    us = sessions.user_sessions(sc)
+    en = attribution.orders_enriched(so, us)
+    return {
+        "raw_orders": fixtures.raw_orders(spark, sf), "raw_clicks": fixtures.raw_clicks(spark, sf),
+        "stg_orders": so, "stg_clickstream": sc, "user_sessions": us, "orders_enriched": en,
+        "daily_revenue": marts.daily_revenue(en), "user_behavior": marts.user_behavior(en, us),
+    }
+
+
+@query("dq_suite")
+def q_dq_suite(spark, sf):
+    return quality.run_suite(suite_models(spark, sf), quality.default_checks(ACCEPTED))
