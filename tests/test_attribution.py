@@ -1,0 +1,81 @@
+"""Order -> session attribution edge cases and plan shape."""
+
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+from emporion.operators import attribution
+
+SESSION_SCHEMA = ("session_id string, customer_id string, device_type string, browser string, referrer string, "
+                  "session_start timestamp_ntz, session_end timestamp_ntz, session_date date, "
+                  "session_outcome string, engagement_score long")
+ORDER_SCHEMA = ("order_id string, customer_id string, product_id string, product_name string, category string, "
+                "quantity int, unit_price decimal(10,2), order_total decimal(10,2), order_status string, "
+                "shipping_state string, payment_method string, is_cancelled boolean, order_value_tier string, "
+                "order_placed_at timestamp_ntz, pipeline_processed_at timestamp_ntz")
+
+
+def _s(sid, cust, start, end, device="desktop", ref="google"):
+    return (sid, cust, device, "chrome", ref, start, end, start.date(), "BROWSING", 3)
+
+
+def _o(oid, cust, ts, total="10.00"):
+    return (oid, cust, "P1", "X", "C", 1, Decimal(total), Decimal(total), "PLACED", "S", "paypal", False,
+            "LOW_VALUE", ts, ts + timedelta(seconds=5))
+
+
+def _run(spark, orders, sessions):
+    o = spark.createDataFrame(orders, ORDER_SCHEMA)
+    s = spark.createDataFrame(sessions, SESSION_SCHEMA)
+    return {r.order_id: r for r in attribution.orders_enriched(o, s).collect()}, o, s
+
+
+D = datetime(2024, 1, 5)
+
+
+def test_nearest_start_wins_and_defaults(spark):
+    sessions = [_s("S1", "C1", D.replace(hour=9), D.replace(hour=9, minute=50), ref="google"),
+                _s("S2", "C1", D.replace(hour=9, minute=40), D.replace(hour=9, minute=45), ref="email_campaign")]
+    orders = [_o("O1", "C1", D.replace(hour=10, minute=5)),     # both cover; S2 starts later -> nearer
+              _o("O2", "C2", D.replace(hour=10)),                # no session for C2
+              _o("O3", "C1", D.replace(hour=10, minute=20))]    # S1 covers until 10:20 exactly
+    out, _, _ = _run(spark, orders, sessions)
+    assert out["O1"].session_id == "S2" and out["O1"].attribution_channel == "email_campaign"
+    assert out["O2"].session_id is None
+    assert (out["O2"].device_type, out["O2"].browser, out["O2"].attribution_channel) == ("unknown", "unknown", "direct")
+    assert out["O3"].session_id == "S1"  # BETWEEN is inclusive at session_end + 30 min
+
+
+def test_session_crossing_midnight_does_not_match_next_day(spark):
+    start = D.replace(hour=23, minute=50)
+    sessions = [_s("S1", "C1", start, start + timedelta(minutes=5))]
+    orders = [_o("O1", "C1", D + timedelta(days=1, minutes=5))]   # 00:05 next day, within 30 min of end
+    out, _, _ = _run(spark, orders, sessions)
+    assert out["O1"].session_id is None
+
+
+def test_ties_and_duplicate_order_ids_are_deterministic(spark):
+    t = D.replace(hour=12)
+    sessions = [_s("S_B", "C1", t, t + timedelta(minutes=1), device="mobile"),
+                _s("S_A", "C1", t, t + timedelta(minutes=1), device="tablet")]
+    orders = [_o("O1", "C1", t + timedelta(minutes=2)), _o("O1", "C1", t + timedelta(minutes=2), total="20.00")]
+    for _ in range(2):
+        out, _, _ = _run(spark, orders, sessions)
+        assert len(out) == 1
+        assert out["O1"].session_id == "S_A"
+        assert out["O1"].order_total == Decimal("10.00")
+
+
+def test_long_session_spanning_hours(spark):
+    sessions = [_s("S1", "C1", D.replace(hour=1), D.replace(hour=6, minute=59))]
+    orders = [_o("O1", "C1", D.replace(hour=4, minute=30)), _o("O2", "C1", D.replace(hour=7, minute=29)),
+              _o("O3", "C1", D.replace(hour=7, minute=30, second=1))]
+    out, _, _ = _run(spark, orders, sessions)
+    assert out["O1"].session_id == "S1" and out["O2"].session_id == "S1" and out["O3"].session_id is None
+
+
+def test_plan_is_equi_join_with_group_limit(spark):
+    _, o, s = _run(spark, [_o("O1", "C1", D)], [_s("S1", "C1", D, D)])
+    plan = attribution.orders_enriched(o, s)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    opt = attribution.orders_enriched(o, s)._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in opt

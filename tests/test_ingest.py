@@ -1,0 +1,59 @@
+"""Parsing Kafka-shaped rows, rules and the quarantine branch."""
+
+import json
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from emporion.operators import ingest
+from emporion.plans import queries as Q
+
+
+def _kafka(spark, values):
+    rows = [(None, v.encode() if v is not None else None, "orders", 0, i, datetime(2024, 1, 1), 0)
+            for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset long, "
+                                       "timestamp timestamp, timestampType int")
+
+
+GOOD = {"event_type": "ORDER_PLACED", "order_id": "ORD-1", "customer_id": "CUST-1", "product_id": "P1",
+        "quantity": 2, "unit_price": 10.5, "order_total": 21.0, "order_status": "PLACED",
+        "event_timestamp": "2024-01-01T10:00:00.123456+00:00"}
+
+
+def test_parse_good_bad_and_malformed(spark):
+    bad_field = dict(GOOD, order_id="ORD-2", quantity="two")
+    bad_ts = dict(GOOD, order_id="ORD-3", event_timestamp="yesterday")
+    values = [json.dumps(GOOD), json.dumps(bad_field), json.dumps(bad_ts), "{not json", None]
+    parsed = ingest.parse_orders(_kafka(spark, values))
+    rows = parsed.orderBy("kafka_offset").collect()
+    assert rows[0].order_id == "ORD-1" and rows[0].quantity == 2
+    assert rows[0].event_timestamp.replace(tzinfo=None) == datetime(2024, 1, 1, 10, 0, 0, 123456)
+    assert str(rows[0].event_date) == "2024-01-01"
+    # a bad field nulls that field (Spark 4 keeps the other fields)
+    assert rows[1].quantity is None
+    assert rows[2].event_timestamp is None and rows[2].order_id == "ORD-3"   # no exception under ANSI
+    assert rows[3].order_id is None
+    valid = [r.order_id for r in ingest.valid_orders(parsed).collect()]
+    assert valid == ["ORD-1"]
+    rej = {r.kafka_offset: r.reject_reasons for r in ingest.rejected_orders(parsed).collect()}
+    assert rej[1] == "quantity_not_null,quantity_positive"
+    assert rej[2] == "event_timestamp_not_null"
+    assert "order_id_not_null" in rej[3] and "order_id_not_null" in rej[4]
+
+
+def test_valid_and_rejected_partition_the_input(spark):
+    parsed = ingest.parse_orders(Q.order_topic_rows(spark, SF_SMALL))
+    n = parsed.count()
+    v = ingest.valid_orders(parsed)
+    r = ingest.rejected_orders(parsed)
+    assert v.count() + r.count() == n
+    assert v.select("kafka_offset").intersect(r.select("kafka_offset")).count() == 0
+    assert r.filter(F.col("reject_reasons") == "").count() == 0
+
+
+def test_to_money_casts_wire_doubles(spark):
+    parsed = ingest.parse_orders(_kafka(spark, [json.dumps(GOOD)]))
+    out = ingest.to_money(parsed, ["unit_price", "order_total"])
+    assert dict(out.dtypes)["order_total"] == "decimal(10,2)"
