@@ -18,15 +18,16 @@ from ..schemas import CLICK_WIRE, INVENTORY_WIRE, ORDER_WIRE
 
 
 def _parse(raw: DataFrame, schema, kafka_meta: bool, processed_at=None) -> DataFrame:
-    cols = [F.from_json(F.col("value").cast("string"), schema).alias("data")]
-    meta = []
+    # The record is expanded through a one-element generator: predicates on
+    # its fields (the quality rules) then stay above the parse instead of
+    # being pushed below it with one JSON re-parse per predicate.
+    record = F.inline(F.array(F.from_json(F.col("value").cast("string"), schema)))
+    cols = [record]
     if kafka_meta:
         cols += [F.col("timestamp").alias("kafka_timestamp"), F.col("partition").alias("kafka_partition"),
                  F.col("offset").alias("kafka_offset")]
-        meta = ["kafka_timestamp", "kafka_partition", "kafka_offset"]
     ts = F.try_to_timestamp(F.col("event_timestamp"))
     return (raw.select(*cols)
-               .select("data.*", *meta)
                .withColumn("event_timestamp", ts)
                .withColumn("processed_at", processed_at if processed_at is not None else F.current_timestamp())
                .withColumn("event_date", F.to_date("event_timestamp")))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.expressions import rounded_money_avg
+from ..functions.rules import inventory_rules
 from ..operators import ingest, sessions, windows
 from ..schemas import (
     CLICK_MONEY_COLUMNS,
@@ -131,3 +132,19 @@ def start_clicks_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bo
         job.queries.append(sinks.batch_sink(sess, sinks.idempotent_batch_writer(paths.sessions), f"{ck}/sessions",
                                             output_mode="append", trigger=agg_t))
     return job
+
+
+def start_inventory_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bool = False) -> StreamJob:
+    """Inventory topic -> parse -> rules -> lake + landing + quarantine."""
+    parsed = ingest.parse_inventory(raw_topic)
+    ok = ingest.valid(parsed, inventory_rules())
+    bad = ingest.rejected(parsed, inventory_rules())
+    ck = paths.checkpoint_root.rstrip("/")
+    t = _trigger(available_now, "30 seconds")
+    job = StreamJob()
+    job.queries.append(sinks.lake_sink(ok, paths.lake, f"{ck}/lake", t))
+    job.queries.append(sinks.batch_sink(ok, sinks.idempotent_batch_writer(paths.landing, drop=["event_date"]),
+                                        f"{ck}/landing", trigger=t))
+    job.queries.append(sinks.batch_sink(bad, sinks.idempotent_batch_writer(paths.rejected), f"{ck}/rejected",
+                                        trigger=t))
+    return job

@@ -103,3 +103,15 @@ def test_registry_queries_parse_on_mid_scale(spark):
     # the larger test tables build and plan without running everything
     for name, fn in Q.QUERIES.items():
         assert fn(spark, "/root/testdata/sf0.01").columns, name
+
+
+def test_rerun_safe_partition_write(spark, scratch):
+    from emporion.sources import sinks
+    lake = ingest.valid_orders(fixtures.raw_orders(spark, SF_SMALL))
+    hr = hourly.hourly_revenue(lake)
+    h1 = hr.filter(F.col("processing_hour") < "2024-01-02")
+    sinks.write_partitions(h1, f"{scratch}/hourly", ["processing_hour"])
+    sinks.write_partitions(h1, f"{scratch}/hourly", ["processing_hour"])      # re-run: replaced, not doubled
+    sinks.write_partitions(hr.filter(F.col("processing_hour") >= "2024-01-02"), f"{scratch}/hourly",
+                           ["processing_hour"])                             # other hours: kept
+    assert spark.read.parquet(f"{scratch}/hourly").count() == hr.count()

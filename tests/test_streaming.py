@@ -169,3 +169,31 @@ def test_update_mode_upsert_keeps_latest(spark, order_feed, scratch):
     ra, rb = _cmp(cur, batch, ["window_start", "category", "shipping_state", "order_count", "unique_customers",
                                 "total_revenue", "avg_order_value"])
     assert ra == rb
+
+
+def test_inventory_job(spark, scratch):
+    feed = f"{scratch}/inv"
+    _write_feed(Q.inventory_topic_rows(spark, SF_SMALL), feed)
+    paths = _paths(scratch)
+    job = jobs.start_inventory_job(sources.file_topic(spark, feed), paths, available_now=True)
+    job.wait()
+    assert spark.read.parquet(paths.lake).count() == Q.inventory_topic_rows(spark, SF_SMALL).count()
+    assert "stock_after" in spark.read.parquet(paths.lake).columns
+
+
+def test_stream_stream_candidates_equal_batch(spark, order_feed, click_feed, scratch):
+    from emporion.streaming import joins
+    o = ingest.valid_orders(ingest.parse_orders(sources.file_topic(spark, order_feed))) \
+        .withWatermark("event_timestamp", "10 minutes")
+    c = ingest.valid_clicks(ingest.parse_clicks(sources.file_topic(spark, click_feed))) \
+        .withWatermark("event_timestamp", "15 minutes")
+    q = (joins.order_click_candidates(o, c).writeStream.format("memory").queryName("cand")
+            .option("checkpointLocation", f"{scratch}/ck").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("cand").filter("click_event_id is not null").select("order_id", "click_event_id")
+    bo = ingest.valid_orders(ingest.parse_orders(Q.order_topic_rows(spark, SF_SMALL)))
+    bc = ingest.valid_clicks(ingest.parse_clicks(Q.click_topic_rows(spark, SF_SMALL)))
+    exp = joins.order_click_candidates(bo, bc).filter("click_event_id is not null").select(
+        "order_id", "click_event_id")
+    g, e = sorted(map(tuple, got.collect())), sorted(map(tuple, exp.collect()))
+    assert len(e) > 10 and g == e
