@@ -26,6 +26,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute a scan that yields fewer partitions than the cluster has
+    cores (a single-row-group file is read by one task).  On a large input
+    the scan is already split into many tasks and this is a no-op, so no
+    shuffle is added at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def _seconds_after_epoch(n: Column) -> Column:
     return F.timestamp_add("SECOND", n, F.lit(EPOCH).cast("timestamp_ntz"))
 
@@ -33,8 +44,8 @@ def _seconds_after_epoch(n: Column) -> Column:
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed order event per lineitem (lineitem x orders x customer x
     nation x part).  Event time is spread over 30 days by a fixed hash."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"))
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     # nation has 25 rows at every scale factor: a fixed size bound
@@ -91,7 +102,7 @@ def raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed click events from ``events``: one session per user and day; a
     fifth of the events show another device, so the 5-key session grain and
     session_id differ (as in the reference's real data)."""
-    ev = read_table(spark, sf_dir, "events").withColumn("k", _k())
+    ev = spread(read_table(spark, sf_dir, "events")).withColumn("k", _k())
     et = F.col("event_type")
     k = F.col("k")
     uid = F.col("user_id")
@@ -131,7 +142,7 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed inventory updates from ``events`` (20 products, 4 warehouses).
     ``stock_after`` is not part of the raw rows; operators.inventory derives
     it (initial stock 100, clamped at zero)."""
-    ev = read_table(spark, sf_dir, "events").withColumn("k", _k())
+    ev = spread(read_table(spark, sf_dir, "events")).withColumn("k", _k())
     k = F.col("k")
     uid = F.col("user_id")
     kind = k % 5
