@@ -79,7 +79,8 @@ def run_models(spark: SparkSession, raw_orders: DataFrame, raw_clicks: DataFrame
     return run
 
 
-def freshness_report(run: ModelRun, as_of: datetime) -> DataFrame:
+def freshness_report(run: ModelRun, as_of: datetime) -> tuple[DataFrame, DataFrame]:
+    """Source freshness rows (orders, clickstream) and the mart SLA row."""
     from ..schemas import FRESHNESS, MART_SLA_MINUTES
     parts = []
     for name, key in (("orders", "raw_orders"), ("clickstream", "raw_clicks")):
@@ -90,3 +91,32 @@ def freshness_report(run: ModelRun, as_of: datetime) -> DataFrame:
         out = out.unionByName(p)
     sla = quality.mart_sla(run.models["daily_revenue"], "order_date", MART_SLA_MINUTES, as_of)
     return out, sla
+
+
+def run_hourly_batch(spark: SparkSession, lake_path: str, out_path: str, hour_start: datetime | None = None,
+                     top_k: int | None = None) -> dict[str, int] | None:
+    """The hourly batch job: read one hour of the order lake, write revenue
+    by category/state and ranked products for that hour.
+
+    Missing lake -> warning, nothing written (returns None); an empty hour is
+    skipped.  Outputs are partitioned by ``processing_hour`` and replaced per
+    hour, so re-running an hour does not duplicate it.  ``hour_start``
+    defaults to the last full UTC hour.
+    """
+    from ..operators import hourly
+    from ..sources.sinks import write_partitions
+
+    if hour_start is None:
+        hour_start, _ = hourly.last_full_hour()
+    orders = hourly.read_hour_slice(spark, lake_path, hour_start)
+    if orders is None:
+        return None
+    if orders.isEmpty():
+        print(f"[hourly] no orders in hour {hour_start.isoformat()} - skipping")
+        return {}
+    label = hour_start.replace(tzinfo=None).isoformat(timespec="seconds") + "+00:00"
+    revenue = hourly.hourly_revenue(orders, processing_hour=label, with_audit=True)
+    products = hourly.hourly_top_products(orders, processing_hour=label, k=top_k, with_audit=True)
+    write_partitions(revenue, f"{out_path.rstrip('/')}/hourly_revenue_by_category", ["processing_hour"])
+    write_partitions(products, f"{out_path.rstrip('/')}/hourly_top_products", ["processing_hour"])
+    return {"hour": label}

@@ -115,3 +115,27 @@ def test_rerun_safe_partition_write(spark, scratch):
     sinks.write_partitions(hr.filter(F.col("processing_hour") >= "2024-01-02"), f"{scratch}/hourly",
                            ["processing_hour"])                             # other hours: kept
     assert spark.read.parquet(f"{scratch}/hourly").count() == hr.count()
+
+
+def test_run_hourly_batch(spark, scratch):
+    lake = ingest.valid_orders(fixtures.raw_orders(spark, SF_SMALL)).withColumn(
+        "event_date", F.to_date("event_timestamp"))
+    lake.write.partitionBy("event_date").parquet(f"{scratch}/lake")
+    assert pipeline.run_hourly_batch(spark, f"{scratch}/missing", f"{scratch}/out", datetime(2024, 1, 3, 5)) is None
+    assert pipeline.run_hourly_batch(spark, f"{scratch}/lake", f"{scratch}/out", datetime(2023, 1, 3, 5)) == {}
+    for _ in range(2):  # re-run of the same hour replaces it
+        res = pipeline.run_hourly_batch(spark, f"{scratch}/lake", f"{scratch}/out", datetime(2024, 1, 3, 5))
+    assert res == {"hour": "2024-01-03T05:00:00+00:00"}
+    got = spark.read.parquet(f"{scratch}/out/hourly_revenue_by_category")
+    exp = hourly.hourly_revenue(lake).filter(F.col("processing_hour") == "2024-01-03T05:00:00+00:00")
+    assert got.count() == exp.count() > 0
+    assert spark.read.parquet(f"{scratch}/out/hourly_top_products").count() > 0
+
+
+def test_await_any_returns_on_termination(spark, scratch):
+    from emporion.streaming import sinks as ssinks
+    q = spark.readStream.format("rate").option("rowsPerSecond", 5).load().writeStream.format("noop") \
+        .option("checkpointLocation", f"{scratch}/ck").trigger(processingTime="200 milliseconds").start()
+    ssinks.await_any(spark, [q], timeout=1)
+    q.stop()
+    ssinks.await_any(spark, [q], timeout=5)
