@@ -11,7 +11,7 @@ events.  The two exact distinct counts are planned by Catalyst as one Expand.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import engagement_score, seconds_between, session_outcome
@@ -72,19 +72,59 @@ def sessions_by_id(stg_clicks: DataFrame) -> DataFrame:
     return _finish(agg, SESSION_KEYS)
 
 
+# --- fixed values: per-session counters of the session summaries ------------
+_SESSION_WINDOW_COUNTS = {
+    "page_views": "PAGE_VIEW",
+    "product_views": "PRODUCT_VIEW",
+    "add_to_cart_events": "ADD_TO_CART",
+    "conversions": "CHECKOUT_COMPLETE",
+}
+
+
+def _gap_seconds(gap: str) -> int:
+    n, unit = gap.split()
+    return int(n) * {"second": 1, "minute": 60, "hour": 3600}[unit.rstrip("s")]
+
+
 def click_session_windows(valid_clicks: DataFrame, gap: str = "30 minutes", ts: str = "event_timestamp",
-                          keys: tuple[str, ...] = ("session_id", "customer_id")) -> DataFrame:
-    """Gap-based sessions (``session_window``): events of a key closer than
-    ``gap`` (a gap of exactly ``gap`` still merges) form one session; the
-    window ends ``gap`` after its last event.  Works on streams in append
-    mode with a watermark."""
+                          keys: tuple[str, ...] = ("session_id", "customer_id"), chunk: str = "hour") -> DataFrame:
+    """Gap-based sessions: events of a key closer than ``gap`` (a gap of
+    exactly ``gap`` still merges) form one session; the session window ends
+    ``gap`` after its last event.
+
+    On a stream this is ``session_window`` (append mode, watermark).  In
+    batch it is computed in two levels so that a hot key is not sorted in one
+    task: (1) sessionise within (key, time chunk) in parallel and aggregate each
+    local session; (2) merge local sessions of a key whose gap is <= ``gap``
+    (only consecutive pieces across chunk borders can merge), working on the
+    local-session rows, then add up their counters."""
     et = F.col("event_type")
-    agg = valid_clicks.groupBy(*keys, F.session_window(ts, gap).alias("w")).agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.count(F.when(et == "PAGE_VIEW", F.lit(1))).alias("page_views"),
-        F.count(F.when(et == "PRODUCT_VIEW", F.lit(1))).alias("product_views"),
-        F.count(F.when(et == "ADD_TO_CART", F.lit(1))).alias("add_to_cart_events"),
-        F.count(F.when(et == "CHECKOUT_COMPLETE", F.lit(1))).alias("conversions"),
-    )
-    return agg.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      "event_count", "page_views", "product_views", "add_to_cart_events", "conversions")
+    counts = {c: F.count(F.when(et == t, F.lit(1))) for c, t in _SESSION_WINDOW_COUNTS.items()}
+    if valid_clicks.isStreaming:
+        agg = valid_clicks.groupBy(*keys, F.session_window(ts, gap).alias("w")).agg(
+            F.count(F.lit(1)).alias("event_count"), *[v.alias(c) for c, v in counts.items()])
+        return agg.select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                          "event_count", *counts.keys())
+
+    gap_us = _gap_seconds(gap) * 1_000_000
+    e = valid_clicks.withColumn("_chunk", F.date_trunc(chunk, ts))
+    w_local = Window.partitionBy(*keys, "_chunk").orderBy(ts)
+    prev = F.lag(ts).over(w_local)
+    is_new = F.when(prev.isNull() | (F.timestamp_diff("MICROSECOND", prev, F.col(ts)) > gap_us), 1).otherwise(0)
+    e = e.withColumn("_new", is_new).withColumn(
+        "_local", F.sum("_new").over(w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    local = e.groupBy(*keys, "_chunk", "_local").agg(
+        F.min(ts).alias("_start"), F.max(ts).alias("_last"),
+        F.count(F.lit(1)).alias("event_count"), *[v.alias(c) for c, v in counts.items()])
+    w_key = Window.partitionBy(*keys).orderBy("_start")
+    prev_last = F.lag("_last").over(w_key)
+    glob_new = F.when(prev_last.isNull() | (F.timestamp_diff("MICROSECOND", prev_last, F.col("_start")) > gap_us),
+                      1).otherwise(0)
+    local = local.withColumn("_gnew", glob_new).withColumn(
+        "_gid", F.sum("_gnew").over(w_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    out = local.groupBy(*keys, "_gid").agg(
+        F.min("_start").alias("window_start"),
+        (F.max("_last") + F.expr(f"INTERVAL {gap}")).alias("window_end"),
+        F.sum("event_count").alias("event_count"),
+        *[F.sum(c).alias(c) for c in counts])
+    return out.select(*keys, "window_start", "window_end", "event_count", *counts.keys())

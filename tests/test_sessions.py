@@ -1,0 +1,49 @@
+"""Gap sessionisation: two-level batch form == sequential definition, for any
+chunk width; the 30-minute edge merges."""
+
+from datetime import datetime, timedelta
+
+import pytest
+
+from emporion.operators import sessions
+
+T0 = datetime(2024, 1, 1, 0, 50)
+
+
+def _events():
+    offs = [0, 10, 40, 70, 100, 130, 161, 162, 300, 329, 359, 389, 600]   # minutes
+    rows = [("S1", "C1", "PAGE_VIEW", T0 + timedelta(minutes=m)) for m in offs]
+    rows += [("S2", None, "PRODUCT_VIEW", T0 + timedelta(minutes=m)) for m in (0, 31, 61)]
+    rows += [("S3", "C3", "CHECKOUT_COMPLETE", T0 + timedelta(minutes=m)) for m in (5, 5, 20)]
+    return rows
+
+
+def _expected(rows, gap=timedelta(minutes=30)):
+    out = {}
+    by = {}
+    for sid, cid, et, ts in rows:
+        by.setdefault((sid, cid), []).append(ts)
+    for k, tss in by.items():
+        tss.sort()
+        start = last = tss[0]
+        n = 1
+        for t in tss[1:]:
+            if t - last > gap:
+                out.setdefault(k, []).append((start, last + gap, n))
+                start, n = t, 0
+            last = t
+            n += 1
+        out.setdefault(k, []).append((start, last + gap, n))
+    return sorted((k[0], k[1], s, e, n) for k, v in out.items() for s, e, n in v)
+
+
+@pytest.mark.parametrize("chunk", ["minute", "hour", "day"])
+def test_two_level_sessions_equal_sequential(spark, chunk):
+    rows = _events()
+    df = spark.createDataFrame(rows, "session_id string, customer_id string, event_type string, "
+                                     "event_timestamp timestamp_ntz")
+    got = sessions.click_session_windows(df, chunk=chunk).collect()
+    got = sorted((r.session_id, r.customer_id, r.window_start, r.window_end, r.event_count) for r in got)
+    assert got == _expected(rows)
+    s3 = [r for r in sessions.click_session_windows(df, chunk=chunk).collect() if r.session_id == "S3"]
+    assert s3[0].conversions == 3
