@@ -26,13 +26,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+MAX_SPLITS_TO_SPREAD = 4
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a scan that yields fewer partitions than the cluster has
-    cores (a single-row-group file is read by one task).  On a large input
-    the scan is already split into many tasks and this is a no-op, so no
-    shuffle is added at scale."""
+    """Redistribute a scan that yields only a handful of splits (a file with
+    one row group is read by one task) over the cluster's cores.  Any input
+    large enough to matter at scale is split into many more tasks by the
+    scan itself, so there this is a no-op and adds no shuffle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    n = df.rdd.getNumPartitions()
+    if n <= MAX_SPLITS_TO_SPREAD and n < cores:
         return df.repartition(cores)
     return df
 
