@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import Rule, all_pass, click_rules, failed_rule_names, order_rules
+from ..functions.timeutil import from_utc_wall, utc_date, utc_wall
 from ..schemas import CLICK_WIRE, INVENTORY_WIRE, ORDER_WIRE
 
 
@@ -30,7 +31,7 @@ def _parse(raw: DataFrame, schema, kafka_meta: bool, processed_at=None) -> DataF
     return (raw.select(*cols)
                .withColumn("event_timestamp", ts)
                .withColumn("processed_at", processed_at if processed_at is not None else F.current_timestamp())
-               .withColumn("event_date", F.to_date("event_timestamp")))
+               .withColumn("event_date", utc_date(F.col("event_timestamp"))))
 
 
 def parse_orders(raw: DataFrame, processed_at=None) -> DataFrame:
@@ -79,8 +80,13 @@ def to_money(df: DataFrame, columns: list[str]) -> DataFrame:
 
 # ---------------------------------------------------------- Kafka-shaped rows
 
-def _iso(ts_col: str):
-    c = F.col(ts_col).cast("timestamp_ntz")
+def _wall(df: DataFrame, c: str):
+    col = F.col(c)
+    return col if dict(df.dtypes)[c] == "timestamp_ntz" else utc_wall(col)
+
+
+def _iso(df: DataFrame, ts_col: str):
+    c = _wall(df, ts_col)
     return F.concat(F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
@@ -95,7 +101,7 @@ def to_kafka_rows(landed: DataFrame, wire_schema, key: str, topic: str, ts: str
         if f.name == "event_type" and event_type is not None and "event_type" not in landed.columns:
             fields.append(F.lit(event_type).alias("event_type"))
         elif f.name == "event_timestamp":
-            fields.append(_iso(ts).alias("event_timestamp"))
+            fields.append(_iso(landed, ts).alias("event_timestamp"))
         elif f.name in landed.columns:
             fields.append(F.col(f.name).cast(f.dataType).alias(f.name))
     value = F.to_json(F.struct(*fields)).cast("binary")
@@ -105,6 +111,6 @@ def to_kafka_rows(landed: DataFrame, wire_schema, key: str, topic: str, ts: str
         F.lit(topic).alias("topic"),
         (F.col(partition) if partition else F.lit(0)).cast("int").alias("partition"),
         (F.col(offset) if offset else F.lit(0)).cast("bigint").alias("offset"),
-        F.col(kafka_ts or ts).cast("timestamp").alias("timestamp"),
+        from_utc_wall(_wall(landed, kafka_ts or ts)).alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

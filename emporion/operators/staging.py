@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timeutil import utc_wall
 from ..functions.expressions import (
     flag_equals,
     funnel_stage,
@@ -20,6 +21,10 @@ from ..functions.expressions import (
 )
 
 
+def _wall(df: DataFrame, c: str):
+    return F.col(c) if dict(df.dtypes)[c] == "timestamp_ntz" else utc_wall(F.col(c))
+
+
 def stg_orders(raw: DataFrame) -> DataFrame:
     gate = (F.col("order_id").isNotNull() & F.col("customer_id").isNotNull()
             & (F.col("order_total") > 0) & (F.col("quantity") > 0))
@@ -35,8 +40,8 @@ def stg_orders(raw: DataFrame) -> DataFrame:
         F.coalesce("quantity", F.lit(0)).alias("quantity"),
         F.coalesce("unit_price", F.lit(0).cast(raw.schema["unit_price"].dataType)).alias("unit_price"),
         F.coalesce("order_total", F.lit(0).cast(raw.schema["order_total"].dataType)).alias("order_total"),
-        F.col("event_timestamp").cast("timestamp_ntz").alias("order_placed_at"),
-        F.col("processed_at").cast("timestamp_ntz").alias("pipeline_processed_at"),
+        _wall(raw, "event_timestamp").alias("order_placed_at"),
+        _wall(raw, "processed_at").alias("pipeline_processed_at"),
         flag_equals(F.col("order_status"), "CANCELLED").alias("is_cancelled"),
         order_value_tier("order_total").alias("order_value_tier"),
     )
@@ -58,8 +63,8 @@ def stg_clickstream(raw: DataFrame) -> DataFrame:
         lower_trim("search_term").alias("search_term"),
         F.coalesce("results_count", F.lit(0)).alias("results_count"),
         F.coalesce("cart_value", F.lit(0).cast(raw.schema["cart_value"].dataType)).alias("cart_value"),
-        F.col("event_timestamp").cast("timestamp_ntz").alias("event_occurred_at"),
-        F.col("processed_at").cast("timestamp_ntz").alias("pipeline_processed_at"),
+        _wall(raw, "event_timestamp").alias("event_occurred_at"),
+        _wall(raw, "processed_at").alias("pipeline_processed_at"),
         flag_equals(F.col("event_type"), "CHECKOUT_COMPLETE").alias("is_conversion"),
         funnel_stage(F.col("event_type")).alias("funnel_stage"),
     )

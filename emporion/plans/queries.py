@@ -29,6 +29,7 @@ from ..schemas import (
     RECENT_VOLUME_WINDOW,
     SESSION_OUTCOMES,
 )
+from ..functions.timeutil import utc_wall
 from ..sources import fixtures
 
 # Fixed evaluation time for the freshness/volume/SLA checks of the registry
@@ -45,7 +46,7 @@ def to_output(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, DecimalType):
             c = c.cast("double")
         elif isinstance(f.dataType, TimestampType):
-            c = c.cast("timestamp_ntz")
+            c = utc_wall(c)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 

@@ -111,7 +111,26 @@ def start_orders_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bo
     return job
 
 
-def start_clicks_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bool = False) -> StreamJob:
+def funnel_windows_update(valid: DataFrame) -> DataFrame:
+    """Update-mode funnel variant (single aggregation; exact distinct via set
+    sizes)."""
+    et = F.col("event_type")
+    agg = valid.groupBy(F.window("event_timestamp", FUNNEL_WINDOW).alias("window"), "device_type", "referrer").agg(
+        *[F.count(F.when(et == t, F.lit(1))).alias(c) for c, t in windows.FUNNEL_MEASURES.items()],
+        F.size(F.collect_set("session_id")).cast("bigint").alias("unique_sessions"),
+        F.size(F.collect_set("customer_id")).cast("bigint").alias("unique_users"),
+    )
+    pv, co = F.col("product_views"), F.col("checkouts")
+    return agg.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        "device_type", "referrer", *windows.FUNNEL_MEASURES.keys(), "unique_sessions", "unique_users",
+        F.round(F.when(pv > 0, co.cast("double") / pv.cast("double") * F.lit(100.0)).otherwise(F.lit(0.0)), 2)
+         .alias("conversion_rate_pct"),
+        F.current_timestamp().alias("computed_at"))
+
+
+def start_clicks_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bool = False,
+                     update_mode: bool = False) -> StreamJob:
     parsed = ingest.parse_clicks(raw_topic)
     valid = ingest.to_money(ingest.valid_clicks(parsed), CLICK_MONEY_COLUMNS)
     ck = paths.checkpoint_root.rstrip("/")
@@ -124,9 +143,13 @@ def start_clicks_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bo
                                         f"{ck}/landing", trigger=raw_t))
     job.queries.append(sinks.batch_sink(ingest.rejected_clicks(parsed), sinks.idempotent_batch_writer(paths.rejected),
                                         f"{ck}/rejected", trigger=raw_t))
-    funnel = windows.funnel_windows(wm, duration=FUNNEL_WINDOW, with_audit=True)
-    job.queries.append(sinks.batch_sink(funnel, sinks.idempotent_batch_writer(paths.aggregates), f"{ck}/funnel",
-                                        output_mode="append", trigger=agg_t))
+    if update_mode:
+        job.queries.append(sinks.batch_sink(funnel_windows_update(wm), sinks.keyed_upsert_writer(paths.aggregates),
+                                            f"{ck}/funnel", output_mode="update", trigger=agg_t))
+    else:
+        funnel = windows.funnel_windows(wm, duration=FUNNEL_WINDOW, with_audit=True)
+        job.queries.append(sinks.batch_sink(funnel, sinks.idempotent_batch_writer(paths.aggregates), f"{ck}/funnel",
+                                            output_mode="append", trigger=agg_t))
     if paths.sessions:
         sess = sessions.click_session_windows(wm, SESSION_GAP)
         job.queries.append(sinks.batch_sink(sess, sinks.idempotent_batch_writer(paths.sessions), f"{ck}/sessions",

@@ -55,3 +55,19 @@ def test_query_matches_oracle(spark, duck, name):
     srows = [tuple(r) for r in sdf.collect()]
     assert len(srows) == len(drows)
     assert _sorted(srows) == _sorted(drows)
+
+
+@pytest.mark.parametrize("name", ["parse_orders", "valid_orders", "rejected_orders", "parse_clicks",
+                                  "parse_inventory", "order_windows", "stg_orders"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        sdf = queries()[name](spark, SF_SMALL)
+        srows = [tuple(r) for r in sdf.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    rel = duck.sql(oracle_sql()[name])
+    order = [rel.columns.index(c) for c in sdf.columns]
+    drows = [tuple(r[i] for i in order) for r in rel.fetchall()]
+    assert _sorted(srows) == _sorted(drows)

@@ -197,3 +197,16 @@ def test_stream_stream_candidates_equal_batch(spark, order_feed, click_feed, scr
         "order_id", "click_event_id")
     g, e = sorted(map(tuple, got.collect())), sorted(map(tuple, exp.collect()))
     assert len(e) > 10 and g == e
+
+
+def test_funnel_update_mode_upsert(spark, click_feed, scratch):
+    paths = _paths(scratch)
+    job = jobs.start_clicks_job(sources.file_topic(spark, click_feed), paths, available_now=True, update_mode=True)
+    job.wait()
+    keys = ["window_start", "window_end", "device_type", "referrer"]
+    cur = sinks.current_rows(spark, paths.aggregates, keys)
+    batch = windows.funnel_windows(ingest.valid_clicks(ingest.parse_clicks(Q.click_topic_rows(spark, SF_SMALL))))
+    cols = ["window_start", "device_type", "referrer", "page_views", "checkouts", "unique_sessions", "unique_users",
+            "conversion_rate_pct"]
+    ra, rb = _cmp(cur, batch, cols)
+    assert len(ra) > 500 and ra == rb
