@@ -5,8 +5,8 @@
 * ``idempotent_batch_writer``: a foreachBatch function that writes every
   micro-batch into its own ``batch_id=<n>`` folder with overwrite, so a
   replayed batch (after a crash between write and commit) replaces its own
-  earlier output instead of appending a second copy.  One write per batch, no
-  extra counting jobs.
+  earlier output instead of appending a second copy.  Empty batches are
+  skipped (the batch is persisted, so probing it does not recompute it).
 * ``keyed_upsert_writer`` + ``current_rows``: update-mode aggregates are
   written per batch with the batch id; readers take, per key, the row of the
   newest batch.  That is an upsert without a database and without growing
@@ -35,18 +35,31 @@ def lake_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | None =
     return w.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
 
 
+def _non_empty(write_fn: Callable[[DataFrame, int], None]) -> BatchFn:
+    """Skip empty micro-batches without computing a batch twice: the batch
+    is persisted, probed with ``isEmpty`` (one row), written, released."""
+    def run(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.persist()
+        try:
+            if not batch_df.isEmpty():
+                write_fn(batch_df, batch_id)
+        finally:
+            batch_df.unpersist()
+    return run
+
+
 def idempotent_batch_writer(path: str, drop: Sequence[str] = (), fmt: str = "parquet") -> BatchFn:
     def write(batch_df: DataFrame, batch_id: int) -> None:
         out = batch_df.drop(*drop) if drop else batch_df
         out.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
-    return write
+    return _non_empty(write)
 
 
 def keyed_upsert_writer(path: str) -> BatchFn:
     def write(batch_df: DataFrame, batch_id: int) -> None:
         (batch_df.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
                  .write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}"))
-    return write
+    return _non_empty(write)
 
 
 def current_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
@@ -63,7 +76,7 @@ def jdbc_batch_writer(url: str, table: str, properties: dict, drop: Sequence[str
         out = batch_df.drop(*drop) if drop else batch_df
         out.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.jdbc(
             url=url, table=table, mode="append", properties=properties)
-    return write
+    return _non_empty(write)
 
 
 def batch_sink(df: DataFrame, fn: BatchFn, checkpoint: str, output_mode: str = "append",
