@@ -48,8 +48,13 @@ def _seconds_after_epoch(n: Column) -> Column:
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed order event per lineitem (lineitem x orders x customer x
     nation x part).  Event time is spread over 30 days by a fixed hash."""
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"))
+    # Hash-partitioned on the key of its join with orders: when orders is too
+    # large to broadcast, the sort-merge join needs exactly this exchange (so
+    # nothing is added); when orders is broadcast, it spreads the row-wise
+    # work over all cores even if the file has a single row group.
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"
+    ).repartition("l_orderkey")
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     # nation has 25 rows at every scale factor: a fixed size bound
