@@ -4,11 +4,9 @@ the raw-vs-normalised flag behaviour of staging."""
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from emporion.functions.expressions import customer_segment, funnel_stage, order_value_tier, session_outcome
 from emporion.operators import staging
-from emporion.schemas import MONEY
 
 
 def test_order_value_tier_boundaries(spark):

@@ -1,7 +1,6 @@
 """Structured Streaming: stream == batch on closed windows, restart safety,
 late data, dedup, session windows and the upsert sink."""
 
-import os
 import shutil
 
 import pytest
