@@ -15,6 +15,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.timeutil import utc_wall
 from .marts import _avg_money
 
 
@@ -37,8 +38,9 @@ def hour_slice(orders: DataFrame, start: datetime, ts: str = "event_timestamp",
     start = start.replace(tzinfo=None) if start.tzinfo is None else start.astimezone(timezone.utc).replace(tzinfo=None)
     end = start + timedelta(hours=1)
     col_type = dict(orders.dtypes)[ts]
-    lo = F.lit(start).cast(col_type)
-    hi = F.lit(end).cast(col_type)
+    zone = "" if col_type == "timestamp_ntz" else "+00:00"   # instants: bounds are UTC
+    lo = F.lit(start.isoformat(sep=" ") + zone).cast(col_type)
+    hi = F.lit(end.isoformat(sep=" ") + zone).cast(col_type)
     out = orders
     if date_col and date_col in orders.columns:
         days = sorted({start.date(), (end - timedelta(microseconds=1)).date()})
@@ -60,7 +62,8 @@ def read_hour_slice(spark: SparkSession, lake_path: str, start: datetime) -> Dat
 def _hour_key(orders: DataFrame, processing_hour: str | None, ts: str) -> Column:
     if processing_hour is not None:
         return F.lit(processing_hour).alias("processing_hour")
-    return hour_label(ts).alias("processing_hour")
+    c = F.col(ts) if dict(orders.dtypes)[ts] == "timestamp_ntz" else utc_wall(F.col(ts))
+    return hour_label(c).alias("processing_hour")
 
 
 def hourly_revenue(orders: DataFrame, processing_hour: str | None = None, ts: str = "event_timestamp",
