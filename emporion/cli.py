@@ -44,9 +44,11 @@ def _stream(a: argparse.Namespace) -> int:
     raw = _topic(spark, a, topic[a.command])
     paths = _paths(a)
     if a.command == "stream-orders":
-        job = jobs.start_orders_job(raw, paths, available_now=a.available_now, update_mode=a.update_mode)
+        job = jobs.start_orders_job(raw, paths, available_now=a.available_now, update_mode=a.update_mode,
+                                    single_pass=a.single_pass)
     elif a.command == "stream-clicks":
-        job = jobs.start_clicks_job(raw, paths, available_now=a.available_now, update_mode=a.update_mode)
+        job = jobs.start_clicks_job(raw, paths, available_now=a.available_now, update_mode=a.update_mode,
+                                    single_pass=a.single_pass)
     else:
         job = jobs.start_inventory_job(raw, paths, available_now=a.available_now)
     if a.available_now:
@@ -103,6 +105,8 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--checkpoint")
         s.add_argument("--available-now", action="store_true")
         s.add_argument("--update-mode", action="store_true")
+        s.add_argument("--single-pass", action="store_true",
+                       help="one query writes lake, landing and quarantine (topic read once for them)")
     h = sub.add_parser("hourly")
     h.add_argument("--lake", required=True)
     h.add_argument("--output", required=True)

@@ -83,7 +83,11 @@ def order_windows_update(valid: DataFrame) -> DataFrame:
 
 
 def start_orders_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bool = False,
-                     update_mode: bool = False, dedupe: bool = True) -> StreamJob:
+                     update_mode: bool = False, dedupe: bool = True, single_pass: bool = False) -> StreamJob:
+    """``single_pass=True`` writes lake, landing and quarantine from one
+    query (the topic is read and parsed once for the three raw outputs;
+    duplicates across micro-batches are then left to the staging layer), the
+    window aggregates being the only other reader."""
     parsed = ingest.parse_orders(raw_topic)
     valid = ingest.to_money(ingest.valid_orders(parsed), ORDER_MONEY_COLUMNS)
     if dedupe:
@@ -94,11 +98,17 @@ def start_orders_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bo
     raw_t = _trigger(available_now, "30 seconds")
     agg_t = _trigger(available_now, "1 minute")
     job = StreamJob()
-    job.queries.append(sinks.lake_sink(valid, paths.lake, f"{ck}/lake", raw_t, name=None))
-    job.queries.append(sinks.batch_sink(valid, sinks.idempotent_batch_writer(paths.landing, drop=["event_date"]),
-                                        f"{ck}/landing", trigger=raw_t))
-    job.queries.append(sinks.batch_sink(rejected, sinks.idempotent_batch_writer(paths.rejected),
-                                        f"{ck}/rejected", trigger=raw_t))
+    if single_pass:
+        fan = sinks.raw_fanout_writer(
+            paths.lake, paths.landing, paths.rejected,
+            lambda b: ingest.to_money(ingest.valid_orders(b), ORDER_MONEY_COLUMNS), ingest.rejected_orders)
+        job.queries.append(sinks.batch_sink(parsed, fan, f"{ck}/raw", trigger=raw_t))
+    else:
+        job.queries.append(sinks.lake_sink(valid, paths.lake, f"{ck}/lake", raw_t, name=None))
+        job.queries.append(sinks.batch_sink(valid, sinks.idempotent_batch_writer(paths.landing, drop=["event_date"]),
+                                            f"{ck}/landing", trigger=raw_t))
+        job.queries.append(sinks.batch_sink(rejected, sinks.idempotent_batch_writer(paths.rejected),
+                                            f"{ck}/rejected", trigger=raw_t))
     wm = valid if dedupe else valid.withWatermark("event_timestamp", ORDER_WATERMARK)
     if update_mode:
         agg = order_windows_update(wm)
@@ -130,7 +140,7 @@ def funnel_windows_update(valid: DataFrame) -> DataFrame:
 
 
 def start_clicks_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bool = False,
-                     update_mode: bool = False) -> StreamJob:
+                     update_mode: bool = False, single_pass: bool = False) -> StreamJob:
     parsed = ingest.parse_clicks(raw_topic)
     valid = ingest.to_money(ingest.valid_clicks(parsed), CLICK_MONEY_COLUMNS)
     ck = paths.checkpoint_root.rstrip("/")
@@ -138,11 +148,18 @@ def start_clicks_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bo
     agg_t = _trigger(available_now, "1 minute")
     wm = valid.withWatermark("event_timestamp", CLICK_WATERMARK)
     job = StreamJob()
-    job.queries.append(sinks.lake_sink(valid, paths.lake, f"{ck}/lake", raw_t))
-    job.queries.append(sinks.batch_sink(valid, sinks.idempotent_batch_writer(paths.landing, drop=["event_date"]),
-                                        f"{ck}/landing", trigger=raw_t))
-    job.queries.append(sinks.batch_sink(ingest.rejected_clicks(parsed), sinks.idempotent_batch_writer(paths.rejected),
-                                        f"{ck}/rejected", trigger=raw_t))
+    if single_pass:
+        fan = sinks.raw_fanout_writer(
+            paths.lake, paths.landing, paths.rejected,
+            lambda b: ingest.to_money(ingest.valid_clicks(b), CLICK_MONEY_COLUMNS), ingest.rejected_clicks)
+        job.queries.append(sinks.batch_sink(parsed, fan, f"{ck}/raw", trigger=raw_t))
+    else:
+        job.queries.append(sinks.lake_sink(valid, paths.lake, f"{ck}/lake", raw_t))
+        job.queries.append(sinks.batch_sink(valid, sinks.idempotent_batch_writer(paths.landing, drop=["event_date"]),
+                                            f"{ck}/landing", trigger=raw_t))
+        job.queries.append(sinks.batch_sink(ingest.rejected_clicks(parsed),
+                                            sinks.idempotent_batch_writer(paths.rejected),
+                                            f"{ck}/rejected", trigger=raw_t))
     if update_mode:
         job.queries.append(sinks.batch_sink(funnel_windows_update(wm), sinks.keyed_upsert_writer(paths.aggregates),
                                             f"{ck}/funnel", output_mode="update", trigger=agg_t))

@@ -62,6 +62,22 @@ def keyed_upsert_writer(path: str) -> BatchFn:
     return _non_empty(write)
 
 
+def raw_fanout_writer(lake: str, landing: str, rejected: str, valid_fn: Callable[[DataFrame], DataFrame],
+                      rejected_fn: Callable[[DataFrame], DataFrame]) -> BatchFn:
+    """One pass over a parsed micro-batch (persisted once) writing the lake
+    (partitioned by event_date, then batch_id), the landing copy and the
+    quarantine.  Every output of batch n lives under ``batch_id=<n>``, written
+    with dynamic partition overwrite, so a replayed batch replaces itself."""
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        bid = F.lit(batch_id).cast("bigint")
+        ok = valid_fn(batch_df).withColumn("batch_id", bid)
+        (ok.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("event_date", "batch_id").parquet(lake))
+        ok.drop("event_date", "batch_id").write.mode("overwrite").parquet(f"{landing.rstrip('/')}/batch_id={batch_id}")
+        rejected_fn(batch_df).write.mode("overwrite").parquet(f"{rejected.rstrip('/')}/batch_id={batch_id}")
+    return _non_empty(write)
+
+
 def current_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """Newest version of every key across all written batches."""
     allv = spark.read.parquet(path)
