@@ -61,7 +61,10 @@ def _stream(a: argparse.Namespace) -> int:
 def _hourly(a: argparse.Namespace) -> int:
     from .plans.pipeline import run_hourly_batch
     spark = _session()
-    hour = datetime.fromisoformat(a.hour).astimezone(timezone.utc) if a.hour else None
+    hour = None
+    if a.hour:
+        hour = datetime.fromisoformat(a.hour)
+        hour = hour.replace(tzinfo=timezone.utc) if hour.tzinfo is None else hour.astimezone(timezone.utc)
     res = run_hourly_batch(spark, a.lake, a.output, hour, top_k=a.top_k)
     print(f"[hourly] {res}")
     return 0
