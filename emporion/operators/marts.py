@@ -1,10 +1,11 @@
 """Marts: daily revenue, product performance, customer behaviour.
 
 Exactness rules: money is summed as DECIMAL (exact) and leaves as double;
-averages are ``sum / count``; the median is Spark's exact ``percentile_cont``
-(its buffer is a value -> count map merged map-side, so it grows with the
-number of distinct amounts in a group, not with the rows); ``mode`` keeps a
-value -> count map as well (ties -> lowest value).
+averages are ``sum / count``; the median is Spark's exact ``percentile``
+(linear interpolation, i.e. ``percentile_cont``; its buffer is a value ->
+count map merged map-side, so it grows with the number of distinct amounts in
+a group, not with the rows); ``mode`` keeps a value -> count map as well
+(ties -> lowest value).
 
 Every analytic window below runs on an already aggregated table (one row per
 category/state/day or product/day), so window partitions are bounded by the
