@@ -27,7 +27,7 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # local runs: tiny but CPU-heavy shuffles should still use every core
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
-        .config("spark.driver.memory", os.environ.get("EMPORION_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("EMPORION_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="emporion-warehouse-", dir="/tmp"))
     )
