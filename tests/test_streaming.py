@@ -255,3 +255,14 @@ def test_resume_after_partial_run_equals_one_run(spark, order_feed, scratch):
     assert lake.count() == spark.read.parquet(one.lake).count()
     ra, rb = _cmp(spark.read.parquet(paths.aggregates), spark.read.parquet(one.aggregates), ORDER_COLS)
     assert len(ra) > 5000 and ra == rb
+
+
+def test_observed_metrics_in_progress(spark, order_feed, scratch):
+    paths = _paths(scratch)
+    job = jobs.start_orders_job(sources.file_topic(spark, order_feed), paths, available_now=True)
+    job.wait()
+    rejected_q = job.queries[2]
+    seen = [p["observedMetrics"]["rejected_orders"]["rows"] for p in rejected_q.recentProgress
+            if p.get("observedMetrics", {}).get("rejected_orders")]
+    batch = ingest.rejected_orders(ingest.parse_orders(Q.order_topic_rows(spark, SF_SMALL))).count()
+    assert sum(seen) == batch > 0
