@@ -10,15 +10,15 @@ is kept (one row per order_id), unmatched ones get the defaults
 Plan shape, chosen for scale:
 
 * The range condition is turned into an extra equi-key: each session is
-  exploded over the hour buckets its coverage interval spans *inside its own
-  day* (at most 24 rows per session), each order falls in exactly one hour
-  bucket.  The join key is (customer_id, date, hour), so a customer with huge
-  activity is split across hours; a pair is only ever compared when the
-  session is live during the order's hour.  The BETWEEN stays as the residual
-  predicate, so the result is exact.
+  exploded over the time buckets (default: hours) its coverage interval spans
+  *inside its own day* (at most 24 rows per session for hours), each order
+  falls in exactly one bucket.  The join key is (customer_id, date, bucket),
+  so a customer with huge activity is split across buckets; a pair is only
+  ever compared when the session is live during the order's bucket.  The
+  BETWEEN stays as the residual predicate, so the result is exact.
 * The join is a plain equi-join: sort-merge or shuffled-hash for large sides,
   AQE switches to broadcast when a side is measured small at run time, and
-  AQE skew-join splits a hot (customer, day, hour) partition.
+  AQE skew-join splits a hot (customer, day, bucket) partition.
 * The best match uses ``row_number() == 1`` so that Catalyst inserts a
   partial WindowGroupLimit before the shuffle (at most one row per order per
   map task crosses the network, even for a duplicated order_id).  Ties are
@@ -47,14 +47,26 @@ _PAYLOAD_TIEBREAK = [
 ]
 
 
-def _hour_buckets(start, stop):
-    return F.explode(F.sequence(F.date_trunc("hour", start), F.date_trunc("hour", stop),
-                                F.expr("INTERVAL 1 HOUR")))
+def _bucket(ts, minutes: int):
+    """Start of the ``minutes``-wide bucket of ``ts`` (buckets aligned to the
+    day; ``minutes`` divides 1440)."""
+    if minutes == 60:
+        return F.date_trunc("hour", ts)
+    day = F.date_trunc("day", ts)
+    offset = (F.floor(F.timestamp_diff("MINUTE", day, ts) / minutes) * minutes).cast("int")
+    return F.timestamp_add("MINUTE", offset, day)
 
 
-def session_candidates(sessions: DataFrame, grace: str = ATTRIBUTION_GRACE) -> DataFrame:
-    """Sessions with a known customer, one row per hour bucket covered by
+def _buckets(start, stop, minutes: int):
+    return F.explode(F.sequence(_bucket(start, minutes), _bucket(stop, minutes),
+                                F.expr(f"INTERVAL {minutes} MINUTES")))
+
+
+def session_candidates(sessions: DataFrame, grace: str = ATTRIBUTION_GRACE, bucket_minutes: int = 60) -> DataFrame:
+    """Sessions with a known customer, one row per time bucket covered by
     ``[session_start, session_end + grace]`` within the session's date."""
+    if 1440 % bucket_minutes:
+        raise ValueError("bucket_minutes must divide a day")
     s = sessions.filter(F.col("customer_id").isNotNull()).select(
         F.col("customer_id").alias("_s_customer"),
         F.col("session_date").alias("_s_date"),
@@ -65,18 +77,19 @@ def session_candidates(sessions: DataFrame, grace: str = ATTRIBUTION_GRACE) -> D
         "session_outcome", "engagement_score",
     )
     day_end = F.col("_s_date").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY") - F.expr("INTERVAL 1 MICROSECOND")
-    return s.withColumn("_bucket", _hour_buckets(F.col("session_start"), F.least(F.col("_cover_end"), day_end)))
+    return s.withColumn("_bucket", _buckets(F.col("session_start"), F.least(F.col("_cover_end"), day_end),
+                                            bucket_minutes))
 
 
-def match_orders_to_sessions(orders: DataFrame, sessions: DataFrame,
-                             grace: str = ATTRIBUTION_GRACE) -> DataFrame:
+def match_orders_to_sessions(orders: DataFrame, sessions: DataFrame, grace: str = ATTRIBUTION_GRACE,
+                             bucket_minutes: int = 60) -> DataFrame:
     """All candidate (order, session) pairs plus unmatched orders, with
     ``match_rank`` (1 = best)."""
     o = orders.select(*ORDER_COLUMNS).withColumns({
         "_o_date": F.to_date("order_placed_at"),
-        "_bucket": F.date_trunc("hour", "order_placed_at"),
+        "_bucket": _bucket(F.col("order_placed_at"), bucket_minutes),
     })
-    s = session_candidates(sessions, grace)
+    s = session_candidates(sessions, grace, bucket_minutes)
     cond = [
         o.customer_id == s._s_customer,
         o._o_date == s._s_date,
@@ -92,9 +105,13 @@ def match_orders_to_sessions(orders: DataFrame, sessions: DataFrame,
     return joined.withColumn("match_rank", F.row_number().over(w))
 
 
-def orders_enriched(stg_orders: DataFrame, sessions: DataFrame,
-                    grace: str = ATTRIBUTION_GRACE) -> DataFrame:
-    best = match_orders_to_sessions(stg_orders, sessions, grace).filter(F.col("match_rank") == 1)
+def orders_enriched(stg_orders: DataFrame, sessions: DataFrame, grace: str = ATTRIBUTION_GRACE,
+                    bucket_minutes: int = 60) -> DataFrame:
+    """``bucket_minutes`` sets the width of the time buckets of the join key:
+    narrower buckets split a hot customer-day into smaller groups at the cost
+    of more session copies (one per bucket a session covers); the result is
+    the same for any width."""
+    best = match_orders_to_sessions(stg_orders, sessions, grace, bucket_minutes).filter(F.col("match_rank") == 1)
     return best.select(
         *ORDER_COLUMNS,
         "session_id",

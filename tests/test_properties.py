@@ -61,8 +61,8 @@ def _brute(orders, sessions, grace=timedelta(minutes=30)):
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(sess=sessions_st, ords=orders_st)
-def test_attribution_equals_brute_force(spark, sess, ords):
+@given(sess=sessions_st, ords=orders_st, width=st.sampled_from([10, 60, 240]))
+def test_attribution_equals_brute_force(spark, sess, ords, width):
     sessions = [(f"S{i:02d}", c, DAY + timedelta(minutes=m), DAY + timedelta(minutes=m + d), dev)
                 for i, (c, m, d, dev) in enumerate(sess)]
     orders = [(f"O{i:02d}", c, DAY + timedelta(minutes=m, seconds=7)) for i, (c, m) in enumerate(ords)]
@@ -78,7 +78,7 @@ def test_attribution_equals_brute_force(spark, sess, ords):
         "quantity int, unit_price decimal(10,2), order_total decimal(10,2), order_status string, "
         "shipping_state string, payment_method string, is_cancelled boolean, order_value_tier string, "
         "order_placed_at timestamp_ntz, pipeline_processed_at timestamp_ntz")
-    got = {r.order_id: r.session_id for r in attribution.orders_enriched(o, s).collect()}
+    got = {r.order_id: r.session_id for r in attribution.orders_enriched(o, s, bucket_minutes=width).collect()}
     assert got == _brute(orders, sessions)
 
 
