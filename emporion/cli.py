@@ -4,6 +4,7 @@
   hourly                                            one hour of the order lake -> hourly tables
   models                                            staging -> intermediates -> marts -> data tests
   query                                             run one registered query on the test tables
+  make-feed                                         Kafka-shaped Parquet feed from the test tables
 
 Paths may be any Hadoop-compatible URI.  The session comes from
 ``SparkSession.builder.getOrCreate()`` (spark-submit settings apply).
@@ -92,6 +93,25 @@ def _query(a: argparse.Namespace) -> int:
     return 0
 
 
+def _make_feed(a: argparse.Namespace) -> int:
+    """Write one folder per ``--days-per-file`` slice of event time, in time
+    order, so a file stream with ``maxFilesPerTrigger=1`` replays the topic."""
+    from pyspark.sql import functions as F
+
+    from .plans import queries as Q
+    spark = _session()
+    rows = {"orders": Q.order_topic_rows, "clicks": Q.click_topic_rows,
+            "inventory": Q.inventory_topic_rows}[a.topic](spark, a.sf_dir)
+    first = rows.agg(F.min(F.to_date("timestamp")).alias("d")).first().d
+    sliced = rows.withColumn("_slice", (F.datediff(F.to_date("timestamp"), F.lit(first)) / a.days_per_file)
+                             .cast("int"))
+    last = sliced.agg(F.max("_slice")).first()[0]
+    for i in range(last + 1):   # one write per slice, oldest first: file times follow event time
+        sliced.filter(F.col("_slice") == i).drop("_slice").write.mode("overwrite").parquet(
+            f"{a.output.rstrip('/')}/slice={i:04d}")
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="emporion")
     sub = p.add_subparsers(dest="command", required=True)
@@ -126,8 +146,13 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--sf-dir", required=True)
     q.add_argument("--output")
     q.add_argument("--show", type=int, default=20)
+    f = sub.add_parser("make-feed")
+    f.add_argument("topic", choices=["orders", "clicks", "inventory"])
+    f.add_argument("--sf-dir", required=True)
+    f.add_argument("--output", required=True)
+    f.add_argument("--days-per-file", type=int, default=8)
     a = p.parse_args(argv)
-    handler = {"hourly": _hourly, "models": _models, "query": _query}.get(a.command, _stream)
+    handler = {"hourly": _hourly, "models": _models, "query": _query, "make-feed": _make_feed}.get(a.command, _stream)
     return handler(a)
 
 

@@ -28,3 +28,11 @@ def test_cli_stream_hourly_models_query(spark, scratch):
                      "--output", f"{scratch}/models2", "--fail-on-test"]) == 1   # known failing tests
     assert cli.main(["query", "daily_revenue", "--sf-dir", SF_SMALL, "--output", f"{scratch}/q"]) == 0
     assert spark.read.parquet(f"{scratch}/q").count() > 0
+
+
+def test_cli_make_feed_then_stream_clicks(spark, scratch):
+    assert cli.main(["make-feed", "clicks", "--sf-dir", SF_SMALL, "--output", f"{scratch}/feed"]) == 0
+    assert cli.main(["stream-clicks", "--source", "files", "--input", f"{scratch}/feed", "--output",
+                     f"{scratch}/out", "--available-now", "--single-pass"]) == 0
+    assert spark.read.parquet(f"{scratch}/out/lake").count() == Q.click_topic_rows(spark, SF_SMALL).count()
+    assert spark.read.parquet(f"{scratch}/out/aggregates").count() > 0
