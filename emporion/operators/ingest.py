@@ -74,8 +74,10 @@ def rejected_clicks(parsed: DataFrame) -> DataFrame:
 
 
 def to_money(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Wire doubles -> DECIMAL(10,2) as landed."""
-    return df.withColumns({c: F.col(c).cast("decimal(10,2)") for c in columns if c in df.columns})
+    """Wire doubles -> DECIMAL(10,2) as landed.  ``try_cast``: a value that does
+    not fit becomes NULL instead of failing the query under ANSI mode (order
+    totals that do not fit are rejected by the rules before landing)."""
+    return df.withColumns({c: F.col(c).try_cast("decimal(10,2)") for c in columns if c in df.columns})
 
 
 # ---------------------------------------------------------- Kafka-shaped rows

@@ -57,3 +57,14 @@ def test_to_money_casts_wire_doubles(spark):
     parsed = ingest.parse_orders(_kafka(spark, [json.dumps(GOOD)]))
     out = ingest.to_money(parsed, ["unit_price", "order_total"])
     assert dict(out.dtypes)["order_total"] == "decimal(10,2)"
+
+
+def test_oversized_total_is_rejected_not_fatal(spark):
+    huge = dict(GOOD, order_id="ORD-9", order_total=1e12)
+    parsed = ingest.parse_orders(_kafka(spark, [json.dumps(GOOD), json.dumps(huge)]))
+    landed = ingest.to_money(ingest.valid_orders(parsed), ["unit_price", "order_total"])
+    assert [r.order_id for r in landed.collect()] == ["ORD-1"]
+    rej = ingest.rejected_orders(parsed).collect()
+    assert [(r.order_id, r.reject_reasons) for r in rej] == [("ORD-9", "order_total_fits_money")]
+    # landing the raw parse without rules does not throw either
+    assert ingest.to_money(parsed, ["order_total"]).filter("order_total is null").count() == 1
