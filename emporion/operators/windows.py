@@ -28,7 +28,9 @@ from ..schemas import FUNNEL_WINDOW, ORDER_WINDOW
 
 
 def _money_sum_input(c: str) -> Column:
-    return F.col(c).cast("decimal(12,2)")
+    # exact decimal sums also when fed wire doubles; try_cast so that an
+    # unrepresentable value cannot fail a streaming query under ANSI mode
+    return F.col(c).try_cast("decimal(12,2)")
 
 
 def order_windows(valid_orders: DataFrame, ts: str = "event_timestamp", duration: str = ORDER_WINDOW,
