@@ -96,9 +96,10 @@ def start_orders_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bo
     window aggregates being the only other reader."""
     parsed = ingest.parse_orders(raw_topic)
     valid = _observed(ingest.to_money(ingest.valid_orders(parsed), ORDER_MONEY_COLUMNS), "valid_orders")
+    undeduped = valid.withWatermark("event_timestamp", ORDER_WATERMARK)
     if dedupe:
         # redelivered events (producer retries) carry the same order_id
-        valid = valid.withWatermark("event_timestamp", ORDER_WATERMARK).dropDuplicatesWithinWatermark(["order_id"])
+        valid = undeduped.dropDuplicatesWithinWatermark(["order_id"])
     rejected = _observed(ingest.rejected_orders(parsed), "rejected_orders")
     ck = paths.checkpoint_root.rstrip("/")
     raw_t = _trigger(available_now, "30 seconds")
@@ -115,9 +116,11 @@ def start_orders_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bo
                                             f"{ck}/landing", trigger=raw_t))
         job.queries.append(sinks.batch_sink(rejected, sinks.idempotent_batch_writer(paths.rejected),
                                             f"{ck}/rejected", trigger=raw_t))
-    wm = valid if dedupe else valid.withWatermark("event_timestamp", ORDER_WATERMARK)
+    wm = valid if dedupe else undeduped
     if update_mode:
-        agg = order_windows_update(wm)
+        # update mode allows a single stateful operator, so the early-update
+        # aggregate reads the watermarked stream before the dedup
+        agg = order_windows_update(undeduped)
         job.queries.append(sinks.batch_sink(agg, sinks.keyed_upsert_writer(paths.aggregates), f"{ck}/agg",
                                             output_mode="update", trigger=agg_t))
     else:

@@ -266,3 +266,14 @@ def test_observed_metrics_in_progress(spark, order_feed, scratch):
             if p.get("observedMetrics", {}).get("rejected_orders")]
     batch = ingest.rejected_orders(ingest.parse_orders(Q.order_topic_rows(spark, SF_SMALL))).count()
     assert sum(seen) == batch > 0
+
+
+def test_update_mode_with_default_dedup_starts(spark, order_feed, scratch):
+    paths = _paths(scratch)
+    job = jobs.start_orders_job(sources.file_topic(spark, order_feed), paths, available_now=True, update_mode=True)
+    job.wait()
+    assert all(q.exception() is None for q in job.queries)
+    keys = ["window_start", "window_end", "category", "shipping_state"]
+    assert sinks.current_rows(spark, paths.aggregates, keys).count() > 5000
+    lake = spark.read.parquet(paths.lake)
+    assert lake.count() == lake.dropDuplicates(["order_id"]).count()
