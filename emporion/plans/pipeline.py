@@ -44,7 +44,7 @@ def materialize(df: DataFrame, path: str, view: str | None = None, table: str |
     else:
         df.write.mode("overwrite").parquet(path)
         out = spark.read.parquet(path)
-    if view:
+    if view and view != table:   # a catalog table is already resolvable by name
         out.createOrReplaceTempView(view)
     return out
 

@@ -36,3 +36,13 @@ def test_cli_make_feed_then_stream_clicks(spark, scratch):
                      f"{scratch}/out", "--available-now", "--single-pass"]) == 0
     assert spark.read.parquet(f"{scratch}/out/lake").count() == Q.click_topic_rows(spark, SF_SMALL).count()
     assert spark.read.parquet(f"{scratch}/out/aggregates").count() > 0
+
+
+def test_cli_models_as_catalog_tables(spark, scratch):
+    fixtures.raw_orders(spark, SF_SMALL).write.parquet(f"{scratch}/orders")
+    fixtures.raw_clicks(spark, SF_SMALL).write.parquet(f"{scratch}/clicks")
+    assert cli.main(["models", "--orders", f"{scratch}/orders", "--clicks", f"{scratch}/clicks",
+                     "--output", f"{scratch}/models", "--tables"]) == 0
+    assert spark.table("mart_daily_revenue").count() > 0
+    stats = spark.sql("DESCRIBE TABLE EXTENDED int_order_items_enriched").filter("col_name = 'Statistics'").collect()
+    assert stats
