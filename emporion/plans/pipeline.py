@@ -37,6 +37,7 @@ def materialize(df: DataFrame, path: str, view: str | None = None, table: str |
     statistics for the cost-based optimizer)."""
     spark = df.sparkSession
     if table:
+        spark.catalog.dropTempView(table)   # a same-named temp view would shadow the table
         df.write.mode("overwrite").option("path", path).saveAsTable(table)
         if analyze:
             spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
