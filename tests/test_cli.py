@@ -46,3 +46,12 @@ def test_cli_models_as_catalog_tables(spark, scratch):
     assert spark.table("mart_daily_revenue").count() > 0
     stats = spark.sql("DESCRIBE TABLE EXTENDED int_order_items_enriched").filter("col_name = 'Statistics'").collect()
     assert stats
+
+
+def test_cli_inventory_feed_and_stream(spark, scratch):
+    assert cli.main(["make-feed", "inventory", "--sf-dir", SF_SMALL, "--output", f"{scratch}/feed"]) == 0
+    assert cli.main(["stream-inventory", "--source", "files", "--input", f"{scratch}/feed", "--output",
+                     f"{scratch}/out", "--available-now"]) == 0
+    lake = spark.read.parquet(f"{scratch}/out/lake")
+    assert lake.count() == Q.inventory_topic_rows(spark, SF_SMALL).count()
+    assert lake.filter("stock_after < 20").count() == lake.filter("low_stock_alert").count()

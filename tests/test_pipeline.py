@@ -139,3 +139,13 @@ def test_await_any_returns_on_termination(spark, scratch):
     ssinks.await_any(spark, [q], timeout=1)
     q.stop()
     ssinks.await_any(spark, [q], timeout=5)
+
+
+def test_freshness_report(spark, scratch):
+    run = pipeline.run_models(spark, fixtures.raw_orders(spark, SF_SMALL), fixtures.raw_clicks(spark, SF_SMALL),
+                              out_dir=f"{scratch}/m")
+    fresh, sla = pipeline.freshness_report(run, datetime(2024, 1, 31, 0, 30))
+    got = {r.source: r.status for r in fresh.collect()}
+    assert set(got) == {"orders", "clickstream"} and set(got.values()) <= {"pass", "warn", "error"}
+    r = sla.first()
+    assert r.status == "error" and r.lag_minutes > 90     # the newest order date is midnight 2024-01-30
