@@ -42,20 +42,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
     and is used as is.  Only when it is unset (local tests) a scratch folder is
-    created and registered.
+    created and registered with ``SparkContext.setCheckpointDir`` (the conf
+    itself cannot be changed at run time).
     """
+    sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
     if configured:
-        if not current:
-            spark.sparkContext.setCheckpointDir(configured)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured
+    current = sc.getCheckpointDir()
     if current:
         return current
-    path = tempfile.mkdtemp(prefix="emporion-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="emporion-ckpt-", dir="/tmp"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

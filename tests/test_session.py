@@ -3,12 +3,14 @@
 from emporion.session import ensure_checkpoint_dir, scratch_path
 
 
-def test_configured_checkpoint_dir_is_used(spark, scratch):
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", f"{scratch}/shared")
-        assert ensure_checkpoint_dir(spark) == f"{scratch}/shared"
-        assert scratch_path(spark, "models", "run1") == f"{scratch}/shared/models/run1"
-    finally:
-        if old:
-            spark.conf.set("spark.checkpoint.dir", old)
+def test_checkpoint_folder_comes_from_the_session(spark):
+    base = ensure_checkpoint_dir(spark)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert base == configured
+    else:
+        assert base == spark.sparkContext.getCheckpointDir()
+    assert spark.sparkContext.getCheckpointDir() is not None
+    assert scratch_path(spark, "models", "run1") == f"{base.rstrip('/')}/models/run1"
+    # idempotent
+    assert ensure_checkpoint_dir(spark) == base
