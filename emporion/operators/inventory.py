@@ -56,10 +56,13 @@ def clamped_stock(updates: DataFrame, initial_stock: int = INITIAL_STOCK, chunk:
              .drop("_chunk", "_c", "_m", "_offset", "_min_before"))
 
 
-def current_stock(stock: DataFrame, ts: str = "event_timestamp") -> DataFrame:
-    """Latest stock per product (last update by (ts, update_id))."""
+def current_stock(stock: DataFrame, ts: str = "event_timestamp", by_warehouse: bool = False) -> DataFrame:
+    """Latest stock per product (last update by (ts, update_id)).  With
+    ``by_warehouse`` one row per (product, warehouse): the product's stock as
+    of the last update seen at that warehouse."""
     order_key = F.struct(ts, "update_id")
-    return stock.groupBy("product_id").agg(
+    keys = ["product_id", "warehouse_id"] if by_warehouse else ["product_id"]
+    return stock.groupBy(*keys).agg(
         F.max_by("stock_after", order_key).alias("stock"),
         F.max(ts).alias("last_update_at"),
         F.count(F.lit(1)).alias("updates"),

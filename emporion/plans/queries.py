@@ -245,6 +245,11 @@ def q_inventory_current(spark, sf):
     return inventory.current_stock(stock_df(spark, sf))
 
 
+@query("inventory_current_by_warehouse")
+def q_inventory_current_by_warehouse(spark, sf):
+    return inventory.current_stock(stock_df(spark, sf), by_warehouse=True)
+
+
 @query("inventory_movement")
 def q_inventory_movement(spark, sf):
     return inventory.movement(stock_df(spark, sf))

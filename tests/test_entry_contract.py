@@ -6,7 +6,7 @@ from conftest import SF_SMALL
 
 def test_keys_match_and_columns_are_named(spark):
     qs, sql = queries(), oracle_sql()
-    assert set(qs) == set(sql) and len(qs) == 37
+    assert set(qs) == set(sql) and len(qs) == 38
     for name, fn in qs.items():
         cols = fn(spark, SF_SMALL).columns
         assert len(cols) == len(set(cols)), name
