@@ -21,7 +21,8 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
+        .config("spark.sql.shuffle.partitions",
+                str(shuffle_partitions or os.environ.get("EMPORION_SHUFFLE_PARTITIONS") or cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
