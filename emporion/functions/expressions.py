@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .timeutil import from_utc_wall
+
 
 def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -94,8 +96,11 @@ def customer_segment(ltv: str | Column, orders: str | Column) -> Column:
 
 
 def micros_between(start: str | Column, end: str | Column) -> Column:
-    """Exact elapsed microseconds ``end - start`` (bigint)."""
-    return F.timestamp_diff("MICROSECOND", col_(start), col_(end))
+    """Exact elapsed microseconds ``end - start`` (bigint) between two UTC
+    wall-clock (TIMESTAMP_NTZ) values, independent of the session time zone
+    (a plain diff would convert through the session zone and shift spans
+    that cross a daylight-saving change)."""
+    return F.timestamp_diff("MICROSECOND", from_utc_wall(col_(start)), from_utc_wall(col_(end)))
 
 
 def seconds_between(start: str | Column, end: str | Column) -> Column:

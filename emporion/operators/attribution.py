@@ -53,7 +53,7 @@ def _bucket(ts, minutes: int):
     if minutes == 60:
         return F.date_trunc("hour", ts)
     day = F.date_trunc("day", ts)
-    offset = (F.floor(F.timestamp_diff("MINUTE", day, ts) / minutes) * minutes).cast("int")
+    offset = (F.floor(micros_between(day, ts) / (minutes * 60_000_000)) * minutes).cast("int")
     return F.timestamp_add("MINUTE", offset, day)
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import engagement_score, seconds_between, session_outcome
+from ..functions.expressions import engagement_score, micros_between, seconds_between, session_outcome
 
 SESSION_KEYS = ["session_id", "customer_id", "device_type", "browser", "referrer"]
 
@@ -110,7 +110,7 @@ def click_session_windows(valid_clicks: DataFrame, gap: str = "30 minutes", ts:
     e = valid_clicks.withColumn("_chunk", F.date_trunc(chunk, ts))
     w_local = Window.partitionBy(*keys, "_chunk").orderBy(ts)
     prev = F.lag(ts).over(w_local)
-    is_new = F.when(prev.isNull() | (F.timestamp_diff("MICROSECOND", prev, F.col(ts)) > gap_us), 1).otherwise(0)
+    is_new = F.when(prev.isNull() | (micros_between(prev, F.col(ts)) > gap_us), 1).otherwise(0)
     e = e.withColumn("_new", is_new).withColumn(
         "_local", F.sum("_new").over(w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     local = e.groupBy(*keys, "_chunk", "_local").agg(
@@ -118,8 +118,7 @@ def click_session_windows(valid_clicks: DataFrame, gap: str = "30 minutes", ts:
         F.count(F.lit(1)).alias("event_count"), *[v.alias(c) for c, v in counts.items()])
     w_key = Window.partitionBy(*keys).orderBy("_start")
     prev_last = F.lag("_last").over(w_key)
-    glob_new = F.when(prev_last.isNull() | (F.timestamp_diff("MICROSECOND", prev_last, F.col("_start")) > gap_us),
-                      1).otherwise(0)
+    glob_new = F.when(prev_last.isNull() | (micros_between(prev_last, F.col("_start")) > gap_us), 1).otherwise(0)
     local = local.withColumn("_gnew", glob_new).withColumn(
         "_gid", F.sum("_gnew").over(w_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     out = local.groupBy(*keys, "_gid").agg(

@@ -70,3 +70,18 @@ def test_staging_gate_and_normalisation(spark):
     r = out[0]
     assert (r.product_name, r.category, r.order_status, r.payment_method) == ("WIDGET", "TOOLS", "PLACED", "paypal")
     assert r.order_value_tier == "MID_VALUE"
+
+
+def test_elapsed_time_ignores_session_zone_dst(spark):
+    from datetime import datetime
+
+    from emporion.functions.expressions import micros_between, whole_days_between
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(datetime(2024, 3, 10, 1, 30), datetime(2024, 3, 10, 3, 30))],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        r = df.select(micros_between("a", "b").alias("us"), whole_days_between("a", "b").alias("d")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r.us == 2 * 3600 * 1_000_000 and r.d == 0   # wall-clock (UTC) difference, no DST hour lost
