@@ -58,7 +58,9 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", ["parse_orders", "valid_orders", "rejected_orders", "parse_clicks",
-                                  "parse_inventory", "order_windows", "stg_orders"])
+                                  "parse_inventory", "order_windows", "stg_orders", "hourly_revenue",
+                                  "click_session_windows", "user_behavior", "dq_freshness", "dq_mart_sla",
+                                  "inventory_stock", "user_sessions"])
 def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
