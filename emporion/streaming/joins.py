@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timeutil import utc_date
 from ..schemas import ATTRIBUTION_GRACE
 
 
@@ -28,7 +29,7 @@ def order_click_candidates(orders: DataFrame, clicks: DataFrame, grace: str = AT
         F.col("event_timestamp").alias("click_ts"))
     cond = [
         o.o_customer_id == c.c_customer_id,
-        F.to_date(o.order_ts) == F.to_date(c.click_ts),
+        utc_date(o.order_ts) == utc_date(c.click_ts),
         c.click_ts <= o.order_ts,
         o.order_ts <= c.click_ts + F.expr(f"INTERVAL {grace}"),
     ]
