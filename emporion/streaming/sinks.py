@@ -78,13 +78,40 @@ def raw_fanout_writer(lake: str, landing: str, rejected: str, valid_fn: Callable
     return _non_empty(write)
 
 
-def current_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Newest version of every key across all written batches."""
-    allv = spark.read.parquet(path)
-    value_cols = [c for c in allv.columns if c not in (*keys, "_batch_id", "batch_id")]
-    latest = allv.groupBy(*keys).agg(
-        *[F.max_by(c, F.col("_batch_id")).alias(c) for c in value_cols])
-    return latest
+def _latest_snapshot(spark: SparkSession, snapshots: str | None) -> tuple[DataFrame | None, int]:
+    if not snapshots:
+        return None, -1
+    try:
+        snap = spark.read.parquet(snapshots)
+    except Exception:  # no snapshot written yet
+        return None, -1
+    upto = snap.agg(F.max("upto")).first()[0]
+    if upto is None:
+        return None, -1
+    return snap.filter(F.col("upto") == upto).drop("upto"), int(upto)
+
+
+def current_rows(spark: SparkSession, path: str, keys: Sequence[str], snapshots: str | None = None) -> DataFrame:
+    """Newest version of every key: the latest compacted snapshot (if any)
+    plus the batches written after it (``batch_id`` partition pruning)."""
+    snap, upto = _latest_snapshot(spark, snapshots)
+    batches = spark.read.parquet(path)
+    if snap is not None:
+        batches = batches.filter(F.col("batch_id") > upto)
+    batches = batches.drop("batch_id")
+    allv = batches if snap is None else snap.unionByName(batches)
+    value_cols = [c for c in allv.columns if c not in (*keys, "_batch_id")]
+    return allv.groupBy(*keys).agg(*[F.max_by(c, F.col("_batch_id")).alias(c) for c in value_cols])
+
+
+def compact_upserts(spark: SparkSession, path: str, keys: Sequence[str], snapshots: str) -> int:
+    """Write the current rows as a snapshot ``upto=<last batch id>`` so that
+    readers skip all older batches.  Returns the batch id covered.  Older
+    batch folders are left in place (removal belongs to retention)."""
+    upto = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    cur = current_rows(spark, path, keys, snapshots).withColumn("_batch_id", F.lit(upto).cast("bigint"))
+    cur.write.mode("overwrite").parquet(f"{snapshots.rstrip('/')}/upto={upto}")
+    return int(upto)
 
 
 def jdbc_batch_writer(url: str, table: str, properties: dict, drop: Sequence[str] = ()) -> BatchFn:

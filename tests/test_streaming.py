@@ -277,3 +277,19 @@ def test_update_mode_with_default_dedup_starts(spark, order_feed, scratch):
     assert sinks.current_rows(spark, paths.aggregates, keys).count() > 5000
     lake = spark.read.parquet(paths.lake)
     assert lake.count() == lake.dropDuplicates(["order_id"]).count()
+
+
+def test_upsert_compaction_keeps_current_rows(spark, scratch):
+    keys = ["k"]
+    w = sinks.keyed_upsert_writer(f"{scratch}/agg")
+    w(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), 0)
+    w(spark.createDataFrame([("a", 2)], "k string, v int"), 1)
+    snap = f"{scratch}/snap"
+    assert sinks.compact_upserts(spark, f"{scratch}/agg", keys, snap) == 1
+    w(spark.createDataFrame([("b", 3), ("c", 3)], "k string, v int"), 2)
+    got = {r.k: r.v for r in sinks.current_rows(spark, f"{scratch}/agg", keys, snap).collect()}
+    assert got == {"a": 2, "b": 3, "c": 3}
+    plain = {r.k: r.v for r in sinks.current_rows(spark, f"{scratch}/agg", keys).collect()}
+    assert plain == got
+    assert sinks.compact_upserts(spark, f"{scratch}/agg", keys, snap) == 2
+    assert {r.k: r.v for r in sinks.current_rows(spark, f"{scratch}/agg", keys, snap).collect()} == got
