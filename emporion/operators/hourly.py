@@ -10,6 +10,8 @@ either a slice (constant ``processing_hour``) or the whole lake, in which case
 
 from __future__ import annotations
 
+import logging
+
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,6 +21,8 @@ from ..functions.timeutil import utc_wall
 from .marts import _avg_money
 
 
+log = logging.getLogger("emporion.hourly")
+
 def last_full_hour(now: datetime | None = None) -> tuple[datetime, datetime]:
     now = now or datetime.now(timezone.utc)
     end = now.astimezone(timezone.utc).replace(minute=0, second=0, microsecond=0)
@@ -54,7 +58,7 @@ def read_hour_slice(spark: SparkSession, lake_path: str, start: datetime) -> Dat
     try:
         lake = spark.read.parquet(lake_path)
     except Exception as exc:  # AnalysisException: path does not exist
-        print(f"[hourly] cannot read {lake_path}: {exc.__class__.__name__}")
+        log.warning("cannot read %s: %s", lake_path, exc.__class__.__name__)
         return None
     return hour_slice(lake, start)
 

@@ -9,6 +9,8 @@ checkpoint folder unless an output folder is given.
 
 from __future__ import annotations
 
+import logging
+
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -30,6 +32,8 @@ class ModelRun:
         return [r.check_name for r in self.tests.filter("status <> 'pass'").select("check_name").collect()]
 
 
+log = logging.getLogger("emporion.hourly")
+
 def materialize(df: DataFrame, path: str, view: str | None = None, table: str | None = None,
                 analyze: bool = False) -> DataFrame:
     """Write ``df`` as Parquet at ``path`` and return the re-read table.
@@ -113,7 +117,7 @@ def run_hourly_batch(spark: SparkSession, lake_path: str, out_path: str, hour_st
     if orders is None:
         return None
     if orders.isEmpty():
-        print(f"[hourly] no orders in hour {hour_start.isoformat()} - skipping")
+        log.warning("no orders in hour %s - skipping", hour_start.isoformat())
         return {}
     label = hour_start.replace(tzinfo=None).isoformat(timespec="seconds") + "+00:00"
     revenue = hourly.hourly_revenue(orders, processing_hour=label, with_audit=True)

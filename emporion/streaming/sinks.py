@@ -7,7 +7,7 @@
   replayed batch (after a crash between write and commit) replaces its own
   earlier output instead of appending a second copy.  Empty batches are
   skipped (the batch is persisted, so probing it does not recompute it).
-* ``keyed_upsert_writer`` + ``current_rows``: update-mode aggregates are
+* ``keyed_upsert_writer`` + ``current_rows`` (+ ``compact_upserts``): update-mode aggregates are
   written per batch with the batch id; readers take, per key, the row of the
   newest batch.  That is an upsert without a database and without growing
   duplicates.
