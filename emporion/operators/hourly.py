@@ -11,7 +11,6 @@ either a slice (constant ``processing_hour``) or the whole lake, in which case
 from __future__ import annotations
 
 import logging
-
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window

@@ -10,7 +10,6 @@ checkpoint folder unless an output folder is given.
 from __future__ import annotations
 
 import logging
-
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime
