@@ -66,7 +66,8 @@ def _hourly(a: argparse.Namespace) -> int:
     if a.hour:
         hour = datetime.fromisoformat(a.hour)
         hour = hour.replace(tzinfo=timezone.utc) if hour.tzinfo is None else hour.astimezone(timezone.utc)
-    res = run_hourly_batch(spark, a.lake, a.output, hour, top_k=a.top_k)
+    sessions = spark.read.parquet(a.sessions) if a.sessions else None
+    res = run_hourly_batch(spark, a.lake, a.output, hour, top_k=a.top_k, sessions=sessions)
     print(f"[hourly] {res}")
     return 0
 
@@ -135,6 +136,7 @@ def main(argv: list[str] | None = None) -> int:
     h.add_argument("--output", required=True)
     h.add_argument("--hour", help="ISO start of the hour; default: last full UTC hour")
     h.add_argument("--top-k", type=int)
+    h.add_argument("--sessions", help="session table (e.g. the model run's int_user_sessions) for attribution")
     m = sub.add_parser("models")
     m.add_argument("--orders", required=True, help="landed orders (Parquet)")
     m.add_argument("--clicks", required=True, help="landed clicks (Parquet)")

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import attribution, marts, quality, sessions, staging
 from ..schemas import CUSTOMER_SEGMENTS, FUNNEL_STAGES, ORDER_STATUSES, SESSION_OUTCOMES
@@ -98,7 +99,7 @@ def freshness_report(run: ModelRun, as_of: datetime) -> tuple[DataFrame, DataFra
 
 
 def run_hourly_batch(spark: SparkSession, lake_path: str, out_path: str, hour_start: datetime | None = None,
-                     top_k: int | None = None) -> dict[str, int] | None:
+                     top_k: int | None = None, sessions: DataFrame | None = None) -> dict[str, int] | None:
     """The hourly batch job: read one hour of the order lake, write revenue
     by category/state and ranked products for that hour.
 
@@ -123,4 +124,12 @@ def run_hourly_batch(spark: SparkSession, lake_path: str, out_path: str, hour_st
     products = hourly.hourly_top_products(orders, processing_hour=label, k=top_k, with_audit=True)
     write_partitions(revenue, f"{out_path.rstrip('/')}/hourly_revenue_by_category", ["processing_hour"])
     write_partitions(products, f"{out_path.rstrip('/')}/hourly_top_products", ["processing_hour"])
+    if sessions is not None:
+        # orders + clickstream: the hour's orders attributed to click sessions
+        # (a complete session table, e.g. the materialised int_user_sessions;
+        # only sessions of the hour's day can match)
+        day = sessions.filter(F.col("session_date") == F.lit(hour_start.date()))
+        enriched = attribution.orders_enriched(staging.stg_orders(orders), day)
+        write_partitions(hourly.hourly_attribution(enriched, processing_hour=label),
+                         f"{out_path.rstrip('/')}/hourly_attribution", ["processing_hour"])
     return {"hour": label}

@@ -149,3 +149,20 @@ def test_freshness_report(spark, scratch):
     assert set(got) == {"orders", "clickstream"} and set(got.values()) <= {"pass", "warn", "error"}
     r = sla.first()
     assert r.status == "error" and r.lag_minutes > 90     # the newest order date is midnight 2024-01-30
+
+
+def test_hourly_batch_attribution_matches_all_hours_query(spark, scratch):
+    lake = fixtures.raw_orders(spark, SF_SMALL).withColumn("event_date", F.to_date("event_timestamp"))
+    lake = ingest.valid_orders(lake)
+    lake.write.partitionBy("event_date").parquet(f"{scratch}/lake")
+    sess = Q.sessions_df(spark, SF_SMALL)
+    # an hour with attributed orders
+    en = Q.enriched_df(spark, SF_SMALL).filter("session_id is not null")
+    t = en.select("order_placed_at").first()[0].replace(minute=0, second=0, microsecond=0)
+    pipeline.run_hourly_batch(spark, f"{scratch}/lake", f"{scratch}/out", t, sessions=sess)
+    label = t.isoformat() + "+00:00"
+    got = spark.read.parquet(f"{scratch}/out/hourly_attribution")
+    exp = Q.QUERIES["hourly_attribution"](spark, SF_SMALL).filter(F.col("processing_hour") == label)
+    cols = ["attribution_channel", "device_type", "order_count", "attributed_orders", "revenue", "unique_customers"]
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, exp.select(cols).collect()))
+    assert got.agg(F.sum("attributed_orders")).first()[0] > 0
