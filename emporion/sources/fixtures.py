@@ -34,8 +34,11 @@ def spread(df: DataFrame) -> DataFrame:
     one row group is read by one task) over the cluster's cores.  Any input
     large enough to matter at scale is split into many more tasks by the
     scan itself, so there this is a no-op and adds no shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): keep the scan as is
+        return df
     if n <= MAX_SPLITS_TO_SPREAD and n < cores:
         return df.repartition(cores)
     return df
