@@ -293,3 +293,30 @@ def test_upsert_compaction_keeps_current_rows(spark, scratch):
     assert plain == got
     assert sinks.compact_upserts(spark, f"{scratch}/agg", keys, snap) == 2
     assert {r.k: r.v for r in sinks.current_rows(spark, f"{scratch}/agg", keys, snap).collect()} == got
+
+
+def test_disorder_within_watermark_is_not_lost(spark, scratch):
+    rows = Q.order_topic_rows(spark, SF_SMALL)
+    # file k holds rows whose time minus a per-row jitter (0..299 s) falls in slice k, so rows reach
+    # the stream up to 5 minutes older than the previous micro-batch's newest row (watermark: 10 min)
+    jitter = F.abs(F.hash(F.col("offset"))) % 300
+    slice_ = F.floor((F.unix_timestamp("timestamp") - jitter) / (4 * 86400))
+    d = rows.withColumn("_s", slice_.cast("int"))
+    feed = f"{scratch}/jitter"
+    for i, s in enumerate(sorted(r[0] for r in d.select("_s").distinct().collect())):
+        d.filter(F.col("_s") == s).drop("_s").coalesce(1).write.parquet(f"{feed}/f{i:02d}")
+    valid = ingest.valid_orders(ingest.parse_orders(sources.file_topic(spark, feed))).withWatermark(
+        "event_timestamp", "10 minutes")
+    q = (windows.order_windows(valid).writeStream.outputMode("append").format("memory").queryName("jitter_w")
+            .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
+                  for op in p.get("stateOperators", []))
+    assert dropped == 0
+    batch_valid = ingest.valid_orders(ingest.parse_orders(rows))
+    max_ts = batch_valid.agg(F.max("event_timestamp")).first()[0].replace(tzinfo=None)
+    ntz = lambda x: x.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).withColumn(
+        "window_end", F.col("window_end").cast("timestamp_ntz"))
+    ra, rb = _cmp(ntz(spark.table("jitter_w")), _closed(ntz(windows.order_windows(batch_valid)), max_ts, 10),
+                  ORDER_COLS)
+    assert len(ra) > 5000 and ra == rb
