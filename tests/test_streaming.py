@@ -320,3 +320,27 @@ def test_disorder_within_watermark_is_not_lost(spark, scratch):
     ra, rb = _cmp(ntz(spark.table("jitter_w")), _closed(ntz(windows.order_windows(batch_valid)), max_ts, 10),
                   ORDER_COLS)
     assert len(ra) > 5000 and ra == rb
+
+
+def test_hour_slice_on_stream_written_lake(spark, order_feed, scratch):
+    from datetime import datetime
+
+    from emporion.operators import hourly
+    paths = _paths(scratch)
+    jobs.start_orders_job(sources.file_topic(spark, order_feed), paths, available_now=True).wait()
+    lake = spark.read.parquet(paths.lake)
+    assert dict(lake.dtypes)["event_timestamp"] == "timestamp"          # instants, as parsed
+    start = datetime(2024, 1, 3, 5)
+    expected = Q.lake_orders_df(spark, SF_SMALL).filter(
+        (F.col("event_timestamp") >= F.lit("2024-01-03 05:00:00").cast("timestamp_ntz"))
+        & (F.col("event_timestamp") < F.lit("2024-01-03 06:00:00").cast("timestamp_ntz"))).count()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            sl = hourly.read_hour_slice(spark, paths.lake, start)
+            assert sl.count() == expected > 0, tz
+            labels = {r[0] for r in hourly.hourly_revenue(sl).select("processing_hour").distinct().collect()}
+            assert labels == {"2024-01-03T05:00:00+00:00"}, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
