@@ -344,3 +344,24 @@ def test_hour_slice_on_stream_written_lake(spark, order_feed, scratch):
             assert labels == {"2024-01-03T05:00:00+00:00"}, tz
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_clicks_resume_after_partial_run_equals_one_run(spark, click_feed, scratch):
+    feed = f"{scratch}/feed"
+    os.makedirs(feed)
+    parts = sorted(os.listdir(click_feed))
+    for p in parts[:2]:
+        shutil.copytree(f"{click_feed}/{p}", f"{feed}/{p}")
+    paths = _paths(scratch, sessions_path=True)
+    jobs.start_clicks_job(sources.file_topic(spark, feed), paths, available_now=True).wait()
+    for p in parts[2:]:
+        shutil.copytree(f"{click_feed}/{p}", f"{feed}/{p}")
+    jobs.start_clicks_job(sources.file_topic(spark, feed), paths, available_now=True).wait()
+    one = _paths(f"{scratch}/one", sessions_path=True)
+    jobs.start_clicks_job(sources.file_topic(spark, click_feed), one, available_now=True).wait()
+    fcols = ["window_start", "device_type", "referrer", "page_views", "checkouts", "unique_sessions", "unique_users"]
+    ra, rb = _cmp(spark.read.parquet(paths.aggregates), spark.read.parquet(one.aggregates), fcols)
+    assert len(ra) > 500 and ra == rb
+    scols = ["session_id", "customer_id", "window_start", "window_end", "event_count"]
+    ra, rb = _cmp(spark.read.parquet(paths.sessions), spark.read.parquet(one.sessions), scols)
+    assert len(ra) > 500 and ra == rb
