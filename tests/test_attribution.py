@@ -79,3 +79,21 @@ def test_plan_is_equi_join_with_group_limit(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     opt = attribution.orders_enriched(o, s)._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in opt
+
+
+def test_large_input_plan_is_sort_merge_on_three_keys(spark):
+    _, o, s = _run(spark, [_o("O1", "C1", D)], [_s("S1", "C1", D, D)])
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = attribution.orders_enriched(o, s)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    smj = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert len(smj) == 1
+    keys = smj[0].split("[", 1)[1].split("]", 1)[0].split(",")
+    assert len(keys) == 3 and any("_bucket" in k for k in keys)
+    assert "session_start" in smj[0] and "_cover_end" in smj[0]        # BETWEEN as residual
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
