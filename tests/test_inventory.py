@@ -33,3 +33,10 @@ def test_current_stock_is_last_update(spark):
         last[r.product_id] = r.stock_after
     got = {r.product_id: r.stock for r in inventory.current_stock(stock).collect()}
     assert got == last
+
+
+def test_event_level_window_is_split_by_time_chunk(spark):
+    plan = inventory.clamped_stock(fixtures.raw_inventory(spark, SF_SMALL))._jdf.queryExecution() \
+        .executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "sum(quantity_change" in line]
+    assert windows and all("_chunk" in w.split("windowspecdefinition(", 1)[1] for w in windows)
