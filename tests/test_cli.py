@@ -55,3 +55,13 @@ def test_cli_inventory_feed_and_stream(spark, scratch):
     lake = spark.read.parquet(f"{scratch}/out/lake")
     assert lake.count() == Q.inventory_topic_rows(spark, SF_SMALL).count()
     assert lake.filter("stock_after < 20").count() == lake.filter("low_stock_alert").count()
+
+
+def test_cli_stream_orders_update_mode(spark, scratch):
+    assert cli.main(["make-feed", "orders", "--sf-dir", SF_SMALL, "--output", f"{scratch}/feed"]) == 0
+    assert cli.main(["stream-orders", "--source", "files", "--input", f"{scratch}/feed", "--output",
+                     f"{scratch}/out", "--available-now", "--update-mode"]) == 0
+    from emporion.streaming import sinks
+    cur = sinks.current_rows(spark, f"{scratch}/out/aggregates", ["window_start", "window_end", "category",
+                                                                  "shipping_state"])
+    assert cur.count() > 5000
