@@ -99,7 +99,7 @@ def freshness_report(run: ModelRun, as_of: datetime) -> tuple[DataFrame, DataFra
 
 
 def run_hourly_batch(spark: SparkSession, lake_path: str, out_path: str, hour_start: datetime | None = None,
-                     top_k: int | None = None, sessions: DataFrame | None = None) -> dict[str, int] | None:
+                     top_k: int | None = None, sessions: DataFrame | None = None) -> dict[str, str] | None:
     """The hourly batch job: read one hour of the order lake, write revenue
     by category/state and ranked products for that hour.
 
