@@ -42,9 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
-    and is used as is.  Only when it is unset (local tests) a scratch folder is
-    created and registered with ``SparkContext.setCheckpointDir`` (the conf
-    itself cannot be changed at run time).
+    and is used as is.  Only when it is unset and Spark runs in local mode
+    (tests) a scratch folder is created and registered with
+    ``SparkContext.setCheckpointDir``; on a cluster without the setting this
+    raises instead of falling back to a machine-local folder.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -55,6 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster; "
+                           "a machine-local scratch folder is only used in local mode")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="emporion-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
 
