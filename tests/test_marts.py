@@ -46,3 +46,18 @@ def test_row_lag_versus_calendar_lag_with_gaps(spark):
     assert bycal[d10] == 13.0          # 7 calendar days earlier = day 3
     assert byrow[date(2024, 1, 10)] == 10.0 and bycal[date(2024, 1, 10)] == 12.0
     assert bycal[date(2024, 1, 7)] is None
+
+
+def test_hourly_top_k_keeps_ties_and_uses_group_limit(spark):
+    from emporion.operators import hourly
+    ts = datetime(2024, 1, 1, 5, 10)
+    rows = [("O1", "C", "P1", "n", "cat", 1, Decimal("30.00"), ts), ("O2", "C", "P2", "n", "cat", 1, Decimal("30.00"), ts),
+            ("O3", "C", "P3", "n", "cat", 1, Decimal("20.00"), ts), ("O4", "C", "P4", "n", "cat", 1, Decimal("10.00"), ts)]
+    df = spark.createDataFrame(rows, "order_id string, customer_id string, product_id string, product_name string, "
+                                     "category string, quantity int, order_total decimal(10,2), "
+                                     "event_timestamp timestamp_ntz")
+    top = hourly.hourly_top_products(df, k=2)
+    got = sorted((r.product_id, r.revenue_rank) for r in top.collect())
+    assert got == [("P1", 1), ("P2", 1)]                     # rank 3 is the next one: gaps on ties
+    assert sorted(r.revenue_rank for r in hourly.hourly_top_products(df).collect()) == [1, 1, 3, 4]
+    assert "WindowGroupLimit" in top._jdf.queryExecution().optimizedPlan().toString()
