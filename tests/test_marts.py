@@ -61,3 +61,21 @@ def test_hourly_top_k_keeps_ties_and_uses_group_limit(spark):
     assert got == [("P1", 1), ("P2", 1)]                     # rank 3 is the next one: gaps on ties
     assert sorted(r.revenue_rank for r in hourly.hourly_top_products(df).collect()) == [1, 1, 3, 4]
     assert "WindowGroupLimit" in top._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_catalog_price_checks(spark):
+    from emporion.operators import catalog
+    ts = datetime(2024, 1, 1, 5)
+    orders = spark.createDataFrame(
+        [(o, "C", p, "N", "X", 1, Decimal(u), Decimal(u), ts) for o, p, u in
+         [("1", "P1", "10.00"), ("2", "P1", "9.00"), ("3", "P1", "11.00"), ("4", "P2", "5.00"), ("5", "P9", "1.00")]],
+        "order_id string, customer_id string, product_id string, product_name string, category string, "
+        "quantity int, unit_price decimal(10,2), order_total decimal(10,2), order_placed_at timestamp_ntz")
+    products = spark.createDataFrame([("P1", "a", "c", Decimal("10.00"), "s", True),
+                                      ("P2", "b", "c", Decimal("5.00"), "s", False)],
+                                     "product_id string, product_name string, category string, "
+                                     "base_price decimal(10,2), supplier string, is_active boolean")
+    got = {r.order_id: (r.price_check, r.price_delta) for r in catalog.orders_with_catalog(orders, products).collect()}
+    assert got == {"1": ("LIST_PRICE", Decimal("0.00")), "2": ("BELOW_LIST", Decimal("-1.00")),
+                   "3": ("ABOVE_LIST", Decimal("1.00")), "4": ("INACTIVE_PRODUCT", Decimal("0.00")),
+                   "5": ("UNKNOWN_PRODUCT", None)}
