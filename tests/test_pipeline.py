@@ -166,3 +166,15 @@ def test_hourly_batch_attribution_matches_all_hours_query(spark, scratch):
     cols = ["attribution_channel", "device_type", "order_count", "attributed_orders", "revenue", "unique_customers"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, exp.select(cols).collect()))
     assert got.agg(F.sum("attributed_orders")).first()[0] > 0
+
+
+def test_quality_status_branches(spark):
+    raw = fixtures.raw_orders(spark, SF_SMALL)
+    empty = raw.filter("false")
+    assert quality.freshness(empty, "orders", "processed_at", "1 hour", "3 hours",
+                             datetime(2024, 1, 31)).first().status == "error"
+    fr = quality.freshness(raw, "orders", "processed_at", "1 hour", "3 hours", datetime(2024, 1, 31, 0, 30)).first()
+    assert fr.status == "pass" and 0 < fr.age_minutes < 60
+    rv = quality.recent_volume(raw, "processed_at", "2 hours", datetime(2024, 1, 31)).first()
+    assert rv.status == "pass" and rv.recent_rows > 0
+    assert quality.expression_is_true(raw, F.col("quantity") >= 0).count() == 0
