@@ -68,3 +68,15 @@ def test_oversized_total_is_rejected_not_fatal(spark):
     assert [(r.order_id, r.reject_reasons) for r in rej] == [("ORD-9", "order_total_fits_money")]
     # landing the raw parse without rules does not throw either
     assert ingest.to_money(parsed, ["order_total"]).filter("order_total is null").count() == 1
+
+
+def test_inventory_rules_quarantine(spark):
+    from emporion.functions.rules import inventory_rules
+    good = {"event_type": "INVENTORY_UPDATE", "update_id": "INV-1", "product_id": "P1", "warehouse_id": "WH-0",
+            "update_type": "SALE", "quantity_change": -2, "stock_after": 98, "low_stock_alert": False,
+            "event_timestamp": "2024-01-01T10:00:00+00:00"}
+    bad = dict(good, update_id=None, product_id=None)
+    parsed = ingest.parse_inventory(_kafka(spark, [json.dumps(good), json.dumps(bad)]))
+    assert [r.update_id for r in ingest.valid(parsed, inventory_rules()).collect()] == ["INV-1"]
+    rej = ingest.rejected(parsed, inventory_rules()).collect()
+    assert [r.reject_reasons for r in rej] == ["update_id_not_null,product_id_not_null"]
