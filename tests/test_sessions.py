@@ -47,3 +47,18 @@ def test_two_level_sessions_equal_sequential(spark, chunk):
     assert got == _expected(rows)
     s3 = [r for r in sessions.click_session_windows(df, chunk=chunk).collect() if r.session_id == "S3"]
     assert s3[0].conversions == 3
+
+
+def test_sessions_by_id_first_event_tie_break(spark):
+    t = datetime(2024, 1, 2, 9)
+    rows = [("E2", "S1", "C1", "PAGE_VIEW", "/a", "tablet", "edge", "google", None, t),
+            ("E1", "S1", "C1", "PAGE_VIEW", "/a", "mobile", "safari", "direct", None, t),          # same time, lower id
+            ("E3", "S1", "C1", "CHECKOUT_COMPLETE", "/c", "desktop", "chrome", "none", None, t + timedelta(minutes=5))]
+    df = spark.createDataFrame(rows, "event_id string, session_id string, customer_id string, event_type string, "
+                                     "page string, device_type string, browser string, referrer string, "
+                                     "product_id string, event_occurred_at timestamp_ntz") \
+        .withColumn("cart_value", sessions.F.lit(0))
+    r = sessions.sessions_by_id(df).first()
+    assert (r.device_type, r.browser, r.referrer) == ("mobile", "safari", "direct")
+    assert (r.total_events, r.conversions, r.session_outcome) == (3, 1, "CONVERTED")
+    assert len(sessions.user_sessions(df).collect()) == 3        # the 5-key grain splits it
