@@ -14,6 +14,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences and rules of all documents."""
+    from .licences import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token file of all documents, read back: start, length and crc per document."""
     from .token_file import read_token_file, write_token_file
@@ -37,6 +44,13 @@ def op4_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+def op5_seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item or an edited copy of one."""
+    from .decontaminate import find
+
+    return find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_typed_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one adversarial one, formatted, written, read back."""
     from .chat import digests, format_messages
@@ -56,5 +70,5 @@ def op8_dominance_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_planes, op4_flow_resharding, op6_typed_chat, op8_dominance_packing)}
+QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op8_dominance_packing)}
 ORACLE: dict[str, str] = {}
