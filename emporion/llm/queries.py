@@ -70,5 +70,13 @@ def op8_dominance_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op8_dominance_packing)}
+def op10_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents with four-word Jaccard similarity 0.85 or more."""
+    from .jaccard import join
+
+    docs, _ = join(table(spark, sf_dir, "documents"), k=4, percent=85)
+    return docs.select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op8_dominance_packing, op10_signature_tree)}
 ORACLE: dict[str, str] = {}
