@@ -70,6 +70,16 @@ def op8_dominance_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op9_nearest_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    from .toxicity import fit, held_out, toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity(model, docs, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op10_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents with four-word Jaccard similarity 0.85 or more."""
     from .jaccard import join
@@ -78,5 +88,5 @@ def op10_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op8_dominance_packing, op10_signature_tree)}
+QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op8_dominance_packing, op9_nearest_toxic, op10_signature_tree)}
 ORACLE: dict[str, str] = {}
