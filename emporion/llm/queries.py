@@ -30,6 +30,21 @@ def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_file(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents; the strata's thresholds come from all of them."""
+    from .secrets import all_spans, base_spans, candidates, joined, thresholds
+
+    text = F.col("text")
+    found = written(table(spark, sf_dir, "documents").select("doc_id", base_spans(text).alias("base"), candidates(text).alias("candidates")), "secrets")
+    spans = found.select("doc_id", "base", all_spans(F.col("base"), F.col("candidates"), thresholds(found)).alias("all"))
+
+    def count(kind: int) -> F.Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return spans.select("doc_id", count(1).alias("n_assign"), count(2).alias("n_access"), count(3).alias("n_hex"),
+                        F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("all")).alias("spans"))
+
+
 def op4_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents moved from 32 hash shards to 40 shards of equal bytes."""
     from .reshard import reshard, size_of, with_slots, write_layout
@@ -61,6 +76,14 @@ def op6_typed_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(written(format_messages(rows.unionByName(hard)), "chat"))
 
 
+def op7_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality statistics and verdict of all documents."""
+    from .outliers import judged
+
+    return judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("distance", 3).alias("distance"))
+
+
 def op8_dominance_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece's place in sequences of 2048 tokens."""
     from .packing import pieces, place
@@ -76,7 +99,7 @@ def op9_nearest_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
-    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity(model, docs, F.col("text")).alias("score"))
+    scored = docs.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), toxicity(model, docs, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
@@ -88,5 +111,5 @@ def op10_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op8_dominance_packing, op9_nearest_toxic, op10_signature_tree)}
+QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op3_randomness_battery, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op7_mcd_outliers, op8_dominance_packing, op9_nearest_toxic, op10_signature_tree)}
 ORACLE: dict[str, str] = {}
