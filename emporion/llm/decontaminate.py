@@ -231,14 +231,17 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, **how) -> Da
 
 def leaks(docs: DataFrame, benchmark: DataFrame, text: Column, least: float = 0.5, **how) -> Column:
     """A column that tells which texts hold a benchmark passage."""
-    answer = F.lit(False)
-    for seeds in seed_blocks(docs, benchmark, **how):
+    def test(seeds) -> Column:
         @F.arrow_udf("boolean")
-        def has(column: pa.Array, seeds=seeds) -> pa.Array:
+        def has(column: pa.Array) -> pa.Array:
             out = np.zeros(len(column), dtype=bool)
             for b in blocks(column, fold=True, breaks=BREAKS):
                 out[[b.row + d for d, *_ in leaks_in(b, seeds.value, least)]] = True
             return pa.array(out)
 
-        answer = answer | has(text.cast("string"))
+        return has(text.cast("string"))
+
+    answer = F.lit(False)
+    for seeds in seed_blocks(docs, benchmark, **how):
+        answer = answer | test(seeds)
     return answer

@@ -435,3 +435,19 @@ def assigned(base: DataFrame, label: DataFrame) -> DataFrame:
     rows = base.select("doc_id", F.col("n").alias("n_shingles"), "node")
     full = rows.where("node is not null").join(named, "node").select("doc_id", "n_shingles", "node", "component_id")
     return full.unionByName(rows.where("node is null").select("doc_id", "n_shingles", "node", F.col("doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of ``docs`` (all columns) with one document of each component: the
+    one with its smallest ``doc_id``.  Rows without ``doc_id`` stay; of rows
+    that repeat both ``doc_id`` and text one stays."""
+    classes = written(join(docs, k, percent)[0].where("doc_id is not null").select("doc_id", "component_id"), "classes")
+    ids = classes.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("rows"))
+    gone = written(ids.where("not stays or rows > 1"), "gone")
+    drop = gone.where("not stays").select(F.col("doc_id").alias("_gone"))
+    kept = docs.join(drop, docs["doc_id"].cast("long") == drop["_gone"], "left_anti")
+    again = gone.where("stays").select(F.col("doc_id").alias("_again"))
+    if again.isEmpty():
+        return kept
+    same = kept["doc_id"].cast("long") == again["_again"]
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))

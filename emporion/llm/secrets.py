@@ -207,3 +207,18 @@ def masked(text: Column, spans: Column) -> Column:
 
     whole = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))))
     return F.when(F.size(spans) > 0, whole).otherwise(text)
+
+
+def without_secrets(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` (all columns) with every secret in ``text`` masked; ``n_chars``,
+    where there is one, follows the text."""
+    text = F.col("text")
+    least = thresholds(docs.select(candidates(text).alias("candidates")), **how)
+    found = F.struct(base_spans(text).alias("base"), candidates(text).alias("candidates"))
+    spans = let(found, lambda x: all_spans(x["base"], x["candidates"], least))
+    clean = F.when(text.isNotNull(), let(spans, lambda s: masked(text, s)))
+    out = docs.withColumn("text", clean)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(kind))
+    return out
