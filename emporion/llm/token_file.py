@@ -148,4 +148,4 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
     shards = (file.groupBy("shard").agg(F.sum("n_ids").alias("n"))
               .select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
     docs = file.mapInArrow(documents, "doc_id long, shard int, at long, n_tokens long, ids binary")
-    return docs.join(shards, "shard").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids")
+    return docs.join(F.broadcast(shards), "shard").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids")
