@@ -3,6 +3,8 @@
 A text is cut at white space where both vocabularies always begin a new piece,
 equal pieces of a block are encoded once, and their ids are put back in order.
 The result equals encoding the whole text (tested); only repeated work goes.
+Pieces are told apart by 64-bit keys: among two million remembered ones the
+chance of one mistake is about 1e-7.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import pyarrow as pa
 from .blocks import Block, blocks
 
 #: pieces remembered between blocks of a worker; then the memory starts anew
-MEMORY = 400_000
+MEMORY = 2_000_000
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x0A]] = True
 _PLAIN = np.zeros(256, dtype=bool)
@@ -48,13 +50,13 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = np.zeros(0, dtype=np.uint64)  # sorted 64-bit keys of pieces, and where their ids are
+        self.slot = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(1 << 16, dtype=np.uint16)
         self.at, self.used = np.zeros(1 << 14, dtype=np.int64), 0
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        got = self.tokenizer.encode_batch_fast([x.decode() for x in pieces], add_special_tokens=False)
-        lists = [x.ids for x in got]
+    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        lists = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         end = self.at[self.used] + np.cumsum(np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)))
         if end[-1] > len(self.ids):
             self.ids = np.resize(self.ids, max(int(end[-1]), 2 * len(self.ids)))
@@ -62,12 +64,14 @@ class Encoder:
         if self.used + len(end) >= len(self.at):
             self.at = np.resize(self.at, 2 * (self.used + len(end) + 1))
         self.at[self.used + 1:self.used + 1 + len(end)] = end
-        self.known.update(zip(pieces, range(self.used, self.used + len(end))))
+        to = np.searchsorted(self.known, keys)
+        self.known = np.insert(self.known, to, keys)
+        self.slot = np.insert(self.slot, to, np.arange(self.used, self.used + len(end)))
         self.used += len(end)
 
     def block(self, b: Block) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents, offsets of each document in them)."""
-        if len(self.known) > MEMORY:
+        if self.used > MEMORY:
             self._forget()
         raw = b.raw
         n = len(raw)
@@ -84,14 +88,15 @@ class Encoder:
         end = np.append(start[1:], n)
         first = np.searchsorted(start, b.offsets)
         keys = b.span_hash(start, end)
-        _, one, which = np.unique(keys, return_index=True, return_inverse=True)
-        data = raw.tobytes()
-        pieces = [data[i:j] for i, j in zip(start[one].tolist(), end[one].tolist())]
-        known = self.known
-        new = [p for p in pieces if p not in known]
-        if new:
-            self._learn(new)
-        slot = np.fromiter((known[p] for p in pieces), dtype=np.int64, count=len(pieces))[which]
+        key, one, which = np.unique(keys, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, key)
+        new = np.flatnonzero(self.known[np.minimum(place, len(self.known) - 1)] != key) if len(self.known) else np.arange(len(key))
+        if len(new):
+            data = raw.tobytes()
+            a, z = start[one[new]].tolist(), end[one[new]].tolist()
+            self._learn(key[new], [data[x:y].decode() for x, y in zip(a, z)])
+            place = np.searchsorted(self.known, key)
+        slot = self.slot[place][which] if len(key) else np.zeros(0, dtype=np.int64)
         at = self.at
         length = at[slot + 1] - at[slot]
         to = np.zeros(len(slot) + 1, dtype=np.int64)
