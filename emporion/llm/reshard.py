@@ -38,55 +38,45 @@ def size_of(text: Column) -> Column:
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost) -> dict[tuple[int, int], int]:
     """Cheapest flow {(old, new): bytes} that sends all supply within capacity,
-    by successive shortest paths with potentials on the bipartite network."""
+    by successive shortest paths (Bellman-Ford; the network has a node per shard)."""
     if sum(supply) > sum(capacity):
         raise ValueError("capacities are below the bytes held")
     n, m = len(supply), len(capacity)
+    price = [[cost(i, j) for j in range(m)] for i in range(n)]
     left, room, flow = list(supply), list(capacity), {}
-    # reduced costs stay >= 0: start from the cheapest link of each new shard
-    high = [0] * n
-    low = [min((cost(i, j) for i in range(n)), default=0) for j in range(m)]
     while any(left):
-        far = {("o", i): 0 for i in range(n) if left[i]}
-        came, queue, seen = {}, [(0, x) for x in far], set()
-        base = {x: high[x[1]] for x in far}
-        heapq.heapify(queue)
-        end = None
-        while queue:
-            d, at = heapq.heappop(queue)
-            if at in seen:
-                continue
-            seen.add(at)
-            kind, k = at
-            if kind == "n" and room[k]:
-                end = at
+        far_o = [0 if left[i] else None for i in range(n)]
+        far_n, from_o, from_n = [None] * m, [None] * m, [None] * n
+        changed = True
+        while changed:
+            changed = False
+            for i in range(n):
+                if far_o[i] is not None:
+                    for j in range(m):
+                        if far_n[j] is None or far_o[i] + price[i][j] < far_n[j]:
+                            far_n[j], from_o[j], changed = far_o[i] + price[i][j], i, True
+            for i, j in flow:  # bytes that already go there may be sent elsewhere
+                if far_n[j] is not None and (far_o[i] is None or far_n[j] - price[i][j] < far_o[i]):
+                    far_o[i], from_n[i], changed = far_n[j] - price[i][j], j, True
+        end = min((j for j in range(m) if room[j] and far_n[j] is not None), key=lambda j: far_n[j])
+        forward, back, at = [], [], end
+        while True:
+            i = from_o[at]
+            forward.append((i, at))
+            if from_n[i] is None:
                 break
-            if kind == "o":
-                nexts = ((("n", j), cost(k, j) + high[k] - low[j]) for j in range(m))
-            else:
-                nexts = ((("o", i), -cost(i, k) + low[k] - high[i]) for i in range(n) if flow.get((i, k)))
-            for to, step in nexts:
-                if d + step < far.get(to, 1 << 62):
-                    far[to], came[to] = d + step, at
-                    heapq.heappush(queue, (d + step, to))
-        if end is None:
-            raise ValueError("no way to place all bytes")
-        path, at = [], end
-        while at in came:
-            path.append((came[at], at))
-            at = came[at]
-        send = min([left[at[1]], room[end[1]], *(flow[(b[1], a[1])] for a, b in path if a[0] == "n")])
-        for a, b in path:
-            key = (a[1], b[1]) if a[0] == "o" else (b[1], a[1])
-            flow[key] = flow.get(key, 0) + (send if a[0] == "o" else -send)
-        left[at[1]] -= send
-        room[end[1]] -= send
-        limit = far[end]
-        for x in range(n):
-            high[x] += min(far.get(("o", x), limit), limit)
-        for x in range(m):
-            low[x] += min(far.get(("n", x), limit), limit)
-    return {k: v for k, v in flow.items() if v}
+            back.append((i, from_n[i]))
+            at = from_n[i]
+        send = min([left[i], room[end], *(flow[x] for x in back)])
+        for x in forward:
+            flow[x] = flow.get(x, 0) + send
+        for x in back:
+            flow[x] -= send
+            if not flow[x]:
+                del flow[x]
+        left[i] -= send
+        room[end] -= send
+    return flow
 
 
 def write_layout(docs: DataFrame, path: str, shards: int, block_bytes: int = 1 << 28) -> StructType:

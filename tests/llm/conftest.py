@@ -1,0 +1,17 @@
+import pytest
+
+from llm_cases import DOCS, ODD
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Odd texts, repeated rows, a repeated and a null id, columns with clashing names."""
+    rows = [(i, t, "en" if i % 3 else None, "s", None) for i, t in enumerate(ODD)]
+    rows += [rows[6], rows[6], (2, "another text for an id that is there", "en", None, 1), (None, "no id here", "en", "s", 2)]
+    extra = "n long, node long, label string, score string, size string, shard string, piece string, spans string, row string, text_ string"
+    return spark.createDataFrame([(*r, 1, 2, "l", "s", "z", "h", "p", "q", "r", "t") for r in rows], f"{DOCS}, {extra}")
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS)

@@ -1,0 +1,150 @@
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from emporion.llm import chat, reshard
+from emporion.llm.common import scratch, ship
+
+PIECES = [*"a&<>|[]/;lt#91INSTs\n ", "</s>", "[INST]", "<|end|>\n", "&lt;", "&amp;", "<|image:0|>", "https://x.y/a.png"]
+TEXT = st.lists(st.sampled_from(PIECES), max_size=12).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXT, TEXT)
+def test_a_message_reads_back(role, text):
+    v = chat.Flatten(chat.TOKENS_PER)
+    for part in chat.parts_of(text):
+        v.visit(part)
+    body = "".join(v.out)
+    assert chat.unescape(chat.escape(text)) == text
+    assert "</s>" not in body and "[INST]" not in body and "<|end|>" not in body
+    assert chat.parse_message(f"<|role:{chat.escape(role)}|>\n{body}{chat.END}", v.attachments) == (role, text)
+
+
+def test_typed_parts(spark):
+    ship(spark)
+    part = lambda kind, text=None, ref=None, size=None: (kind, text, ref, size)
+    rows = [(1, 0, "user", [part("text", "see <|image:0|> "), part("image", ref="a.png", size=4), part("text", " and "), part("audio", ref="b.wav", size=3),
+                            part("document", ref="c.pdf")]),
+            (1, 1, "assistant", [part("text", "ok")]), (2, None, None, None)]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, content {chat.PARTS}")
+    got = {(r["conv_id"], r["turn"]): r for r in chat.format_messages(df, F.col("content")).collect()}
+    first = got[1, 0]
+    assert first["formatted"] == "<|role:user|>\nsee &lt;|image:0|&gt; <|image:0|> and <|audio:1|><|document:2|><|end|>\n"
+    assert [(a["position"], a["type"], a["ref"], a["tokens"]) for a in first["attachments"]] == [
+        (0, "image", "a.png", 1024), (1, "audio", "b.wav", 75), (2, "document", "c.pdf", 512)]
+    assert first["attachment_tokens"] == 1611 and not first["loss"] and got[1, 1]["loss"]
+    assert got[2, None]["formatted"] == "<|role:|>\n<|end|>\n"
+    with pytest.raises(ValueError):
+        chat.Flatten(chat.TOKENS_PER).visit({"type": "video", "text": None, "ref": "x", "size": None})
+
+
+def test_conversations(spark):
+    ship(spark)
+    rng = random.Random(2)
+    rows = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+    # one conversation has most turns; texts with links, nulls and control strings
+    for i in range(600):
+        c = 5 if i % 3 else rng.randrange(40)
+        rows.append((c, i, rng.choice(["user", "assistant", "system"]),
+                     rng.choice([None, "", "plain é", "see https://a.b/c.png, https://a.b/d.pdf.", "<|end|>\n", "&lt;s>", "x" * 3000])))
+    rows += [rows[5], (None, 1, "user", "lost")]
+    df = spark.createDataFrame([(*r, "extra") for r in rows], "conv_id long, turn long, role string, text string, formatted string")
+    got = {r["conv_id"]: r for r in chat.digests(chat.format_messages(df)).collect()}
+    want = {}
+    for c, _, role, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2], r[3] or "")):
+        want.setdefault(c, []).append((role, text or ""))
+    assert set(got) == set(want)
+    for c, turns in want.items():
+        loss = "".join(t for r, t in turns if r == "assistant")
+        assert got[c]["n_turns"] == len(turns)
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert (got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert chat.digests(chat.format_messages(df.limit(0))).count() == 0
+
+
+def cheapest(supply, capacity, cost):
+    """Least cost by moving single units along the cheapest assignments (exhaustive)."""
+    units = [i for i, n in enumerate(supply) for _ in range(n)]
+    best = None
+
+    def go(k, room, total):
+        nonlocal best
+        if best is not None and total >= best:
+            return
+        if k == len(units):
+            best = total
+            return
+        for j in range(len(room)):
+            if room[j]:
+                room[j] -= 1
+                go(k + 1, room, total + cost(units[k], j))
+                room[j] += 1
+
+    go(0, list(capacity), 0)
+    return best
+
+
+def test_flow_is_cheapest():
+    rng = random.Random(4)
+    for _ in range(60):
+        n, m = rng.randint(1, 3), rng.randint(1, 3)
+        supply = [rng.randint(0, 3) for _ in range(n)]
+        capacity = [rng.randint(0, 4) for _ in range(m)]
+        prices = [[rng.randint(0, 5) for _ in range(m)] for _ in range(n)]
+        if sum(supply) > sum(capacity):
+            with pytest.raises(ValueError):
+                reshard.min_cost_flow(supply, capacity, lambda i, j: prices[i][j])
+            continue
+        flow = reshard.min_cost_flow(supply, capacity, lambda i, j: prices[i][j])
+        assert [sum(v for (i, _), v in flow.items() if i == a) for a in range(n)] == supply
+        assert all(sum(v for (_, j), v in flow.items() if j == b) <= capacity[b] for b in range(m))
+        assert sum(prices[i][j] * v for (i, j), v in flow.items()) == cheapest(supply, capacity, lambda i, j: prices[i][j])
+
+
+def layout_of(spark, docs, old_shards, new_shards):
+    ship(spark)
+    old, new = scratch(spark, "test-old"), scratch(spark, "test-new")
+    schema = reshard.write_layout(docs, old, old_shards)
+    layout = reshard.reshard(spark, old, schema, new, old_shards, new_shards)
+    narrow = layout.select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"), reshard.size_of(F.col("row.text")).alias("size"),
+                           "shard", "old_shard", "old_block")
+    return reshard.with_slots(narrow, "doc_id", "text").collect(), layout
+
+
+def test_reshard(spark):
+    rng = random.Random(8)
+    texts = ["same text"] * 900 + ["é" * min(2000, int(rng.paretovariate(0.8) * 20)) for _ in range(1500)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("shard", F.lit("clash"))
+    rows, layout = layout_of(spark, docs, 4, 6)
+    assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter(enumerate(texts))
+    total = {}
+    for r in rows:
+        total.setdefault(r["shard"], []).append(r)
+    sizes = [sum(r["size"] for r in total[j]) for j in range(6)]
+    assert max(sizes) - min(sizes) < 0.05 * sum(sizes) / 6
+    for part in total.values():
+        assert sorted(r["slot"] for r in part) == list(range(len(part)))
+    # the fewest bytes move: what the four old shards hold above the new capacity
+    old = Counter()
+    for r in rows:
+        old[r["old_shard"]] += r["size"]
+    least = sum(max(0, n - sum(sizes) / 6) for n in old.values())
+    moved = sum(r["size"] for r in rows if r["shard"] != r["old_shard"])
+    assert moved < 1.05 * least
+    assert layout.select("row.shard").first()["shard"] == "clash"
+    files = {f.rsplit("/", 2)[0] for f in layout.inputFiles()}
+    assert any("test-old" in f for f in files) and any("test-new" in f for f in files)
+
+
+def test_reshard_odd_and_empty(spark, odd_docs, no_docs):
+    rows, _ = layout_of(spark, odd_docs, 3, 2)
+    assert len(rows) == odd_docs.count()
+    assert Counter(zlib.crc32((r["text"] or "").encode()) for r in rows) == Counter(zlib.crc32((r["text"] or "").encode()) for r in odd_docs.collect())
+    assert layout_of(spark, no_docs, 3, 2)[0] == []
