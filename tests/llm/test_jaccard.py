@@ -1,0 +1,134 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from emporion.llm import components, jaccard
+from emporion.llm.common import ship
+from llm_cases import DOCS, frame, prose, words_of
+
+
+def shingles(text, k):
+    w = ["".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in x) for x in words_of(text)]
+    return frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
+
+
+def classes(rows, k, percent):
+    """Brute force: every pair."""
+    sets = [shingles(t, k) for _, t in rows]
+    label = list(range(len(rows)))
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a and b and min(len(a), len(b)) * 100 >= percent * max(len(a), len(b)):
+                both = len(a & b)
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    x, y = find(i), find(j)
+                    label[max(x, y)] = min(x, y)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            r = find(i)
+            least[r] = min(d, least.get(r, d))
+    return Counter((d, len(sets[i]), least.get(find(i)) if sets[i] else d) for i, (d, _) in enumerate(rows))
+
+
+def corpus(seed, near=60, chance=40):
+    """Copies, a large group of near copies of every distance, a chain of small
+    steps, a passage in most texts, and unrelated texts."""
+    rng = random.Random(seed)
+    passage, base = prose(rng, 40), prose(rng, 150).split()
+    texts = [prose(rng, rng.randint(1, 120)) for _ in range(chance)]
+    texts += [f"{prose(rng, rng.randint(20, 90))} {passage} {prose(rng, rng.randint(20, 90))}" for _ in range(chance)]
+    for _ in range(near):
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 8, 20])):
+            w[rng.randrange(len(w))] = f"edit{rng.randrange(10**6)}"
+        texts.append(" ".join(w[rng.choice([0, 0, 0, 3, 10]):]))
+    chain = prose(rng, 120).split()
+    for _ in range(12):
+        chain = chain[1:] + [f"c{rng.randrange(10**6)}"]
+        texts.append(" ".join(chain))
+    texts += ["Same Text here twice"] * 3 + ["same text here twice", "few words", "Few words", "one", "", " \n", None]
+    rng.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("seed,small,tree", [(1, 16, 4096), (2, 2, 8)])
+def test_classes_equal_brute_force(spark, monkeypatch, seed, small, tree):
+    ship(spark)
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard, "TREE_ROWS", tree)
+    rows = list(enumerate(corpus(seed), 5))
+    rows += [(7, rows[30][1]), (None, rows[31][1]), (None, "nothing like this is anywhere else"), rows[40], rows[40]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("clash")).repartition(5)
+    for k, percent in ((4, 85), (5, 80)):
+        got, links = jaccard.join(docs, k, percent)
+        have = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect())
+        assert have == classes(rows, k, percent)
+        assert links.count() < 4 * len(rows)
+
+
+def test_traversal_keeps_all_open_pairs():
+    rng = np.random.default_rng(4)
+    for trial in range(30):
+        m = int(rng.integers(2, 120))
+        n = rng.integers(20, 60, m)
+        bits = rng.integers(0, 1 << 63, (m, 2)).astype(np.uint64)
+        bits[: m // 2] = bits[0]
+        bits[: m // 2, 0] ^= (np.uint64(1) << rng.integers(0, 60, m // 2).astype(np.uint64))
+        comp = rng.integers(0, m, m)
+        side = rng.integers(0, 2, m) if trial % 2 else None
+        if side is not None:
+            side[:2] = 0, 1
+        i, j = jaccard.traverse(n, bits, comp, side, 85)
+        got = {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist())}
+        want = set()
+        for a in range(m):
+            for b in range(a):
+                differ = int(np.bitwise_count(bits[a] ^ bits[b]).sum())
+                most = min((n[a] + n[b] - differ) // 2, n[a], n[b])
+                if (side is None or side[a] != side[b]) and comp[a] != comp[b] and 185 * most >= 85 * (n[a] + n[b]):
+                    want.add((b, a))
+        assert got == want and len(got) == len(i)
+
+
+def test_components(spark):
+    ship(spark)
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, x) for x in range(200, 300)] + [(rng.randrange(1000, 1100), rng.randrange(1000, 1100)) for _ in range(70)] + [(5, 5)]
+    label = {}
+
+    def find(x):
+        while label.setdefault(x, x) != x:
+            x = label[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        label[max(x, y)] = min(x, y)
+    got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in label if any(x in e and e[0] != e[1] for e in edges)}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_document_of_each_class_stays(spark, odd_docs, no_docs):
+    ship(spark)
+    rows = list(enumerate(corpus(9, near=20, chance=10)))
+    docs = frame(spark, [t for _, t in rows])
+    stay = sorted(r["doc_id"] for r in jaccard.one_of_each(docs).collect())
+    assert stay == sorted(d for d, _, c in classes(rows, 5, 80).elements() if d == c)
+    kept = jaccard.one_of_each(odd_docs)
+    assert kept.columns == odd_docs.columns
+    texts = Counter(r["text"] for r in kept.collect())
+    assert texts["x " * 5000] == 1 and texts["word"] == 1 and texts["no id here"] == 1 and texts[None] == 1
+    assert jaccard.one_of_each(no_docs).count() == 0 and no_docs.schema.simpleString().startswith("struct<doc_id")
+    assert DOCS
