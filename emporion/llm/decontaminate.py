@@ -3,9 +3,9 @@
 1. The words of every benchmark item (letters and digits, A-Z folded) give its
    n-grams; one pass over all documents counts in how many documents each one
    occurs.
-2. Each item's rarest n-grams are its seeds (at least ``min_seeds`` and at
-   least half of them), so that common phrases start no alignment, while an
-   item that leaked often still has its own words.
+2. Each item's rare n-grams are its seeds: the ``min_seeds`` rarest and all
+   that are not far more frequent than the item's median, so that common phrases
+   start no alignment, while an item that leaked often keeps its own words.
 3. A second pass finds the seeds in every whole text; hits of one item that lie
    within an item's length of each other make a passage, and local alignment of
    item and passage (match 2, other word -1, gap -1) gives its score: the
@@ -37,6 +37,8 @@ from .blocks import Block, U64, blocks
 BREAKS = np.ones(256, dtype=bool)
 BREAKS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _BITS = 22
+#: an n-gram in so few documents is always rare
+FEW = 8
 
 
 @dataclass
@@ -88,15 +90,18 @@ def grams_of(items: list[tuple[int, str | None]], n: int) -> Grams:
 
 
 def rarest(grams: Grams, df: dict[tuple[int, int], int], min_seeds: int) -> Grams:
-    """The seeds: each item's n-grams of least document frequency."""
+    """The seeds: each item's n-grams of little document frequency, beside the
+    ``min_seeds`` rarest those in up to ``FEW`` documents or four times its median."""
     table = {}
     for size, (keys, owner, place) in grams.table.items():
         count = np.array([df.get((size, int(k)), 0) for k in keys.view(np.int64)])
         order = np.lexsort((place, count, owner))
         new = np.r_[True, owner[order][1:] != owner[order][:-1]]
         begin = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+        rank = np.arange(len(order)) - begin
         total = np.bincount(owner, minlength=len(grams.items))[owner[order]]
-        keep = np.sort(order[np.arange(len(order)) - begin < np.maximum(min_seeds, (total + 1) // 2)])
+        usual = count[order][begin + (total - 1) // 2]  # the item's median
+        keep = np.sort(order[(rank < min_seeds) | (count[order] <= np.maximum(FEW, 4 * usual))])
         table[size] = (keys[keep], owner[keep], place[keep])
     return Grams(grams.items, grams.words, table)
 
@@ -204,7 +209,7 @@ def seed_blocks(docs: DataFrame, benchmark: DataFrame, n: int = 3, min_seeds: in
 _SCHEMA = "doc_id long, item_id long, score double, start long, end long, n_seeds long"
 
 
-def find(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, **how) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, **how) -> DataFrame:
     """Pairs (doc_id, item_id) with the alignment score (at least ``least``) and
     the passage's place in the text (code points, end exclusive)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -229,7 +234,7 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, **how) -> Da
     return out
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, text: Column, least: float = 0.5, **how) -> Column:
+def leaks(docs: DataFrame, benchmark: DataFrame, text: Column, least: float = 0.4, **how) -> Column:
     """A column that tells which texts hold a benchmark passage."""
     def test(seeds) -> Column:
         @F.arrow_udf("boolean")

@@ -32,7 +32,7 @@ SENTENCES: list[tuple[str, str]] = [
     ("SpdxTag", r"spdx license identifier (?P<spdx>[a-z0-9 ]+)"),
     ("ApacheLic", r"(?:this \w+ is )?licensed under the apache license version 2 0(?: the license)?"),
     ("ApacheUse", r"you may not use this file except in compliance with the license"),
-    ("ApacheCopy", r"you may obtain a copy of the license at(?: https? www apache org licenses license 2 0)?"),
+    ("ApacheCopy", r"you may obtain a copy of the license at(?: https? .*)?"),
     ("ApacheAsIs", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis.*"),
     ("ApacheSee", r"see the license for the specific language governing permissions and limitations under the license"),
     ("MitRelease", r"(?:this \w+ is )?(?:released|licensed|distributed) under (?:the terms of )?the mit license"),
@@ -89,9 +89,9 @@ SPDX_NAMES = {"apache 2 0": "Apache-2.0", "mit": "MIT", "gpl 2 0 only": "GPL-2.0
               "bsd 3 clause": "BSD-3-Clause", "mpl 2 0": "MPL-2.0", "cc0 1 0": "CC0-1.0", "isc": "ISC", "unlicense": "Unlicense"}
 
 _PATTERNS = [(name, re.compile(p)) for name, p in SENTENCES]
-# a sentence ends at a line end or at . ! ? ; : before white space; the stop of a
+# a sentence ends at a line end or at . ! ? ; before white space; the stop of a
 # version number is inside a word and ends none
-_SENTENCE = re.compile(r"(?:[^\n.!?;:]|[.!?;:](?!\s|$))+", re.M)
+_SENTENCE = re.compile(r"(?:[^\n.!?;]|[.!?;](?!\s|$))+", re.M)
 _WRAPPED = re.compile(r"(?<=[a-z,])\n(?=[a-z])")
 _UNKNOWN = re.compile(r"\blicen[sc]e[ds]?\b|\bwarranty\b|\bredistribut")
 

@@ -139,7 +139,7 @@ def candidates(text: Column) -> Column:
         band = F.lit(BANDS[0])
         for b in BANDS[1:]:
             band = F.when(x["end"] - x["start"] >= b, b).otherwise(band)
-        return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.rtrim(F.lit("="), x["value"]).alias("value"),
+        return F.struct(x["start"].alias("start"), x["end"].alias("end"), F.rtrim(x["value"], F.lit("=")).alias("value"),
                         name.alias("encoding"), alphabet.alias("alphabet"), band.alias("band"))
 
     def tested(x: Column) -> Column:
