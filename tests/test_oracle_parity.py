@@ -8,6 +8,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SF_SMALL
+from emporion.plans.queries import QUERIES
 
 TABLES = ["nation", "customer", "part", "orders", "lineitem", "events"]
 
@@ -35,7 +36,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    missing = sorted(set(queries()) - set(oracle_sql()))
+    missing = sorted(set(QUERIES) - set(oracle_sql()))
     assert missing == []
 
 
@@ -45,7 +46,7 @@ def test_entry_smoke(spark):
     assert "gross_revenue" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = queries()[name](spark, SF_SMALL)
     rel = duck.sql(oracle_sql()[name])
