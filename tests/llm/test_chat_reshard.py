@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from emporion.llm import chat, reshard
 from emporion.llm.common import scratch, ship
+from llm_cases import no_docs, odd_docs  # noqa: F401
 
 PIECES = [*"a&<>|[]/;lt#91INSTs\n ", "</s>", "[INST]", "<|end|>\n", "&lt;", "&amp;", "<|image:0|>", "https://x.y/a.png"]
 TEXT = st.lists(st.sampled_from(PIECES), max_size=12).map("".join)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emporion.llm import components, jaccard
 from emporion.llm.common import ship
-from llm_cases import DOCS, frame, prose, words_of
+from llm_cases import DOCS, frame, no_docs, odd_docs, prose, words_of  # noqa: F401
 
 
 def shingles(text, k):

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from emporion.llm import decontaminate, licences, outliers, secrets, toxicity
 from emporion.llm.blocks import blocks
 from emporion.llm.common import ship
-from llm_cases import DOCS, frame, prose, words_of
+from llm_cases import DOCS, frame, no_docs, odd_docs, prose, words_of  # noqa: F401
 
 APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
 you may not use this file except in compliance with the License.

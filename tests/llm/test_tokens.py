@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from emporion.llm import blocks, packing, token_file, tokens
 from emporion.llm.common import scratch, ship
 
-from llm_cases import ODD, frame, prose, words_of
+from llm_cases import ODD, frame, no_docs, odd_docs, prose, words_of  # noqa: F401
 
 BYTE, WORD = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 ALPHABET = st.text(st.sampled_from(list("abZ '.,\n\t é日 <|>09́")), max_size=40)
