@@ -38,6 +38,13 @@ def _paths(a: argparse.Namespace):
                        sessions=f"{root}/sessions")
 
 
+def _jdbc(a: argparse.Namespace):
+    from .streaming.jobs import JdbcTarget
+    if not a.jdbc_url:
+        return None
+    return JdbcTarget(a.jdbc_url, a.jdbc_prefix, dict(p.split("=", 1) for p in a.jdbc_property))
+
+
 def _stream(a: argparse.Namespace) -> int:
     from .streaming import jobs, sinks
     spark = _session()
@@ -46,12 +53,12 @@ def _stream(a: argparse.Namespace) -> int:
     paths = _paths(a)
     if a.command == "stream-orders":
         job = jobs.start_orders_job(raw, paths, available_now=a.available_now, update_mode=a.update_mode,
-                                    single_pass=a.single_pass)
+                                    dedupe=a.dedupe, jdbc=_jdbc(a))
     elif a.command == "stream-clicks":
         job = jobs.start_clicks_job(raw, paths, available_now=a.available_now, update_mode=a.update_mode,
-                                    single_pass=a.single_pass)
+                                    dedupe=a.dedupe, jdbc=_jdbc(a))
     else:
-        job = jobs.start_inventory_job(raw, paths, available_now=a.available_now)
+        job = jobs.start_inventory_job(raw, paths, available_now=a.available_now, jdbc=_jdbc(a))
     if a.available_now:
         job.wait()
     else:
@@ -73,13 +80,27 @@ def _hourly(a: argparse.Namespace) -> int:
 
 
 def _models(a: argparse.Namespace) -> int:
-    from .plans.pipeline import run_models
+    from .plans.pipeline import GateError, check_after, check_before, run_models
     spark = _session()
-    run = run_models(spark, spark.read.parquet(a.orders), spark.read.parquet(a.clicks), out_dir=a.output,
-                     as_tables=a.tables)
+    orders, clicks = spark.read.parquet(a.orders), spark.read.parquet(a.clicks)
+    as_of = datetime.fromisoformat(a.as_of) if a.as_of else datetime.now(timezone.utc)
+    as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None) if as_of.tzinfo else as_of
+    if a.gates:
+        try:
+            check_before(spark, orders, clicks, as_of, a.lake)
+        except GateError as exc:
+            print(f"[models] not started: {exc}", file=sys.stderr)
+            return 2
+    run = run_models(spark, orders, clicks, out_dir=a.output, as_tables=a.tables)
     failed = run.failed_tests()
     for r in run.tests.orderBy("check_name").collect():
         print(f"{r.status.upper():5s} {r.check_name} ({r.violations})")
+    if a.gates:
+        try:
+            check_after(run, as_of)
+        except GateError as exc:
+            print(f"[models] {exc}", file=sys.stderr)
+            return 1
     return 1 if failed and a.fail_on_test else 0
 
 
@@ -122,15 +143,17 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--bootstrap", default="localhost:9092")
         s.add_argument("--topic")
         s.add_argument("--starting-offsets", default="latest")
-        s.add_argument("--max-offsets", type=int, default=1000 if name == "stream-orders" else None)
+        s.add_argument("--max-offsets", type=int, help="rate limit per trigger; default: none")
         s.add_argument("--input", help="folder of Kafka-shaped Parquet files (--source files)")
         s.add_argument("--max-files", type=int, default=1)
         s.add_argument("--output", required=True)
         s.add_argument("--checkpoint")
         s.add_argument("--available-now", action="store_true")
         s.add_argument("--update-mode", action="store_true")
-        s.add_argument("--single-pass", action="store_true",
-                       help="one query writes lake, landing and quarantine (topic read once for them)")
+        s.add_argument("--dedupe", action="store_true", help="drop redelivered events before the windows (append mode)")
+        s.add_argument("--jdbc-url", help="also write landing and aggregates to a database (driver on the classpath)")
+        s.add_argument("--jdbc-prefix", default=f"{name.removeprefix('stream-')}_", help="table name prefix")
+        s.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
     h = sub.add_parser("hourly")
     h.add_argument("--lake", required=True)
     h.add_argument("--output", required=True)
@@ -143,6 +166,9 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--output")
     m.add_argument("--tables", action="store_true", help="register catalog tables and ANALYZE them")
     m.add_argument("--fail-on-test", action="store_true")
+    m.add_argument("--gates", action="store_true", help="check volume, freshness and lake before, tests and SLA after; fail on error")
+    m.add_argument("--as-of", help="ISO time of the checks; default: now")
+    m.add_argument("--lake", help="order lake that must hold rows (--gates)")
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--sf-dir", required=True)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .timeutil import from_utc_wall
+from .timeutil import wall_micros
 
 
 def col_(c: str | Column) -> Column:
@@ -100,7 +100,7 @@ def micros_between(start: str | Column, end: str | Column) -> Column:
     wall-clock (TIMESTAMP_NTZ) values, independent of the session time zone
     (a plain diff would convert through the session zone and shift spans
     that cross a daylight-saving change)."""
-    return F.timestamp_diff("MICROSECOND", from_utc_wall(col_(start)), from_utc_wall(col_(end)))
+    return wall_micros(col_(start), col_(end))
 
 
 def seconds_between(start: str | Column, end: str | Column) -> Column:

@@ -1,39 +1,36 @@
 """Explicit UTC conversions between instants and wall-clock times.
 
 Event times are instants (TIMESTAMP, needed for watermarks); outputs, dates
-and lake partitions use the UTC wall clock (TIMESTAMP_NTZ).  A plain cast
-between the two goes through ``spark.sql.session.timeZone``; these helpers
-pin the conversion to UTC so results do not depend on the session zone.
+and lake partitions use the UTC wall clock (TIMESTAMP_NTZ).  A cast between the
+two, or ``timestamp_diff`` on wall-clock times, goes through
+``spark.sql.session.timeZone`` and folds the repeated hour of a clock change.
+These helpers only count microseconds from the epoch, so no zone takes part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UCT", "Universal", "Zulu"}
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
-def _session_tz() -> str:
-    spark = SparkSession.getActiveSession()
-    return spark.conf.get("spark.sql.session.timeZone") if spark else "UTC"
+
+def wall_micros(start: Column, end: Column) -> Column:
+    """Microseconds from ``start`` to ``end``, both TIMESTAMP_NTZ."""
+    seconds = (end - start).cast("interval second").cast("decimal(20,6)")
+    return (seconds * 1_000_000).cast("bigint")
 
 
 def utc_wall(instant: Column) -> Column:
     """TIMESTAMP (instant) -> TIMESTAMP_NTZ holding its UTC wall-clock time."""
-    tz = _session_tz()
-    local = instant.cast("timestamp_ntz")
-    if tz in _UTC_NAMES:
-        return local
-    return F.convert_timezone(F.lit(tz), F.lit("UTC"), local)
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), _epoch())
 
 
 def from_utc_wall(wall: Column) -> Column:
     """TIMESTAMP_NTZ holding a UTC wall-clock time -> TIMESTAMP (instant)."""
-    tz = _session_tz()
-    if tz in _UTC_NAMES:
-        return wall.cast("timestamp")
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), wall).cast("timestamp")
+    return F.timestamp_micros(wall_micros(_epoch(), wall))
 
 
 def utc_date(instant: Column) -> Column:

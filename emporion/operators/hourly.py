@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeutil import utc_wall
+from ..sources.missing import read_parquet_if_there
 from .marts import _avg_money
 
 
@@ -28,6 +29,12 @@ def last_full_hour(now: datetime | None = None) -> tuple[datetime, datetime]:
     return end - timedelta(hours=1), end
 
 
+def utc_hour(start: datetime) -> datetime:
+    """The UTC hour that holds ``start`` (without a zone: UTC), zone-aware."""
+    start = start.replace(tzinfo=timezone.utc) if start.tzinfo is None else start.astimezone(timezone.utc)
+    return start.replace(minute=0, second=0, microsecond=0)
+
+
 def hour_label(ts: str | Column) -> Column:
     """ISO hour label, e.g. '2024-01-01T05:00:00+00:00'."""
     c = F.col(ts) if isinstance(ts, str) else ts
@@ -53,11 +60,10 @@ def hour_slice(orders: DataFrame, start: datetime, ts: str = "event_timestamp",
 
 def read_hour_slice(spark: SparkSession, lake_path: str, start: datetime) -> DataFrame | None:
     """Read one hour of the date-partitioned order lake.  Returns None when
-    the lake path cannot be read (missing input is a warning, not a crash)."""
-    try:
-        lake = spark.read.parquet(lake_path)
-    except Exception as exc:  # AnalysisException: path does not exist
-        log.warning("cannot read %s: %s", lake_path, exc.__class__.__name__)
+    there is no lake at the path (a warning, not a crash)."""
+    lake = read_parquet_if_there(spark, lake_path)
+    if lake is None:
+        log.warning("no lake at %s", lake_path)
         return None
     return hour_slice(lake, start)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import Rule, all_pass, click_rules, failed_rule_names, order_rules
 from ..functions.timeutil import from_utc_wall, utc_date, utc_wall
-from ..schemas import CLICK_WIRE, INVENTORY_WIRE, ORDER_WIRE
+from ..schemas import CLICK_WIRE, INVENTORY_WIRE, MONEY, ORDER_WIRE
 
 
 def _parse(raw: DataFrame, schema, kafka_meta: bool, processed_at=None) -> DataFrame:
@@ -74,10 +74,9 @@ def rejected_clicks(parsed: DataFrame) -> DataFrame:
 
 
 def to_money(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Wire doubles -> DECIMAL(10,2) as landed.  ``try_cast``: a value that does
-    not fit becomes NULL instead of failing the query under ANSI mode (order
-    totals that do not fit are rejected by the rules before landing)."""
-    return df.withColumns({c: F.col(c).try_cast("decimal(10,2)") for c in columns if c in df.columns})
+    """Wire doubles -> money as landed.  The type holds any real amount; what is
+    none (10**22 and more, infinity) becomes NULL instead of failing the query."""
+    return df.withColumns({c: F.col(c).try_cast(MONEY) for c in columns if c in df.columns})
 
 
 # ---------------------------------------------------------- Kafka-shaped rows

@@ -1,10 +1,8 @@
 """Marts: daily revenue, product performance, customer behaviour.
 
 Exactness rules: money is summed as DECIMAL (exact) and leaves as double;
-averages are ``sum / count``; the median is Spark's exact ``percentile``
-(linear interpolation, i.e. ``percentile_cont``; its buffer is a value ->
-count map merged map-side, so it grows with the number of distinct amounts in
-a group, not with the rows); ``mode`` keeps a value -> count map as well
+averages are ``sum / count``; the median is the exact middle of counted
+amounts; ``mode`` keeps a value -> count map as well
 (ties -> lowest value).
 
 Every analytic window below runs on an already aggregated table (one row per
@@ -34,28 +32,50 @@ def not_cancelled(enriched: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- daily revenue
 
+# orders_enriched has one row per order, so orders are rows; customers are the only
+# distinct count.  Rows of equal amount are counted first: the median is read off a
+# running count over them, which sorts (and spills) instead of holding all amounts.
+_DAILY_GROUP = ["order_date", "category", "shipping_state"]
+
+
+def _flag(c: str, v: str):
+    return F.when(F.col(c) == v, F.lit(1)).otherwise(0)
+
+
 def daily_revenue_base(enriched: DataFrame) -> DataFrame:
-    o = not_cancelled(enriched)
-    return o.groupBy(
-        F.to_date("order_placed_at").alias("order_date"), "category", "shipping_state"
-    ).agg(
-        F.count_distinct("order_id").alias("total_orders"),
+    o = not_cancelled(enriched).withColumn("order_date", F.to_date("order_placed_at"))
+    amounts = o.groupBy(*_DAILY_GROUP, "customer_id", "order_total").agg(
+        F.count("order_id").alias("n"), F.sum("quantity").alias("items"),
+        F.sum(_flag("order_value_tier", "HIGH_VALUE")).alias("high"),
+        F.sum(_flag("order_value_tier", "MID_VALUE")).alias("mid"),
+        F.sum(_flag("order_value_tier", "LOW_VALUE")).alias("low"),
+        F.sum(_flag("attribution_channel", "google")).alias("google"),
+        F.sum(_flag("attribution_channel", "email_campaign")).alias("email"),
+        F.sum(_flag("attribution_channel", "direct")).alias("direct"),
+        F.sum(_flag("device_type", "mobile")).alias("mobile"),
+        F.sum(_flag("device_type", "desktop")).alias("desktop"),
+        F.sum(_flag("device_type", "tablet")).alias("tablet"),
+    )
+    group = Window.partitionBy(*_DAILY_GROUP)
+    upto = F.sum("n").over(group.orderBy("order_total", "customer_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = amounts.withColumn("upto", upto).withColumn("total", F.sum("n").over(group))
+    gross = F.sum(F.col("order_total") * F.col("n"))
+    # the middle one, or the two middle ones
+    low_mid = F.min(F.when(2 * F.col("upto") >= F.col("total"), F.col("order_total"))).cast("double")
+    high_mid = F.min(F.when(2 * F.col("upto") >= F.col("total") + 1, F.col("order_total"))).cast("double")
+    return placed.groupBy(*_DAILY_GROUP).agg(
+        F.sum("n").alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
-        F.sum("quantity").cast("bigint").alias("total_items_sold"),
-        F.sum("order_total").alias("_gross"),
-        _avg_money("order_total").alias("avg_order_value"),
+        F.sum("items").cast("bigint").alias("total_items_sold"),
+        gross.alias("_gross"),
+        (gross.cast("double") / F.sum("n")).alias("avg_order_value"),
         money(F.min("order_total")).alias("min_order_value"),
         money(F.max("order_total")).alias("max_order_value"),
-        F.percentile(F.col("order_total").cast("double"), F.lit(0.5)).alias("median_order_value"),
-        _count_eq("order_value_tier", "HIGH_VALUE").alias("high_value_orders"),
-        _count_eq("order_value_tier", "MID_VALUE").alias("mid_value_orders"),
-        _count_eq("order_value_tier", "LOW_VALUE").alias("low_value_orders"),
-        _count_eq("attribution_channel", "google").alias("orders_from_google"),
-        _count_eq("attribution_channel", "email_campaign").alias("orders_from_email"),
-        _count_eq("attribution_channel", "direct").alias("orders_from_direct"),
-        _count_eq("device_type", "mobile").alias("mobile_orders"),
-        _count_eq("device_type", "desktop").alias("desktop_orders"),
-        _count_eq("device_type", "tablet").alias("tablet_orders"),
+        (low_mid + (high_mid - low_mid) * 0.5).alias("median_order_value"),
+        *(F.sum(c).cast("bigint").alias(name) for c, name in (
+            ("high", "high_value_orders"), ("mid", "mid_value_orders"), ("low", "low_value_orders"),
+            ("google", "orders_from_google"), ("email", "orders_from_email"), ("direct", "orders_from_direct"),
+            ("mobile", "mobile_orders"), ("desktop", "desktop_orders"), ("tablet", "tablet_orders"))),
     )
 
 
@@ -106,7 +126,7 @@ def product_daily(enriched: DataFrame) -> DataFrame:
     return o.groupBy(
         "product_id", "product_name", "category", F.to_date("order_placed_at").alias("order_date")
     ).agg(
-        F.count_distinct("order_id").alias("times_ordered"),
+        F.count("order_id").alias("times_ordered"),
         F.count_distinct("customer_id").alias("unique_buyers"),
         F.sum("quantity").cast("bigint").alias("units_sold"),
         F.sum("order_total").alias("_revenue"),
@@ -162,7 +182,7 @@ def product_rolling_calendar(enriched: DataFrame) -> DataFrame:
 def customer_order_summary(enriched: DataFrame) -> DataFrame:
     o = not_cancelled(enriched)
     return o.groupBy("customer_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
+        F.count("order_id").alias("total_orders"),
         F.sum("order_total").alias("_ltv"),
         _avg_money("order_total").alias("avg_order_value"),
         F.min("order_placed_at").alias("first_order_at"),

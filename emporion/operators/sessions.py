@@ -66,10 +66,9 @@ def user_sessions(stg_clicks: DataFrame) -> DataFrame:
 def sessions_by_id(stg_clicks: DataFrame) -> DataFrame:
     """One row per session_id; customer/device/browser/referrer are taken
     from the earliest event (ties broken by event_id)."""
-    order_key = F.struct("event_occurred_at", "event_id")
-    firsts = [F.min_by(c, order_key).alias(c) for c in SESSION_KEYS[1:]]
-    agg = stg_clicks.groupBy("session_id").agg(*firsts, *_session_measures())
-    return _finish(agg, SESSION_KEYS)
+    first = F.min(F.struct("event_occurred_at", "event_id", *SESSION_KEYS[1:])).alias("_first")
+    agg = stg_clicks.groupBy("session_id").agg(first, *_session_measures())
+    return _finish(agg.select("*", *(F.col(f"_first.{c}").alias(c) for c in SESSION_KEYS[1:])), SESSION_KEYS)
 
 
 # --- fixed values: per-session counters of the session summaries ------------

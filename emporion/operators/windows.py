@@ -24,18 +24,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import rounded_money_avg
-from ..schemas import FUNNEL_WINDOW, ORDER_WINDOW
+from ..schemas import FUNNEL_WINDOW, MONEY, ORDER_WINDOW
 
 
 def _money_sum_input(c: str) -> Column:
     # exact decimal sums also when fed wire doubles; try_cast so that an
     # unrepresentable value cannot fail a streaming query under ANSI mode
-    return F.col(c).try_cast("decimal(12,2)")
+    return F.col(c).try_cast(MONEY)
 
 
-def order_windows(valid_orders: DataFrame, ts: str = "event_timestamp", duration: str = ORDER_WINDOW,
-                  with_audit: bool = False) -> DataFrame:
-    lvl1 = valid_orders.groupBy(
+def order_parts(valid_orders: DataFrame, ts: str = "event_timestamp", duration: str = ORDER_WINDOW) -> DataFrame:
+    """Level 1: one row per window, dimensions and customer."""
+    return valid_orders.groupBy(
         F.window(ts, duration).alias("window"), "category", "shipping_state", "customer_id"
     ).agg(
         F.count("order_id").alias("_n"),
@@ -43,7 +43,11 @@ def order_windows(valid_orders: DataFrame, ts: str = "event_timestamp", duration
         F.count("order_total").alias("_rev_n"),
         F.sum("quantity").alias("_items"),
     )
-    lvl2 = lvl1.groupBy("window", "category", "shipping_state").agg(
+
+
+def order_totals(parts: DataFrame, with_audit: bool = False) -> DataFrame:
+    """Level 2 over ``order_parts``."""
+    lvl2 = parts.groupBy("window", "category", "shipping_state").agg(
         F.sum("_n").alias("order_count"),
         F.sum("_rev").alias("_rev"),
         F.sum("_rev_n").alias("_rev_n"),
@@ -65,6 +69,11 @@ def order_windows(valid_orders: DataFrame, ts: str = "event_timestamp", duration
     return out
 
 
+def order_windows(valid_orders: DataFrame, ts: str = "event_timestamp", duration: str = ORDER_WINDOW,
+                  with_audit: bool = False) -> DataFrame:
+    return order_totals(order_parts(valid_orders, ts, duration), with_audit)
+
+
 # --- fixed values: funnel measures (column -> event type) -------------------
 FUNNEL_MEASURES = {
     "page_views": "PAGE_VIEW",
@@ -75,8 +84,8 @@ FUNNEL_MEASURES = {
 }
 
 
-def funnel_windows(valid_clicks: DataFrame, ts: str = "event_timestamp", duration: str = FUNNEL_WINDOW,
-                   with_audit: bool = False) -> DataFrame:
+def funnel_parts(valid_clicks: DataFrame, ts: str = "event_timestamp", duration: str = FUNNEL_WINDOW) -> DataFrame:
+    """Level 1: one row per window, dimensions, tag and key."""
     tagged = valid_clicks.select(
         F.window(ts, duration).alias("window"), "device_type", "referrer", "event_type",
         F.explode(F.array(
@@ -86,11 +95,15 @@ def funnel_windows(valid_clicks: DataFrame, ts: str = "event_timestamp", duratio
         )).alias("t"),
     ).select("window", "device_type", "referrer", "event_type", "t.tag", "t.key")
     is_m = F.col("tag") == "m"
-    lvl1 = tagged.groupBy("window", "device_type", "referrer", "tag", "key").agg(
+    return tagged.groupBy("window", "device_type", "referrer", "tag", "key").agg(
         *[F.count(F.when(is_m & (F.col("event_type") == et), F.lit(1))).alias(c)
           for c, et in FUNNEL_MEASURES.items()]
     )
-    lvl2 = lvl1.groupBy("window", "device_type", "referrer").agg(
+
+
+def funnel_totals(parts: DataFrame, with_audit: bool = False) -> DataFrame:
+    """Level 2 over ``funnel_parts``."""
+    lvl2 = parts.groupBy("window", "device_type", "referrer").agg(
         *[F.sum(c).cast("bigint").alias(c) for c in FUNNEL_MEASURES],
         F.count(F.when((F.col("tag") == "s") & F.col("key").isNotNull(), F.lit(1))).alias("unique_sessions"),
         F.count(F.when((F.col("tag") == "c") & F.col("key").isNotNull(), F.lit(1))).alias("unique_users"),
@@ -106,3 +119,8 @@ def funnel_windows(valid_clicks: DataFrame, ts: str = "event_timestamp", duratio
     if with_audit:
         out = out.withColumn("computed_at", F.current_timestamp())
     return out
+
+
+def funnel_windows(valid_clicks: DataFrame, ts: str = "event_timestamp", duration: str = FUNNEL_WINDOW,
+                   with_audit: bool = False) -> DataFrame:
+    return funnel_totals(funnel_parts(valid_clicks, ts, duration), with_audit)

@@ -98,6 +98,44 @@ def freshness_report(run: ModelRun, as_of: datetime) -> tuple[DataFrame, DataFra
     return out, sla
 
 
+class GateError(RuntimeError):
+    """A check before or after the model run failed."""
+
+
+def check_before(spark: SparkSession, raw_orders: DataFrame, raw_clicks: DataFrame, as_of: datetime,
+                 lake_path: str | None = None) -> None:
+    """Gates before a run: the lake (if one is named) holds rows, orders came in
+    lately, and no source is stale beyond its error limit."""
+    from ..schemas import FRESHNESS, RECENT_VOLUME_WINDOW
+
+    failed = []
+    if lake_path is not None and not quality.lake_non_empty(spark, lake_path):
+        failed.append(f"no rows in the lake at {lake_path}")
+    volume = quality.recent_volume(raw_orders, "processed_at", RECENT_VOLUME_WINDOW, as_of).first()
+    if volume["status"] != "pass":
+        failed.append(f"no orders in the last {RECENT_VOLUME_WINDOW}")
+    for name, df in (("orders", raw_orders), ("clickstream", raw_clicks)):
+        row = quality.freshness(df, name, "processed_at", *FRESHNESS[name], as_of).first()
+        if row["status"] == "error":
+            failed.append(f"{name} is stale: newest row {row['max_loaded_at']}")
+        elif row["status"] == "warn":
+            log.warning("%s is late: newest row %s", name, row["max_loaded_at"])
+    if failed:
+        raise GateError("; ".join(failed))
+
+
+def check_after(run: ModelRun, as_of: datetime) -> None:
+    """Gates after a run: data tests and the marts' SLA."""
+    from ..schemas import MART_SLA_MINUTES
+
+    failed = [f"data test {name}" for name in run.failed_tests()]
+    sla = quality.mart_sla(run.models["daily_revenue"], "order_date", MART_SLA_MINUTES, as_of).first()
+    if sla["status"] != "pass":
+        failed.append(f"daily_revenue is {sla['lag_minutes']} minutes behind")
+    if failed:
+        raise GateError("; ".join(failed))
+
+
 def run_hourly_batch(spark: SparkSession, lake_path: str, out_path: str, hour_start: datetime | None = None,
                      top_k: int | None = None, sessions: DataFrame | None = None) -> dict[str, str] | None:
     """The hourly batch job: read one hour of the order lake, write revenue
@@ -111,8 +149,7 @@ def run_hourly_batch(spark: SparkSession, lake_path: str, out_path: str, hour_st
     from ..operators import hourly
     from ..sources.sinks import write_partitions
 
-    if hour_start is None:
-        hour_start, _ = hourly.last_full_hour()
+    hour_start = hourly.utc_hour(hour_start) if hour_start else hourly.last_full_hour()[0]
     orders = hourly.read_hour_slice(spark, lake_path, hour_start)
     if orders is None:
         return None
@@ -128,7 +165,7 @@ def run_hourly_batch(spark: SparkSession, lake_path: str, out_path: str, hour_st
         # orders + clickstream: the hour's orders attributed to click sessions
         # (a complete session table, e.g. the materialised int_user_sessions;
         # only sessions of the hour's day can match)
-        day = sessions.filter(F.col("session_date") == F.lit(hour_start.date()))
+        day = sessions.filter(F.col("session_date") == F.lit(hour_start.date()))  # UTC, as above
         enriched = attribution.orders_enriched(staging.stg_orders(orders), day)
         write_partitions(hourly.hourly_attribution(enriched, processing_hour=label),
                          f"{out_path.rstrip('/')}/hourly_attribution", ["processing_hour"])

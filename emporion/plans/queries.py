@@ -8,6 +8,7 @@ Audit columns (current_timestamp) are left out of the compared queries.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -29,7 +30,9 @@ from ..schemas import (
     SESSION_OUTCOMES,
 )
 from ..functions.timeutil import utc_wall
+from ..session import scratch_path
 from ..sources import fixtures
+from .pipeline import materialize
 
 # Fixed evaluation time for the freshness/volume/SLA checks of the registry
 # (the test data covers 2024-01-01 .. 2024-01-30).
@@ -188,6 +191,23 @@ def q_valid_clicks(spark, sf):
     return _no_audit(ingest.valid_clicks(ingest.parse_clicks(click_topic_rows(spark, sf))))
 
 
+@query("rejected_clicks")
+def q_rejected_clicks(spark, sf):
+    return _no_audit(ingest.rejected_clicks(ingest.parse_clicks(click_topic_rows(spark, sf))))
+
+
+@query("parse_bad_orders")
+def q_parse_bad_orders(spark, sf):
+    """Topic rows cut short, with a word for a number, or with no readable time."""
+    text, defect = F.col("value").cast("string"), F.col("offset") % 7
+    broken = (F.when(defect == 0, F.substring(text, 1, 40))
+               .when(defect == 1, F.regexp_replace(text, '"quantity":[0-9]+', '"quantity":"many"'))
+               .when(defect == 2, F.regexp_replace(text, '"event_timestamp":"[^"]*"', '"event_timestamp":"soon"')))
+    rows = order_topic_rows(spark, sf).where(defect < 3).withColumn("value", broken.cast("binary"))
+    return ingest.parse_orders(rows).select((F.col("kafka_offset") % 7).alias("defect"), "order_id", "customer_id", "quantity",
+                                            "order_total", "event_timestamp", "event_date", "kafka_offset")
+
+
 # ------------------------------------------------------------ lake + windows
 
 def lake_orders_df(spark, sf):
@@ -214,6 +234,13 @@ def q_click_session_windows(spark, sf):
     return sessions.click_session_windows(lake_clicks_df(spark, sf))
 
 
+@query("hourly_slice")
+def q_hourly_slice(spark, sf):
+    lake = lake_orders_df(spark, sf).withColumn("event_date", F.to_date("event_timestamp"))
+    return hourly.hour_slice(lake, datetime(2024, 1, 3, 5)).select(
+        "order_id", "customer_id", "product_id", "category", "quantity", "order_total", "shipping_state", "event_timestamp")
+
+
 @query("hourly_revenue")
 def q_hourly_revenue(spark, sf):
     return hourly.hourly_revenue(lake_orders_df(spark, sf))
@@ -283,14 +310,12 @@ def q_dq_unique(spark, sf):
 
 @query("dq_accepted_values")
 def q_dq_accepted_values(spark, sf):
-    parts = [
-        (stg_orders_df(spark, sf), "stg_orders", "order_status"),
-        (stg_clicks_df(spark, sf), "stg_clickstream", "funnel_stage"),
-        (sessions_df(spark, sf), "user_sessions", "session_outcome"),
-    ]
+    """On the landed rows, where lower-case states and other events occur."""
     out = None
-    for df, model, column in parts:
-        v = (quality.accepted_values(df, column, ACCEPTED[column]).groupBy(F.col(column).alias("value"))
+    for df, model, column, domain in (
+            (fixtures.raw_orders(spark, sf), "raw_orders", "order_status", ORDER_STATUSES),
+            (fixtures.raw_clicks(spark, sf), "raw_clicks", "event_type", list(windows.FUNNEL_MEASURES.values()))):
+        v = (quality.accepted_values(df, column, domain).groupBy(F.col(column).alias("value"))
                 .agg(F.count(F.lit(1)).alias("rows"))
                 .select(F.lit(model).alias("model"), F.lit(column).alias("column_name"), "value", "rows"))
         out = v if out is None else out.unionByName(v)
@@ -305,12 +330,14 @@ def q_dq_expression(spark, sf):
 
 @query("dq_order_total")
 def q_dq_order_total(spark, sf):
-    return quality.order_total_positive(stg_orders_df(spark, sf))
+    return quality.order_total_positive(fixtures.raw_orders(spark, sf))
 
 
 @query("dq_duplicate_orders")
 def q_dq_duplicate_orders(spark, sf):
-    return quality.duplicate_order_ids(enriched_df(spark, sf))
+    """On a landing in which some events were delivered twice."""
+    landed = fixtures.raw_orders(spark, sf).select("order_id", "order_status")
+    return quality.duplicate_order_ids(landed.unionByName(landed.filter("order_status = 'cancelled'")))
 
 
 @query("dq_freshness")
@@ -336,9 +363,12 @@ def q_dq_mart_sla(spark, sf):
 
 
 def suite_models(spark, sf):
+    """The models of the data tests; the intermediates that several of them read
+    are written once, as in a model run."""
     so, sc = stg_orders_df(spark, sf), stg_clicks_df(spark, sf)
-    us = sessions.user_sessions(sc)
-    en = attribution.orders_enriched(so, us)
+    base = scratch_path(spark, "suite", uuid.uuid4().hex)
+    us = materialize(sessions.user_sessions(sc), f"{base}/user_sessions")
+    en = materialize(attribution.orders_enriched(so, us), f"{base}/orders_enriched")
     return {
         "raw_orders": fixtures.raw_orders(spark, sf), "raw_clicks": fixtures.raw_clicks(spark, sf),
         "stg_orders": so, "stg_clickstream": sc, "user_sessions": us, "orders_enriched": en,

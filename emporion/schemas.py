@@ -1,7 +1,7 @@
 """Canonical schemas and fixed domains.
 
 Wire schemas are what producers put on a topic (JSON); landed schemas are the
-typed tables the streams write (money as DECIMAL(10,2), event time as a
+typed tables the streams write (money as DECIMAL(24,2), event time as a
 timestamp).
 """
 
@@ -20,7 +20,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-MONEY = DecimalType(10, 2)
+#: exact for amounts below 10**22; sums of them stay exact
+MONEY = DecimalType(24, 2)
 
 # --- fixed values: must equal the reference's domains -----------------------
 ORDER_STATUSES = ["PLACED", "PROCESSING", "SHIPPED", "DELIVERED", "CANCELLED"]

@@ -6,7 +6,7 @@ the landed event tables deterministically, as plain DataFrame plans, so the
 work grows with the input tables (nothing is generated on the driver).
 
 Deliberately planted defects (null customers, zero quantities, negative
-totals, null prices, padded names, lower-case categories, a lower-case
+totals, null prices, clicks without ids, padded names, lower-case categories, a lower-case
 'cancelled') exercise the quality rules and staging.
 """
 
@@ -26,24 +26,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-MAX_SPLITS_TO_SPREAD = 4
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a scan that yields only a handful of splits (a file with
-    one row group is read by one task) over the cluster's cores.  Any input
-    large enough to matter at scale is split into many more tasks by the
-    scan itself, so there this is a no-op and adds no shuffle."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Spark Connect session): keep the scan as is
-        return df
-    if n <= MAX_SPLITS_TO_SPREAD and n < cores:
-        return df.repartition(cores)
-    return df
-
-
 def _seconds_after_epoch(n: Column) -> Column:
     return F.timestamp_add("SECOND", n, F.lit(EPOCH).cast("timestamp_ntz"))
 
@@ -51,13 +33,9 @@ def _seconds_after_epoch(n: Column) -> Column:
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed order event per lineitem (lineitem x orders x customer x
     nation x part).  Event time is spread over 30 days by a fixed hash."""
-    # Hash-partitioned on the key of its join with orders: when orders is too
-    # large to broadcast, the sort-merge join needs exactly this exchange (so
-    # nothing is added); when orders is broadcast, it spreads the row-wise
-    # work over all cores even if the file has a single row group.
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"
-    ).repartition("l_orderkey")
+    )
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     # nation has 25 rows at every scale factor: a fixed size bound
@@ -114,7 +92,7 @@ def raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed click events from ``events``: one session per user and day; a
     fifth of the events show another device, so the 5-key session grain and
     session_id differ (as in the reference's real data)."""
-    ev = spread(read_table(spark, sf_dir, "events")).withColumn("k", _k())
+    ev = read_table(spark, sf_dir, "events").withColumn("k", _k())
     et = F.col("event_type")
     k = F.col("k")
     uid = F.col("user_id")
@@ -122,8 +100,8 @@ def raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     device_idx = (uid + F.when(k >= 80, 1).otherwise(0)) % 3
     referrer_idx = (uid + F.dayofmonth("ts")) % 6
     return ev.select(
-        F.concat(F.lit("EVT-"), "event_id").alias("event_id"),
-        F.concat(F.lit("SES-"), uid, F.lit("-"), F.to_date("ts").cast("string")).alias("session_id"),
+        F.when(F.col("event_id") % 211 != 7, F.concat(F.lit("EVT-"), "event_id")).alias("event_id"),
+        F.when(F.col("event_id") % 223 != 9, F.concat(F.lit("SES-"), uid, F.lit("-"), F.to_date("ts").cast("string"))).alias("session_id"),
         F.when(uid % 13 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("CUST-"), uid)).alias("customer_id"),
         F.when(et == "view", "PRODUCT_VIEW")
@@ -154,7 +132,7 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed inventory updates from ``events`` (20 products, 4 warehouses).
     ``stock_after`` is not part of the raw rows; operators.inventory derives
     it (initial stock 100, clamped at zero)."""
-    ev = spread(read_table(spark, sf_dir, "events")).withColumn("k", _k())
+    ev = read_table(spark, sf_dir, "events").withColumn("k", _k())
     k = F.col("k")
     uid = F.col("user_id")
     kind = k % 5

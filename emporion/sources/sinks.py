@@ -18,10 +18,5 @@ def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt:
        .partitionBy(*partition_by).save(path))
 
 
-def write_lake(df: DataFrame, path: str, date_col: str = "event_date") -> None:
-    """Append-only lake layout partitioned by event date."""
-    df.write.mode("append").partitionBy(date_col).parquet(path)
-
-
 def jdbc_append(df: DataFrame, url: str, table: str, properties: dict) -> None:
     df.write.jdbc(url=url, table=table, mode="append", properties=properties)

@@ -1,37 +1,41 @@
 """Structured Streaming jobs: topic -> parse -> rules -> sinks.
 
-Each job builds the parsed stream once and starts independent queries on it
-(lake, landing table, quarantine, window aggregates).  Every query has its
+Each job starts one raw query that writes lake, landing and quarantine from the
+parsed stream as it is: no watermark and no deduplication stand before them, so
+valid and rejected rows together are the input.  Watermarks (and, if asked for,
+deduplication) stand only before the window aggregates.  Every query has its
 own checkpoint under ``checkpoint_root``; a restarted job resumes from the
 committed offsets and state, and the sinks are replay-safe, so an executor or
 driver loss produces neither gaps nor duplicates.
 
-Window aggregates run in **append** mode: each (window, dims) row is emitted
-once, after the watermark passes the window end, with exact distinct counts
-(two chained aggregations, see ``operators.windows``).  ``update_mode=True``
-gives the reference's early, repeated updates instead; it is written with the
-keyed-upsert sink and counts distinct values with ``collect_set`` (exact, but
-it keeps each window's set in one state row).
+Window aggregates count events as they are delivered.  In **append** mode each
+(window, dims) row is emitted once, after the watermark passes the window end.
+``update_mode=True`` gives early, repeated updates: the stream then keeps the
+first level of the aggregate (a row per customer or key, no sets) in the
+keyed-upsert sink, and ``current_order_windows`` / ``current_funnel_windows``
+add it up on reading.  Both modes give the same closed windows.  ``dedupe=True``
+drops redelivered copies of an event (all its wire columns equal) within the
+watermark; it needs a second stateful operator and so the append mode.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.expressions import rounded_money_avg
 from ..functions.rules import inventory_rules
 from ..operators import ingest, sessions, windows
 from ..schemas import (
     CLICK_MONEY_COLUMNS,
     CLICK_WATERMARK,
+    CLICK_WIRE,
     FUNNEL_WINDOW,
     ORDER_MONEY_COLUMNS,
     ORDER_WATERMARK,
-    ORDER_WINDOW,
+    ORDER_WIRE,
     SESSION_GAP,
 )
 from . import sinks
@@ -47,6 +51,18 @@ class StreamPaths:
     sessions: str | None = None
 
 
+@dataclass
+class JdbcTarget:
+    """Relational landing: tables ``<prefix>landing`` and ``<prefix>aggregates``."""
+
+    url: str
+    prefix: str
+    properties: dict
+
+    def writer(self, name: str) -> sinks.BatchFn:
+        return sinks.jdbc_batch_writer(self.url, f"{self.prefix}{name}", self.properties)
+
+
 @dataclass
 class StreamJob:
     queries: list[StreamingQuery] = field(default_factory=list)
@@ -70,130 +86,81 @@ def _trigger(available_now: bool, interval: str) -> dict:
     return {"availableNow": True} if available_now else {"processingTime": interval}
 
 
-def order_windows_update(valid: DataFrame) -> DataFrame:
-    """Update-mode variant (single aggregation; exact distinct via set size)."""
-    agg = valid.groupBy(F.window("event_timestamp", ORDER_WINDOW).alias("window"), "category",
-                        "shipping_state").agg(
-        F.count("order_id").alias("order_count"),
-        F.sum(F.col("order_total").cast("decimal(12,2)")).alias("_rev"),
-        F.count("order_total").alias("_rev_n"),
-        F.sum("quantity").cast("bigint").alias("total_items_sold"),
-        F.size(F.collect_set("customer_id")).cast("bigint").alias("unique_customers"),
-    )
-    return agg.select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-        "category", "shipping_state", "order_count",
-        F.col("_rev").cast("double").alias("total_revenue"),
-        rounded_money_avg(F.col("_rev"), F.col("_rev_n")).alias("avg_order_value"),
-        "total_items_sold", "unique_customers", F.current_timestamp().alias("computed_at"))
+def _raw_query(parsed: DataFrame, paths: StreamPaths, valid_fn, rejected_fn, trigger: dict, jdbc: JdbcTarget | None) -> StreamingQuery:
+    fan = sinks.raw_fanout_writer(paths.lake, paths.landing, paths.rejected, valid_fn, rejected_fn,
+                                  jdbc.writer("landing") if jdbc else None)
+    return sinks.batch_sink(parsed, fan, f"{paths.checkpoint_root.rstrip('/')}/raw", trigger=trigger)
 
 
-def start_orders_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bool = False,
-                     update_mode: bool = False, dedupe: bool = True, single_pass: bool = False) -> StreamJob:
-    """``single_pass=True`` writes lake, landing and quarantine from one
-    query (the topic is read and parsed once for the three raw outputs;
-    duplicates across micro-batches are then left to the staging layer), the
-    window aggregates being the only other reader."""
-    parsed = ingest.parse_orders(raw_topic)
-    valid = _observed(ingest.to_money(ingest.valid_orders(parsed), ORDER_MONEY_COLUMNS), "valid_orders")
-    undeduped = valid.withWatermark("event_timestamp", ORDER_WATERMARK)
-    if dedupe:
-        # redelivered events (producer retries) carry the same order_id
-        valid = undeduped.dropDuplicatesWithinWatermark(["order_id"])
-    rejected = _observed(ingest.rejected_orders(parsed), "rejected_orders")
-    ck = paths.checkpoint_root.rstrip("/")
-    raw_t = _trigger(available_now, "30 seconds")
-    agg_t = _trigger(available_now, "1 minute")
-    job = StreamJob()
-    if single_pass:
-        fan = sinks.raw_fanout_writer(
-            paths.lake, paths.landing, paths.rejected,
-            lambda b: ingest.to_money(ingest.valid_orders(b), ORDER_MONEY_COLUMNS), ingest.rejected_orders)
-        job.queries.append(sinks.batch_sink(parsed, fan, f"{ck}/raw", trigger=raw_t))
-    else:
-        job.queries.append(sinks.lake_sink(valid, paths.lake, f"{ck}/lake", raw_t, name=None))
-        job.queries.append(sinks.batch_sink(valid, sinks.idempotent_batch_writer(paths.landing, drop=["event_date"]),
-                                            f"{ck}/landing", trigger=raw_t))
-        job.queries.append(sinks.batch_sink(rejected, sinks.idempotent_batch_writer(paths.rejected),
-                                            f"{ck}/rejected", trigger=raw_t))
-    wm = valid if dedupe else undeduped
+def _window_query(stream: DataFrame, paths: StreamPaths, parts_fn, totals_fn, name: str, trigger: dict,
+                  update_mode: bool, jdbc: JdbcTarget | None) -> StreamingQuery:
+    ck = f"{paths.checkpoint_root.rstrip('/')}/{name}"
     if update_mode:
-        # update mode allows a single stateful operator, so the early-update
-        # aggregate reads the watermarked stream before the dedup
-        agg = order_windows_update(undeduped)
-        job.queries.append(sinks.batch_sink(agg, sinks.keyed_upsert_writer(paths.aggregates), f"{ck}/agg",
-                                            output_mode="update", trigger=agg_t))
-    else:
-        agg = windows.order_windows(wm, with_audit=True)
-        job.queries.append(sinks.batch_sink(agg, sinks.idempotent_batch_writer(paths.aggregates), f"{ck}/agg",
-                                            output_mode="append", trigger=agg_t))
-    return job
+        return sinks.batch_sink(parts_fn(stream), sinks.keyed_upsert_writer(paths.aggregates), ck,
+                                output_mode="update", trigger=trigger)
+    agg = totals_fn(parts_fn(stream), with_audit=True)
+    return sinks.batch_sink(agg, sinks.idempotent_batch_writer(paths.aggregates, jdbc=jdbc.writer("aggregates") if jdbc else None),
+                            ck, output_mode="append", trigger=trigger)
+
+
+def _deduped(stream: DataFrame, identity: list[str], dedupe: bool, update_mode: bool) -> DataFrame:
+    if dedupe and update_mode:
+        raise ValueError("deduplication needs the append mode: update mode allows one stateful operator")
+    return stream.dropDuplicatesWithinWatermark(identity) if dedupe else stream
 
 
-def funnel_windows_update(valid: DataFrame) -> DataFrame:
-    """Update-mode funnel variant (single aggregation; exact distinct via set
-    sizes)."""
-    et = F.col("event_type")
-    agg = valid.groupBy(F.window("event_timestamp", FUNNEL_WINDOW).alias("window"), "device_type", "referrer").agg(
-        *[F.count(F.when(et == t, F.lit(1))).alias(c) for c, t in windows.FUNNEL_MEASURES.items()],
-        F.size(F.collect_set("session_id")).cast("bigint").alias("unique_sessions"),
-        F.size(F.collect_set("customer_id")).cast("bigint").alias("unique_users"),
-    )
-    pv, co = F.col("product_views"), F.col("checkouts")
-    return agg.select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-        "device_type", "referrer", *windows.FUNNEL_MEASURES.keys(), "unique_sessions", "unique_users",
-        F.round(F.when(pv > 0, co.cast("double") / pv.cast("double") * F.lit(100.0)).otherwise(F.lit(0.0)), 2)
-         .alias("conversion_rate_pct"),
-        F.current_timestamp().alias("computed_at"))
+def start_orders_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bool = False,
+                     update_mode: bool = False, dedupe: bool = False, jdbc: JdbcTarget | None = None) -> StreamJob:
+    def valid(batch: DataFrame) -> DataFrame:
+        return ingest.to_money(ingest.valid_orders(batch), ORDER_MONEY_COLUMNS)
+
+    parsed = _observed(ingest.parse_orders(raw_topic), "parsed_orders")
+    wm = _deduped(_observed(valid(ingest.parse_orders(raw_topic)), "valid_orders").withWatermark("event_timestamp", ORDER_WATERMARK),
+                  ORDER_WIRE.fieldNames(), dedupe, update_mode)
+    return StreamJob([
+        _raw_query(parsed, paths, valid, ingest.rejected_orders, _trigger(available_now, "30 seconds"), jdbc),
+        _window_query(wm, paths, windows.order_parts, windows.order_totals, "agg", _trigger(available_now, "1 minute"), update_mode, jdbc),
+    ])
+
+
+def current_order_windows(spark: SparkSession, path: str) -> DataFrame:
+    """Window rows as of the newest update-mode batch."""
+    keys = ["window", "category", "shipping_state", "customer_id"]
+    return windows.order_totals(sinks.current_rows(spark, path, keys))
 
 
 def start_clicks_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bool = False,
-                     update_mode: bool = False, single_pass: bool = False) -> StreamJob:
-    parsed = ingest.parse_clicks(raw_topic)
-    valid = _observed(ingest.to_money(ingest.valid_clicks(parsed), CLICK_MONEY_COLUMNS), "valid_clicks")
-    ck = paths.checkpoint_root.rstrip("/")
-    raw_t = _trigger(available_now, "30 seconds")
+                     update_mode: bool = False, dedupe: bool = False, jdbc: JdbcTarget | None = None) -> StreamJob:
+    def valid(batch: DataFrame) -> DataFrame:
+        return ingest.to_money(ingest.valid_clicks(batch), CLICK_MONEY_COLUMNS)
+
+    def funnel_parts(stream: DataFrame) -> DataFrame:
+        return windows.funnel_parts(stream, duration=FUNNEL_WINDOW)
+
     agg_t = _trigger(available_now, "1 minute")
-    wm = valid.withWatermark("event_timestamp", CLICK_WATERMARK)
-    job = StreamJob()
-    if single_pass:
-        fan = sinks.raw_fanout_writer(
-            paths.lake, paths.landing, paths.rejected,
-            lambda b: ingest.to_money(ingest.valid_clicks(b), CLICK_MONEY_COLUMNS), ingest.rejected_clicks)
-        job.queries.append(sinks.batch_sink(parsed, fan, f"{ck}/raw", trigger=raw_t))
-    else:
-        job.queries.append(sinks.lake_sink(valid, paths.lake, f"{ck}/lake", raw_t))
-        job.queries.append(sinks.batch_sink(valid, sinks.idempotent_batch_writer(paths.landing, drop=["event_date"]),
-                                            f"{ck}/landing", trigger=raw_t))
-        job.queries.append(sinks.batch_sink(_observed(ingest.rejected_clicks(parsed), "rejected_clicks"),
-                                            sinks.idempotent_batch_writer(paths.rejected),
-                                            f"{ck}/rejected", trigger=raw_t))
-    if update_mode:
-        job.queries.append(sinks.batch_sink(funnel_windows_update(wm), sinks.keyed_upsert_writer(paths.aggregates),
-                                            f"{ck}/funnel", output_mode="update", trigger=agg_t))
-    else:
-        funnel = windows.funnel_windows(wm, duration=FUNNEL_WINDOW, with_audit=True)
-        job.queries.append(sinks.batch_sink(funnel, sinks.idempotent_batch_writer(paths.aggregates), f"{ck}/funnel",
-                                            output_mode="append", trigger=agg_t))
+    parsed = _observed(ingest.parse_clicks(raw_topic), "parsed_clicks")
+    wm = _deduped(_observed(valid(ingest.parse_clicks(raw_topic)), "valid_clicks").withWatermark("event_timestamp", CLICK_WATERMARK),
+                  CLICK_WIRE.fieldNames(), dedupe, update_mode)
+    job = StreamJob([
+        _raw_query(parsed, paths, valid, ingest.rejected_clicks, _trigger(available_now, "30 seconds"), jdbc),
+        _window_query(wm, paths, funnel_parts, windows.funnel_totals, "funnel", agg_t, update_mode, jdbc),
+    ])
     if paths.sessions:
         sess = sessions.click_session_windows(wm, SESSION_GAP)
-        job.queries.append(sinks.batch_sink(sess, sinks.idempotent_batch_writer(paths.sessions), f"{ck}/sessions",
+        job.queries.append(sinks.batch_sink(sess, sinks.idempotent_batch_writer(paths.sessions),
+                                            f"{paths.checkpoint_root.rstrip('/')}/sessions",
                                             output_mode="append", trigger=agg_t))
     return job
 
 
-def start_inventory_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bool = False) -> StreamJob:
+def current_funnel_windows(spark: SparkSession, path: str) -> DataFrame:
+    keys = ["window", "device_type", "referrer", "tag", "key"]
+    return windows.funnel_totals(sinks.current_rows(spark, path, keys))
+
+
+def start_inventory_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bool = False,
+                        jdbc: JdbcTarget | None = None) -> StreamJob:
     """Inventory topic -> parse -> rules -> lake + landing + quarantine."""
-    parsed = ingest.parse_inventory(raw_topic)
-    ok = ingest.valid(parsed, inventory_rules())
-    bad = ingest.rejected(parsed, inventory_rules())
-    ck = paths.checkpoint_root.rstrip("/")
-    t = _trigger(available_now, "30 seconds")
-    job = StreamJob()
-    job.queries.append(sinks.lake_sink(ok, paths.lake, f"{ck}/lake", t))
-    job.queries.append(sinks.batch_sink(ok, sinks.idempotent_batch_writer(paths.landing, drop=["event_date"]),
-                                        f"{ck}/landing", trigger=t))
-    job.queries.append(sinks.batch_sink(bad, sinks.idempotent_batch_writer(paths.rejected), f"{ck}/rejected",
-                                        trigger=t))
-    return job
+    rules = inventory_rules()
+    return StreamJob([_raw_query(ingest.parse_inventory(raw_topic), paths, lambda b: ingest.valid(b, rules),
+                                 lambda b: ingest.rejected(b, rules), _trigger(available_now, "30 seconds"), jdbc)])

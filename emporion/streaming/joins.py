@@ -1,36 +1,30 @@
-"""Stream-stream attribution candidates (orders x clicks, both watermarked).
+"""Orders of a stream attributed to landed click sessions.
 
-Structured Streaming cannot rank within a group (no non-time windows on
-streams), so the streaming form emits every (order, click) candidate: a click
-of the same customer on the order's day at most ``grace`` before the order
-(the session rule with the session's latest event).  Unmatched orders are
-emitted with null click columns once the watermark passes their time range.
-The nearest-session choice is made downstream in batch (``attribution``).
-
-Both inputs need a watermark on their event time; the range condition lets
-Spark bound the join state on both sides.
+Structured Streaming cannot rank within a group, so the orders stream meets the
+*landed* session table: every micro-batch of orders is joined with the sessions
+as they are when it runs, by the same function as in batch.  An order whose
+sessions are closed by then (the clicks watermark has passed its time) gets the
+row that the batch model gives it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from ..functions.timeutil import utc_date
-from ..schemas import ATTRIBUTION_GRACE
-
-
-def order_click_candidates(orders: DataFrame, clicks: DataFrame, grace: str = ATTRIBUTION_GRACE) -> DataFrame:
-    o = orders.select("order_id", F.col("customer_id").alias("o_customer_id"), "order_total",
-                      F.col("event_timestamp").alias("order_ts"))
-    c = clicks.filter(F.col("customer_id").isNotNull()).select(
-        F.col("event_id").alias("click_event_id"), "session_id", F.col("customer_id").alias("c_customer_id"),
-        "device_type", "browser", F.col("referrer").alias("attribution_channel"),
-        F.col("event_timestamp").alias("click_ts"))
-    cond = [
-        o.o_customer_id == c.c_customer_id,
-        utc_date(o.order_ts) == utc_date(c.click_ts),
-        c.click_ts <= o.order_ts,
-        o.order_ts <= c.click_ts + F.expr(f"INTERVAL {grace}"),
-    ]
-    return o.join(c, cond, "leftOuter")
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators import attribution, staging
+from .sinks import batch_sink, idempotent_batch_writer
+
+
+def attribute_orders(orders: DataFrame, sessions: Callable[[], DataFrame], path: str, checkpoint: str,
+                     trigger: dict | None = None) -> StreamingQuery:
+    """``orders``: the landed order stream; ``sessions()`` reads the current
+    session table (grain of ``user_sessions``)."""
+    write = idempotent_batch_writer(path)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(attribution.orders_enriched(staging.stg_orders(batch), sessions()), batch_id)
+
+    return batch_sink(orders, run, checkpoint, trigger=trigger)

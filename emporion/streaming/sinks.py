@@ -1,18 +1,15 @@
 """Streaming sinks.
 
-* ``lake_sink``: append Parquet partitioned by ``event_date``; the file sink
-  commits through its own log, so a restarted query never duplicates files.
-* ``idempotent_batch_writer``: a foreachBatch function that writes every
-  micro-batch into its own ``batch_id=<n>`` folder with overwrite, so a
-  replayed batch (after a crash between write and commit) replaces its own
-  earlier output instead of appending a second copy.  Empty batches are
-  skipped (the batch is persisted, so probing it does not recompute it).
-* ``keyed_upsert_writer`` + ``current_rows`` (+ ``compact_upserts``): update-mode aggregates are
-  written per batch with the batch id; readers take, per key, the row of the
-  newest batch.  That is an upsert without a database and without growing
-  duplicates.
+* ``raw_fanout_writer``: a foreachBatch function that writes the lake
+  (partitioned by ``event_date``, then ``batch_id``), the landing copy and the
+  quarantine of one parsed micro-batch.  Every output of batch n lives under
+  ``batch_id=<n>`` and is overwritten, so a replayed batch (after a crash
+  between write and commit) replaces itself.
+* ``idempotent_batch_writer``: the same for a single output.
+* ``keyed_upsert_writer`` + ``current_rows``: update-mode rows are written per
+  batch with the batch id; readers take, per key, the row of the newest batch.
 * ``jdbc_batch_writer``: the relational landing table (needs a JDBC driver on
-  the classpath; rows carry ``batch_id`` so the target can deduplicate).
+  the classpath); its rows carry ``batch_id``, so the target can drop a replay.
 """
 
 from __future__ import annotations
@@ -26,100 +23,60 @@ from pyspark.sql.streaming import StreamingQuery
 BatchFn = Callable[[DataFrame, int], None]
 
 
-def lake_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
-              partition_by: Sequence[str] = ("event_date",), name: str | None = None) -> StreamingQuery:
-    w = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-           .partitionBy(*partition_by).outputMode("append"))
-    if name:
-        w = w.queryName(name)
-    return w.trigger(**(trigger or {"processingTime": "30 seconds"})).start()
-
-
-def _non_empty(write_fn: Callable[[DataFrame, int], None]) -> BatchFn:
-    """Skip empty micro-batches without computing a batch twice: the batch
-    is persisted, probed with ``isEmpty`` (one row), written, released."""
-    def run(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.persist()
-        try:
-            if not batch_df.isEmpty():
-                write_fn(batch_df, batch_id)
-        finally:
-            batch_df.unpersist()
-    return run
-
-
-def idempotent_batch_writer(path: str, drop: Sequence[str] = (), fmt: str = "parquet") -> BatchFn:
+def idempotent_batch_writer(path: str, drop: Sequence[str] = (), fmt: str = "parquet", jdbc: BatchFn | None = None) -> BatchFn:
     def write(batch_df: DataFrame, batch_id: int) -> None:
         out = batch_df.drop(*drop) if drop else batch_df
-        out.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
-    return _non_empty(write)
+        if jdbc is not None:
+            out.persist()
+        try:
+            out.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
+            if jdbc is not None:
+                jdbc(out, batch_id)
+        finally:
+            if jdbc is not None:
+                out.unpersist()
+    return write
 
 
 def keyed_upsert_writer(path: str) -> BatchFn:
     def write(batch_df: DataFrame, batch_id: int) -> None:
         (batch_df.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
                  .write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}"))
-    return _non_empty(write)
+    return write
 
 
 def raw_fanout_writer(lake: str, landing: str, rejected: str, valid_fn: Callable[[DataFrame], DataFrame],
-                      rejected_fn: Callable[[DataFrame], DataFrame]) -> BatchFn:
-    """One pass over a parsed micro-batch (persisted once) writing the lake
-    (partitioned by event_date, then batch_id), the landing copy and the
-    quarantine.  Every output of batch n lives under ``batch_id=<n>``, written
-    with dynamic partition overwrite, so a replayed batch replaces itself."""
+                      rejected_fn: Callable[[DataFrame], DataFrame], jdbc: BatchFn | None = None) -> BatchFn:
+    """One pass over a parsed micro-batch (persisted, as three outputs read it)."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        bid = F.lit(batch_id).cast("bigint")
-        ok = valid_fn(batch_df).withColumn("batch_id", bid)
-        (ok.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("event_date", "batch_id").parquet(lake))
-        ok.drop("event_date", "batch_id").write.mode("overwrite").parquet(f"{landing.rstrip('/')}/batch_id={batch_id}")
-        rejected_fn(batch_df).write.mode("overwrite").parquet(f"{rejected.rstrip('/')}/batch_id={batch_id}")
-    return _non_empty(write)
-
-
-def _latest_snapshot(spark: SparkSession, snapshots: str | None) -> tuple[DataFrame | None, int]:
-    if not snapshots:
-        return None, -1
-    try:
-        snap = spark.read.parquet(snapshots)
-    except Exception:  # no snapshot written yet
-        return None, -1
-    upto = snap.agg(F.max("upto")).first()[0]
-    if upto is None:
-        return None, -1
-    return snap.filter(F.col("upto") == upto).drop("upto"), int(upto)
-
-
-def current_rows(spark: SparkSession, path: str, keys: Sequence[str], snapshots: str | None = None) -> DataFrame:
-    """Newest version of every key: the latest compacted snapshot (if any)
-    plus the batches written after it (``batch_id`` partition pruning)."""
-    snap, upto = _latest_snapshot(spark, snapshots)
-    batches = spark.read.parquet(path)
-    if snap is not None:
-        batches = batches.filter(F.col("batch_id") > upto)
-    batches = batches.drop("batch_id")
-    allv = batches if snap is None else snap.unionByName(batches)
-    value_cols = [c for c in allv.columns if c not in (*keys, "_batch_id")]
-    return allv.groupBy(*keys).agg(*[F.max_by(c, F.col("_batch_id")).alias(c) for c in value_cols])
-
-
-def compact_upserts(spark: SparkSession, path: str, keys: Sequence[str], snapshots: str) -> int:
-    """Write the current rows as a snapshot ``upto=<last batch id>`` so that
-    readers skip all older batches.  Returns the batch id covered.  Older
-    batch folders are left in place (removal belongs to retention)."""
-    upto = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
-    cur = current_rows(spark, path, keys, snapshots).withColumn("_batch_id", F.lit(upto).cast("bigint"))
-    cur.write.mode("overwrite").parquet(f"{snapshots.rstrip('/')}/upto={upto}")
-    return int(upto)
-
-
-def jdbc_batch_writer(url: str, table: str, properties: dict, drop: Sequence[str] = ()) -> BatchFn:
+        batch_df.persist()
+        try:
+            bid = F.lit(batch_id).cast("bigint")
+            ok = valid_fn(batch_df).withColumn("batch_id", bid)
+            (ok.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("event_date", "batch_id").parquet(lake))
+            landed = ok.drop("event_date", "batch_id")
+            landed.write.mode("overwrite").parquet(f"{landing.rstrip('/')}/batch_id={batch_id}")
+            rejected_fn(batch_df).write.mode("overwrite").parquet(f"{rejected.rstrip('/')}/batch_id={batch_id}")
+            if jdbc is not None:
+                jdbc(landed, batch_id)
+        finally:
+            batch_df.unpersist()
+    return write
+
+
+def current_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Newest version of every key."""
+    rows = spark.read.parquet(path).drop("batch_id")
+    value_cols = [c for c in rows.columns if c not in (*keys, "_batch_id")]
+    return rows.groupBy(*keys).agg(*[F.max_by(c, F.col("_batch_id")).alias(c) for c in value_cols])
+
+
+def jdbc_batch_writer(url: str, table: str, properties: dict) -> BatchFn:
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        out = batch_df.drop(*drop) if drop else batch_df
-        out.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.jdbc(
+        batch_df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.jdbc(
             url=url, table=table, mode="append", properties=properties)
-    return _non_empty(write)
+    return write
 
 
 def batch_sink(df: DataFrame, fn: BatchFn, checkpoint: str, output_mode: str = "append",

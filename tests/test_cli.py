@@ -33,8 +33,9 @@ def test_cli_stream_hourly_models_query(spark, scratch):
 def test_cli_make_feed_then_stream_clicks(spark, scratch):
     assert cli.main(["make-feed", "clicks", "--sf-dir", SF_SMALL, "--output", f"{scratch}/feed"]) == 0
     assert cli.main(["stream-clicks", "--source", "files", "--input", f"{scratch}/feed", "--output",
-                     f"{scratch}/out", "--available-now", "--single-pass"]) == 0
-    assert spark.read.parquet(f"{scratch}/out/lake").count() == Q.click_topic_rows(spark, SF_SMALL).count()
+                     f"{scratch}/out", "--available-now", "--dedupe"]) == 0
+    kept = sum(spark.read.parquet(f"{scratch}/out/{x}").count() for x in ("lake", "rejected"))
+    assert kept == Q.click_topic_rows(spark, SF_SMALL).count()
     assert spark.read.parquet(f"{scratch}/out/aggregates").count() > 0
 
 
@@ -61,7 +62,17 @@ def test_cli_stream_orders_update_mode(spark, scratch):
     assert cli.main(["make-feed", "orders", "--sf-dir", SF_SMALL, "--output", f"{scratch}/feed"]) == 0
     assert cli.main(["stream-orders", "--source", "files", "--input", f"{scratch}/feed", "--output",
                      f"{scratch}/out", "--available-now", "--update-mode"]) == 0
-    from emporion.streaming import sinks
-    cur = sinks.current_rows(spark, f"{scratch}/out/aggregates", ["window_start", "window_end", "category",
-                                                                  "shipping_state"])
-    assert cur.count() > 5000
+    from emporion.streaming import jobs
+    assert jobs.current_order_windows(spark, f"{scratch}/out/aggregates").count() > 5000
+
+
+def test_cli_model_gates(spark, scratch, capsys):
+    fixtures.raw_orders(spark, SF_SMALL).write.parquet(f"{scratch}/orders")
+    fixtures.raw_clicks(spark, SF_SMALL).write.parquet(f"{scratch}/clicks")
+    models = ["models", "--orders", f"{scratch}/orders", "--clicks", f"{scratch}/clicks", "--output", f"{scratch}/m", "--gates"]
+    assert cli.main([*models, "--as-of", "2024-03-01T00:00:00+00:00"]) == 2      # stale and no recent rows
+    assert "stale" in capsys.readouterr().err
+    assert cli.main([*models, "--as-of", "2024-01-31T00:05:00", "--lake", f"{scratch}/none"]) == 2
+    assert "no rows in the lake" in capsys.readouterr().err
+    assert cli.main([*models, "--as-of", "2024-01-31T00:05:00", "--lake", f"{scratch}/orders"]) == 1   # failing data tests, late mart
+    assert "data test" in capsys.readouterr().err

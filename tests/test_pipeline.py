@@ -1,7 +1,10 @@
 """Model run, hourly slice + lake reads, data-quality checks with planted
 violations."""
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
+from pathlib import Path
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -129,6 +132,17 @@ def test_run_hourly_batch(spark, scratch):
     got = spark.read.parquet(f"{scratch}/out/hourly_revenue_by_category")
     exp = hourly.hourly_revenue(lake).filter(F.col("processing_hour") == "2024-01-03T05:00:00+00:00")
     assert got.count() == exp.count() > 0
+    # a start in another zone, off the hour, is the same UTC hour and the same label
+    away = datetime(2024, 1, 3, 7, 20, tzinfo=timezone(timedelta(hours=2)))
+    assert pipeline.run_hourly_batch(spark, f"{scratch}/lake", f"{scratch}/out2", away) == res
+    again = spark.read.parquet(f"{scratch}/out2/hourly_revenue_by_category")
+    assert again.drop("processed_at").exceptAll(got.drop("processed_at")).count() == 0 and again.count() == got.count()
+    # an unreadable lake is an error, not a missing one
+    (Path(scratch) / "bad").mkdir()
+    (Path(scratch) / "bad" / "x.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        pipeline.run_hourly_batch(spark, f"{scratch}/bad", f"{scratch}/out3", away)
+    assert not quality.lake_non_empty(spark, f"{scratch}/missing") and quality.lake_non_empty(spark, f"{scratch}/lake")
     assert spark.read.parquet(f"{scratch}/out/hourly_top_products").count() > 0
 
 

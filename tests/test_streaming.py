@@ -1,6 +1,7 @@
 """Structured Streaming: stream == batch on closed windows, restart safety,
 late data, dedup, session windows and the upsert sink."""
 
+import json
 import os
 import shutil
 
@@ -63,17 +64,18 @@ def test_orders_job_matches_batch(spark, order_feed, scratch):
     job.wait()
     lake = spark.read.parquet(paths.lake)
     batch_valid = ingest.valid_orders(ingest.parse_orders(Q.order_topic_rows(spark, SF_SMALL)))
-    assert lake.count() == batch_valid.dropDuplicates(["order_id"]).count()
+    assert lake.count() == batch_valid.count()
     assert lake.rdd.getNumPartitions() >= 1 and "event_date" in lake.columns
     landing = spark.read.parquet(paths.landing)
     assert landing.count() == lake.count() and "event_date" not in landing.drop("batch_id").columns
+    assert lake.count() + spark.read.parquet(paths.rejected).count() == Q.order_topic_rows(spark, SF_SMALL).count()
     rejected = spark.read.parquet(paths.rejected)
     assert rejected.count() == ingest.rejected_orders(ingest.parse_orders(Q.order_topic_rows(spark, SF_SMALL))).count()
 
     stream_agg = spark.read.parquet(paths.aggregates).withColumn("window_start", F.col("window_start").cast("timestamp_ntz")) \
         .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
     max_ts = batch_valid.agg(F.max("event_timestamp")).first()[0].replace(tzinfo=None)
-    b = windows.order_windows(ingest.to_money(batch_valid.dropDuplicates(["order_id"]), ["order_total"]))
+    b = windows.order_windows(ingest.to_money(batch_valid, ["order_total"]))
     b = b.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")) \
          .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
     ra, rb = _cmp(stream_agg, _closed(b, max_ts, 10), ORDER_COLS)
@@ -83,22 +85,69 @@ def test_orders_job_matches_batch(spark, order_feed, scratch):
 
 def test_restart_from_checkpoint_no_duplicates(spark, order_feed, scratch):
     paths = _paths(scratch)
-    src = sources.file_topic(spark, order_feed, max_files_per_trigger=1)
-    q = sinks.lake_sink(ingest.valid_orders(ingest.parse_orders(src)), paths.lake, f"{scratch}/ck/lake",
-                        trigger={"availableNow": True})
-    q.awaitTermination()
-    first = spark.read.parquet(paths.lake).count()
+
+    def run():
+        jobs.start_orders_job(sources.file_topic(spark, order_feed, max_files_per_trigger=1), paths, available_now=True).wait()
+        return spark.read.parquet(paths.lake).count()
+
+    first = run()
     # second run on the same checkpoint: nothing new to read, nothing re-written
-    q = sinks.lake_sink(ingest.valid_orders(ingest.parse_orders(src)), paths.lake, f"{scratch}/ck/lake",
-                        trigger={"availableNow": True})
-    q.awaitTermination()
-    assert spark.read.parquet(paths.lake).count() == first
+    assert run() == first
     # a replayed foreachBatch batch overwrites its own folder
-    w = sinks.idempotent_batch_writer(f"{scratch}/landing")
-    df = spark.read.parquet(paths.lake).limit(10)
+    w = sinks.idempotent_batch_writer(f"{scratch}/once")
+    df = spark.read.parquet(paths.lake).drop("batch_id").limit(10)
     w(df, 7)
     w(df, 7)
-    assert spark.read.parquet(f"{scratch}/landing").count() == 10
+    assert spark.read.parquet(f"{scratch}/once").count() == 10
+
+
+def _topic(spark, events):
+    """Order events as topic rows, in the given order."""
+    base = {"event_type": "ORDER_PLACED", "customer_id": "C1", "product_id": "P1", "product_name": "n", "category": "c",
+            "quantity": 1, "unit_price": 5.0, "order_total": 5.0, "order_status": "PLACED", "shipping_state": "s",
+            "payment_method": "p"}
+    rows = [(bytearray(b"k"), bytearray(json.dumps({**base, **e}).encode()), "orders", 0, i) for i, e in enumerate(events)]
+    return spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset long").select(
+        "*", F.lit("2024-01-01").cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"))
+
+
+@pytest.mark.parametrize("update_mode", [False, True])
+def test_raw_sinks_keep_late_events_and_second_states(spark, scratch, update_mode):
+    """An event far behind the watermark and another state of one order reach
+    lake and landing; only the windows leave the late event out."""
+    at = "2024-01-01T{}:00+00:00".format
+    files = [[{"order_id": "A", "event_timestamp": at("10:00")}],
+             [{"order_id": "B", "event_timestamp": at("12:00")}],
+             [{"order_id": "C", "event_timestamp": at("13:00")}],
+             [{"order_id": "LATE", "event_timestamp": at("10:01")},
+              {"order_id": "C", "event_timestamp": at("13:01"), "order_status": "SHIPPED"},
+              {"order_id": "BIG", "event_timestamp": at("13:02"), "order_total": 1e12}, {"order_id": None, "event_timestamp": at("13:02")}],
+             [{"order_id": "D", "event_timestamp": at("14:00")}]]
+    for i, events in enumerate(files):
+        _topic(spark, events).coalesce(1).write.parquet(f"{scratch}/feed/f{i}")
+    paths = _paths(scratch)
+    jobs.start_orders_job(sources.file_topic(spark, f"{scratch}/feed"), paths, available_now=True, update_mode=update_mode).wait()
+    for where in (paths.lake, paths.landing):
+        got = sorted((r.order_id, r.order_status, float(r.order_total)) for r in spark.read.parquet(where).collect())
+        assert got == sorted([("A", "PLACED", 5.0), ("B", "PLACED", 5.0), ("C", "PLACED", 5.0), ("LATE", "PLACED", 5.0),
+                              ("C", "SHIPPED", 5.0), ("BIG", "PLACED", 1e12), ("D", "PLACED", 5.0)])
+    assert spark.read.parquet(paths.rejected).count() == 1
+    rows = (jobs.current_order_windows(spark, paths.aggregates) if update_mode else spark.read.parquet(paths.aggregates)).collect()
+    counts = {r.window_start.strftime("%H:%M"): r.order_count for r in rows}
+    assert counts["10:00"] == 1 and counts["12:00"] == 1 and counts["13:00"] == 3
+
+
+def test_jdbc_landing_is_wired(spark, order_feed, scratch, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    calls = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, mode=None, properties=None:
+                        calls.append((url, table, mode, properties, sorted(self._df.columns))))
+    paths = _paths(scratch)
+    target = jobs.JdbcTarget("jdbc:test:db", "shop_", {"user": "u"})
+    jobs.start_orders_job(sources.file_topic(spark, order_feed), paths, available_now=True, jdbc=target).wait()
+    assert {c[1] for c in calls} == {"shop_landing", "shop_aggregates"}
+    assert all(c[0] == "jdbc:test:db" and c[2] == "append" and c[3] == {"user": "u"} and "batch_id" in c[4] for c in calls)
 
 
 def test_late_rows_are_dropped_and_counted(spark, scratch):
@@ -128,10 +177,16 @@ def test_dedup_within_watermark(spark, order_feed, scratch):
     shutil.copytree(f"{order_feed}/f00", f"{feed}/f00_redelivered")  # producer retry: same events again
     paths = _paths(scratch)
     job = jobs.start_orders_job(sources.file_topic(spark, feed, max_files_per_trigger=None), paths,
-                                available_now=True)
+                                available_now=True, dedupe=True)
     job.wait()
     lake = spark.read.parquet(paths.lake)
-    assert lake.count() == lake.dropDuplicates(["order_id"]).count()
+    assert lake.count() > lake.dropDuplicates(["order_id"]).count()  # raw sinks keep every delivery
+    one = _paths(f"{scratch}/one")
+    jobs.start_orders_job(sources.file_topic(spark, order_feed, max_files_per_trigger=None), one, available_now=True, dedupe=True).wait()
+    ra, rb = _cmp(spark.read.parquet(paths.aggregates), spark.read.parquet(one.aggregates), ORDER_COLS)
+    assert len(ra) > 5000 and ra == rb  # the windows count each event once
+    with pytest.raises(ValueError):
+        jobs.start_orders_job(sources.file_topic(spark, feed), paths, dedupe=True, update_mode=True)
 
 
 def test_clicks_job_funnel_and_sessions(spark, click_feed, scratch):
@@ -158,10 +213,10 @@ def test_clicks_job_funnel_and_sessions(spark, click_feed, scratch):
 def test_update_mode_upsert_keeps_latest(spark, order_feed, scratch):
     paths = _paths(scratch)
     job = jobs.start_orders_job(sources.file_topic(spark, order_feed), paths, available_now=True,
-                                update_mode=True, dedupe=False)
+                                update_mode=True)
     job.wait()
     keys = ["window_start", "window_end", "category", "shipping_state"]
-    cur = sinks.current_rows(spark, paths.aggregates, keys)
+    cur = jobs.current_order_windows(spark, paths.aggregates)
     assert cur.count() == cur.dropDuplicates(keys).count()
     batch = windows.order_windows(ingest.to_money(
         ingest.valid_orders(ingest.parse_orders(Q.order_topic_rows(spark, SF_SMALL))), ["order_total"]))
@@ -181,30 +236,42 @@ def test_inventory_job(spark, scratch):
     assert "stock_after" in spark.read.parquet(paths.lake).columns
 
 
-def test_stream_stream_candidates_equal_batch(spark, order_feed, click_feed, scratch):
+def test_stream_attribution_equals_batch(spark, scratch):
+    """Orders of a stream get the session that the batch model gives them: one
+    inside a session with a two-hour gap, one after midnight, one unmatched."""
+    from emporion.operators import attribution, staging
     from emporion.streaming import joins
-    o = ingest.valid_orders(ingest.parse_orders(sources.file_topic(spark, order_feed))) \
-        .withWatermark("event_timestamp", "10 minutes")
-    c = ingest.valid_clicks(ingest.parse_clicks(sources.file_topic(spark, click_feed))) \
-        .withWatermark("event_timestamp", "15 minutes")
-    q = (joins.order_click_candidates(o, c).writeStream.format("memory").queryName("cand")
-            .option("checkpointLocation", f"{scratch}/ck").outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = spark.table("cand").filter("click_event_id is not null").select("order_id", "click_event_id")
-    bo = ingest.valid_orders(ingest.parse_orders(Q.order_topic_rows(spark, SF_SMALL)))
-    bc = ingest.valid_clicks(ingest.parse_clicks(Q.click_topic_rows(spark, SF_SMALL)))
-    exp = joins.order_click_candidates(bo, bc).filter("click_event_id is not null").select(
-        "order_id", "click_event_id")
-    g, e = sorted(map(tuple, got.collect())), sorted(map(tuple, exp.collect()))
-    assert len(e) > 10 and g == e
+
+    clicks = [("e1", "S1", "C1", "2024-01-02 10:00"), ("e2", "S1", "C1", "2024-01-02 12:00"), ("e3", "S2", "C1", "2024-01-02 23:50"),
+              ("e4", "S3", "C2", "2024-01-02 09:00"), ("e5", "S4", "C2", "2024-01-02 09:10")]
+    rows = [(e, s, c, "PAGE_VIEW", "/p", "mobile", "b", "google", None, None, None, None) for e, s, c, _ in clicks]
+    times = {e: t for e, _, _, t in clicks}
+    raw = spark.createDataFrame(rows, "event_id string, session_id string, customer_id string, event_type string, page string, device_type string, "
+                                      "browser string, referrer string, product_id string, search_term string, results_count int, cart_value decimal(10,2)")
+    raw = raw.withColumn("event_timestamp", F.create_map(*[F.lit(x) for kv in times.items() for x in kv])[F.col("event_id")].cast("timestamp_ntz"))
+    raw = raw.withColumn("processed_at", F.col("event_timestamp"))
+    sessions.user_sessions(staging.stg_clickstream(raw)).write.parquet(f"{scratch}/sessions")
+    at = "2024-01-0{}:00+00:00".format
+    events = [{"order_id": "gap", "customer_id": "C1", "event_timestamp": at("2T11:00")}, {"order_id": "midnight", "customer_id": "C1", "event_timestamp": at("3T00:05")},
+              {"order_id": "near", "customer_id": "C2", "event_timestamp": at("2T09:20")}, {"order_id": "none", "customer_id": "C9", "event_timestamp": at("2T09:20")}]
+    _topic(spark, events).coalesce(1).write.parquet(f"{scratch}/feed/f0")
+    paths = _paths(scratch)
+    jobs.start_orders_job(sources.file_topic(spark, f"{scratch}/feed"), paths, available_now=True).wait()
+    landed = spark.read.parquet(paths.landing).drop("batch_id")
+    stream = spark.readStream.schema(landed.schema).option("recursiveFileLookup", "true").parquet(paths.landing)
+    joins.attribute_orders(stream, lambda: spark.read.parquet(f"{scratch}/sessions"), f"{scratch}/enriched", f"{scratch}/ck/enriched",
+                           {"availableNow": True}).awaitTermination()
+    got = spark.read.parquet(f"{scratch}/enriched").drop("batch_id")
+    want = attribution.orders_enriched(staging.stg_orders(landed), spark.read.parquet(f"{scratch}/sessions"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert {r.order_id: r.session_id for r in got.collect()} == {"gap": "S1", "midnight": None, "near": "S4", "none": None}
 
 
 def test_funnel_update_mode_upsert(spark, click_feed, scratch):
     paths = _paths(scratch)
     job = jobs.start_clicks_job(sources.file_topic(spark, click_feed), paths, available_now=True, update_mode=True)
     job.wait()
-    keys = ["window_start", "window_end", "device_type", "referrer"]
-    cur = sinks.current_rows(spark, paths.aggregates, keys)
+    cur = jobs.current_funnel_windows(spark, paths.aggregates)
     batch = windows.funnel_windows(ingest.valid_clicks(ingest.parse_clicks(Q.click_topic_rows(spark, SF_SMALL))))
     cols = ["window_start", "device_type", "referrer", "page_views", "checkouts", "unique_sessions", "unique_users",
             "conversion_rate_pct"]
@@ -212,9 +279,9 @@ def test_funnel_update_mode_upsert(spark, click_feed, scratch):
     assert len(ra) > 500 and ra == rb
 
 
-def test_single_pass_fanout_is_replay_safe(spark, order_feed, scratch):
+def test_raw_fanout_is_replay_safe(spark, order_feed, scratch):
     paths = _paths(scratch)
-    job = jobs.start_orders_job(sources.file_topic(spark, order_feed), paths, available_now=True, single_pass=True)
+    job = jobs.start_orders_job(sources.file_topic(spark, order_feed), paths, available_now=True)
     job.wait()
     batch_parsed = ingest.parse_orders(Q.order_topic_rows(spark, SF_SMALL))
     lake = spark.read.parquet(paths.lake)
@@ -248,7 +315,7 @@ def test_resume_after_partial_run_equals_one_run(spark, order_feed, scratch):
     # a new job on the same checkpoints continues where the first stopped
     jobs.start_orders_job(sources.file_topic(spark, feed), paths, available_now=True).wait()
     lake = spark.read.parquet(paths.lake)
-    assert half < lake.count() == lake.dropDuplicates(["order_id"]).count()
+    assert half < lake.count()
 
     one = _paths(f"{scratch}/one")
     jobs.start_orders_job(sources.file_topic(spark, order_feed), one, available_now=True).wait()
@@ -261,38 +328,18 @@ def test_observed_metrics_in_progress(spark, order_feed, scratch):
     paths = _paths(scratch)
     job = jobs.start_orders_job(sources.file_topic(spark, order_feed), paths, available_now=True)
     job.wait()
-    rejected_q = job.queries[2]
-    seen = [p["observedMetrics"]["rejected_orders"]["rows"] for p in rejected_q.recentProgress
-            if p.get("observedMetrics", {}).get("rejected_orders")]
-    batch = ingest.rejected_orders(ingest.parse_orders(Q.order_topic_rows(spark, SF_SMALL))).count()
-    assert sum(seen) == batch > 0
-
-
-def test_update_mode_with_default_dedup_starts(spark, order_feed, scratch):
-    paths = _paths(scratch)
-    job = jobs.start_orders_job(sources.file_topic(spark, order_feed), paths, available_now=True, update_mode=True)
-    job.wait()
-    assert all(q.exception() is None for q in job.queries)
-    keys = ["window_start", "window_end", "category", "shipping_state"]
-    assert sinks.current_rows(spark, paths.aggregates, keys).count() > 5000
-    lake = spark.read.parquet(paths.lake)
-    assert lake.count() == lake.dropDuplicates(["order_id"]).count()
+    seen = [p["observedMetrics"]["parsed_orders"]["rows"] for p in job.queries[0].recentProgress
+            if p.get("observedMetrics", {}).get("parsed_orders")]
+    assert sum(seen) == Q.order_topic_rows(spark, SF_SMALL).count() > 0
 
 
-def test_upsert_compaction_keeps_current_rows(spark, scratch):
-    keys = ["k"]
+def test_upsert_keeps_current_rows(spark, scratch):
     w = sinks.keyed_upsert_writer(f"{scratch}/agg")
     w(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), 0)
     w(spark.createDataFrame([("a", 2)], "k string, v int"), 1)
-    snap = f"{scratch}/snap"
-    assert sinks.compact_upserts(spark, f"{scratch}/agg", keys, snap) == 1
     w(spark.createDataFrame([("b", 3), ("c", 3)], "k string, v int"), 2)
-    got = {r.k: r.v for r in sinks.current_rows(spark, f"{scratch}/agg", keys, snap).collect()}
-    assert got == {"a": 2, "b": 3, "c": 3}
-    plain = {r.k: r.v for r in sinks.current_rows(spark, f"{scratch}/agg", keys).collect()}
-    assert plain == got
-    assert sinks.compact_upserts(spark, f"{scratch}/agg", keys, snap) == 2
-    assert {r.k: r.v for r in sinks.current_rows(spark, f"{scratch}/agg", keys, snap).collect()} == got
+    w(spark.createDataFrame([], "k string, v int"), 3)
+    assert {r.k: r.v for r in sinks.current_rows(spark, f"{scratch}/agg", ["k"]).collect()} == {"a": 2, "b": 3, "c": 3}
 
 
 def test_disorder_within_watermark_is_not_lost(spark, scratch):
