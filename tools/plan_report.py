@@ -16,7 +16,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from emporion.plans.queries import QUERIES  # noqa: E402
 from emporion.session import local_session  # noqa: E402
 
 OPS = ["Exchange", "BroadcastExchange", "SortMergeJoin", "ShuffledHashJoin", "BroadcastHashJoin",
@@ -47,7 +47,7 @@ def main() -> None:
           "re-planning (explicit broadcasts of fixed-size tables remain). Generated by `tools/plan_report.py`.\n")
     print("| query | shuffles | joins | aggregates | windows | scans (pushed filters) | columns read per scan |")
     print("|---|---|---|---|---|---|---|")
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf)
         plan = df._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
