@@ -24,7 +24,8 @@ Examples are a bounded sample of the labelled rows (``examples``, at most that
 many by smallest hash of the id); everything else reads all rows.
 
 Defined results: a null or empty text is scored like any text without terms;
-repeated labels of a document agree on the largest; labels without a document or
+repeated labels of a document agree on the largest, of rows with its id the least
+text is the example; labels without a document or
 without a value count for nothing; with no labels at all every score is 0;
 repeated rows each get their row; an empty table gives none; other columns are
 never read.
@@ -209,7 +210,8 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 12_000, terms: int =
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     chosen = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sample = texts.join(F.broadcast(chosen), "doc_id")
+    # one text of each example, however often its row is repeated
+    sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:  # features that the examples of a batch hold, by label
