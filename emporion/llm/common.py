@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -41,3 +42,9 @@ def written(df: DataFrame, what: str, compression: str = "zstd") -> DataFrame:
     path = scratch(df.sparkSession, what)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``df``, a written table of ids, marked for broadcast where its counted
+    size allows (8 bytes a row); beyond that Spark joins it by a shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df

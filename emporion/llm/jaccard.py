@@ -13,17 +13,21 @@ link when 100 * |A n B| >= percent * |A u B|.  Every step keeps every link:
    counted: sets that link share many first shingles, by sizes alone at least a
    known number, and pairs below it are dropped (those that also meet in a large
    bucket are judged there).
-4. In large buckets each node is tried with the first of its size range; the
-   links found give provisional components.
-5. The rest of a large bucket is a signature tree: leaves are nodes with a token
-   bitmap (the parity of shingles in each of 1024 classes), upper levels hold the
-   OR and the AND of their bitmaps, the range of sizes and the component if it is
-   one.  A dual traversal of the tree drops node pairs of one component and
-   pairs whose greatest possible overlap, by sizes and by bits that must differ,
-   is too small.  A bucket beyond ``TREE_ROWS`` is several trees, traversed
-   pair by pair where their sizes allow a link.
-6. Remaining pairs are checked on their whole sets, and connected components of
-   the links are taken.
+4. In large buckets each node is tried with its neighbours in size; the links
+   found give provisional components.
+5. A large bucket is a signature tree: leaves are nodes with a token bitmap (the
+   parity of shingles in each class; wider for larger sets, and folded where two
+   widths meet), upper levels hold the OR and the AND of their bitmaps, the range
+   of sizes and the component if it is one.  A dual traversal of the tree drops
+   node pairs of one component and pairs whose greatest possible overlap, by
+   sizes and by bits that must differ, is too small.  A bucket beyond
+   ``TREE_ROWS`` is several trees, traversed pair by pair where their sizes allow
+   a link.  First traversals give each node's most similar open partners only,
+   whose links join components; the last one gives every pair that is still open,
+   so large groups of near copies cost a few checks per node and lose no link.
+6. Of the pairs that stay, those are dropped whose first shingles rule a link
+   out; the rest is checked on whole sets, and connected components of the links
+   are taken.
 
 A set is never cut; buckets, pairs and candidates have no cap.
 
@@ -47,17 +51,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import U64, blocks, mix
-from .common import written
+from .common import small, written
 from .components import components
 
 #: classes of shingle keys whose loads tell common shingles (fixed size: 128 KB of flags)
 CLASS_BITS, SLICE_BITS = 20, 14
-BITMAP_WORDS = 16
+#: narrowest bitmap; a set of n shingles has the next power of two of n bits
+LEAST_BITS = 512
 #: nodes in a bucket whose pairs are counted one by one
 SMALL = 16
 #: nodes in one signature tree
 TREE_ROWS = 4096
 LEAF, FAN = 8, 8
+#: partners of each node in the first traversals
+NEAREST = (2,)
 
 
 def first_count(n, percent: int):
@@ -119,13 +126,17 @@ def node_of(keys: np.ndarray) -> int:
 
 
 def bitmap_of(keys: np.ndarray) -> bytes:
-    bits = np.bincount((keys & U64(64 * BITMAP_WORDS - 1)).astype(np.int64), minlength=64 * BITMAP_WORDS) & 1
+    """Parities of the shingles in each class of their low bits.  Folding the
+    upper half onto the lower by XOR gives the bitmap of half the width."""
+    width = max(LEAST_BITS, 1 << (len(keys) - 1).bit_length())
+    bits = np.bincount((keys & U64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(bits.astype(bool)).tobytes()
 
 
 def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, n, node, first, bitmap); ``first`` and ``bitmap`` are null for
-    copies that the same task has seen, and node for an empty set."""
+    """(doc_id, n, node, first, early, bitmap): the first shingles in order, how
+    many of them are not common, and the bitmap; these are null for copies that
+    the same task has seen, and node for an empty set."""
     flags = docs.sparkSession.sparkContext.broadcast(np.packbits(common_classes(docs, k)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,37 +144,38 @@ def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
         for batch in batches:
             for b in blocks(batch.column("text"), fold=True):
                 g, at = b.shingles(k)
-                n, node, first, bitmap = [], [], [], []
+                n, node, first, early, bitmap = [], [], [], [], []
                 for i, j in zip(at.tolist(), at[1:].tolist()):
                     if i == j:
-                        n.append(0), node.append(None), first.append(None), bitmap.append(None)
+                        n.append(0), node.append(None), first.append(None), early.append(None), bitmap.append(None)
                         continue
                     keys = np.unique(g[i:j])
                     key = node_of(keys)
                     n.append(len(keys)), node.append(key)
                     if key in seen:
-                        first.append(None), bitmap.append(None)
+                        first.append(None), early.append(None), bitmap.append(None)
                         continue
                     if len(seen) > 500_000:
                         seen.clear()
                     seen.add(key)
                     late = common[(keys >> U64(64 - CLASS_BITS)).astype(np.int64)]
                     p = first_count(len(keys), percent)
-                    early = keys[~late][:p]
-                    first.append(np.concatenate([early, keys[late][:p - len(early)]]).view(np.int64))
+                    rare = keys[~late][:p]
+                    early.append(len(rare))
+                    first.append(np.concatenate([rare, keys[late][:p - len(rare)]]).view(np.int64))
                     bitmap.append(bitmap_of(keys))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(b.row, b.n_docs), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
-                     pa.array(first, pa.list_(pa.int64())), pa.array(bitmap, pa.binary())],
-                    names=["doc_id", "n", "node", "first", "bitmap"])
+                     pa.array(first, pa.list_(pa.int64())), pa.array(early, pa.int64()), pa.array(bitmap, pa.binary())],
+                    names=["doc_id", "n", "node", "first", "early", "bitmap"])
 
-    return written(_texts(docs).mapInArrow(run, "doc_id long, n long, node long, first array<long>, bitmap binary"), "profiles")
+    return written(_texts(docs).mapInArrow(run, "doc_id long, n long, node long, first array<long>, early long, bitmap binary"), "profiles")
 
 
 def meetings(base: DataFrame, percent: int) -> DataFrame:
     """What the buckets give, as rows (kind, a, b, na, nb, c): kind 0, pairs of
-    small buckets and in how many they met; kind 1, pairs with the first of a
-    large one's size range; kind 2, members of large ones (a: node, b: shingle,
+    small buckets and in how many they met; kind 1, pairs of a large one's
+    neighbours in size and with the first of equal size; kind 2, members of large ones (a: node, b: shingle,
     na: size, c: tree)."""
     order = ["shingle", "n", "node"]
     posted = base.where("first is not null").select(F.explode("first").alias("shingle"), "n", "node")
@@ -210,12 +222,12 @@ def meetings(base: DataFrame, percent: int) -> DataFrame:
             left, right, member, tree = [], [], [], []
             for g in np.flatnonzero(large).tolist():
                 a, z = int(begin[g]), int(begin[g] + size[g])
-                i = a
-                while i < z:
-                    j = i + int(np.searchsorted(n[i:z], 100 * n[i] // percent, side="right"))
-                    left.append(np.full(j - i - 1, i))
-                    right.append(np.arange(i + 1, j))
-                    i = j
+                here = np.arange(a, z)
+                run = np.maximum.accumulate(np.where(np.r_[True, n[a + 1:z] != n[a:z - 1]], here, 0))
+                for i, j in ((here[:-1], here[1:]), (here[:-2], here[2:]), (run, here)):
+                    near = (j > i) & (100 * n[i] >= percent * n[j])
+                    left.append(i[near])
+                    right.append(j[near])
                 for i in range(a, z, TREE_ROWS):
                     j = min(z, i + TREE_ROWS)
                     member.append(np.arange(i, j))
@@ -251,9 +263,10 @@ def meetings(base: DataFrame, percent: int) -> DataFrame:
                    .mapInArrow(run, "kind int, a long, b long, na long, nb long, c long"), "meetings")
 
 
-def traverse(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, side: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def traverse(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, side: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Dual traversal of a signature tree with itself, or of the trees of two
-    sides: index pairs whose sizes, bitmaps and components leave a link open."""
+    sides: index pairs whose sizes, bitmaps and components leave a link open,
+    and how many bits differ."""
     order = np.lexsort((n, comp, side if side is not None else np.zeros(len(n), np.int64)))
     n, bits, comp = n[order], bits[order], comp[order]
     split = int((side == 0).sum()) if side is not None else len(n)
@@ -322,12 +335,50 @@ def traverse(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, side: np.ndarray
         differ = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
         most = np.minimum((n[x] + n[y] - differ) // 2, np.minimum(n[x], n[y]))
         keep = (comp[x] != comp[y]) & ((100 + percent) * most >= percent * (n[x] + n[y]))
-        out.append((order[x[keep]], order[y[keep]]))
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 2
-
-
-def tree_pairs(members: DataFrame, base: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of large buckets that the signature trees leave open."""
+        out.append((order[x[keep]], order[y[keep]], differ[keep]))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+
+
+def open_pairs(n: np.ndarray, bitmaps: list[bytes], comp: np.ndarray, side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``traverse`` for bitmaps of several widths.  Linked sets differ in width
+    by a factor of two at most; there the wider is folded."""
+    width, out = np.array([len(b) for b in bitmaps]), []
+    at = {int(w): np.flatnonzero(width == w) for w in np.unique(width)}
+    bits = {w: np.frombuffer(b"".join(bitmaps[i] for i in rows), dtype=np.uint64).reshape(len(rows), -1) for w, rows in at.items()}
+
+    def add(rows: np.ndarray, b: np.ndarray, sides: np.ndarray | None) -> None:
+        if len(rows) > 1 and (sides is None or 0 < sides.sum() < len(sides)):
+            i, j, d = traverse(n[rows], b, comp[rows], sides, percent)
+            out.append((rows[i], rows[j], d))
+
+    for w, rows in at.items():
+        two = bool(side.any()) or None
+        add(rows, bits[w], side[rows] if two else None)
+        if 2 * w in at:
+            wide = at[2 * w]
+            folded = bits[2 * w].reshape(len(wide), 2, -1)
+            folded = folded[:, 0] ^ folded[:, 1]
+            for x in (0, 1) if two else (None,):
+                a = np.ones(len(rows), bool) if x is None else side[rows] == x
+                b = np.ones(len(wide), bool) if x is None else side[wide] != x
+                both = np.concatenate([rows[a], wide[b]])
+                add(both, np.concatenate([bits[w][a], folded[b]]), np.repeat([0, 1], [int(a.sum()), int(b.sum())]))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+
+
+def nearest_of(i: np.ndarray, j: np.ndarray, differ: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs are among the ``most`` of least difference of either member."""
+    pair = np.tile(np.arange(len(i)), 2)
+    member = np.concatenate([i, j])
+    order = np.lexsort((differ[pair], member))
+    member, pair = member[order], pair[order]
+    begin = np.maximum.accumulate(np.where(np.r_[True, member[1:] != member[:-1]], np.arange(len(member)), 0))
+    return np.unique(pair[np.arange(len(member)) - begin < most])
+
+
+def tree_pairs(members: DataFrame, base: DataFrame, found: DataFrame, percent: int, most: int | None = None) -> DataFrame:
+    """Pairs (a, b) of large buckets that the signature trees leave open; with
+    ``most`` only that many of each node in a tree, the most similar."""
     rows = members.select(F.col("b").alias("shingle"), F.col("c").alias("tree"), F.col("a").alias("node"), F.col("na").alias("n"))
     rows = rows.join(found, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
     # buckets of one component are done
@@ -346,21 +397,102 @@ def tree_pairs(members: DataFrame, base: DataFrame, found: DataFrame, percent: i
         "shingle", "tree1", F.col("tree").alias("tree2"), "node", "n", "comp", "bitmap", F.lit(1).alias("side"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        bits = np.frombuffer(b"".join(pdf["bitmap"]), dtype=np.uint64).reshape(len(pdf), -1)
-        side = pdf["side"].to_numpy()
         node = pdf["node"].to_numpy()
-        i, j = traverse(pdf["n"].to_numpy(), bits, pdf["comp"].to_numpy(), side if side.any() else None, percent)
+        i, j, differ = open_pairs(pdf["n"].to_numpy(), pdf["bitmap"].tolist(), pdf["comp"].to_numpy(), pdf["side"].to_numpy(), percent)
+        if most is not None and len(i):
+            keep = nearest_of(i, j, differ, most)
+            i, j = i[keep], j[keep]
         return pd.DataFrame({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])})
 
     return sides.unionByName(other).groupBy("shingle", "tree1", "tree2").applyInPandas(run, "a long, b long").distinct()
 
 
+def _beside(pairs: DataFrame, data: DataFrame) -> DataFrame:
+    """Rows (a, b, data) in order: for each a its own data (b null), then those
+    of its partners b.  A node with very many partners is dealt over several
+    groups; every partner's data is sent once per pair, its own once per group."""
+    many = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_n"))
+    dealt = pairs.join(many, "a").withColumn("deal", F.pmod(F.xxhash64("b"), 1 + F.expr("_n div 2048"))).drop("_n")
+    own = dealt.select("a", "deal").distinct().join(data.withColumnRenamed("node", "a"), "a")
+    partners = dealt.join(data.withColumnRenamed("node", "b"), "b")
+    return (own.select("a", "deal", F.lit(None).cast("long").alias("b"), "data").unionByName(partners.select("a", "deal", "b", "data"))
+            .repartition("a", "deal").sortWithinPartitions("a", "deal", F.col("b").asc_nulls_first()).select("a", "b", "data"))
+
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return written(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
+
+
+def _judge(passes):
+    """A task over ``_beside`` rows that keeps the pairs for which ``passes(own, other)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None
+        for batch in batches:
+            out, data = [], batch.column("data")
+            at = np.frombuffer(data.buffers()[1], dtype=np.int32)[data.offset:data.offset + len(data) + 1]
+            flat = np.frombuffer(data.buffers()[2], dtype=np.uint8) if data.buffers()[2] is not None else np.zeros(0, np.uint8)
+            for a, b, i, j in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), at.tolist(), at[1:].tolist()):
+                keys = flat[i:j].copy().view(np.uint64)
+                if b is None:
+                    own = keys
+                elif passes(own, keys):
+                    out.append((a, b))
+            if out:
+                x, y = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _common(own: np.ndarray, keys: np.ndarray) -> int:
+    """Common elements of two sorted arrays without repeats."""
+    if not len(own):
+        return 0
+    at = np.searchsorted(own, keys)
+    return int((own[np.minimum(at, len(own) - 1)] == keys).sum())
+
+
+def possible(pairs: DataFrame, base: DataFrame, percent: int) -> DataFrame:
+    """``pairs(a, b)`` without those whose first shingles rule a link out: beyond
+    the shingles that both show, at most the rest of the smaller can be common."""
+
+    def passes(own: np.ndarray, other: np.ndarray) -> bool:
+        sizes, shown, ends = [], [], []
+        for x in (own, other):
+            n, early, all_ = int(x[0]), int(x[1]), len(x) - 2
+            sizes.append(n)
+            shown.append(x[2:2 + early])
+            ends.append(int(x[1 + early]) if early == all_ and early < n else (1 << 64) - 1)
+        end = U64(min(ends))
+        a, b = (x[:int(np.searchsorted(x, end, side="right"))] for x in shown)
+        most = _common(a, b) + min(sizes[0] - len(a), sizes[1] - len(b))
+        return (100 + percent) * most >= percent * sum(sizes)
+
+    pairs = written(pairs.select("a", "b"), "pairs")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = batch.column("first")
+            at, flat = first.offsets.to_numpy(), first.values.to_numpy()
+            raw = [np.concatenate([[n, e], flat[i:j]]).astype(np.int64).tobytes()
+                   for n, e, i, j in zip(batch.column("n").to_pylist(), batch.column("early").to_pylist(), at.tolist(), at[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(raw, pa.binary())], names=["node", "data"])
+
+    shown = base.where("first is not null").join(small(_nodes(pairs)), "node", "left_semi").select("node", "n", "early", "first")
+    data = shown.mapInArrow(pack, "node long, data binary").groupBy("node").agg(F.first("data").alias("data"))
+    return _beside(pairs, written(data, "first", "lz4")).mapInArrow(_judge(passes), "a long, b long")
+
+
 def checked(pairs: DataFrame, docs: DataFrame, base: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of ``pairs(a, b)`` whose whole sets link."""
     pairs = written(pairs.select("a", "b"), "pairs")
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    nodes = small(_nodes(pairs))
     some = base.where("node is not null").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    texts = _texts(docs).join(some.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
+    ids = written(some.select("doc_id").distinct(), "ids")
+    texts = _texts(docs).join(small(ids), "doc_id", "left_semi").select("text")
+    if ids.where("doc_id is null").count():  # nodes of rows without any id
+        texts = texts.unionByName(_texts(docs).where("doc_id is null").select("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -368,35 +500,16 @@ def checked(pairs: DataFrame, docs: DataFrame, base: DataFrame, k: int, percent:
                 g, at = b.shingles(k)
                 keys = [np.unique(g[i:j]) for i, j in zip(at.tolist(), at[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in keys], pa.int64()), pa.array([x.tobytes() for x in keys], pa.binary())],
-                                                 names=["node", "keys"])
+                                                 names=["node", "data"])
 
-    whole = texts.mapInArrow(sets, "node long, keys binary").join(nodes, "node", "left_semi")
-    whole = written(whole.groupBy("node").agg(F.first("keys").alias("keys")), "sets", "lz4")
-    # a node with very many partners is dealt over several groups
-    many = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_n"))
-    dealt = pairs.join(many, "a").withColumn("deal", F.pmod(F.xxhash64("b"), 1 + F.expr("_n div 2048"))).drop("_n")
-    left = dealt.select("a", "deal").distinct().join(whole.withColumnRenamed("node", "a"), "a").select("a", "deal", F.lit(None).cast("long").alias("b"), "keys")
-    right = dealt.join(whole.withColumnRenamed("node", "b"), "b").select("a", "deal", "b", "keys")
+    whole = texts.mapInArrow(sets, "node long, data binary").join(nodes, "node", "left_semi")
+    whole = written(whole.groupBy("node").agg(F.first("data").alias("data")), "sets", "lz4")
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(0, np.uint64)
-        for batch in batches:
-            out = []
-            for a, b, raw in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "keys"))):
-                keys = np.frombuffer(raw, dtype=np.uint64)
-                if b is None:
-                    own = keys
-                    continue
-                at = np.searchsorted(own, keys)
-                both = int((own[np.minimum(at, len(own) - 1)] == keys).sum())
-                if 100 * both >= percent * (len(own) + len(keys) - both):
-                    out.append((a, b))
-            if out:
-                x, y = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+    def passes(own: np.ndarray, other: np.ndarray) -> bool:
+        both = _common(own, other)
+        return 100 * both >= percent * (len(own) + len(other) - both)
 
-    return written(left.unionByName(right).repartition("a", "deal").sortWithinPartitions("a", "deal", F.col("b").asc_nulls_first())
-                   .select("a", "b", "keys").mapInArrow(test, "a long, b long"), "links")
+    return written(_beside(pairs, whole).mapInArrow(_judge(passes), "a long, b long"), "links")
 
 
 def join(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -419,10 +532,22 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, Dat
     likely = pairs.where((F.col("small") >= need) | (2 * (F.col("small") + F.col("large")) >= need) & (F.col("large") > 0)).where(total > 0)
     links = checked(likely, docs, base, k, percent)
     found = written(components(links), "found")
-    open_pairs = tree_pairs(met.where("kind = 2"), base, found, percent)
-    more = checked(open_pairs, docs, base, k, percent)
-    links = links.unionByName(more)
-    label = found if more.isEmpty() else components(links)
+    members = met.where("kind = 2")
+    for most in (*NEAREST, None):  # the last round takes every open pair
+        more = checked(possible(tree_pairs(members, base, found, percent, most), base, percent), docs, base, k, percent)
+        if more.isEmpty():
+            continue
+        # components of components: their labels are smallest nodes already
+        a, b = (found.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")) for c in ("a", "b"))
+        joined = more.join(a, "a", "left").join(b, "b", "left").select(
+            F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+        up = components(joined)
+        named = found.unionByName(more.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+                                  .join(found, "node", "left_anti").select("node", F.col("node").alias("label")))
+        found = written(named.join(up.withColumnRenamed("label", "top").withColumnRenamed("node", "label"), "label", "left")
+                        .select("node", F.coalesce("top", "label").alias("label")), "found")
+        links = links.unionByName(more)
+    label = found
     return assigned(base, label), links
 
 

@@ -89,7 +89,8 @@ def test_traversal_keeps_all_open_pairs():
         side = rng.integers(0, 2, m) if trial % 2 else None
         if side is not None:
             side[:2] = 0, 1
-        i, j = jaccard.traverse(n, bits, comp, side, 85)
+        i, j, differ = jaccard.traverse(n, bits, comp, side, 85)
+        assert all(int(np.bitwise_count(bits[a] ^ bits[b]).sum()) == d for a, b, d in zip(i, j, differ))
         got = {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist())}
         want = set()
         for a in range(m):
@@ -101,6 +102,33 @@ def test_traversal_keeps_all_open_pairs():
         assert got == want and len(got) == len(i)
 
 
+def test_bitmaps_of_several_widths_keep_all_links():
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2)
+    sets = []
+    for size in (400, 480, 500, 520, 560, 1000, 1020, 1030, 1100, 2100):
+        for _ in range(6):
+            x = np.unique(np.concatenate([pool[: size - rng.integers(0, 30)], rng.integers(0, 1 << 63, 10).astype(np.uint64)]))
+            sets.append(x)
+    sets += [np.unique(rng.integers(0, 1 << 63, s).astype(np.uint64)) for s in rng.integers(300, 2200, 40)]
+    n = np.array([len(x) for x in sets])
+    bitmaps = [jaccard.bitmap_of(x) for x in sets]
+    comp = np.arange(len(sets))
+    for side in (np.zeros(len(sets), int), rng.integers(0, 2, len(sets))):
+        i, j, _ = jaccard.open_pairs(n, bitmaps, comp, side, 85)
+        got = {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist())}
+        assert len(got) == len(i)
+        for a in range(len(sets)):
+            for b in range(a):
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if 100 * both >= 85 * (n[a] + n[b] - both) and (not side.any() or side[a] != side[b]):
+                    assert (b, a) in got
+        # and few others: unrelated sets are told apart by their bitmaps
+        assert sum(a >= 60 for p in got for a in p) == 0
+    best = jaccard.nearest_of(np.array([0, 0, 1, 2]), np.array([1, 2, 2, 3]), np.array([5, 1, 9, 7]), 1)
+    assert best.tolist() == [0, 1, 3]
+
+
 def test_components(spark):
     ship(spark)
     rng = random.Random(3)
