@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small, written
 from .secrets import let
 
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -40,6 +40,8 @@ SHARE, QUANTILE, STEPS, LEAST = 0.75, 0.999999, 3, 200
 #: always zero from making every other value an outlier
 VECTOR = (("length", 0.7), ("word_length", 0.08), ("symbols", 0.6), ("lines", 0.8), ("repeats", 1.0), ("capitals", 0.4))
 D = len(VECTOR)
+#: tables with a row per group are broadcast up to so many groups (230 bytes each)
+FEW_GROUPS = 100_000
 
 
 def repeated_words(words: Column) -> Column:
@@ -105,21 +107,18 @@ def chi2_quantile(q: float, d: int) -> float:
 
 def _whitening(means: DataFrame) -> DataFrame:
     """From (g, m_i, s_ij) the mean and the inverse Cholesky factor w_ij."""
-    out = means
-    for i, (_, floor) in enumerate(VECTOR):  # floors go on the diagonal
-        out = out.withColumn(f"s{i}_{i}", F.greatest(F.col(f"s{i}_{i}"), F.lit((floor * UNIT) ** 2)))
+    # floors go on the diagonal; each step only needs columns of the steps before
+    out = means.withColumns({f"s{i}_{i}": F.greatest(F.col(f"s{i}_{i}"), F.lit((floor * UNIT) ** 2)) for i, (_, floor) in enumerate(VECTOR)})
     for j in range(D):
         diagonal = F.col(f"s{j}_{j}") - sum((F.col(f"l{j}_{k}") * F.col(f"l{j}_{k}") for k in range(j)), F.lit(0.0))
         # correlated statistics: at least a tenth of the floor stays
         out = out.withColumn(f"l{j}_{j}", F.sqrt(F.greatest(diagonal, F.lit(0.1 * (VECTOR[j][1] * UNIT) ** 2))))
-        for i in range(j + 1, D):
-            rest = F.col(f"s{i}_{j}") - sum((F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)), F.lit(0.0))
-            out = out.withColumn(f"l{i}_{j}", rest / F.col(f"l{j}_{j}"))
-    for j in range(D):
-        out = out.withColumn(f"w{j}_{j}", 1 / F.col(f"l{j}_{j}"))
-        for i in range(j + 1, D):
-            s = sum((F.col(f"l{i}_{k}") * F.col(f"w{k}_{j}") for k in range(j, i)), F.lit(0.0))
-            out = out.withColumn(f"w{i}_{j}", -s / F.col(f"l{i}_{i}"))
+        rest = {i: F.col(f"s{i}_{j}") - sum((F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)), F.lit(0.0)) for i in range(j + 1, D)}
+        if rest:
+            out = out.withColumns({f"l{i}_{j}": r / F.col(f"l{j}_{j}") for i, r in rest.items()})
+    for i in range(D):
+        row = {f"w{i}_{j}": -sum((F.col(f"l{i}_{k}") * F.col(f"w{k}_{j}") for k in range(j, i)), F.lit(0.0)) / F.col(f"l{i}_{i}") for j in range(i)}
+        out = out.withColumns({**row, f"w{i}_{i}": 1 / F.col(f"l{i}_{i}")})
     keep = ["g", *(f"m{i}" for i in range(D)), *(f"w{i}_{j}" for i in range(D) for j in range(i + 1))]
     return written(out.select(*keep), "whitening")
 
@@ -147,12 +146,13 @@ def _first(rows: DataFrame) -> DataFrame:
 
 def _concentrated(rows: DataFrame, now: DataFrame, scale: float) -> DataFrame:
     """One concentration step: mean and covariance of the nearest ``SHARE``."""
+    now = small(now, FEW_GROUPS)
     near = rows.join(now, "g").withColumn("bin", F.floor(F.log(_distance() + 1e-6) * 50).cast("long"))
     bins = near.groupBy("g", "bin").count()
     by = Window.partitionBy("g")
     cum = bins.withColumn("cum", F.sum("count").over(by.orderBy("bin"))).withColumn("n", F.sum("count").over(by))
     cut = cum.groupBy("g").agg(F.min(F.when(F.col("cum") >= SHARE * F.col("n"), F.col("bin"))).alias("cut"))
-    sums = near.join(F.broadcast(cut), "g").where("bin <= cut").groupBy("g").agg(
+    sums = near.join(small(written(cut, "cut"), FEW_GROUPS), "g").where("bin <= cut").groupBy("g").agg(
         F.count(F.lit(1)).alias("n"), *(F.sum(f"x{i}").alias(f"t{i}") for i in range(D)),
         *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"t{i}_{j}") for i in range(D) for j in range(i + 1)))
     means = sums.select("g", *((F.col(f"t{i}") / F.col("n")).alias(f"m{i}") for i in range(D)),
@@ -172,13 +172,14 @@ def judged(docs: DataFrame) -> DataFrame:
     group = (F.when(F.col("count") >= LEAST, F.col("own")).when(F.col("in_tongue") >= LEAST, F.col("tongue"))
              .when(F.col("in_all") >= LEAST, F.lit("")))
     groups = sized.join(F.broadcast(whole)).select("own", group.alias("g"))
+    groups = small(written(groups, "groups"), FEW_GROUPS)
     named = written(rows.join(groups, "own").select(*(c for c in rows.columns if c not in ("own", "tongue")), "g", *vector()), "vectors")
     some = named.where("g is not null").select("g", *(f"x{i}" for i in range(D)))
     consistent = SHARE / chi2_cdf(chi2_quantile(SHARE, D), D + 2)
     now = _first(some)
     for _ in range(STEPS):
         now = _concentrated(some, now, consistent)
-    out = named.join(now, "g", "left").withColumn("distance", F.when(F.col("g").isNotNull(), _distance()))
+    out = named.join(small(now, FEW_GROUPS), "g", "left").withColumn("distance", F.when(F.col("g").isNotNull(), _distance()))
     failed = base_failed()
     near = F.coalesce(F.col("distance") <= chi2_quantile(QUANTILE, D), F.lit(True))
     return out.select(*(c for c in rows.columns if c not in ("own", "tongue")), failed.alias("base_failed"), "distance", (~failed & near).alias("kept"))
