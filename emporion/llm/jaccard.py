@@ -108,7 +108,7 @@ def common_classes(docs: DataFrame, k: int) -> np.ndarray:
             bits = []
             for x in total.values():
                 usual = float(np.median(x))
-                bits.append(np.packbits(x > usual + 6 * np.sqrt(usual) + 16).tobytes())
+                bits.append(np.packbits(x > usual + 4 * np.sqrt(usual) + 8).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(bits, pa.binary())], names=["slice", "flags"])
 
     rows = (_texts(docs).select("text").mapInArrow(count, "slice int, load binary").repartition("slice")
@@ -383,18 +383,18 @@ def tree_pairs(members: DataFrame, base: DataFrame, found: DataFrame, percent: i
     rows = rows.join(found, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
     # buckets of one component are done
     mixed = rows.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("shingle")
-    rows = rows.join(mixed, "shingle", "left_semi")
-    bitmaps = base.where("bitmap is not null").groupBy("node").agg(F.first("bitmap").alias("bitmap"))
-    rows = written(rows.join(bitmaps, "node"), "trees")
+    rows = written(rows.join(mixed, "shingle", "left_semi"), "trees")
     trees = rows.groupBy("shingle", "tree").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     x, y = (trees.select("shingle", *(F.col(c).alias(f"{c}{k}") for c in ("tree", "lo", "hi"))) for k in (1, 2))
     duos = x.join(y, "shingle").where((F.col("tree1") <= F.col("tree2")) & (100 * F.col("hi1") >= percent * F.col("lo2"))
                                       & (100 * F.col("hi2") >= percent * F.col("lo1"))).select("shingle", "tree1", "tree2")
-    # most buckets are one tree; those rows go straight to their group
-    sides = rows.join(duos.withColumnRenamed("tree1", "tree"), ["shingle", "tree"]).select(
-        "shingle", F.col("tree").alias("tree1"), "tree2", "node", "n", "comp", "bitmap", F.lit(0).alias("side"))
-    other = rows.join(duos.where("tree1 < tree2").withColumnRenamed("tree2", "tree"), ["shingle", "tree"]).select(
-        "shingle", "tree1", F.col("tree").alias("tree2"), "node", "n", "comp", "bitmap", F.lit(1).alias("side"))
+    keep = ["shingle", "tree1", "tree2", "node", "n", "comp"]
+    sides = rows.join(duos.withColumnRenamed("tree1", "tree"), ["shingle", "tree"]).withColumnRenamed("tree", "tree1").select(*keep, F.lit(0).alias("side"))
+    other = (rows.join(duos.where("tree1 < tree2").withColumnRenamed("tree2", "tree"), ["shingle", "tree"])
+             .withColumnRenamed("tree", "tree2").select(*keep, F.lit(1).alias("side")))
+    # bitmaps come last, and only those of nodes in open trees: they are what weighs
+    nodes = small(written(rows.select("node").distinct(), "nodes"))
+    bitmaps = base.where("bitmap is not null").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("bitmap").alias("bitmap"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         node = pdf["node"].to_numpy()
@@ -404,7 +404,7 @@ def tree_pairs(members: DataFrame, base: DataFrame, found: DataFrame, percent: i
             i, j = i[keep], j[keep]
         return pd.DataFrame({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])})
 
-    return sides.unionByName(other).groupBy("shingle", "tree1", "tree2").applyInPandas(run, "a long, b long").distinct()
+    return sides.unionByName(other).join(bitmaps, "node").groupBy("shingle", "tree1", "tree2").applyInPandas(run, "a long, b long").distinct()
 
 
 def _beside(pairs: DataFrame, data: DataFrame) -> DataFrame:
