@@ -1,16 +1,15 @@
 """Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
 
 1. The words of every benchmark item (letters and digits, A-Z folded) give its
-   n-grams; one pass over all documents counts in how many documents each one
-   occurs.
-2. Each item's rare n-grams are its seeds: the ``min_seeds`` rarest and all
-   that are not far more frequent than the item's median, so that common phrases
-   start no alignment, while an item that leaked often keeps its own words.
-3. A second pass finds the seeds in every whole text; hits of one item that lie
-   within an item's length of each other make a passage, and local alignment of
-   item and passage (match 2, other word -1, gap -1) gives its score: the
-   alignment's value over that of a perfect copy.  Edited copies keep a high
-   score, texts that share a seed by chance do not.
+   n-grams; all of them are seeds, however frequent, so that a leak is found no
+   matter how many documents hold it.
+2. One pass finds the seeds in every whole text; hits of one item that lie
+   within an item's length of each other make a passage.  A passage that shares
+   too few words with the item for any alignment to count is dismissed; this
+   bound is exact.
+3. Local alignment of item and passage (match 2, other word -1, gap -1) gives
+   the score: the alignment's value over that of a perfect copy.  Edited copies
+   keep a high score, texts that share a seed by chance do not.
 
 Items are taken in blocks of bounded size (``block_words``); a block's n-grams
 and words are broadcast, documents are never shuffled.
@@ -37,8 +36,6 @@ from .blocks import Block, U64, blocks
 BREAKS = np.ones(256, dtype=bool)
 BREAKS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _BITS = 22
-#: an n-gram in so few documents is always rare
-FEW = 8
 
 
 @dataclass
@@ -89,21 +86,16 @@ def grams_of(items: list[tuple[int, str | None]], n: int) -> Grams:
     return Grams(ids, words, table)
 
 
-def rarest(grams: Grams, df: dict[tuple[int, int], int], min_seeds: int) -> Grams:
-    """The seeds: each item's n-grams of little document frequency, beside the
-    ``min_seeds`` rarest those in up to ``FEW`` documents or four times its median."""
-    table = {}
-    for size, (keys, owner, place) in grams.table.items():
-        count = np.array([df.get((size, int(k)), 0) for k in keys.view(np.int64)])
-        order = np.lexsort((place, count, owner))
-        new = np.r_[True, owner[order][1:] != owner[order][:-1]]
-        begin = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-        rank = np.arange(len(order)) - begin
-        total = np.bincount(owner, minlength=len(grams.items))[owner[order]]
-        usual = count[order][begin + (total - 1) // 2]  # the item's median
-        keep = np.sort(order[(rank < min_seeds) | (count[order] <= np.maximum(FEW, 4 * usual))])
-        table[size] = (keys[keep], owner[keep], place[keep])
-    return Grams(grams.items, grams.words, table)
+def most(item: np.ndarray, passage: np.ndarray, match: int = 2, other: int = -1) -> int:
+    """No alignment has a greater value: on either side every word of its span
+    counts ``match`` at most, and ``other`` where the other side lacks it."""
+    def side(a: np.ndarray, b: np.ndarray) -> int:
+        known = np.unique(b)
+        there = known[np.minimum(np.searchsorted(known, a), len(known) - 1)] == a
+        total = np.r_[0, np.cumsum(np.where(there, match, other))]
+        return int((total - np.minimum.accumulate(total)).max())
+
+    return min(side(passage, item), side(item, passage))
 
 
 def align(item: np.ndarray, passage: np.ndarray, match: int = 2, other: int = -1, gap: int = 1) -> tuple[int, int, int]:
@@ -160,10 +152,12 @@ def leaks_in(b: Block, seeds: Grams, least: float) -> Iterator[tuple[int, int, f
             slack = m // 2 + 4
             lo = max(0, min(a - p for a, p in group) - slack)
             hi = min(n, max(a - p for a, p in group) + m + slack)
+            if most(item, b.hash[base + lo:base + hi]) < least * 2 * m:
+                continue
             value, s, e = align(item, b.hash[base + lo:base + hi])
             if best is None or value > best[0]:
                 best = (value, lo + s, lo + e, len(group))
-        if best[0] >= least * 2 * m:
+        if best and best[0] >= least * 2 * m:
             yield d, k, best[0] / (2 * m), best[1], best[2], best[3]
 
 
@@ -177,33 +171,10 @@ def item_blocks(benchmark: DataFrame, block_words: int) -> list[list[tuple[int,
         yield sorted(((r["item_id"], r["text"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
 
 
-def seed_blocks(docs: DataFrame, benchmark: DataFrame, n: int = 3, min_seeds: int = 8, block_words: int = 1_000_000):
-    """Broadcast seeds of each block of items, rare in ``docs(text)``."""
-    spark = docs.sparkSession
+def seed_blocks(benchmark: DataFrame, n: int = 3, block_words: int = 1_000_000):
+    """Broadcast seeds of each block of items."""
     for items in item_blocks(benchmark, block_words):
-        grams = grams_of(items, n)
-        shared = spark.sparkContext.broadcast(grams)
-
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            g, total = shared.value, {}
-            for batch in batches:
-                for b in blocks(batch.column("text"), fold=True, breaks=BREAKS):
-                    for size in g.table:
-                        at, i, first = g.hits(b, size)
-                        doc = np.searchsorted(first, at, side="right") - 1
-                        pairs = np.unique(doc * (len(g.table[size][0]) + 1) + i)
-                        k, c = np.unique(pairs % (len(g.table[size][0]) + 1), return_counts=True)
-                        for x, y in zip(k.tolist(), c.tolist()):
-                            total[size, x] = total.get((size, x), 0) + y
-            if total:
-                keys = [(s, int(g.table[s][0].view(np.int64)[x])) for s, x in total]
-                yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in keys], pa.int32()), pa.array([k for _, k in keys], pa.int64()),
-                                                  pa.array(list(total.values()), pa.int64())], names=["size", "gram", "n"])
-
-        df = {(r["size"], r["gram"]): r["n"] for r in  # at most the block's n-grams
-              docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "size int, gram long, n long")
-              .groupBy("size", "gram").agg(F.sum("n").alias("n")).collect()} if grams.items else {}
-        yield spark.sparkContext.broadcast(rarest(grams, df, min_seeds))
+        yield benchmark.sparkSession.sparkContext.broadcast(grams_of(items, n))
 
 
 _SCHEMA = "doc_id long, item_id long, score double, start long, end long, n_seeds long"
@@ -214,7 +185,7 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, **how) -> Da
     the passage's place in the text (code points, end exclusive)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = docs.sparkSession.createDataFrame([], _SCHEMA)
-    for seeds in seed_blocks(docs, benchmark, **how):
+    for seeds in seed_blocks(benchmark, **how):
         def run(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = []
@@ -247,6 +218,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: Column, least: float = 0.
         return has(text.cast("string"))
 
     answer = F.lit(False)
-    for seeds in seed_blocks(docs, benchmark, **how):
+    for seeds in seed_blocks(benchmark, **how):
         answer = answer | test(seeds)
     return answer
