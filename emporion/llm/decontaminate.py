@@ -10,6 +10,9 @@
 3. Local alignment of item and passage (match 2, other word -1, gap -1) gives
    the score: the alignment's value over that of a perfect copy.  Edited copies
    keep a high score, texts that share a seed by chance do not.
+   A passage of a long item counts by its own length as well: an alignment
+   worth ``EXCERPT_WORDS`` words of which ``EXCERPT_SAME`` are alike is a leak,
+   whatever its share of the item.
 
 Items are taken in blocks of bounded size (``block_words``); a block's n-grams
 and words are broadcast, documents are never shuffled.
@@ -36,6 +39,9 @@ from .blocks import Block, U64, blocks
 BREAKS = np.ones(256, dtype=bool)
 BREAKS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _BITS = 22
+#: a stretch so long, with so many of its words alike, is a leak of its own
+EXCERPT_WORDS, EXCERPT_SAME = 20, 0.8
+EXCERPT = round(EXCERPT_WORDS * (2 * EXCERPT_SAME - (1 - EXCERPT_SAME)))
 
 
 @dataclass
@@ -143,6 +149,7 @@ def leaks_in(b: Block, seeds: Grams, least: float) -> Iterator[tuple[int, int, f
     for (d, k), hits in found.items():
         item, base, n = seeds.words[k], int(b.first[d]), int(b.first[d + 1] - b.first[d])
         m, best, groups = len(item), None, []
+        enough = min(least * 2 * m, EXCERPT)
         for a, p in sorted(hits):
             if groups and a - groups[-1][-1][0] <= m:
                 groups[-1].append((a, p))
@@ -152,12 +159,12 @@ def leaks_in(b: Block, seeds: Grams, least: float) -> Iterator[tuple[int, int, f
             slack = m // 2 + 4
             lo = max(0, min(a - p for a, p in group) - slack)
             hi = min(n, max(a - p for a, p in group) + m + slack)
-            if most(item, b.hash[base + lo:base + hi]) < least * 2 * m:
+            if most(item, b.hash[base + lo:base + hi]) < enough:
                 continue
             value, s, e = align(item, b.hash[base + lo:base + hi])
             if best is None or value > best[0]:
                 best = (value, lo + s, lo + e, len(group))
-        if best and best[0] >= least * 2 * m:
+        if best and best[0] >= enough:
             yield d, k, best[0] / (2 * m), best[1], best[2], best[3]
 
 
@@ -181,8 +188,8 @@ _SCHEMA = "doc_id long, item_id long, score double, start long, end long, n_seed
 
 
 def find(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, **how) -> DataFrame:
-    """Pairs (doc_id, item_id) with the alignment score (at least ``least``) and
-    the passage's place in the text (code points, end exclusive)."""
+    """Pairs (doc_id, item_id) with the alignment score (at least ``least``, or
+    less where a passage counts by its length) and the passage's place in the text (code points, end exclusive)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = docs.sparkSession.createDataFrame([], _SCHEMA)
     for seeds in seed_blocks(benchmark, **how):

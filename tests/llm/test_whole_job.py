@@ -29,3 +29,16 @@ def test_leaks_in_many_documents(spark):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find(docs, benchmark).collect()} == truth
     left = docs.where(~decontaminate.leaks(docs, benchmark, F.col("text"))).select("doc_id").collect()
     assert {r["doc_id"] for r in left} == set(range(1018, len(texts)))
+
+
+def test_passage_of_a_long_item(spark):
+    """70 of 200 words as they stand, 24 words, and 60 with every seventh changed; 10 words are none."""
+    ship(spark)
+    rng = random.Random(22)
+    items = [prose(rng, 200, 3000).split() for _ in range(4)]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    passages = [items[0][60:130], items[1][100:124], [w if i % 7 else "other" for i, w in enumerate(items[2][20:80])], items[3][50:60]]
+    docs = frame(spark, [f"{prose(rng, 50, 3000)} {' '.join(p)} {prose(rng, 50, 3000)}" for p in passages] + [prose(rng, 300, 3000) for _ in range(100)])
+    found = decontaminate.find(docs, benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(0, 0), (1, 1), (2, 2)}
+    assert docs.where(decontaminate.leaks(docs, benchmark, F.col("text"))).count() == 3
