@@ -1,8 +1,11 @@
 """Licence scan by sentence rules.
 
-A text is cut into sentences, each is normalised (lower case, letters, digits
+A text is cut into paragraphs (a line without words, comment marks aside, ends
+one) and these into sentences, each is normalised (lower case, letters, digits
 and single spaces only; copyright lines, names and years dropped where a pattern
-allows them) and matched against the catalogue of known licence sentences.  The
+allows them) and matched against the catalogue of known licence sentences.  In a
+paragraph a sentence may go on over line ends and semicolons, with or without
+indentation and comment marks, or begin and end there.  The
 sequence of sentence identifiers in a document is then matched against the
 ordered licence rules: rules are tried from the first to the last, a rule
 matches where its identifiers stand in this order with no other identifier
@@ -21,6 +24,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -88,11 +92,15 @@ SPDX_NAMES = {"apache 2 0": "Apache-2.0", "mit": "MIT", "gpl 2 0 only": "GPL-2.0
               "gpl 2 0 or later": "GPL-2.0-or-later", "gpl 3 0 or later": "GPL-3.0-or-later", "bsd 2 clause": "BSD-2-Clause",
               "bsd 3 clause": "BSD-3-Clause", "mpl 2 0": "MPL-2.0", "cc0 1 0": "CC0-1.0", "isc": "ISC", "unlicense": "Unlicense"}
 
+_SMALL = set("abcdefghijklmnopqrstuvwxyz")
 _PATTERNS = [(name, re.compile(p)) for name, p in SENTENCES]
-# a sentence ends at a line end or at . ! ? ; before white space; the stop of a
+_BY_NAME = dict(_PATTERNS)
+# pieces end at a line end or at . ! ? ; before white space; the stop of a
 # version number is inside a word and ends none
-_SENTENCE = re.compile(r"(?:[^\n.!?;]|[.!?;](?!\s|$))+", re.M)
-_WRAPPED = re.compile(r"(?<=[a-z,])\n(?=[a-z])")
+_PIECE = re.compile(r"(?:[^.!?;]|[.!?;](?!\s|$))+")
+# what a line begins with before its words: indentation and comment marks
+_PREFIX = re.compile(r"[^\w(<\"']*(?:(?:dnl|rem|REM)\s+)?")
+_ADDRESS = re.compile(r"https?://\S+")
 _UNKNOWN = re.compile(r"\blicen[sc]e[ds]?\b|\bwarranty\b|\bredistribut")
 
 
@@ -100,23 +108,90 @@ def normalise(sentence: str) -> str:
     return " ".join(re.sub(r"[^a-z0-9]+", " ", sentence.lower()).split())
 
 
+def sentences(text: str) -> Iterator[list[tuple[int, int, bool]]]:
+    """The sentences of each paragraph as pieces (start, end, whether a
+    catalogue sentence may begin here)."""
+    pieces, at, last = [], 0, ""
+    for line in text.split("\n"):
+        first = _PREFIX.match(line).end()
+        if not any(c.isalnum() for c in line[first:]):
+            if pieces:
+                yield pieces
+            pieces, at, last = [], at + len(line) + 1, ""
+            continue
+        # a small letter after one: the sentence goes on
+        begins = not (last and last in "abcdefghijklmnopqrstuvwxyz," and line[first:first + 1] in _SMALL)
+        for m in _PIECE.finditer(line, first):
+            pieces.append((at + m.start(), at + m.end(), begins))
+            begins = True
+            if line[m.end():m.end() + 1] in (".", "!", "?"):
+                yield pieces
+                pieces = []
+        last, at = line.rstrip()[-1:], at + len(line) + 1
+    if pieces:
+        yield pieces
+
+
+def _ids_of(text: str, pieces: list[tuple[int, int, bool]]) -> Iterator[tuple[str, dict, int, int]]:
+    """Known sentences, and '?' for what else speaks of licensing."""
+    parts, begin, end, size = [], [], [], 0
+    for a, z, _ in pieces:
+        words = normalise(text[a:z])
+        if parts and size and words:
+            size += 1
+            parts.append(" ")
+        begin.append(size)
+        size += len(words)
+        end.append(size)
+        parts.append(words)
+    plain = "".join(parts)
+
+    def known(i: int) -> tuple[int, str, dict] | None:
+        """The longest known sentence from piece i on: (last piece, name, fields)."""
+        best = None
+        for name, pattern in _PATTERNS:
+            # a tag ends with its line
+            hit = pattern.match(plain, begin[i], end[i] if name == "SpdxTag" else len(plain))
+            if not hit:
+                continue
+            j = bisect_right(end, hit.end()) - 1
+            while j >= i and (best is None or j > best[0]):
+                if whole := pattern.fullmatch(plain, begin[i], end[j]):
+                    best = j, name, whole.groupdict()
+                j -= 1
+        return best
+
+    i, rest = 0, []
+    while i <= len(pieces):
+        hit = known(i) if i < len(pieces) and pieces[i][2] and end[i] > begin[i] else None
+        if hit or i == len(pieces):
+            if rest:
+                a, z = pieces[rest[0]][0], pieces[rest[-1]][1]
+                if _UNKNOWN.search(normalise(_ADDRESS.sub(" ", text[a:z]))):
+                    yield "?", {}, a, z
+            rest = []
+        if hit:
+            j, name, fields = hit
+            # one that can go on ends where the next known one begins
+            for k in range(i + 1, j + 1):
+                if pieces[k][2] and end[k] > begin[k] and known(k) and (whole := _BY_NAME[name].fullmatch(plain, begin[i], end[k - 1])):
+                    j, fields = k - 1, whole.groupdict()
+                    break
+            yield name, fields, pieces[i][0], pieces[j][1]
+            i = j + 1
+        else:
+            rest.append(i)
+            i += 1
+
+
 def sentence_ids(text: str) -> list[tuple[str, dict, int, int]]:
     """(identifier, captured fields, start, end) of the known sentences, in
     order; sentences on licensing that are not known have the identifier '?'."""
     out = []
-    # a line that ends inside a sentence goes on in the next; same length, so places hold
-    for m in _SENTENCE.finditer(_WRAPPED.sub(" ", text)):
-        low = m[0].lower()
-        if not any(mark in low for mark in MARKS):
-            continue
-        plain = normalise(m[0])
-        for name, pattern in _PATTERNS:
-            if hit := pattern.fullmatch(plain):
-                out.append((name, hit.groupdict(), m.start(), m.end()))
-                break
-        else:
-            if _UNKNOWN.search(plain):
-                out.append(("?", {}, m.start(), m.end()))
+    for pieces in sentences(text):
+        low = text[pieces[0][0]:pieces[-1][1]].lower()
+        if any(mark in low for mark in MARKS):
+            out.extend(_ids_of(text, pieces))
     return out
 
 

@@ -2,9 +2,10 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from emporion.llm import decontaminate
+from emporion.llm import decontaminate, licences
 from emporion.llm.common import ship
 from llm_cases import frame, prose
 
@@ -42,3 +43,91 @@ def test_passage_of_a_long_item(spark):
     found = decontaminate.find(docs, benchmark).collect()
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(0, 0), (1, 1), (2, 2)}
     assert docs.where(decontaminate.leaks(docs, benchmark, F.col("text"))).count() == 3
+
+
+# ---------------------------------------------------------------- licences
+
+MIT = '''Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.'''
+GPL3 = '''    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License
+    along with this program.  If not, see <https://www.gnu.org/licenses/>.'''
+GPL2 = GPL3.replace("software:", "software;").replace("version 3", "version 2")
+APACHE = '''Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.'''
+BSD = '''Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT OWNER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION).'''
+
+
+def commented(text, first, mark, last):
+    return "\n".join([*first, *(f"{mark}{x}".rstrip() for x in text.split("\n")), *last])
+
+
+@pytest.mark.parametrize("text,name,least", [(MIT, "MIT", 4), (GPL3, "GPL-3.0-or-later", 4), (GPL2, "GPL-2.0-or-later", 4), (APACHE, "Apache-2.0", 5),
+                                             (BSD, "BSD-3-Clause", 6)])
+@pytest.mark.parametrize("first,mark,last", [([], "", []), ([], "# ", []), ([], "// ", []), (["/*"], " * ", [" */"]), ([], "      ", []),
+                                             (["<!--"], "  ", ["-->"]), ([], "dnl ", [])])
+def test_canonical_licences(text, name, least, first, mark, last):
+    text = "\n".join(["x = 1", "", commented(text, first, mark, last), "", "y = 2"])
+    found = licences.sentence_ids(text)
+    names, left = licences.match_rules(found)
+    assert names == [name] and left == 0 and len(found) == least and "?" not in [x[0] for x in found]
+    assert all(a < z for _, _, a, z in found) and all(x[3] <= y[2] for x, y in zip(found, found[1:]))
+
+
+def test_licence_lines_without_stops():
+    ids = [x[0] for x in licences.sentence_ids("Some words\nReleased under the MIT License\nmore words\n# SPDX-License-Identifier: MIT\ncode\n"
+                                               "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+                                               "that the following conditions are met\n* Redistributions of source code must retain the above copyright notice")]
+    assert ids == ["MitRelease", "SpdxTag", "BsdRedist", "BsdSource"]
+    assert len(licences.sentence_ids("a word\n" * 30_000 + "Licensed under CC BY 4.0\n" + "Further words\n" * 30_000)) == 1
