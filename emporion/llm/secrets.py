@@ -5,8 +5,10 @@ without overlap per kind.  Places come from the lengths of what ``split`` leaves
 between matches and of what ``regexp_extract_all`` finds.
 
 *Random strings* (kind ``random``): every run of 20 or more characters that
-encodings use is given the smallest encoding that holds it (hexadecimal, base32,
-base36, base62, base64).  Three tests ask whether its symbols could be uniform
+encodings use (``=`` only as padding at its end), and every part of 20 or more
+between its ``/``, its ``-`` and ``_``, or all three, is a candidate; of those
+found random the longest counts.  Each is given the smallest encoding that holds
+it (hexadecimal, base32, base36, base62, base64).  Three tests ask whether its symbols could be uniform
 draws: chi-squared uniformity over the encoding's alphabet, the number of runs
 above and below the alphabet's middle, and the serial correlation of neighbours.
 Fisher's method combines them to one p-value; identifiers and words get small
@@ -35,7 +37,11 @@ ACCESS = r"AKIA[A-Z0-9]{16,}+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: runs of encoding characters with a digit, or with a small letter before a capital
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9]|[A-Z+/_=-]*+[a-z][a-z+/_=-]*+[A-Z])[A-Za-z0-9+/_=-]{20,}+"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|[A-Z+/_-]*+[a-z][a-z+/_-]*+[A-Z])[A-Za-z0-9+/_-]{20,}+(?:=+(?![A-Za-z0-9+/_=-]))?"
+#: the same of a part of a run
+PART = r"^(?=[A-Za-z+/_-]*+[0-9]|[A-Z+/_-]*+[a-z][a-z+/_-]*+[A-Z])[A-Za-z0-9+/_-]{20,}+"
+#: what may join words and a key in a run
+JOINTS = ("/", "[-_]", "[/_-]")
 # Encodings from the smallest alphabet up.
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ENCODINGS = (
@@ -124,8 +130,22 @@ def battery(symbols: Column, text: Column, k: Column) -> Column:
     return let(-(F.log(p1) + F.log(p2) + F.log(p3)), lambda x: F.exp(-x) * (1 + x + x * x / 2))
 
 
+def _parts(x: Column, joint: str) -> Column:
+    """Parts (start, end, value) of the run ``x`` between ``joint`` characters."""
+    kind = "struct<start: int, end: int, value: string>"
+    start = F.struct(x["start"].alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+
+    def step(a: Column, v: Column) -> Column:
+        end = a["at"] + F.char_length(v)
+        part = F.struct(a["at"].alias("start"), end.alias("end"), v.alias("value")).cast(kind)
+        return F.struct((end + 1).alias("at"), F.when(v.rlike(PART), F.concat(a["out"], F.array(part))).otherwise(a["out"]).alias("out"))
+
+    return F.aggregate(F.split(x["value"], joint, -1), start, step, lambda a: a["out"])
+
+
 def candidates(text: Column) -> Column:
-    """Array of (start, end, encoding, band, p) of the random-string candidates."""
+    """Array of (start, end, encoding, band, p) of the random-string candidates,
+    runs and their parts."""
     text = F.coalesce(text.cast("string"), F.lit(""))
     kind = "array<struct<start: int, end: int, encoding: string, band: int, p: double>>"
     spans = F.zip_with(_places(text, CANDIDATE, 4), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)),
@@ -147,6 +167,11 @@ def candidates(text: Column) -> Column:
         p = let(symbols, lambda s: battery(s, x["value"], F.char_length(x["alphabet"])))
         return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["encoding"].alias("encoding"), x["band"].alias("band"), p.alias("p"))
 
+    def with_parts(x: Column) -> Column:
+        parts = F.array_distinct(F.concat(F.array(x), *(_parts(x, joint) for joint in JOINTS)))
+        return F.when(x["value"].rlike("[/_-]"), parts).otherwise(F.array(x))
+
+    spans = F.flatten(F.transform(spans, with_parts))
     known = F.filter(F.transform(spans, encoded), lambda x: x["encoding"].isNotNull() & (F.char_length(x["value"]) >= BANDS[0]))
     return F.when(text.rlike(CANDIDATE), F.transform(known, tested)).otherwise(F.array().cast(kind))
 
@@ -179,7 +204,7 @@ def thresholds(found: DataFrame, rate: float = 0.05, fallback: float = 0.01) ->
 
 def all_spans(base: Column, found: Column, least: dict[tuple[str, int], int]) -> Column:
     """Base spans and the random strings beyond their stratum's threshold that
-    touch no base span, by start, then kind."""
+    touch no base span and lie in no longer one, by start, then kind."""
     if not least:
         return base
     limit = F.create_map(*[x for (e, b), v in sorted(least.items()) for x in (F.lit(f"{e}/{b}"), F.lit(v / BINS))])
@@ -188,7 +213,11 @@ def all_spans(base: Column, found: Column, least: dict[tuple[str, int], int]) ->
         clear = ~F.exists(base, lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"]))
         return F.coalesce(x["p"] >= limit[F.concat(x["encoding"], F.lit("/"), x["band"].cast("string"))], F.lit(False)) & clear
 
-    more = F.transform(F.filter(found, good), lambda x: F.struct(x["start"].alias("start"), F.lit(4).alias("kind"), x["end"].alias("end")).cast(SPAN))
+    def longest(some: Column) -> Column:
+        return F.filter(some, lambda x: ~F.exists(some, lambda y: (y["start"] <= x["start"]) & (x["end"] <= y["end"])
+                                                  & (y["end"] - y["start"] > x["end"] - x["start"])))
+
+    more = F.transform(let(F.filter(found, good), longest), lambda x: F.struct(x["start"].alias("start"), F.lit(4).alias("kind"), x["end"].alias("end")).cast(SPAN))
     return F.array_sort(F.concat(base, more))
 
 

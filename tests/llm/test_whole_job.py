@@ -1,11 +1,12 @@
 """Cases that the operators once left out."""
 
 import random
+import string
 
 import pytest
 from pyspark.sql import functions as F
 
-from emporion.llm import decontaminate, licences
+from emporion.llm import decontaminate, licences, secrets
 from emporion.llm.common import ship
 from llm_cases import frame, prose
 
@@ -131,3 +132,32 @@ def test_licence_lines_without_stops():
                                                "that the following conditions are met\n* Redistributions of source code must retain the above copyright notice")]
     assert ids == ["MitRelease", "SpdxTag", "BsdRedist", "BsdSource"]
     assert len(licences.sentence_ids("a word\n" * 30_000 + "Licensed under CC BY 4.0\n" + "Further words\n" * 30_000)) == 1
+
+
+# ---------------------------------------------------------------- secrets
+
+def test_keys_in_usual_places(spark):
+    """KEY=value, queries, options, paths: the key is masked."""
+    rng = random.Random(23)
+    places = ["DB_KEY={}", "https://h.io/a?sig={}", "--credential={}", "https://h.io/my-app/{}", "see some/long/path/of-words/{}/tail", "my_app-name_{}",
+              "a=b={}", "export X_KEY={}== now", "plain {} key", "/{}", "{}"]
+    letters = string.ascii_letters + string.digits
+    texts, keys = [], []
+    for i in range(440):
+        keys.append("".join(rng.choice(letters) for _ in range(rng.choice([32, 40]))))
+        texts.append(f"{prose(rng, 5)} {places[i % len(places)].format(keys[-1])}")
+    docs = frame(spark, texts)
+    got = {r["doc_id"]: r["text"] for r in secrets.without_secrets(docs).collect()}
+    for k in range(len(places)):
+        some = range(k, len(texts), len(places))
+        assert sum(keys[i] not in got[i] for i in some) >= 0.85 * len(some), places[k]
+    assert all(prose_part in got[i] for i, prose_part in enumerate(t.split(" ")[0] for t in texts))
+
+
+def test_parts_of_runs(spark):
+    """Places of runs and parts; equals signs only as padding."""
+    a, b = "aB3dE6gH9jK2mN5pQ8sT", "zY7xW4vU1tS8rQ5pO2nM6"
+    text = f"é x={a}== {a}/{b} {a}={b} w/{a}-{b}=, short-ones/and_more"
+    got = frame(spark, [text]).select(F.explode(secrets.candidates(F.col("text"))).alias("c")).select("c.*").collect()
+    found = sorted(text[r["start"]:r["end"]] for r in got)
+    assert found == sorted([f"{a}==", a, b, f"{a}/{b}", a, b, f"{a}-{b}=", f"w/{a}", a, f"{b}="])
