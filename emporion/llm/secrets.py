@@ -15,10 +15,12 @@ Fisher's method combines them to one p-value; identifiers and words get small
 ones, keys do not.
 
 *False-discovery control* is by length: in each stratum (encoding, length band)
-Storey's estimate of the share of truly random strings tells, for every
-threshold, what share of the strings above it is not random; the lowest
-threshold with at most ``rate`` is used.  The strata are read from histograms
-over all documents.
+Storey's estimate of the number of truly random strings (with its one more)
+tells, for every threshold, what share of the strings above it is not random; the
+lowest threshold with at most ``rate`` is used.  A stratum with few random
+strings is also judged together with its neighbours (bands, then encodings), and
+the lower threshold counts.  The strata are read from histograms over all
+documents.
 
 Every expression works on a text column, so rows keep all their columns and no
 name can clash.  Defined results: a null text is empty; an empty text has no
@@ -57,6 +59,8 @@ ENCODINGS = (
 #: lower ends of the length bands
 BANDS = (20, 24, 32, 40, 48, 64, 96, 128, 256)
 BINS = 100
+#: with fewer strings of p >= 0.5 a stratum is judged with its neighbours too
+FEW_KEYS = 10
 SPAN = "struct<start: int, kind: int, end: int>"
 MASK = "[SECRET]"
 
@@ -176,10 +180,21 @@ def candidates(text: Column) -> Column:
     return F.when(text.rlike(CANDIDATE), F.transform(known, tested)).otherwise(F.array().cast(kind))
 
 
-def thresholds(found: DataFrame, rate: float = 0.05, fallback: float = 0.01) -> dict[tuple[str, int], int]:
+def _least(count: list[int], rate: float) -> int:
+    """Least bin that counts as random in a histogram of p."""
+    # Storey: p-values of random strings are uniform; one more keeps the estimate from being 0
+    random = 2 * (sum(count[BINS // 2:]) + 1)
+    for least in range(1, BINS // 2):
+        above = sum(count[least:])
+        if above - random * (1 - least / BINS) <= rate * above:
+            return least
+    return BINS // 2  # no more than half of ``random`` lie above
+
+
+def thresholds(found: DataFrame, rate: float = 0.05) -> dict[tuple[str, int], int]:
     """Least bin of p that counts as random, per stratum, from the histogram of
     all candidates in ``found(candidates)``.  Strata are encodings x bands, a
-    fixed number; one with under 20 candidates uses the ``fallback``."""
+    fixed number; one rule holds for all sizes."""
     one = found.select(F.explode("candidates").alias("c"))
     bins = (one.select("c.encoding", "c.band", F.least(F.floor(F.col("c.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
             .groupBy("encoding", "band", "bin").count().collect())  # at most 8 x 9 x 100 rows
@@ -187,18 +202,16 @@ def thresholds(found: DataFrame, rate: float = 0.05, fallback: float = 0.01) ->
     for r in bins:
         tables.setdefault((r["encoding"], r["band"]), [0] * BINS)[r["bin"]] = r["count"]
     out = {}
-    for stratum, count in tables.items():
-        total, upper = sum(count), sum(count[BINS // 2:])
-        if total < 20:
-            out[stratum] = int(fallback * BINS)
-            continue
-        random = min(1.0, 2 * upper / total) * total  # Storey: p-values of random strings are uniform
-        out[stratum] = BINS  # none
-        for least in range(1, BINS // 2 + 1):
-            above = sum(count[least:])
-            if above and 1 - random * (1 - least / BINS) / above <= rate:
-                out[stratum] = least
+    for (encoding, band), count in tables.items():
+        out[encoding, band] = _least(count, rate)
+        # few keys: neighbouring bands, then encodings, until there are enough
+        near = sorted(tables, key=lambda s: (s[0] != encoding, abs(BANDS.index(s[1]) - BANDS.index(band)), s))
+        pool = [0] * BINS
+        for s in near:
+            if sum(pool[BINS // 2:]) >= FEW_KEYS:
                 break
+            pool = [a + b for a, b in zip(pool, tables[s])]
+        out[encoding, band] = min(out[encoding, band], _least(pool, rate))
     return out
 
 

@@ -161,3 +161,25 @@ def test_parts_of_runs(spark):
     got = frame(spark, [text]).select(F.explode(secrets.candidates(F.col("text"))).alias("c")).select("c.*").collect()
     found = sorted(text[r["start"]:r["end"]] for r in got)
     assert found == sorted([f"{a}==", a, b, f"{a}/{b}", a, b, f"{a}-{b}=", f"w/{a}", a, f"{b}="])
+
+
+def strata(spark, rows):
+    kind = "candidates array<struct<start: int, end: int, encoding: string, band: int, p: double>>"
+    return secrets.thresholds(spark.createDataFrame([([(0, 32, *r)],) for r in rows], kind))
+
+
+@pytest.mark.parametrize("identifiers", [0, 10, 19, 20, 100, 1000])
+def test_one_key_among_identifiers(spark, identifiers):
+    """A key of any size of stratum is found, whichever half its p lies in; identifiers are not."""
+    for p in (0.12, 0.45, 0.8):
+        least = strata(spark, [("base62", 32, 0.001 + 0.008 * i / 1000) for i in range(identifiers)] + [("base62", 32, p)])
+        assert 0.01 <= least["base62", 32] / secrets.BINS <= p
+
+
+def test_neighbours_share_keys(spark):
+    """Three keys of low p beside a band full of keys; identifiers alone in a wide band stay."""
+    keys = [("base62", 40, i / 400) for i in range(400)]
+    few = [("base62", 32, p) for p in (0.1, 0.2, 0.3)] + [("base62", 32, 0.002)] * 500
+    assert strata(spark, keys + few)["base62", 32] <= 10
+    wide = [("base64url", 32, i / 2000) for i in range(1000)]
+    assert strata(spark, wide)["base64url", 32] >= 45
