@@ -5,9 +5,9 @@ of its nearest ones by exact TF-IDF cosine, found with a block-max inverted
 index, and calibrated to a probability.
 
 *Features* are words and the beginnings of words (``PREFIXES`` bytes long), so
-that inflected and compound words share some.  The labels choose at most
-``terms`` of them: those whose share of toxic examples is surest above or below
-the usual share (lower bound of the log odds).  Document frequencies of the
+that inflected and compound words share some.  The labels choose all
+whose share of toxic examples is surely above or below the usual share (lower
+bound of the log odds), however many there are.  Document frequencies of the
 chosen terms are counted over all documents and give the IDF weights.
 
 *Index.*  Per term, postings (example, weight) in order of example, in blocks
@@ -200,7 +200,7 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = 12_000, terms: int = 512, k: int = 15) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, examples: int = 12_000, k: int = 15) -> Model:
     """Learn from ``labels(doc_id, toxic)`` and the texts of ``docs``.
 
     At most ``examples`` labelled documents are used; their features and this
@@ -233,12 +233,12 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 12_000, terms: int =
     if not total or not bad or bad == total:
         return Model(Terms(np.zeros(0, np.uint64), np.zeros(0)), BlockMax(0, [], np.zeros(0)), k, np.ones(1), np.zeros(1),
                      bad / total if total else 0.0, np.zeros(0, np.int64))
-    # surest terms: the lower bound of |log odds| against the usual share
+    # sure terms: the lower bound of |log odds| against the usual share
     usual = float(np.log(bad / (total - bad)))
     tally = sample.select("text", "toxic").mapInArrow(count, "term long, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where("n >= 5")
     odds = F.log((F.col("bad") + 0.5 * bad / total) / (F.col("n") - F.col("bad") + 0.5 * (total - bad) / total)) - usual
     sure = F.abs(odds) - 2.6 * F.sqrt(1 / (F.col("bad") + 0.5 * bad / total) + 1 / (F.col("n") - F.col("bad") + 0.5 * (total - bad) / total))
-    picked = tally.withColumn("sure", sure).where("sure > 0").orderBy(F.desc("sure"), "term").limit(terms).collect()
+    picked = tally.withColumn("sure", sure).where("sure > 0").select("term").collect()  # bounded by the examples' features
     keys = np.sort(np.array([r["term"] for r in picked], dtype=np.int64).view(np.uint64))
 
     plain = Terms(keys, np.ones(len(keys)))
@@ -255,7 +255,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 12_000, terms: int =
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], names=["term", "n"])
 
     df = np.zeros(len(keys) + 1)
-    for r in texts.select("text").mapInArrow(frequency, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():  # `terms` rows
+    for r in texts.select("text").mapInArrow(frequency, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():  # a row per term
         df[r["term"]] = r["n"]
     weighted = Terms(keys, np.log1p(df[-1] / np.maximum(1, df[:-1])))
     shared_terms = spark.sparkContext.broadcast(weighted)

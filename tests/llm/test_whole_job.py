@@ -3,10 +3,11 @@
 import random
 import string
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from emporion.llm import decontaminate, licences, secrets
+from emporion.llm import decontaminate, licences, secrets, toxicity
 from emporion.llm.common import ship
 from llm_cases import frame, prose
 
@@ -183,3 +184,22 @@ def test_neighbours_share_keys(spark):
     assert strata(spark, keys + few)["base62", 32] <= 10
     wide = [("base64url", 32, i / 2000) for i in range(1000)]
     assert strata(spark, wide)["base64url", 32] >= 45
+
+
+# ---------------------------------------------------------------- toxicity
+
+def test_all_sure_terms(spark):
+    """900 toxic words, each in a few examples: every one of them is known and found."""
+    ship(spark)
+    rng = random.Random(24)
+    bad = [f"z{a}{b}" for a in string.ascii_lowercase + string.digits for b in string.ascii_lowercase][:900]
+    texts, labels = [], []
+    for i in range(4000):
+        toxic = i % 10 == 0
+        texts.append(" ".join([prose(rng, 15, 100), *(bad[(i // 10 * 30 + j) % 900] for j in range(30 if toxic else 0))]))
+        labels.append((i, int(toxic)))
+    model = toxicity.fit(frame(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert len(model.terms.keys) >= 900
+    scores, why = model.scores(pa.array(bad), evidence=True)
+    assert all(why) and (scores >= 0.5).all()
+    assert model.scores(pa.array(["w1x1 w2x2"]))[0][0] < 0.5
