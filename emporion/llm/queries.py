@@ -111,5 +111,27 @@ def op10_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op3_randomness_battery, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op7_mcd_outliers, op8_dominance_packing, op9_nearest_toxic, op10_signature_tree)}
-ORACLE: dict[str, str] = {}
+def op13_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents appended to a new index in two parts, larger ids first (what
+    is indexed stays), and every document's class."""
+    from .digest_index import DigestIndex
+
+    index = DigestIndex.create(spark, scratch(spark, "digest-index"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    seen = index.batch("documents", table(spark, sf_dir, "documents"))
+    ends = seen.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
+    middle = ((ends.low or 0) + (ends.high or 0)) // 2
+    index.append(seen.where(F.col("doc_id") > middle), "documents")
+    index.append(seen.where(F.coalesce(F.col("doc_id") <= middle, F.lit(True))), "documents")
+    return index.judged(seen, "documents").select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+OP13_SQL = """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+       doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
+from documents
+window same as (partition by coalesce(text, ''))
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op3_randomness_battery, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op7_mcd_outliers, op8_dominance_packing, op9_nearest_toxic, op10_signature_tree, op13_digest_index)}
+ORACLE: dict[str, str] = {"op13_digest_index": OP13_SQL}

@@ -1,0 +1,64 @@
+import hashlib
+import random
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from emporion.llm.digest_index import DigestIndex, deduplicate
+from llm_cases import DOCS, frame, no_docs, odd_docs  # noqa: F401
+
+
+def brute(rows):
+    """[(doc_id, text)] -> doc_id, keep_id, group_size, sha256 of every row."""
+    groups = defaultdict(list)
+    for d, t in rows:
+        groups[t or ""].append(d)
+    key = lambda d: (d is not None, d or 0)
+    return sorted(((d, max(groups[t or ""], key=key), len(groups[t or ""]), hashlib.sha256((t or "").encode()).hexdigest()) for d, t in rows),
+                  key=lambda r: (key(r[0]), r[3]))
+
+
+def found(df):
+    rows = df.select("doc_id", "keep_id", "group_size", F.lower(F.hex("digest")).alias("h"), "kept").collect()
+    return sorted((tuple(r)[:4] for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[3])), rows
+
+
+def test_one_of_each_text_stays(spark, tmp_path, odd_docs):  # noqa: F811
+    got, rows = found(deduplicate(DigestIndex.create(spark, str(tmp_path / "i1"), 4), "b", odd_docs))
+    assert got == brute([(r.doc_id, r.text) for r in odd_docs.collect()])
+    kept = [r for r in rows if r.kept]
+    assert all(r.keep_id == r.doc_id for r in kept) and len(kept) == len({r.h for r in rows})
+
+
+def test_empty_table(spark, tmp_path, no_docs):  # noqa: F811
+    assert deduplicate(DigestIndex.create(spark, str(tmp_path / "i2"), 3), "b", no_docs).count() == 0
+
+
+def test_large_groups_take_the_broadcast_way(spark, tmp_path):
+    rng = random.Random(1)
+    texts = ["same text"] * 3000 + [f"t{rng.randrange(4000)}" for _ in range(6000)]
+    rng.shuffle(texts)
+    got, rows = found(deduplicate(DigestIndex.create(spark, str(tmp_path / "i3"), 5), "b", frame(spark, texts)))
+    assert got == brute(list(enumerate(texts))) and sum(r.kept for r in rows) == len(set(texts))
+
+
+def test_earlier_batches_stay_and_replays_add_nothing(spark, tmp_path):
+    index = DigestIndex.create(spark, str(tmp_path / "i4"), 4)
+    one = {r.doc_id: r.kept for r in deduplicate(index, "one", frame(spark, ["a", "b", "a"], 100)).collect()}
+    assert one == {100: False, 101: True, 102: True}
+    again = DigestIndex.open(spark, str(tmp_path / "i4"))
+    two = lambda: {r.doc_id: (r.kept, r.keep_id) for r in deduplicate(again, "two", frame(spark, ["b", "c", "c", None], 500)).collect()}
+    first = two()
+    assert first == {500: (False, 101), 501: (False, 502), 502: (True, 502), 503: (True, 503)}
+    assert two() == first and again.entries().count() == 4
+    small = again.compact(str(tmp_path / "i5"))
+    assert sorted(map(str, small.entries().collect())) == sorted(map(str, again.entries().collect()))
+
+
+def test_index_side_is_not_shuffled(spark, tmp_path):
+    index = DigestIndex.create(spark, str(tmp_path / "i6"), 16)
+    seen = index.batch("x", frame(spark, ["a", "b"]))
+    index.append(seen, "x")
+    plan = index.unseen(index.batch("y", frame(spark, ["b", "c"])), "y")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan
+    assert "Exchange" not in plan[plan.rindex("Sort ["):] and "Bucketed: true" in plan
