@@ -24,6 +24,13 @@ _FOLDED[65:91] = _BYTE[97:123]
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+#: a second sum, over the field of this prime: words whose sums agree modulo 2**64 for any odd base (Thue-Morse) differ here
+_PRIME = (1 << 31) - 1
+_FIELD_BASE = 0x5DEECE66 % _PRIME
+_FIELD_BYTE = np.random.default_rng(20240301).integers(1, _PRIME, 256, dtype=np.uint64)
+_FIELD_FOLDED = _FIELD_BYTE.copy()
+_FIELD_FOLDED[65:91] = _FIELD_BYTE[97:123]
+_field_powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -36,6 +43,26 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
+def _near(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime or a little more (below 2**34), for x below 2**64."""
+    return (x & U64(_PRIME)) + (x >> U64(31))
+
+
+def _exact(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime, for x below 2**64."""
+    x = _near(_near(x))
+    return np.where(x >= U64(_PRIME), x - U64(_PRIME), x)
+
+
+def _field_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo the prime for i < n."""
+    for k, base in ((0, _FIELD_BASE), (1, pow(_FIELD_BASE, -1, _PRIME))):
+        while len(_field_powers[k]) < n:
+            have = _field_powers[k]
+            _field_powers[k] = np.concatenate([have, _exact(have * U64(pow(base, len(have), _PRIME)))])
+    return _field_powers[0][:n], _field_powers[1][:n]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser."""
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
@@ -75,7 +102,7 @@ class Block:
         after[n - 1:] = False
         self.end = np.flatnonzero(solid & (~after | edge[1:])) + 1
         self.first = np.searchsorted(self.start, at)
-        self._table = _FOLDED if fold else _BYTE
+        self._table, self._field = (_FOLDED, _FIELD_FOLDED) if fold else (_BYTE, _FIELD_BYTE)
 
     @property
     def hash(self) -> np.ndarray:
@@ -85,12 +112,14 @@ class Block:
 
     def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """64-bit keys of byte spans, alike for equal (folded) bytes."""
+        n = len(self.raw) + 1
         if not hasattr(self, "_sums"):
-            powers, _ = _power_tables(len(self.raw) + 1)
-            self._sums = np.zeros(len(self.raw) + 1, dtype=np.uint64)
-            np.cumsum(self._table[self.raw] * powers[:-1], out=self._sums[1:])
-        _, inverse = _power_tables(len(self.raw) + 1)
-        return mix((self._sums[end] - self._sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+            self._sums, self._field_sums = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.uint64)
+            np.cumsum(self._table[self.raw] * _power_tables(n)[0][:-1], out=self._sums[1:])
+            np.cumsum(_near(self._field[self.raw] * _field_tables(n)[0][:-1]), out=self._field_sums[1:])
+        wide = (self._sums[end] - self._sums[start]) * _power_tables(n)[1][start]
+        field = _exact(_exact(self._field_sums[end] - self._field_sums[start]) * _field_tables(n)[1][start])
+        return mix(wide + field * _BASE + (end - start).astype(np.uint64))
 
     def word_doc(self) -> np.ndarray:
         return np.repeat(np.arange(self.n_docs), np.diff(self.first))

@@ -3,8 +3,12 @@
 A text is cut at white space where both vocabularies always begin a new piece,
 equal pieces of a block are encoded once, and their ids are put back in order.
 The result equals encoding the whole text (tested); only repeated work goes.
-Pieces are told apart by 64-bit keys: among two million remembered ones the
-chance of one mistake is about 1e-7.
+Pieces are told apart by 64-bit keys (``blocks.Block.span_hash``): among two
+million remembered ones the chance of one mistake is about 1e-7.
+
+A text in which the vocabulary's special strings stand (``<|endoftext|>``) is
+encoded in one piece, so it has the ids that the library gives it.  Ids are held
+as unsigned 16-bit integers; a vocabulary of more than 65,536 ids is refused.
 """
 
 from __future__ import annotations
@@ -46,7 +50,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError(f"{path}: ids of more than 16 bits")
+        #: matched by the library before it cuts a text
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self) -> None:
@@ -83,6 +90,13 @@ class Encoder:
             cut[space[(_PLAIN[before] | wide) & (_PLAIN[after] | _LETTER_LEAD[after])]] = True
             sign, letter = _SIGN[raw], _LETTER[raw]
             cut[1:n] |= (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])
+        data = raw.tobytes()
+        for mark in self.special:
+            at = data.find(mark)
+            while at >= 0:
+                d = int(np.searchsorted(b.offsets, at, side="right")) - 1
+                cut[b.offsets[d]:b.offsets[d + 1]] = False
+                at = data.find(mark, int(b.offsets[d + 1]))
         cut[b.offsets] = True
         start = np.flatnonzero(cut[:n])
         end = np.append(start[1:], n)
@@ -92,7 +106,6 @@ class Encoder:
         place = np.searchsorted(self.known, key)
         new = np.flatnonzero(self.known[np.minimum(place, len(self.known) - 1)] != key) if len(self.known) else np.arange(len(key))
         if len(new):
-            data = raw.tobytes()
             a, z = start[one[new]].tolist(), end[one[new]].tolist()
             self._learn(key[new], [data[x:y].decode() for x, y in zip(a, z)])
             place = np.searchsorted(self.known, key)

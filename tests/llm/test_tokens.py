@@ -1,5 +1,6 @@
 import random
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +20,13 @@ BYTE, WORD = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_bpe
 ALPHABET = st.text(st.sampled_from(list("abZ '.,\n\t é日 <|>09́")), max_size=40)
 
 
+@lru_cache
+def library(path):
+    return Tokenizer.from_file(path)
+
+
 def whole(path, text):
-    k = Tokenizer.from_file(path)
-    k.encode_special_tokens = True
-    return k.encode(text or "", add_special_tokens=False).ids + [0]
+    return library(path).encode(text or "", add_special_tokens=False).ids + [0]
 
 
 @pytest.mark.parametrize("path", [BYTE, WORD])
@@ -32,6 +36,25 @@ def test_pieces_give_the_ids_of_the_whole_text(path):
     assert [x.tolist() for x in tokens.encode(pa.array(texts), path)] == [whole(path, t) for t in texts]
 
 
+def thue_morse(n, a="a", b="b"):
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_words_alike_modulo_a_power_of_two_have_keys_of_their_own(n):
+    one, two = thue_morse(n), thue_morse(n, "b", "a")
+    for path in (BYTE, WORD):
+        assert [x.tolist() for x in tokens.encode(pa.array([one, two, one + " " + two]), path)] == [whole(path, t) for t in (one, two, one + " " + two)]
+    b = next(blocks.blocks(pa.array([f"{one} x y z", f"{two} x y z"]), fold=True))
+    assert len(set(b.hash.tolist())) == 5 and len(set(b.shingles(4)[0].tolist())) == 2
+
+
+def test_special_strings_as_the_library_reads_them():
+    texts = ["hello<|endoftext|>world", "<|endoftext|>", "a <|endoftext|> b c, d", "</s> <unk> [INST]", "no mark", "<|endoftext|", "x " * 50 + "<|endoftext|><|endoftext|> y"]
+    for path in (BYTE, WORD):
+        assert [x.tolist() for x in tokens.encode(pa.array(texts), path)] == [whole(path, t) for t in texts]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(ALPHABET, max_size=6))
 def test_pieces_property(texts):
@@ -136,6 +159,18 @@ def test_fixed_sets_keep_the_optimum():
     assert reduced > 200
 
 
+def martello_toth_bound(sizes, capacity):
+    """L2: for each limit, large sizes have bins of their own, and what middle
+    ones leave open bounds how many bins the rest adds."""
+    best = -(-int(sizes.sum()) // capacity)
+    for limit in range(capacity // 2 + 1):
+        large, middle = sizes[sizes > capacity - limit], sizes[(sizes > capacity / 2) & (sizes <= capacity - limit)]
+        rest = sizes[(sizes >= limit) & (sizes <= capacity / 2)]
+        over = int(rest.sum()) - (len(middle) * capacity - int(middle.sum()))
+        best = max(best, len(large) + len(middle) + max(0, -(-over // capacity)))
+    return best
+
+
 def test_plan_fills_bins_without_gaps():
     rng = random.Random(6)
     for _ in range(100):
@@ -157,8 +192,8 @@ def test_plan_fills_bins_without_gaps():
                 assert offset == at
                 at += length
             assert at <= capacity
-        total = int((count * np.arange(capacity + 1)).sum())
-        assert len(bins) <= max(-(-total // capacity) * 1.5 + 1, 1) and sorted(bins) == list(range(len(bins)))
+        least = martello_toth_bound(np.repeat(np.arange(capacity + 1), count), capacity)
+        assert least <= len(bins) <= least * 11 / 6 + 1 and sorted(bins) == list(range(len(bins)))
 
 
 def test_packing_of_odd_documents(spark, odd_docs, no_docs):
