@@ -111,6 +111,42 @@ def op10_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_shingles", "component_id")
 
 
+def repeating(text: F.Column, doc_id: F.Column) -> F.Column:
+    """``text``, or for one id in ten (crc32 h of the decimal id, h % 10 = 0) its
+    words joined by one space, where from word a on the next p words repeat."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    def repeated(s: F.Column) -> F.Column:
+        a = s["g"] % F.size(s["w"])
+        p = F.lit(1) + F.floor((F.size(s["w"]) - a) / (F.lit(3) + s["g"] % 8))
+        whole = F.transform(F.array(F.struct(s["w"].alias("w"), a.alias("a"), p.alias("p"))), lambda t: F.array_join(F.transform(
+            t["w"], lambda x, i: F.when(i < t["a"], x).otherwise(t["w"][(t["a"] + (i - t["a"]) % t["p"]).cast("int")])), " "))
+        return F.when(F.size(s["w"]) > 0, whole[0]).otherwise("")
+
+    # arrays of one element hold what the inner functions use, so it is made once
+    made = F.transform(F.array(F.struct(words.alias("w"), F.floor(h / 10).alias("g"))), repeated)[0]
+    return F.when(h % 10 == 0, made).otherwise(text)
+
+
+def op12_cover_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of all documents, a tenth of them made to repeat,
+    and the texts without the repetitions."""
+    from .periodic import with_runs
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", repeating(F.col("text"), F.col("doc_id")).alias("text"))
+    found = with_runs(docs)
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.aggregate("runs", none, lambda m, r: F.when(m.isNull() | (r["length"] * m["period"] > m["length"] * r["period"]), r).otherwise(m))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "collapsed", best.alias("best"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")).cast("binary"), 256).alias("runs_sha256"),
+    ).select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+             F.expr("best.length * 1000 div best.period").alias("exponent_milli"), "runs_sha256",
+             F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op13_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents appended to a new index in two parts, larger ids first (what
     is indexed stays), and every document's class."""
@@ -133,5 +169,5 @@ window same as (partition by coalesce(text, ''))
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op3_randomness_battery, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op7_mcd_outliers, op8_dominance_packing, op9_nearest_toxic, op10_signature_tree, op13_digest_index)}
+QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op3_randomness_battery, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op7_mcd_outliers, op8_dominance_packing, op9_nearest_toxic, op10_signature_tree, op12_cover_runs, op13_digest_index)}
 ORACLE: dict[str, str] = {"op13_digest_index": OP13_SQL}

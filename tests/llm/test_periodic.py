@@ -1,0 +1,115 @@
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from emporion.llm import periodic
+from emporion.llm.common import ship
+from emporion.llm.queries import op12_cover_runs, repeating
+from llm_cases import DOCS, frame, no_docs, odd_docs, words_of  # noqa: F401
+
+
+def brute(w, least=24, times=3):
+    """Every period and every stretch; a stretch belongs to its smallest period."""
+    n, out = len(w), {}
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            s = i
+            while i + q < n and w[i] == w[i + q]:
+                i += 1
+            if i + q - s >= max(least, times * q):
+                out.setdefault((s, i + q), q)
+    return sorted(((s, e - s, q) for (s, e), q in out.items()), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(w, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def sequence(rng):
+    n, kinds = rng.choice([0, 1, 5, 30, 80, 200, 400]), rng.choice([1, 2, 2, 3, 50])
+    w = [rng.randrange(kinds) for _ in range(n)]
+    for _ in range(rng.choice([0, 0, 1, 2, 3]) if n > 10 else 0):
+        a = rng.randrange(n)
+        p, size = rng.randint(1, max(1, (n - a) // 3)), rng.randint(0, n - a)
+        for i in range(a + p, a + size):
+            w[i] = w[i - p]
+    return w
+
+
+@pytest.mark.parametrize("least", [1, 6, 24])
+def test_runs_equal_brute_force(least):
+    rng, seen = random.Random(least), 0
+    for _ in range(80):
+        texts = [sequence(rng) for _ in range(rng.randint(1, 6))]
+        flat = np.array([x for w in texts for x in w], dtype=np.uint64) * np.uint64(7919)
+        start, end, period = periodic.find_runs(flat, np.array([len(w) for w in texts], dtype=np.int64), least, 3)
+        want, at = [], 0
+        for w in texts:
+            want += [(s + at, s + at + n, q) for s, n, q in brute(w, least)]
+            at += len(w)
+        assert list(zip(start.tolist(), end.tolist(), period.tolist())) == want
+        seen += len(want)
+    assert seen > 50
+
+
+def test_extensions_equal_brute_force():
+    rng = random.Random(4)
+    for n, kinds in ((1, 1), (40, 1), (300, 1), (500, 2), (700, 3)):
+        w = [rng.randrange(kinds) + 1 for _ in range(n)]
+        w[n // 2:n // 2 + n // 3] = w[:n // 3]
+        pairs = sorted({tuple(sorted(rng.sample(range(n), 2))) for _ in range(400)}) if n > 1 else []
+        got = periodic.Extension(np.array(w, dtype=np.uint32)).common(*(np.array([p[k] for p in pairs], dtype=np.int64) for k in (0, 1)))
+        for (i, j), x in zip(pairs, got.tolist()):
+            assert x == next((k for k in range(n - j) if w[i + k] != w[j + k]), n - j)
+
+
+def row(doc_id, text):
+    """The query's columns by brute force."""
+    w = words_of(text)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 == 0 and w:
+        g, n = h // 10, len(w)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    runs = brute(w)
+    best = max(runs, key=lambda r: (r[1] / r[2], -r[0], -r[2]), default=(None, None, None))
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    return (doc_id, len(runs), *best, best[1] * 1000 // best[2] if runs else None, digest("".join(f"{s},{n},{q}\n" for s, n, q in runs)), digest(collapsed(w, runs)))
+
+
+def test_odd_documents_and_general_interface(spark, odd_docs, no_docs):  # noqa: F811
+    ship(spark)
+    got = periodic.with_runs(odd_docs.withColumn("runs", F.lit("x")), keep=("doc_id", "runs", "score"), least=4).collect()
+    want = Counter()
+    for r in odd_docs.collect():
+        runs = brute(words_of(r.text), 4)
+        want[(r.doc_id, len(words_of(r.text)), str(runs), collapsed(words_of(r.text), runs))] += 1
+    assert Counter((r.doc_id, r.n_words, str([tuple(x) for x in r.runs]), r.collapsed) for r in got) == want
+    assert periodic.with_runs(no_docs).count() == 0
+    with pytest.raises(ValueError):
+        periodic.with_runs(odd_docs, times=2)
+
+
+def test_query_equals_brute_force(spark, tmp_path, odd_docs):  # noqa: F811
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["the", "of", f"w{rng.randrange(90)}"]) for _ in range(rng.choice([3, 30, 200, 700]))) for _ in range(120)]
+    texts += [" ".join(f"t{x}" for x in sequence(rng)) for _ in range(60)] + ["a b\tc\x0bd\n" * 400]
+    odd_docs.select("doc_id", "text").unionByName(frame(spark, texts, 100).select("doc_id", "text")).write.parquet(str(tmp_path / "documents.parquet"))
+    got = op12_cover_runs(spark, str(tmp_path))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet")).collect()
+    want = Counter(row(r.doc_id, r.text) for r in docs)
+    assert Counter(tuple(r) for r in got.collect()) == want and sum(x[1] > 0 for x in want) > 20
+    assert got.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    assert [t for _, t in got.dtypes] == ["bigint"] * 6 + ["string"] * 2
+    assert spark.range(1).select(repeating(F.lit(None).cast("string"), F.col("id"))).first()[0] in (None, "")
