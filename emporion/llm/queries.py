@@ -111,6 +111,15 @@ def op10_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable embeddings on the 32 leading components, whitened.  Adding
+    1,000,000 to every whole number would change none of these columns."""
+    from .whitening import fit, stored, whitened
+
+    blocks = stored(table(spark, sf_dir, "embeddings"), "embedding", "vec_id")
+    return whitened(blocks, fit(blocks))
+
+
 def repeating(text: F.Column, doc_id: F.Column) -> F.Column:
     """``text``, or for one id in ten (crc32 h of the decimal id, h % 10 = 0) its
     words joined by one space, where from word a on the next p words repeat."""
@@ -169,5 +178,5 @@ window same as (partition by coalesce(text, ''))
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op3_randomness_battery, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op7_mcd_outliers, op8_dominance_packing, op9_nearest_toxic, op10_signature_tree, op12_cover_runs, op13_digest_index)}
+QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op3_randomness_battery, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op7_mcd_outliers, op8_dominance_packing, op9_nearest_toxic, op10_signature_tree, op11_chebyshev_whitening, op12_cover_runs, op13_digest_index)}
 ORACLE: dict[str, str] = {"op13_digest_index": OP13_SQL}
