@@ -7,32 +7,46 @@ match is the one with the smallest |order time - session start|.  Every order
 is kept (one row per order_id), unmatched ones get the defaults
 'unknown'/'unknown'/'direct'.
 
-Plan shape, chosen for scale:
-
-* The range condition is turned into an extra equi-key: each session is
-  exploded over the time buckets (default: hours) its coverage interval spans
-  *inside its own day* (at most 24 rows per session for hours), each order
-  falls in exactly one bucket.  The join key is (customer_id, date, bucket),
-  so a customer with huge activity is split across buckets; a pair is only
-  ever compared when the session is live during the order's bucket.  The
-  BETWEEN stays as the residual predicate, so the result is exact.
-* The join is a plain equi-join: sort-merge or shuffled-hash for large sides,
-  AQE switches to broadcast when a side is measured small at run time, and
-  AQE skew-join splits a hot (customer, day, bucket) partition.
-* The best match uses ``row_number() == 1`` so that Catalyst inserts a
-  partial WindowGroupLimit before the shuffle (at most one row per order per
-  map task crosses the network, even for a duplicated order_id).  Ties are
-  broken deterministically by session_id, device, browser, channel, then the
-  order payload.
+``orders_enriched`` is an ordered sweep, linear in the rows:
+
+* A session that contains the order's time has started by then, so the nearest
+  start is the *latest live* one.  Session starts and orders of a customer and
+  day are merged in time order; the sweep keeps the live sessions that no later
+  one outlives, latest start on top, and drops the top for good once it has
+  ended.  Each session is pushed and dropped once, however many orders meet it:
+  no pair of rows is ever compared.
+* The time line of a customer-day is cut into pieces (default: hours).  A piece
+  begins with carry rows: a copy of each session that is live at its start.  A
+  customer with huge activity is split over the pieces; the copies are at most
+  one per piece a session covers (24 a day for hours).
+* Rows are dealt by (customer, date, piece) and sorted by Spark (the sort
+  spills); the sweep streams over them in Arrow batches and holds one batch and
+  the live sessions, never a whole piece.  Orders without customer or time match
+  nothing and go round the shuffle.
+* The best match of a repeated order_id uses ``row_number() == 1`` so that
+  Catalyst inserts a partial WindowGroupLimit before the shuffle (at most one
+  row per order per map task crosses the network).  Ties are broken by
+  session_id, device, browser, channel, then the order payload.
+
+``match_orders_to_sessions`` lists all candidate pairs with their rank (an
+equi-join with the same pieces as key and the range as residual); it is the
+definition that the sweep is tested against.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.expressions import micros_between
 from ..schemas import ATTRIBUTION_GRACE
+from ..session import ship
 
 ORDER_COLUMNS = [
     "order_id", "customer_id", "product_id", "product_name", "category", "quantity",
@@ -40,6 +54,9 @@ ORDER_COLUMNS = [
     "is_cancelled", "order_value_tier", "order_placed_at", "pipeline_processed_at",
 ]
 
+_SESSION_TIEBREAK = ["session_id", "device_type", "browser", "attribution_channel"]
+_SESSION_PAYLOAD = ["session_start", *_SESSION_TIEBREAK, "session_outcome", "engagement_score"]
+
 _PAYLOAD_TIEBREAK = [
     "order_placed_at", "customer_id", "product_id", "product_name", "category", "quantity",
     "unit_price", "order_total", "order_status", "shipping_state", "payment_method",
@@ -96,22 +113,90 @@ def match_orders_to_sessions(orders: DataFrame, sessions: DataFrame, grace: str
         o._bucket == s._bucket,
         o.order_placed_at.between(s.session_start, s._cover_end),
     ]
-    joined = o.join(s, cond, "left").withColumn(
-        "_distance", F.abs(micros_between("session_start", "order_placed_at")))
-    order_by = [F.col("_distance").asc_nulls_last()]
-    order_by += [F.col(c).asc_nulls_last() for c in ("session_id", "device_type", "browser", "attribution_channel")]
-    order_by += [F.col(c).asc_nulls_last() for c in _PAYLOAD_TIEBREAK]
-    w = Window.partitionBy("order_id").orderBy(*order_by)
-    return joined.withColumn("match_rank", F.row_number().over(w))
+    return _ranked(o.join(s, cond, "left"))
+
+
+def _ranked(matched: DataFrame) -> DataFrame:
+    order_by = [F.abs(micros_between("session_start", "order_placed_at")).asc_nulls_last()]
+    order_by += [F.col(c).asc_nulls_last() for c in (*_SESSION_TIEBREAK, *_PAYLOAD_TIEBREAK)]
+    return matched.withColumn("match_rank", F.row_number().over(Window.partitionBy("order_id").orderBy(*order_by)))
+
+
+def _sweep(batches: Iterator[pa.RecordBatch], keys: list[str], orders: list[str], payload: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of whole groups (equal ``keys``) in order of time, sessions before
+    orders -> each order with the payload of the latest live session."""
+    live, live_until, last = None, [], None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        rows = pa.Table.from_batches([batch])
+        fresh = np.zeros(n, dtype=bool)  # rows that begin a group
+        first = [rows.column(k)[0] for k in keys]
+        fresh[0] = last is None or any(not a.equals(b) for a, b in zip(first, last))
+        last = [rows.column(k)[n - 1] for k in keys]
+        for k in keys:
+            c = rows.column(k).combine_chunks()
+            fresh[1:] |= pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        is_order = rows.column("_is_order").to_numpy()
+        at, until = (rows.column(c).cast(pa.int64()).fill_null(0).to_pylist() for c in ("_at", "_cover_end"))
+        pool = rows.select(payload) if live is None else pa.concat_tables([live, rows.select(payload)])
+        shift, until = len(live_until), live_until + until
+        stack, best = list(range(shift)), []
+        for i, (new, order) in enumerate(zip(fresh.tolist(), is_order.tolist())):
+            if new:
+                stack.clear()
+            if order:
+                t = at[i]
+                while stack and until[stack[-1]] < t:
+                    stack.pop()
+                best.append(stack[-1] if stack else None)
+            else:
+                end = until[shift + i]
+                while stack and until[stack[-1]] <= end:
+                    stack.pop()
+                stack.append(shift + i)
+        found = rows.select(orders).filter(pa.array(is_order))
+        match = pool.take(pa.array(best, pa.int64()))
+        live, live_until = pool.take(pa.array(stack, pa.int64())).combine_chunks(), [until[i] for i in stack]
+        for c, field in zip(match.columns, match.schema):
+            found = found.append_column(field, c)
+        yield from found.to_batches()
+
+
+def latest_live_session(orders: DataFrame, sessions: DataFrame, grace: str = ATTRIBUTION_GRACE,
+                        bucket_minutes: int = 60) -> DataFrame:
+    """``ORDER_COLUMNS`` of every order row and the columns of the session that
+    is live at its time with the latest start (ties: the least session_id,
+    device, browser, channel), null where there is none."""
+    o, s = orders.select(*ORDER_COLUMNS), session_candidates(sessions, grace, bucket_minutes)
+    keys, placed = ["customer_id", "_date", "_bucket"], F.col("order_placed_at")
+    can_match = F.col("customer_id").isNotNull() & placed.isNotNull()
+    none = [F.lit(None).cast(s.schema[c].dataType).alias(c) for c in _SESSION_PAYLOAD]
+    order_rows = o.where(can_match).select(
+        *ORDER_COLUMNS, F.to_date(placed).alias("_date"), _bucket(placed, bucket_minutes).alias("_bucket"),
+        placed.alias("_at"), F.lit(True).alias("_is_order"), *none, F.lit(None).cast(s.schema["_cover_end"].dataType).alias("_cover_end"))
+    start_rows = s.select(
+        F.col("_s_customer").alias("customer_id"), F.col("_s_date").alias("_date"), "_bucket",
+        F.col("session_start").alias("_at"), F.lit(False).alias("_is_order"), *_SESSION_PAYLOAD, "_cover_end")
+    merged = order_rows.unionByName(start_rows, allowMissingColumns=True).repartition(*keys)
+    ordered = merged.sortWithinPartitions(*keys, "_at", "_is_order", *(F.col(c).desc_nulls_first() for c in _SESSION_TIEBREAK))
+    types = [*(o.schema[c] for c in ORDER_COLUMNS), *(s.schema[c] for c in _SESSION_PAYLOAD)]
+    schema = StructType([StructField(f.name, f.dataType) for f in types])  # any payload is null where nothing matches
+    ship(orders.sparkSession)
+    found = ordered.mapInArrow(lambda batches: _sweep(batches, keys, ORDER_COLUMNS, _SESSION_PAYLOAD), schema)
+    return found.unionByName(o.where(~can_match).select(*ORDER_COLUMNS, *none))
 
 
 def orders_enriched(stg_orders: DataFrame, sessions: DataFrame, grace: str = ATTRIBUTION_GRACE,
                     bucket_minutes: int = 60) -> DataFrame:
-    """``bucket_minutes`` sets the width of the time buckets of the join key:
-    narrower buckets split a hot customer-day into smaller groups at the cost
-    of more session copies (one per bucket a session covers); the result is
-    the same for any width."""
-    best = match_orders_to_sessions(stg_orders, sessions, grace, bucket_minutes).filter(F.col("match_rank") == 1)
+    """``bucket_minutes`` sets the width of the pieces of the sweep: narrower
+    ones split a hot customer-day into smaller groups at the cost of more carry
+    rows; the result is the same for any width."""
+    return with_defaults(_ranked(latest_live_session(stg_orders, sessions, grace, bucket_minutes)).filter(F.col("match_rank") == 1))
+
+
+def with_defaults(best: DataFrame) -> DataFrame:
     return best.select(
         *ORDER_COLUMNS,
         "session_id",

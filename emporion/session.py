@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -68,3 +71,16 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     folder when the cluster names one)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python once per application, so that
+    it need not be installed on them (Spark's own ``addPyFile``)."""
+    sc = spark.sparkContext
+    if not any(name.startswith("emporion-") for name in sc._python_includes or ()):
+        package = Path(__file__).resolve().parent
+        to = Path(tempfile.mkdtemp(prefix="emporion-py-")) / f"emporion-{uuid.uuid4().hex[:8]}.zip"
+        with zipfile.ZipFile(to, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f"{package.name}/{f.relative_to(package)}")
+        sc.addPyFile(str(to))

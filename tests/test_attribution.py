@@ -1,8 +1,12 @@
 """Order -> session attribution edge cases and plan shape."""
 
+import random
+import time
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import pyarrow as pa
+
 from emporion.operators import attribution
 
 SESSION_SCHEMA = ("session_id string, customer_id string, device_type string, browser string, referrer string, "
@@ -73,27 +77,70 @@ def test_long_session_spanning_hours(spark):
     assert out["O1"].session_id == "S1" and out["O2"].session_id == "S1" and out["O3"].session_id is None
 
 
-def test_plan_is_equi_join_with_group_limit(spark):
+def test_plan_is_a_sweep_with_group_limit(spark):
     _, o, s = _run(spark, [_o("O1", "C1", D)], [_s("S1", "C1", D, D)])
-    plan = attribution.orders_enriched(o, s)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    opt = attribution.orders_enriched(o, s)._jdf.queryExecution().optimizedPlan().toString()
-    assert "WindowGroupLimit" in opt
+    query = attribution.orders_enriched(o, s)._jdf.queryExecution()
+    plan = query.executedPlan().toString()
+    assert "Join" not in plan and "CartesianProduct" not in plan     # no row meets another
+    assert plan.count("MapInArrow") == 1 and "hashpartitioning(customer_id" in plan
+    assert "WindowGroupLimit" in query.optimizedPlan().toString()
 
 
-def test_large_input_plan_is_sort_merge_on_three_keys(spark):
-    _, o, s = _run(spark, [_o("O1", "C1", D)], [_s("S1", "C1", D, D)])
-    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_an_older_session_that_outlives_later_ones(spark):
+    at = lambda h, m=0: D.replace(hour=h, minute=m)
+    sessions = [_s("LONG", "C1", at(8), at(20)), _s("MID", "C1", at(9), at(12)), _s("SHORT", "C1", at(9, 30), at(9, 40))]
+    orders = [_o(f"O{h:02d}{m:02d}", "C1", at(h, m)) for h, m in ((7, 59), (8, 0), (9, 5), (9, 30), (10, 10), (10, 11), (12, 30), (12, 31), (20, 30), (20, 31))]
+    out, _, _ = _run(spark, orders, sessions)
+    assert [out[k].session_id for k in sorted(out)] == [None, "LONG", "MID", "SHORT", "SHORT", "MID", "MID", "LONG", "LONG", None]
+
+
+def test_orders_without_customer_or_time_stay_unmatched(spark):
+    sessions = [_s("S1", "C1", D, D), (None, None, None, None, None, D, D, D.date(), None, None)]
+    o = [_o("O1", None, D), _o("O2", "C1", D)]
+    late = spark.createDataFrame([(*_o("O3", "C1", D)[:-2], None, None)], ORDER_SCHEMA)
+    _, df, s = _run(spark, o, sessions)
+    got = {r.order_id: r.session_id for r in attribution.orders_enriched(df.unionByName(late), s).collect()}
+    assert got == {"O1": None, "O2": "S1", "O3": None}
+
+
+def test_sweep_over_many_batches_equals_the_pairs(spark):
+    """One customer has a third of both sides inside one hour; groups and live
+    sessions go on over Arrow batches of 97 rows."""
+    rng = random.Random(8)
+    t = lambda hot: D + timedelta(hours=9, microseconds=rng.randrange(3_600_000_000)) if hot else D + timedelta(minutes=rng.randrange(2 * 1440))
+    sessions, orders = [], []
+    for i in range(1500):
+        hot = i % 3 == 0
+        start = t(hot)
+        sessions.append(_s(f"S{i % 700}", "HOT" if hot else f"C{rng.randrange(9)}", start, start + timedelta(seconds=rng.choice([0, 1, 60, 900, 40_000]))))
+        orders.append(_o(f"O{i}", "HOT" if hot else f"C{rng.randrange(9)}", t(hot)))
+    o, s = spark.createDataFrame(orders, ORDER_SCHEMA), spark.createDataFrame(sessions, SESSION_SCHEMA)
+    want = attribution.with_defaults(attribution.match_orders_to_sessions(o, s).filter("match_rank = 1"))
+    saved = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
     try:
-        plan = attribution.orders_enriched(o, s)._jdf.queryExecution().executedPlan().toString()
+        for width in (5, 60, 1440):
+            got = attribution.orders_enriched(o, s, bucket_minutes=width)
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     finally:
-        for k, v in saved.items():
-            spark.conf.set(k, v)
-    smj = [line for line in plan.splitlines() if "SortMergeJoin" in line]
-    assert len(smj) == 1
-    keys = smj[0].split("[", 1)[1].split("]", 1)[0].split(",")
-    assert len(keys) == 3 and any("_bucket" in k for k in keys)
-    assert "session_start" in smj[0] and "_cover_end" in smj[0]        # BETWEEN as residual
-    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", saved)
+    assert want.filter("session_id is not null").count() > 800
+
+
+def test_sweep_is_linear_in_the_rows():
+    """All sessions and orders of one customer in one hour: 16 times the rows
+    take far less than 16 * 16 times the work (pushes, drops and looks)."""
+    def seconds(n):
+        at = pa.array(list(range(2 * n)), pa.timestamp("us"))
+        is_order = pa.array([i % 2 == 1 for i in range(2 * n)])
+        until = pa.array([None if i % 2 else 10 * n - i for i in range(2 * n)], pa.timestamp("us"))  # nested: all stay live
+        batch = pa.RecordBatch.from_pydict({"k": pa.array(["c"] * (2 * n)), "_at": at, "_is_order": is_order, "_cover_end": until, "o": at, "s": at})
+        best = min(timeit(lambda: sum(b.num_rows for b in attribution._sweep(iter([batch]), ["k"], ["o"], ["s"]))) for _ in range(3))
+        return best
+
+    def timeit(f):
+        began = time.perf_counter()
+        f()
+        return time.perf_counter() - began
+
+    assert seconds(64_000) < 64 * seconds(4_000)
