@@ -1,6 +1,7 @@
 """Command-line entry points (``python -m emporion <command>``), one per job:
 
   stream-orders | stream-clicks | stream-inventory   topic -> parse -> rules -> sinks
+  stream-attribution                                landed orders and clicks -> orders with their session
   hourly                                            one hour of the order lake -> hourly tables
   models                                            staging -> intermediates -> marts -> data tests
   query                                             run one registered query on the test tables
@@ -39,7 +40,7 @@ def _paths(a: argparse.Namespace):
 
 
 def _jdbc(a: argparse.Namespace):
-    from .streaming.jobs import JdbcTarget
+    from .streaming.relational import JdbcTarget
     if not a.jdbc_url:
         return None
     return JdbcTarget(a.jdbc_url, a.jdbc_prefix, dict(p.split("=", 1) for p in a.jdbc_property))
@@ -66,6 +67,18 @@ def _stream(a: argparse.Namespace) -> int:
     return 0
 
 
+def _attribution(a: argparse.Namespace) -> int:
+    from .streaming import jobs, sinks
+    spark = _session()
+    job = jobs.start_attribution_job(spark, a.orders_lake, a.clicks_lake, a.output, a.checkpoint or f"{a.output.rstrip('/')}_checkpoints",
+                                     a.available_now, a.session_days, a.max_files, _jdbc(a))
+    if a.available_now:
+        job.wait()
+    else:
+        sinks.await_any(spark, job.queries)
+    return 0
+
+
 def _hourly(a: argparse.Namespace) -> int:
     from .plans.pipeline import run_hourly_batch
     spark = _session()
@@ -74,7 +87,7 @@ def _hourly(a: argparse.Namespace) -> int:
         hour = datetime.fromisoformat(a.hour)
         hour = hour.replace(tzinfo=timezone.utc) if hour.tzinfo is None else hour.astimezone(timezone.utc)
     sessions = spark.read.parquet(a.sessions) if a.sessions else None
-    res = run_hourly_batch(spark, a.lake, a.output, hour, top_k=a.top_k, sessions=sessions)
+    res = run_hourly_batch(spark, a.lake, a.output, hour, top_k=a.top_k, sessions=sessions, jdbc=_jdbc(a))
     print(f"[hourly] {res}")
     return 0
 
@@ -134,6 +147,12 @@ def _make_feed(a: argparse.Namespace) -> int:
     return 0
 
 
+def _jdbc_arguments(parser: argparse.ArgumentParser, prefix: str) -> None:
+    parser.add_argument("--jdbc-url", help="also write the results to a database (driver on the classpath)")
+    parser.add_argument("--jdbc-prefix", default=prefix, help="table name prefix")
+    parser.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="emporion")
     sub = p.add_subparsers(dest="command", required=True)
@@ -150,15 +169,23 @@ def main(argv: list[str] | None = None) -> int:
         s.add_argument("--checkpoint")
         s.add_argument("--available-now", action="store_true")
         s.add_argument("--update-mode", action="store_true")
-        s.add_argument("--dedupe", action="store_true", help="drop redelivered events before the windows (append mode)")
-        s.add_argument("--jdbc-url", help="also write landing and aggregates to a database (driver on the classpath)")
-        s.add_argument("--jdbc-prefix", default=f"{name.removeprefix('stream-')}_", help="table name prefix")
-        s.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
+        s.add_argument("--dedupe", action="store_true", help="drop redelivered events before the windows")
+        _jdbc_arguments(s, f"{name.removeprefix('stream-')}_")
+    t = sub.add_parser("stream-attribution")
+    t.add_argument("--orders-lake", required=True)
+    t.add_argument("--clicks-lake", required=True)
+    t.add_argument("--output", required=True)
+    t.add_argument("--checkpoint")
+    t.add_argument("--available-now", action="store_true")
+    t.add_argument("--session-days", type=int, default=1, help="days past its start a session may go on")
+    t.add_argument("--max-files", type=int)
+    _jdbc_arguments(t, "orders_")
     h = sub.add_parser("hourly")
     h.add_argument("--lake", required=True)
     h.add_argument("--output", required=True)
     h.add_argument("--hour", help="ISO start of the hour; default: last full UTC hour")
     h.add_argument("--top-k", type=int)
+    _jdbc_arguments(h, "hourly_")
     h.add_argument("--sessions", help="session table (e.g. the model run's int_user_sessions) for attribution")
     m = sub.add_parser("models")
     m.add_argument("--orders", required=True, help="landed orders (Parquet)")
@@ -180,7 +207,7 @@ def main(argv: list[str] | None = None) -> int:
     f.add_argument("--output", required=True)
     f.add_argument("--days-per-file", type=int, default=8)
     a = p.parse_args(argv)
-    handler = {"hourly": _hourly, "models": _models, "query": _query, "make-feed": _make_feed}.get(a.command, _stream)
+    handler = {"stream-attribution": _attribution, "hourly": _hourly, "models": _models, "query": _query, "make-feed": _make_feed}.get(a.command, _stream)
     return handler(a)
 
 

@@ -137,18 +137,24 @@ def check_after(run: ModelRun, as_of: datetime) -> None:
 
 
 def run_hourly_batch(spark: SparkSession, lake_path: str, out_path: str, hour_start: datetime | None = None,
-                     top_k: int | None = None, sessions: DataFrame | None = None) -> dict[str, str] | None:
+                     top_k: int | None = None, sessions: DataFrame | None = None, jdbc=None) -> dict[str, str] | None:
     """The hourly batch job: read one hour of the order lake, write revenue
     by category/state and ranked products for that hour.
 
     Missing lake -> warning, nothing written (returns None); an empty hour is
     skipped.  Outputs are partitioned by ``processing_hour`` and replaced per
     hour, so re-running an hour does not duplicate it.  ``hour_start``
-    defaults to the last full UTC hour.
+    defaults to the last full UTC hour.  ``jdbc`` (a ``JdbcTarget``) also gets
+    the hour's rows, in place of those it has of this hour.
     """
     from ..operators import hourly
     from ..sources.sinks import write_partitions
 
+    def write(df: DataFrame, name: str) -> None:
+        write_partitions(df, f"{out_path.rstrip('/')}/{name}", ["processing_hour"])
+        if jdbc is not None:
+            jdbc.append(df, name, label, scope="processing_hour")
+
     hour_start = hourly.utc_hour(hour_start) if hour_start else hourly.last_full_hour()[0]
     orders = hourly.read_hour_slice(spark, lake_path, hour_start)
     if orders is None:
@@ -159,14 +165,13 @@ def run_hourly_batch(spark: SparkSession, lake_path: str, out_path: str, hour_st
     label = hour_start.replace(tzinfo=None).isoformat(timespec="seconds") + "+00:00"
     revenue = hourly.hourly_revenue(orders, processing_hour=label, with_audit=True)
     products = hourly.hourly_top_products(orders, processing_hour=label, k=top_k, with_audit=True)
-    write_partitions(revenue, f"{out_path.rstrip('/')}/hourly_revenue_by_category", ["processing_hour"])
-    write_partitions(products, f"{out_path.rstrip('/')}/hourly_top_products", ["processing_hour"])
+    write(revenue, "hourly_revenue_by_category")
+    write(products, "hourly_top_products")
     if sessions is not None:
         # orders + clickstream: the hour's orders attributed to click sessions
         # (a complete session table, e.g. the materialised int_user_sessions;
         # only sessions of the hour's day can match)
         day = sessions.filter(F.col("session_date") == F.lit(hour_start.date()))  # UTC, as above
         enriched = attribution.orders_enriched(staging.stg_orders(orders), day)
-        write_partitions(hourly.hourly_attribution(enriched, processing_hour=label),
-                         f"{out_path.rstrip('/')}/hourly_attribution", ["processing_hour"])
+        write(hourly.hourly_attribution(enriched, processing_hour=label), "hourly_attribution")
     return {"hour": label}

@@ -3,7 +3,7 @@
 ``write_partitions`` is the rerun-safe form of an hourly append: it replaces
 only the partitions present in the DataFrame (dynamic partition overwrite),
 so re-running an hour rewrites that hour instead of appending it twice.
-``jdbc_append`` is the relational landing (needs the JDBC driver jar).
+Relational targets are in ``emporion.streaming.relational``.
 """
 
 from __future__ import annotations
@@ -16,7 +16,3 @@ from pyspark.sql import DataFrame
 def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
     (df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).save(path))
-
-
-def jdbc_append(df: DataFrame, url: str, table: str, properties: dict) -> None:
-    df.write.jdbc(url=url, table=table, mode="append", properties=properties)

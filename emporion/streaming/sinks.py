@@ -8,15 +8,14 @@
 * ``idempotent_batch_writer``: the same for a single output.
 * ``keyed_upsert_writer`` + ``current_rows``: update-mode rows are written per
   batch with the batch id; readers take, per key, the row of the newest batch.
-* ``jdbc_batch_writer``: the relational landing table (needs a JDBC driver on
-  the classpath); its rows carry ``batch_id``, so the target can drop a replay.
+* relational targets are in ``relational.py``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,10 +37,19 @@ def idempotent_batch_writer(path: str, drop: Sequence[str] = (), fmt: str = "par
     return write
 
 
-def keyed_upsert_writer(path: str) -> BatchFn:
+def keyed_upsert_writer(path: str, then: BatchFn | None = None) -> BatchFn:
+    """``then`` gets the batch after it is written, so it can read its keys' current rows."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        (batch_df.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
-                 .write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}"))
+        if then is not None:
+            batch_df.persist()
+        try:
+            (batch_df.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
+                     .write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}"))
+            if then is not None:
+                then(batch_df, batch_id)
+        finally:
+            if then is not None:
+                batch_df.unpersist()
     return write
 
 
@@ -65,18 +73,19 @@ def raw_fanout_writer(lake: str, landing: str, rejected: str, valid_fn: Callable
     return write
 
 
-def current_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Newest version of every key."""
+def current_rows(spark: SparkSession, path: str, keys: Sequence[str], only: Column | None = None) -> DataFrame:
+    """Newest version of every key; ``only`` is a condition on keys."""
     rows = spark.read.parquet(path).drop("batch_id")
+    if only is not None:
+        rows = rows.where(only)
     value_cols = [c for c in rows.columns if c not in (*keys, "_batch_id")]
     return rows.groupBy(*keys).agg(*[F.max_by(c, F.col("_batch_id")).alias(c) for c in value_cols])
 
 
-def jdbc_batch_writer(url: str, table: str, properties: dict) -> BatchFn:
-    def write(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.jdbc(
-            url=url, table=table, mode="append", properties=properties)
-    return write
+def make_folder(spark: SparkSession, path: str) -> None:
+    """So that a file stream can start on a folder that another query will fill."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
 
 
 def batch_sink(df: DataFrame, fn: BatchFn, checkpoint: str, output_mode: str = "append",

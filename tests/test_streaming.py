@@ -3,15 +3,16 @@ late data, dedup, session windows and the upsert sink."""
 
 import json
 import os
+import re
 import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from emporion.operators import ingest, sessions, windows
+from emporion.operators import attribution, ingest, sessions, staging, windows
 from emporion.plans import queries as Q
-from emporion.streaming import jobs, sinks, sources
+from emporion.streaming import jobs, joins, relational, sinks, sources
 
 
 def _write_feed(df, path, days_per_file=8, shuffled=False):
@@ -137,17 +138,114 @@ def test_raw_sinks_keep_late_events_and_second_states(spark, scratch, update_mod
     assert counts["10:00"] == 1 and counts["12:00"] == 1 and counts["13:00"] == 3
 
 
-def test_jdbc_landing_is_wired(spark, order_feed, scratch, monkeypatch):
+class FakeConnection:
+    """Notes the statements; a ledger kept as the statements say."""
+    log, ledger, fail = [], {}, None
+
+    def __init__(self, spark, url, properties):
+        self.open = []
+
+    def execute(self, sql):
+        if FakeConnection.fail and FakeConnection.fail in sql:
+            raise RuntimeError("lost connection")
+        self.open.append(sql)
+
+    def query(self, sql):
+        return FakeConnection.ledger.get(re.search(r"'(.*)'", sql)[1])
+
+    def commit(self):
+        FakeConnection.log.append(self.open)
+        for sql in self.open:
+            if m := re.search(r"VALUES \('(.*)', (\d+)\)", sql):
+                FakeConnection.ledger[m[1]] = int(m[2])
+
+    def rollback(self):
+        FakeConnection.log.append("rollback")
+
+    def close(self):
+        FakeConnection.log.append("close")
+
+
+@pytest.fixture()
+def jdbc(monkeypatch):
     from pyspark.sql.readwriter import DataFrameWriter
 
-    calls = []
+    FakeConnection.log, FakeConnection.ledger, FakeConnection.fail, staged = [], {}, None, []
     monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, mode=None, properties=None:
-                        calls.append((url, table, mode, properties, sorted(self._df.columns))))
+                        staged.append((url, table, mode, sorted(self._df.columns), self._df.count())))
+    target = relational.JdbcTarget("jdbc:test:db", "shop_", {"user": "u"}, FakeConnection)
+    target.staged = staged
+    return target
+
+
+def _said(needle):
+    return [sql for entry in FakeConnection.log if isinstance(entry, list) for sql in entry if needle in sql]
+
+
+@pytest.mark.parametrize("update_mode", [False, True])
+def test_relational_landing_is_wired(spark, order_feed, scratch, jdbc, update_mode):
     paths = _paths(scratch)
-    target = jobs.JdbcTarget("jdbc:test:db", "shop_", {"user": "u"})
-    jobs.start_orders_job(sources.file_topic(spark, order_feed), paths, available_now=True, jdbc=target).wait()
-    assert {c[1] for c in calls} == {"shop_landing", "shop_aggregates"}
-    assert all(c[0] == "jdbc:test:db" and c[2] == "append" and c[3] == {"user": "u"} and "batch_id" in c[4] for c in calls)
+    jobs.start_orders_job(sources.file_topic(spark, order_feed), paths, available_now=True, update_mode=update_mode, jdbc=jdbc).wait()
+    assert {t for _, t, _, _, _ in jdbc.staged} == {'"shop_landing_staging"', '"shop_aggregates_staging"'}
+    landed = sum(n for _, t, _, _, n in jdbc.staged if "landing" in t)
+    assert landed == spark.read.parquet(paths.landing).count()
+    assert _said('DELETE FROM "shop_landing" WHERE "batch_id" = 0') and _said('INSERT INTO "shop_landing" (')
+    if update_mode:  # by key, newest batch noted
+        assert all("EXISTS" in sql and '"window_start" IS NOT DISTINCT FROM "shop_aggregates"."window_start"' in sql for sql in _said('DELETE FROM "shop_aggregates"'))
+        batches = {int(p.split("=")[1]) for p in os.listdir(paths.aggregates) if p.startswith("batch_id=")}
+        assert FakeConnection.ledger["shop_aggregates"] <= max(batches) and len(_said("EXISTS")) >= 3
+    else:
+        assert _said('DELETE FROM "shop_aggregates" WHERE "batch_id" = 1') and not FakeConnection.ledger
+
+
+def test_upsert_batches_hold_the_windows_they_touch(spark, scratch, jdbc, monkeypatch):
+    """Applied in order by key, the staged rows end as the batch result."""
+    at = "2024-01-01T{}:00+00:00".format
+    files = [[{"order_id": "A", "event_timestamp": at("10:00")}, {"order_id": "B", "event_timestamp": at("10:07")}],
+             [{"order_id": "C", "event_timestamp": at("10:01"), "customer_id": "C2"}], [{"order_id": "D", "event_timestamp": at("10:08")}]]
+    for i, events in enumerate(files):
+        _topic(spark, events).coalesce(1).write.parquet(f"{scratch}/feed/f{i}")
+    table, seen = {}, []
+
+    def upsert(df, name, keys, batch_id):
+        rows = df.collect()
+        seen.append(len(rows))
+        table.update({tuple(r[k] for k in keys): r for r in rows})
+        return True
+
+    monkeypatch.setattr(jdbc, "upsert", upsert)
+    monkeypatch.setattr(jdbc, "append", lambda *a, **k: None)
+    paths = _paths(scratch)
+    jobs.start_orders_job(sources.file_topic(spark, f"{scratch}/feed"), paths, available_now=True, update_mode=True, jdbc=jdbc).wait()
+    assert seen == [2, 1, 1]
+    want = jobs.current_order_windows(spark, paths.aggregates).collect()
+    assert sorted(map(str, table.values())) == sorted(map(str, want)) and {r.order_count for r in want} == {2}
+
+
+def test_relational_statements_for_first_run_replay_and_update(spark, jdbc):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    assert jdbc.upsert(df, "t", ["k"], 4) and jdbc.upsert(df, "t", ["k"], 4)  # a replay of the newest batch writes it again
+    first = FakeConnection.log[0]
+    assert first == ['CREATE TABLE IF NOT EXISTS "shop_batches" (target VARCHAR(200), batch_id BIGINT, PRIMARY KEY (target))',
+                     'CREATE TABLE IF NOT EXISTS "shop_t" AS SELECT * FROM "shop_t_staging" WHERE 1 = 0',
+                     'DELETE FROM "shop_t" WHERE EXISTS (SELECT 1 FROM "shop_t_staging" s WHERE s."k" IS NOT DISTINCT FROM "shop_t"."k")',
+                     'INSERT INTO "shop_t" ("k", "v") SELECT "k", "v" FROM "shop_t_staging"',
+                     "DELETE FROM \"shop_batches\" WHERE target = 'shop_t'",
+                     "INSERT INTO \"shop_batches\" (target, batch_id) VALUES ('shop_t', 4)"]
+    assert FakeConnection.log[2] == first and FakeConnection.log[1] == "close"
+    assert jdbc.upsert(df, "t", ["k"], 5) and not jdbc.upsert(df, "t", ["k"], 3)  # a late replay changes nothing
+    assert FakeConnection.log[-2] == first[:1] and FakeConnection.ledger == {"shop_t": 5}
+    # an hour run twice: the same delete and insert both times
+    FakeConnection.log.clear()
+    for _ in range(2):
+        jdbc.append(df, "h", "2024-01-03T05:00:00+00:00", scope="hour's")
+    assert FakeConnection.log[0] == FakeConnection.log[2] and FakeConnection.log[0][1] == 'DELETE FROM "shop_h" WHERE "hour\'s" = \'2024-01-03T05:00:00+00:00\''
+    # nothing of a batch stays when a statement fails
+    FakeConnection.log.clear()
+    FakeConnection.fail = "INSERT"
+    with pytest.raises(RuntimeError):
+        jdbc.append(df, "h", 7)
+    assert FakeConnection.log == ["rollback", "close"]
 
 
 def test_late_rows_are_dropped_and_counted(spark, scratch):
@@ -185,8 +283,13 @@ def test_dedup_within_watermark(spark, order_feed, scratch):
     jobs.start_orders_job(sources.file_topic(spark, order_feed, max_files_per_trigger=None), one, available_now=True, dedupe=True).wait()
     ra, rb = _cmp(spark.read.parquet(paths.aggregates), spark.read.parquet(one.aggregates), ORDER_COLS)
     assert len(ra) > 5000 and ra == rb  # the windows count each event once
-    with pytest.raises(ValueError):
-        jobs.start_orders_job(sources.file_topic(spark, feed), paths, dedupe=True, update_mode=True)
+    # early updates too: two chained queries, closed windows as above
+    early = _paths(f"{scratch}/early")
+    jobs.start_orders_job(sources.file_topic(spark, feed, max_files_per_trigger=None), early, available_now=True, dedupe=True, update_mode=True).wait()
+    now = jobs.current_order_windows(spark, early.aggregates)
+    last = spark.read.parquet(one.aggregates).agg(F.max("window_end")).first()[0]
+    ra, _ = _cmp(now.where(F.col("window_end") <= F.lit(last)), now.limit(0), ORDER_COLS)
+    assert ra == rb
 
 
 def test_clicks_job_funnel_and_sessions(spark, click_feed, scratch):
@@ -236,35 +339,41 @@ def test_inventory_job(spark, scratch):
     assert "stock_after" in spark.read.parquet(paths.lake).columns
 
 
-def test_stream_attribution_equals_batch(spark, scratch):
-    """Orders of a stream get the session that the batch model gives them: one
-    inside a session with a two-hour gap, one after midnight, one unmatched."""
-    from emporion.operators import attribution, staging
-    from emporion.streaming import joins
-
-    clicks = [("e1", "S1", "C1", "2024-01-02 10:00"), ("e2", "S1", "C1", "2024-01-02 12:00"), ("e3", "S2", "C1", "2024-01-02 23:50"),
-              ("e4", "S3", "C2", "2024-01-02 09:00"), ("e5", "S4", "C2", "2024-01-02 09:10")]
-    rows = [(e, s, c, "PAGE_VIEW", "/p", "mobile", "b", "google", None, None, None, None) for e, s, c, _ in clicks]
-    times = {e: t for e, _, _, t in clicks}
-    raw = spark.createDataFrame(rows, "event_id string, session_id string, customer_id string, event_type string, page string, device_type string, "
-                                      "browser string, referrer string, product_id string, search_term string, results_count int, cart_value decimal(10,2)")
-    raw = raw.withColumn("event_timestamp", F.create_map(*[F.lit(x) for kv in times.items() for x in kv])[F.col("event_id")].cast("timestamp_ntz"))
-    raw = raw.withColumn("processed_at", F.col("event_timestamp"))
-    sessions.user_sessions(staging.stg_clickstream(raw)).write.parquet(f"{scratch}/sessions")
+def _click_topic(spark, events):
+    base = {"event_type": "PAGE_VIEW", "page": "/p", "device_type": "mobile", "browser": "b", "referrer": "google"}
+    rows = [(bytearray(b"k"), bytearray(json.dumps({**base, **e}).encode()), "clicks", 0, i) for i, e in enumerate(events)]
+    return spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset long").select(
+        "*", F.lit("2024-01-01").cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"))
+
+
+def test_stream_attribution_ends_as_batch(spark, scratch):
+    """Orders come before, between and after the clicks of their sessions; each
+    ends with the row that the batch model gives it."""
     at = "2024-01-0{}:00+00:00".format
-    events = [{"order_id": "gap", "customer_id": "C1", "event_timestamp": at("2T11:00")}, {"order_id": "midnight", "customer_id": "C1", "event_timestamp": at("3T00:05")},
-              {"order_id": "near", "customer_id": "C2", "event_timestamp": at("2T09:20")}, {"order_id": "none", "customer_id": "C9", "event_timestamp": at("2T09:20")}]
-    _topic(spark, events).coalesce(1).write.parquet(f"{scratch}/feed/f0")
-    paths = _paths(scratch)
-    jobs.start_orders_job(sources.file_topic(spark, f"{scratch}/feed"), paths, available_now=True).wait()
-    landed = spark.read.parquet(paths.landing).drop("batch_id")
-    stream = spark.readStream.schema(landed.schema).option("recursiveFileLookup", "true").parquet(paths.landing)
-    joins.attribute_orders(stream, lambda: spark.read.parquet(f"{scratch}/sessions"), f"{scratch}/enriched", f"{scratch}/ck/enriched",
-                           {"availableNow": True}).awaitTermination()
-    got = spark.read.parquet(f"{scratch}/enriched").drop("batch_id")
-    want = attribution.orders_enriched(staging.stg_orders(landed), spark.read.parquet(f"{scratch}/sessions"))
+    click = lambda e, s, c, t, **k: {"event_id": e, "session_id": s, "customer_id": c, "event_timestamp": at(t), **k}
+    order = lambda o, c, t: {"order_id": o, "customer_id": c, "event_timestamp": at(t)}
+    feeds = [([order("gap", "C1", "2T11:00"), order("none", "C9", "2T09:20")], [click("e1", "S1", "C1", "2T10:00")]),
+             ([order("near", "C2", "2T09:20")], [click("e2", "S1", "C1", "2T12:00", event_type="CHECKOUT_COMPLETE"), click("e4", "S3", "C2", "2T09:00")]),
+             ([order("midnight", "C1", "3T00:05")], [click("e3", "S2", "C1", "2T23:50"), click("e5", "S4", "C2", "2T09:10"), click("e6", "S2", "C1", "3T00:01")])]
+    orders, clicks = _paths(f"{scratch}/o"), _paths(f"{scratch}/c")
+    seen = []
+    for i, (o, c) in enumerate(feeds):
+        _topic(spark, o).coalesce(1).write.parquet(f"{scratch}/of/f{i}")
+        _click_topic(spark, c).coalesce(1).write.parquet(f"{scratch}/cf/f{i}")
+        jobs.start_orders_job(sources.file_topic(spark, f"{scratch}/of"), orders, available_now=True).wait()
+        jobs.start_clicks_job(sources.file_topic(spark, f"{scratch}/cf"), clicks, available_now=True).wait()
+        jobs.start_attribution_job(spark, orders.lake, clicks.lake, f"{scratch}/attributed", f"{scratch}/ck", available_now=True).wait()
+        seen.append({r.order_id: (r.session_id, r.session_outcome) for r in joins.current_attribution(spark, f"{scratch}/attributed").collect()})
+    assert seen[0] == {"gap": (None, None), "none": (None, None)}  # the session's later click has not come
+    assert seen[1]["gap"] == ("S1", "CONVERTED") and seen[1]["near"][0] == "S3"
+    assert {k: v[0] for k, v in seen[2].items()} == {"gap": "S1", "midnight": None, "near": "S4", "none": None}
+    want = attribution.orders_enriched(staging.stg_orders(spark.read.parquet(orders.lake)),
+                                       sessions.user_sessions(staging.stg_clickstream(spark.read.parquet(clicks.lake))))
+    got = joins.current_attribution(spark, f"{scratch}/attributed").select(want.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
-    assert {r.order_id: r.session_id for r in got.collect()} == {"gap": "S1", "midnight": None, "near": "S4", "none": None}
+    # nothing new: nothing is written
+    jobs.start_attribution_job(spark, orders.lake, clicks.lake, f"{scratch}/attributed", f"{scratch}/ck", available_now=True).wait()
+    assert len([p for p in os.listdir(f"{scratch}/attributed") if p.startswith("batch_id")]) == 3
 
 
 def test_funnel_update_mode_upsert(spark, click_feed, scratch):
