@@ -12,6 +12,15 @@ from pyspark.sql import functions as F
 Rule = tuple[str, Column]
 
 
+#: amounts of this size and more fit no money column
+MONEY_LIMIT = 1e22
+
+
+def in_range(column: str) -> Rule:
+    """An amount, if there is one, that a money column holds."""
+    return f"{column}_in_range", F.coalesce(F.abs(F.col(column)) < MONEY_LIMIT, F.lit(True))
+
+
 def order_rules() -> list[Rule]:
     return [
         ("order_id_not_null", F.col("order_id").isNotNull()),
@@ -21,6 +30,8 @@ def order_rules() -> list[Rule]:
         ("quantity_not_null", F.col("quantity").isNotNull()),
         ("quantity_positive", F.col("quantity") > 0),
         ("event_timestamp_not_null", F.col("event_timestamp").isNotNull()),
+        in_range("order_total"),
+        in_range("unit_price"),
     ]
 
 
@@ -29,6 +40,7 @@ def click_rules() -> list[Rule]:
         ("event_id_not_null", F.col("event_id").isNotNull()),
         ("session_id_not_null", F.col("session_id").isNotNull()),
         ("event_timestamp_not_null", F.col("event_timestamp").isNotNull()),
+        in_range("cart_value"),
     ]
 
 

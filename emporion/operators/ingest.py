@@ -6,46 +6,72 @@ read against a fixed schema (no inference); malformed JSON gives an all-null
 record, a bad field only a null field.  Event time is parsed with
 ``try_to_timestamp`` so one bad string yields NULL (then a rejection) instead
 of failing the query under ANSI mode.
+
+``keep_raw=True`` keeps what could not be read: ``raw_value`` is the record as it
+came, byte for byte, and ``parse_error`` says whether the value is missing, is no
+JSON, or holds a field that is not of its type.  ``rejected`` puts that before the
+names of the failed rules, and the quarantine has both columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.rules import Rule, all_pass, click_rules, failed_rule_names, order_rules
 from ..functions.timeutil import from_utc_wall, utc_date, utc_wall
 from ..schemas import CLICK_WIRE, INVENTORY_WIRE, MONEY, ORDER_WIRE
 
 
-def _parse(raw: DataFrame, schema, kafka_meta: bool, processed_at=None) -> DataFrame:
+#: columns that ``keep_raw`` adds
+RAW_COLUMNS = ["raw_value", "parse_error"]
+_CORRUPT = "_corrupt_record"
+
+
+def _parse(raw: DataFrame, schema, kafka_meta: bool, processed_at=None, keep_raw: bool = False) -> DataFrame:
     # The record is expanded through a one-element generator: predicates on
     # its fields (the quality rules) then stay above the parse instead of
     # being pushed below it with one JSON re-parse per predicate.
-    record = F.inline(F.array(F.from_json(F.col("value").cast("string"), schema)))
+    wire = StructType([*schema.fields, StructField(_CORRUPT, StringType())]) if keep_raw else schema
+    record = F.inline(F.array(F.from_json(F.col("value").cast("string"), wire, {"columnNameOfCorruptRecord": _CORRUPT} if keep_raw else {})))
     cols = [record]
     if kafka_meta:
         cols += [F.col("timestamp").alias("kafka_timestamp"), F.col("partition").alias("kafka_partition"),
                  F.col("offset").alias("kafka_offset")]
+    if keep_raw:
+        cols.append(F.col("value").alias("raw_value"))
+    out = raw.select(*cols)
+    if keep_raw:
+        nothing = _all_null(schema)
+        out = out.withColumn("parse_error", F.when(F.col("raw_value").isNull(), "value_missing")
+                             .when(F.col(_CORRUPT).isNotNull() & nothing, "json_not_readable")
+                             .when(F.col(_CORRUPT).isNotNull(), "field_not_readable")).drop(_CORRUPT)
     ts = F.try_to_timestamp(F.col("event_timestamp"))
-    return (raw.select(*cols)
-               .withColumn("event_timestamp", ts)
+    return (out.withColumn("event_timestamp", ts)
                .withColumn("processed_at", processed_at if processed_at is not None else F.current_timestamp())
                .withColumn("event_date", utc_date(F.col("event_timestamp"))))
 
 
-def parse_orders(raw: DataFrame, processed_at=None) -> DataFrame:
+def _all_null(schema) -> Column:
+    out = F.lit(True)
+    for name in schema.fieldNames():
+        out = out & F.col(name).isNull()
+    return out
+
+
+def parse_orders(raw: DataFrame, processed_at=None, keep_raw: bool = False) -> DataFrame:
     """Order topic rows -> typed order records + Kafka metadata, processed_at,
     event_date (the lake partition column)."""
-    return _parse(raw, ORDER_WIRE, kafka_meta=True, processed_at=processed_at)
+    return _parse(raw, ORDER_WIRE, kafka_meta=True, processed_at=processed_at, keep_raw=keep_raw)
 
 
-def parse_clicks(raw: DataFrame, processed_at=None) -> DataFrame:
-    return _parse(raw, CLICK_WIRE, kafka_meta=False, processed_at=processed_at)
+def parse_clicks(raw: DataFrame, processed_at=None, keep_raw: bool = False) -> DataFrame:
+    return _parse(raw, CLICK_WIRE, kafka_meta=False, processed_at=processed_at, keep_raw=keep_raw)
 
 
-def parse_inventory(raw: DataFrame, processed_at=None) -> DataFrame:
-    return _parse(raw, INVENTORY_WIRE, kafka_meta=False, processed_at=processed_at)
+def parse_inventory(raw: DataFrame, processed_at=None, keep_raw: bool = False) -> DataFrame:
+    return _parse(raw, INVENTORY_WIRE, kafka_meta=False, processed_at=processed_at, keep_raw=keep_raw)
 
 
 def valid(df: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -54,7 +80,10 @@ def valid(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def rejected(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Records failing at least one rule, with ``reject_reasons``."""
-    return df.filter(~all_pass(rules)).withColumn("reject_reasons", failed_rule_names(rules))
+    reasons = failed_rule_names(rules)
+    if "parse_error" in df.columns:
+        reasons = F.concat_ws(",", F.col("parse_error"), F.when(reasons != "", reasons))
+    return df.filter(~all_pass(rules)).withColumn("reject_reasons", reasons)
 
 
 def valid_orders(parsed: DataFrame) -> DataFrame:
@@ -75,7 +104,8 @@ def rejected_clicks(parsed: DataFrame) -> DataFrame:
 
 def to_money(df: DataFrame, columns: list[str]) -> DataFrame:
     """Wire doubles -> money as landed.  The type holds any real amount; what is
-    none (10**22 and more, infinity) becomes NULL instead of failing the query."""
+    none (10**22 and more, infinity; a rule rejects it) becomes NULL instead of
+    failing the query."""
     return df.withColumns({c: F.col(c).try_cast(MONEY) for c in columns if c in df.columns})
 
 

@@ -2,8 +2,7 @@
 
 Exactness rules: money is summed as DECIMAL (exact) and leaves as double;
 averages are ``sum / count``; the median is the exact middle of counted
-amounts; ``mode`` keeps a value -> count map as well
-(ties -> lowest value).
+amounts, and a mode the most frequent of counted values (ties -> lowest value).
 
 Every analytic window below runs on an already aggregated table (one row per
 category/state/day or product/day), so window partitions are bounded by the
@@ -12,7 +11,7 @@ calendar and the catalogue, not by event volume.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import customer_segment, micros_between, money, pct_change, whole_days_between
@@ -179,31 +178,62 @@ def product_rolling_calendar(enriched: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------- user behaviour
 
+# Distinct counts and modes come from one counted table (customer, kind, value): every row
+# is exploded into narrow (kind, value) pairs, equal ones are counted map-side, and a
+# customer's values are then rows, never a map in one row.  The pairs of kind 0 carry the
+# measures.  Unlike an Expand this keeps the customer's column, so a table bucketed by
+# customer is not shuffled.
+
+def _counted(rows: DataFrame, kinds: list[str], measures: dict[str, Column]) -> DataFrame:
+    def pair(i: int, c: str) -> Column:
+        return F.struct(F.lit(i).alias("kind"), F.col(c).alias("value"),
+                        *((m if i == 0 else F.lit(None)).alias(name) for name, m in measures.items()))
+
+    return rows.select("customer_id", F.inline(F.array(*(pair(i, c) for i, c in enumerate(kinds)))))
+
+
+def _distinct(kind: int) -> Column:
+    return F.count(F.when(F.col("kind") == kind, F.col("value")))
+
+
+def _mode(kind: int) -> Column:
+    """Most frequent value; of equally frequent ones the lowest."""
+    return F.min_by("value", F.when((F.col("kind") == kind) & F.col("value").isNotNull(), F.struct(-F.col("n"), "value")))
+
+
 def customer_order_summary(enriched: DataFrame) -> DataFrame:
-    o = not_cancelled(enriched)
-    return o.groupBy("customer_id").agg(
-        F.count("order_id").alias("total_orders"),
-        F.sum("order_total").alias("_ltv"),
-        _avg_money("order_total").alias("avg_order_value"),
-        F.min("order_placed_at").alias("first_order_at"),
-        F.max("order_placed_at").alias("last_order_at"),
-        F.count_distinct("category").alias("categories_purchased"),
-        F.count_distinct("product_id").alias("unique_products_bought"),
-        F.mode("payment_method", deterministic=True).alias("preferred_payment_method"),
-        F.mode("attribution_channel", deterministic=True).alias("primary_attribution_channel"),
+    pairs = _counted(not_cancelled(enriched), ["category", "product_id", "payment_method", "attribution_channel"],
+                     {"order_id": F.col("order_id"), "total": F.col("order_total"), "placed": F.col("order_placed_at")})
+    counted = pairs.groupBy("customer_id", "kind", "value").agg(
+        F.count(F.lit(1)).alias("n"), F.count("order_id").alias("orders"), F.sum("total").alias("total"),
+        F.count("total").alias("totals"), F.min("placed").alias("first"), F.max("placed").alias("last"))
+    return counted.groupBy("customer_id").agg(
+        F.sum("orders").alias("total_orders"),
+        F.sum("total").alias("_ltv"),
+        (F.sum("total").cast("double") / F.sum("totals")).alias("avg_order_value"),
+        F.min("first").alias("first_order_at"),
+        F.max("last").alias("last_order_at"),
+        _distinct(0).alias("categories_purchased"),
+        _distinct(1).alias("unique_products_bought"),
+        _mode(2).alias("preferred_payment_method"),
+        _mode(3).alias("primary_attribution_channel"),
     )
 
 
 def customer_session_summary(sessions: DataFrame) -> DataFrame:
-    s = sessions.filter(F.col("customer_id").isNotNull())
-    dur = micros_between("session_start", "session_end")
-    return s.groupBy("customer_id").agg(
-        F.count_distinct("session_id").alias("total_sessions"),
-        (F.sum(dur).cast("double") / F.count(dur) / F.lit(1_000_000.0)).alias("avg_session_duration_secs"),
-        (F.sum("engagement_score").cast("double") / F.count("engagement_score")).alias("avg_engagement_score"),
-        F.sum(F.when(F.col("converted"), 1).otherwise(0)).cast("bigint").alias("converting_sessions"),
-        F.mode("device_type", deterministic=True).alias("primary_device"),
-        F.mode("referrer", deterministic=True).alias("primary_referrer"),
+    pairs = _counted(sessions.filter(F.col("customer_id").isNotNull()), ["session_id", "device_type", "referrer"],
+                     {"duration": micros_between("session_start", "session_end"), "score": F.col("engagement_score"),
+                      "converting": F.when(F.col("converted"), 1).otherwise(0)})
+    counted = pairs.groupBy("customer_id", "kind", "value").agg(
+        F.count(F.lit(1)).alias("n"), *(f(c).alias(f"{c}_{f.__name__}") for c in ("duration", "score") for f in (F.sum, F.count)),
+        F.sum("converting").alias("converting"))
+    return counted.groupBy("customer_id").agg(
+        _distinct(0).alias("total_sessions"),
+        (F.sum("duration_sum").cast("double") / F.sum("duration_count") / F.lit(1_000_000.0)).alias("avg_session_duration_secs"),
+        (F.sum("score_sum").cast("double") / F.sum("score_count")).alias("avg_engagement_score"),
+        F.sum("converting").cast("bigint").alias("converting_sessions"),
+        _mode(1).alias("primary_device"),
+        _mode(2).alias("primary_referrer"),
     )
 
 

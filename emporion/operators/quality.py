@@ -2,9 +2,10 @@
 
 Generic column tests (not_null, unique, accepted_values, expression) return
 the violating rows/values, like a SQL test that fails when it returns rows.
-``run_suite`` evaluates many tests with one aggregation pass per model for all
-row-level tests (``count_if`` per test) plus one grouping per uniqueness test,
-and returns one row per test.
+``run_suite`` returns one row per test.  Row-level tests of a model are counted
+while the model is written (``row_conditions`` as an ``Observation``), so they
+need no scan of their own; for a model that was not written so, they share one
+aggregation pass.  A uniqueness test is one grouping of the written model.
 """
 
 from __future__ import annotations
@@ -112,29 +113,40 @@ class Check:
     arg: object = None      # domain list, SQL expression, or a DataFrame builder
 
 
-def run_suite(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+def row_conditions(checks: list[Check], model: str) -> dict[str, Column]:
+    """Of a model's row-level tests, the condition of a violating row."""
+    out = {}
+    for c in checks:
+        if c.model != model or not (c.kind in ("not_null", "accepted_values", "expression") or isinstance(c.arg, str)):
+            continue
+        if c.kind == "not_null":
+            bad = F.col(c.column).isNull()
+        elif c.kind == "accepted_values":
+            bad = F.col(c.column).isNotNull() & ~F.col(c.column).isin(*c.arg)
+        elif c.kind == "singular":
+            bad = F.expr(c.arg)
+        else:
+            bad = ~F.expr(c.arg)
+        out[c.name] = F.coalesce(bad, F.lit(False))
+    return out
+
+
+def run_suite(models: dict[str, DataFrame], checks: list[Check], observed: dict[str, int] | None = None) -> DataFrame:
     """One row per check: (check_name, model, column_name, test, violations,
-    status).  Row-level checks of a model share one aggregation pass."""
+    status).  ``observed`` has the violations of row-level checks that were
+    counted while their model was written."""
+    observed = observed or {}
+    spark = next(iter(models.values())).sparkSession
     parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind in ("not_null", "accepted_values", "expression") or isinstance(c.arg, str):
-            by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        aggs = []
-        for c in cs:
-            if c.kind == "not_null":
-                bad = F.col(c.column).isNull()
-            elif c.kind == "accepted_values":
-                bad = F.col(c.column).isNotNull() & ~F.col(c.column).isin(*c.arg)
-            elif c.kind == "singular":  # the condition of a violating row
-                bad = F.expr(c.arg)
-            else:
-                bad = ~F.expr(c.arg)
-            aggs.append(F.count_if(F.coalesce(bad, F.lit(False))).alias(c.name))
-        wide = models[model].agg(*aggs)
-        stack = ", ".join(f"'{c.name}', `{c.name}`" for c in cs)
-        parts.append(wide.select(F.expr(f"stack({len(cs)}, {stack}) as (check_name, violations)")))
+    known = [(c.name, int(observed[c.name])) for c in checks if c.name in observed]
+    if known:  # one number a check
+        parts.append(spark.createDataFrame(known, "check_name string, violations bigint"))
+    for model in dict.fromkeys(c.model for c in checks):
+        open_ = {name: bad for name, bad in row_conditions(checks, model).items() if name not in observed}
+        if open_:
+            wide = models[model].agg(*(F.count_if(bad).alias(name) for name, bad in open_.items()))
+            stack = ", ".join(f"'{name}', `{name}`" for name in open_)
+            parts.append(wide.select(F.expr(f"stack({len(open_)}, {stack}) as (check_name, violations)")))
     for c in checks:
         if c.kind == "unique":
             v = unique(models[c.model], c.column).agg(F.count(F.lit(1)).alias("violations"))

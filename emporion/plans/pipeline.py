@@ -14,7 +14,7 @@ import uuid
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import attribution, marts, quality, sessions, staging
@@ -35,20 +35,34 @@ class ModelRun:
 log = logging.getLogger("emporion.hourly")
 
 def materialize(df: DataFrame, path: str, view: str | None = None, table: str | None = None,
-                analyze: bool = False) -> DataFrame:
+                analyze: bool = False, counters: dict[str, Column] | None = None, found: dict[str, int] | None = None,
+                bucket_by: tuple[int, str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet at ``path`` and return the re-read table.
     ``table`` registers it in the catalog (and ``analyze`` computes its
-    statistics for the cost-based optimizer)."""
+    statistics for the cost-based optimizer); ``bucket_by`` (number, column) then
+    buckets and sorts it, so that joins and groups by that column need no
+    shuffle.  ``counters`` are conditions whose rows are counted on the way
+    (no pass of their own); the counts are put into ``found``."""
+    observation = Observation() if counters else None
+    if observation is not None:
+        df = df.observe(observation, *(F.count_if(c).alias(name) for name, c in counters.items()))
     spark = df.sparkSession
     if table:
         spark.catalog.dropTempView(table)   # a same-named temp view would shadow the table
-        df.write.mode("overwrite").option("path", path).saveAsTable(table)
+        writer = df.write.mode("overwrite").option("path", path)
+        if bucket_by:
+            # dealt as the buckets are: one sorted file a bucket
+            writer = (df.repartition(bucket_by[0], bucket_by[1]).write.mode("overwrite").option("path", path)
+                      .bucketBy(*bucket_by).sortBy(bucket_by[1]))
+        writer.saveAsTable(table)
         if analyze:
             spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
         out = spark.table(table)
     else:
         df.write.mode("overwrite").parquet(path)
         out = spark.read.parquet(path)
+    if observation is not None:
+        found.update({name: n for name, n in observation.get.items() if n is not None})
     if view and view != table:   # a catalog table is already resolvable by name
         out.createOrReplaceTempView(view)
     return out
@@ -58,10 +72,16 @@ def run_models(spark: SparkSession, raw_orders: DataFrame, raw_clicks: DataFrame
                as_tables: bool = False) -> ModelRun:
     base = (out_dir or scratch_path(spark, "models", uuid.uuid4().hex)).rstrip("/")
     run = ModelRun(base)
+    accepted = {"order_status": ORDER_STATUSES, "funnel_stage": FUNNEL_STAGES,
+                "session_outcome": SESSION_OUTCOMES, "customer_segment": CUSTOMER_SEGMENTS}
+    checks, found = quality.default_checks(accepted), {}
+    # customers are what the wide tables are joined and grouped by
+    buckets = (int(spark.conf.get("spark.sql.shuffle.partitions")), "customer_id") if as_tables else None
 
-    def table(df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, f"{base}/{name}", view=name, table=name if as_tables else None,
-                           analyze=as_tables)
+    def table(df: DataFrame, name: str, model: str | None = None) -> DataFrame:
+        bucketed = buckets if "customer_id" in df.columns else None
+        return materialize(df, f"{base}/{name}", view=name, table=name if as_tables else None, analyze=as_tables,
+                           counters=quality.row_conditions(checks, model) if model else None, found=found, bucket_by=bucketed)
 
     stg_o = staging.stg_orders(raw_orders)
     stg_c = staging.stg_clickstream(raw_clicks)
@@ -69,18 +89,16 @@ def run_models(spark: SparkSession, raw_orders: DataFrame, raw_clicks: DataFrame
     stg_c.createOrReplaceTempView("stg_clickstream")
     run.models.update(raw_orders=raw_orders, raw_clicks=raw_clicks, stg_orders=stg_o, stg_clickstream=stg_c)
 
-    us = table(sessions.user_sessions(stg_c), "int_user_sessions")
-    en = table(attribution.orders_enriched(stg_o, us), "int_order_items_enriched")
+    us = table(sessions.user_sessions(stg_c), "int_user_sessions", "user_sessions")
+    en = table(attribution.orders_enriched(stg_o, us), "int_order_items_enriched", "orders_enriched")
     run.models.update(user_sessions=us, orders_enriched=en)
 
-    run.models["daily_revenue"] = table(marts.daily_revenue(en, with_audit=True), "mart_daily_revenue")
+    run.models["daily_revenue"] = table(marts.daily_revenue(en, with_audit=True), "mart_daily_revenue", "daily_revenue")
     run.models["product_performance"] = table(marts.product_performance(en, with_audit=True),
                                               "mart_product_performance")
-    run.models["user_behavior"] = table(marts.user_behavior(en, us, with_audit=True), "mart_user_behavior")
+    run.models["user_behavior"] = table(marts.user_behavior(en, us, with_audit=True), "mart_user_behavior", "user_behavior")
 
-    accepted = {"order_status": ORDER_STATUSES, "funnel_stage": FUNNEL_STAGES,
-                "session_outcome": SESSION_OUTCOMES, "customer_segment": CUSTOMER_SEGMENTS}
-    run.tests = table(quality.run_suite(run.models, quality.default_checks(accepted)), "data_tests")
+    run.tests = table(quality.run_suite(run.models, checks, found), "data_tests")
     return run
 
 

@@ -130,7 +130,9 @@ def q_product_rolling_calendar(spark, sf):
 
 @query("user_behavior")
 def q_user_behavior(spark, sf):
-    return marts.user_behavior(enriched_df(spark, sf), sessions_df(spark, sf))
+    # sessions are read by two branches: written once
+    us = materialize(sessions_df(spark, sf), scratch_path(spark, "sessions", uuid.uuid4().hex))
+    return marts.user_behavior(attribution.orders_enriched(stg_orders_df(spark, sf), us), us)
 
 
 @query("product_dim")
@@ -196,16 +198,29 @@ def q_rejected_clicks(spark, sf):
     return _no_audit(ingest.rejected_clicks(ingest.parse_clicks(click_topic_rows(spark, sf))))
 
 
-@query("parse_bad_orders")
-def q_parse_bad_orders(spark, sf):
-    """Topic rows cut short, with a word for a number, or with no readable time."""
+def bad_order_topic_rows(spark, sf, cut: int):
+    """All topic rows; of seven, one is cut short, one has a word for a number, one no readable time."""
     text, defect = F.col("value").cast("string"), F.col("offset") % 7
-    broken = (F.when(defect == 0, F.substring(text, 1, 40))
+    broken = (F.when(defect == 0, F.substring(text, 1, cut))
                .when(defect == 1, F.regexp_replace(text, '"quantity":[0-9]+', '"quantity":"many"'))
-               .when(defect == 2, F.regexp_replace(text, '"event_timestamp":"[^"]*"', '"event_timestamp":"soon"')))
-    rows = order_topic_rows(spark, sf).where(defect < 3).withColumn("value", broken.cast("binary"))
-    return ingest.parse_orders(rows).select((F.col("kafka_offset") % 7).alias("defect"), "order_id", "customer_id", "quantity",
-                                            "order_total", "event_timestamp", "event_date", "kafka_offset")
+               .when(defect == 2, F.regexp_replace(text, '"event_timestamp":"[^"]*"', '"event_timestamp":"soon"'))
+               .otherwise(text))
+    return order_topic_rows(spark, sf).withColumn("value", broken.cast("binary"))
+
+
+@query("parse_bad_orders")
+def q_parse_bad_orders(spark, sf):
+    return ingest.parse_orders(bad_order_topic_rows(spark, sf, 40)).select(
+        (F.col("kafka_offset") % 7).alias("defect"), "order_id", "customer_id", "quantity",
+        "order_total", "event_timestamp", "event_date", "kafka_offset")
+
+
+@query("quarantined_orders")
+def q_quarantined_orders(spark, sf):
+    """The quarantine of all topic rows, with the record as it came."""
+    parsed = ingest.parse_orders(bad_order_topic_rows(spark, sf, 60), keep_raw=True)
+    return ingest.rejected_orders(parsed).select("kafka_offset", "order_id", "parse_error", "reject_reasons",
+                                                 F.col("raw_value").cast("string").alias("raw_value"))
 
 
 # ------------------------------------------------------------ lake + windows
@@ -362,20 +377,26 @@ def q_dq_mart_sla(spark, sf):
     return quality.mart_sla(marts.daily_revenue(enriched_df(spark, sf)), "order_date", MART_SLA_MINUTES, AS_OF)
 
 
-def suite_models(spark, sf):
-    """The models of the data tests; the intermediates that several of them read
-    are written once, as in a model run."""
-    so, sc = stg_orders_df(spark, sf), stg_clicks_df(spark, sf)
+def suite_models(spark, sf, checks, found):
+    """The models of the data tests, each written once as in a model run; their row
+    checks are counted while they are written."""
     base = scratch_path(spark, "suite", uuid.uuid4().hex)
-    us = materialize(sessions.user_sessions(sc), f"{base}/user_sessions")
-    en = materialize(attribution.orders_enriched(so, us), f"{base}/orders_enriched")
-    return {
-        "raw_orders": fixtures.raw_orders(spark, sf), "raw_clicks": fixtures.raw_clicks(spark, sf),
-        "stg_orders": so, "stg_clickstream": sc, "user_sessions": us, "orders_enriched": en,
-        "daily_revenue": marts.daily_revenue(en), "user_behavior": marts.user_behavior(en, us),
-    }
+    models = {}
+
+    def model(name, df):
+        models[name] = materialize(df, f"{base}/{name}", counters=quality.row_conditions(checks, name), found=found)
+        return models[name]
+
+    so = model("stg_orders", staging.stg_orders(model("raw_orders", fixtures.raw_orders(spark, sf))))
+    sc = model("stg_clickstream", staging.stg_clickstream(model("raw_clicks", fixtures.raw_clicks(spark, sf))))
+    us = model("user_sessions", sessions.user_sessions(sc))
+    en = model("orders_enriched", attribution.orders_enriched(so, us))
+    model("daily_revenue", marts.daily_revenue(en))
+    model("user_behavior", marts.user_behavior(en, us))
+    return models
 
 
 @query("dq_suite")
 def q_dq_suite(spark, sf):
-    return quality.run_suite(suite_models(spark, sf), quality.default_checks(ACCEPTED))
+    checks, found = quality.default_checks(ACCEPTED), {}
+    return quality.run_suite(suite_models(spark, sf, checks, found), checks, found)

@@ -85,7 +85,8 @@ def _trigger(available_now: bool, interval: str) -> dict:
 
 
 def _raw_query(parsed: DataFrame, paths: StreamPaths, valid_fn, rejected_fn, trigger: dict, jdbc: JdbcTarget | None) -> StreamingQuery:
-    fan = sinks.raw_fanout_writer(paths.lake, paths.landing, paths.rejected, valid_fn, rejected_fn,
+    # what could not be read stays in the quarantine only
+    fan = sinks.raw_fanout_writer(paths.lake, paths.landing, paths.rejected, lambda b: valid_fn(b).drop(*ingest.RAW_COLUMNS), rejected_fn,
                                   jdbc.batch_writer("landing") if jdbc else None)
     return sinks.batch_sink(parsed, fan, f"{paths.checkpoint_root.rstrip('/')}/raw", trigger=trigger)
 
@@ -136,7 +137,7 @@ def start_orders_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bo
     def valid(batch: DataFrame) -> DataFrame:
         return ingest.to_money(ingest.valid_orders(batch), ORDER_MONEY_COLUMNS)
 
-    parsed = _observed(ingest.parse_orders(raw_topic), "parsed_orders")
+    parsed = _observed(ingest.parse_orders(raw_topic, keep_raw=True), "parsed_orders")
     wm, before = _observed(valid(ingest.parse_orders(raw_topic)), "valid_orders").withWatermark("event_timestamp", ORDER_WATERMARK), []
     if dedupe:
         wm, before = _deduped(wm, ORDER_WIRE.fieldNames(), paths, _trigger(available_now, "30 seconds"), update_mode, ORDER_WATERMARK)
@@ -162,7 +163,7 @@ def start_clicks_job(raw_topic: DataFrame, paths: StreamPaths, available_now: bo
         return windows.funnel_parts(stream, duration=FUNNEL_WINDOW)
 
     agg_t = _trigger(available_now, "1 minute")
-    parsed = _observed(ingest.parse_clicks(raw_topic), "parsed_clicks")
+    parsed = _observed(ingest.parse_clicks(raw_topic, keep_raw=True), "parsed_clicks")
     wm, before = _observed(valid(ingest.parse_clicks(raw_topic)), "valid_clicks").withWatermark("event_timestamp", CLICK_WATERMARK), []
     if dedupe:
         wm, before = _deduped(wm, CLICK_WIRE.fieldNames(), paths, _trigger(available_now, "30 seconds"), update_mode, CLICK_WATERMARK)
@@ -187,7 +188,7 @@ def start_inventory_job(raw_topic: DataFrame, paths: StreamPaths, available_now:
                         jdbc: JdbcTarget | None = None) -> StreamJob:
     """Inventory topic -> parse -> rules -> lake + landing + quarantine."""
     rules = inventory_rules()
-    return StreamJob([_raw_query(ingest.parse_inventory(raw_topic), paths, lambda b: ingest.valid(b, rules),
+    return StreamJob([_raw_query(ingest.parse_inventory(raw_topic, keep_raw=True), paths, lambda b: ingest.valid(b, rules),
                                  lambda b: ingest.rejected(b, rules), _trigger(available_now, "30 seconds"), jdbc)])
 
 

@@ -65,9 +65,25 @@ def test_large_amounts_are_kept(spark):
     landed = ingest.to_money(ingest.valid_orders(parsed), ["unit_price", "order_total"])
     assert {r.order_id: (float(r.order_total), float(r.unit_price)) for r in landed.collect()}["ORD-9"] == (1e12, 2.5e9)
     assert ingest.rejected_orders(parsed).count() == 0
-    # what no money type holds becomes null and does not stop the query
-    absurd = ingest.parse_orders(_kafka(spark, [json.dumps(dict(GOOD, order_total=1e300))]))
+    # what no money type holds is rejected, and does not stop the query
+    absurd = ingest.parse_orders(_kafka(spark, [json.dumps(dict(GOOD, order_total=1e300)), json.dumps(dict(GOOD, unit_price=1e22))]))
     assert ingest.to_money(absurd, ["order_total"]).filter("order_total is null").count() == 1
+    assert [r.reject_reasons for r in ingest.rejected_orders(absurd).collect()] == ["order_total_in_range", "unit_price_in_range"]
+    assert ingest.valid_orders(absurd).count() == 0
+
+
+def test_quarantine_keeps_the_record_as_it_came(spark):
+    cut, odd = json.dumps(GOOD)[:57].encode(), b"\xff\xfe\x00 no text"
+    field = json.dumps(dict(GOOD, quantity="two")).encode()
+    rows = [(None, v, "orders", 0, i, datetime(2024, 1, 1), 0) for i, v in enumerate([json.dumps(GOOD).encode(), cut, odd, field, None])]
+    raw = spark.createDataFrame([tuple(bytearray(x) if isinstance(x, bytes) else x for x in r) for r in rows],
+                                "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int")
+    parsed = ingest.parse_orders(raw, keep_raw=True)
+    assert [r.order_id for r in ingest.valid_orders(parsed).collect()] == ["ORD-1"]
+    got = {r.kafka_offset: r for r in ingest.rejected_orders(parsed).collect()}
+    assert {k: (None if r.raw_value is None else bytes(r.raw_value)) for k, r in got.items()} == {1: cut, 2: odd, 3: field, 4: None}
+    assert {k: r.parse_error for k, r in got.items()} == {1: "json_not_readable", 2: "json_not_readable", 3: "field_not_readable", 4: "value_missing"}
+    assert got[3].reject_reasons == "field_not_readable,quantity_not_null,quantity_positive" and got[3].order_id == "ORD-1"
 
 
 def test_inventory_rules_quarantine(spark):
