@@ -22,7 +22,7 @@ link when 100 * |A n B| >= percent * |A u B|.  Every step keeps every link:
    node pairs of one component and pairs whose greatest possible overlap, by
    sizes and by bits that must differ, is too small.  A bucket beyond
    ``TREE_ROWS`` is several trees, traversed pair by pair where their sizes allow
-   a link.  First traversals give each node's most similar open partners only,
+   a link.  Buckets of the same nodes (near copies make many) are one tree.  First traversals give each node's most similar open partners only,
    whose links join components; the last one gives every pair that is still open,
    so large groups of near copies cost a few checks per node and lose no link.
 6. Of the pairs that stay, those are dropped whose first shingles rule a link
@@ -173,19 +173,23 @@ def profiles(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def meetings(base: DataFrame, percent: int) -> DataFrame:
-    """What the buckets give, as rows (kind, a, b, na, nb, c): kind 0, pairs of
-    small buckets and in how many they met; kind 1, pairs of a large one's
-    neighbours in size and with the first of equal size; kind 2, members of large ones (a: node, b: shingle,
-    na: size, c: tree)."""
+    """What the buckets give, as rows (kind, a, b, na, nb, c, s, members): kind 0,
+    pairs of small buckets and in how many they met; kind 1, pairs of a large one's
+    neighbours in size and with the first of equal size; kind 2, the trees of large
+    ones (a, b: keys of the set of members, na, nb: range of sizes, c: tree, s: the
+    shingle if its bucket may have several trees)."""
     order = ["shingle", "n", "node"]
     posted = base.where("first is not null").select(F.explode("first").alias("shingle"), "n", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, trees, held, is_first = TaskContext.get().partitionId(), 0, None, True
 
-        def rows(kind: int, a, b, na, nb, c) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), *(pa.array(np.asarray(x, dtype=np.int64)) for x in (a, b, na, nb, c))],
-                                              names=["kind", "a", "b", "na", "nb", "c"])
+        def rows(kind: int, a, b, na, nb, c, s=None, members=None) -> pa.RecordBatch:
+            m = len(a)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(m, kind, np.int32)), *(pa.array(np.asarray(x, dtype=np.int64)) for x in (a, b, na, nb, c)),
+                 pa.array(s if s is not None else [None] * m, pa.int64()), pa.array(members if members is not None else [None] * m, pa.list_(pa.int64()))],
+                names=["kind", "a", "b", "na", "nb", "c", "s", "members"])
 
         def pairs(kind: int, i: np.ndarray, j: np.ndarray, n: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
             swap = node[i] > node[j]
@@ -219,7 +223,7 @@ def meetings(base: DataFrame, percent: int) -> DataFrame:
                 right.append(i + d)
             if left:
                 yield pairs(0, np.concatenate(left), np.concatenate(right), n, node)
-            left, right, member, tree = [], [], [], []
+            left, right, tree = [], [], []
             for g in np.flatnonzero(large).tolist():
                 a, z = int(begin[g]), int(begin[g] + size[g])
                 here = np.arange(a, z)
@@ -228,16 +232,17 @@ def meetings(base: DataFrame, percent: int) -> DataFrame:
                     near = (j > i) & (100 * n[i] >= percent * n[j])
                     left.append(i[near])
                     right.append(j[near])
+                one = z - a <= TREE_ROWS and not (open_first and a == 0) and not (open_last and z == len(s))
                 for i in range(a, z, TREE_ROWS):
-                    j = min(z, i + TREE_ROWS)
-                    member.append(np.arange(i, j))
-                    tree.append(np.full(j - i, (part << 40) + trees))
+                    j, name = min(z, i + TREE_ROWS), (part << 40) + trees
+                    key = node[i:j].view(np.uint64)
+                    keys = (int(mix(key ^ U64(c)).sum().view(np.int64)) for c in (0x243F6A8885A308D3, 0x13198A2E03707344))
+                    tree.append((*keys, n[i], n[j - 1], name, None, node[i:j]) if one else (name, int(s[a]), n[i], n[j - 1], name, int(s[a]), node[i:j]))
                     trees += 1
             if left and len(i := np.concatenate(left)):
                 yield pairs(1, i, np.concatenate(right), n, node)
-            if member:
-                x = np.concatenate(member)
-                yield rows(2, node[x], s[x], n[x], n[x], np.concatenate(tree))
+            for i in range(0, len(tree), 256):
+                yield rows(2, *(list(x) for x in zip(*tree[i:i + 256])))
 
         for batch in batches:
             now = [batch.column(c).to_numpy() for c in order]
@@ -260,7 +265,16 @@ def meetings(base: DataFrame, percent: int) -> DataFrame:
             yield from judge(*held, is_first, True)
 
     return written(posted.repartitionByRange(*order).sortWithinPartitions(*order)
-                   .mapInArrow(run, "kind int, a long, b long, na long, nb long, c long"), "meetings")
+                   .mapInArrow(run, "kind int, a long, b long, na long, nb long, c long, s long, members array<long>"), "meetings")
+
+
+def large_buckets(met: DataFrame) -> DataFrame:
+    """(tree, lo, hi, s, members) of large buckets, one for all of the same members
+    (their keys agree and then the members themselves).  Where a bucket may have
+    several trees, all of them stay, as their members meet."""
+    same = met.where("kind = 2").groupBy("a", "b", "members").agg(
+        F.min("c").alias("tree"), F.first("na").alias("lo"), F.first("nb").alias("hi"), F.first("s").alias("s"))
+    return written(same.select("tree", "lo", "hi", "s", "members"), "buckets")
 
 
 def traverse(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, side: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -376,25 +390,28 @@ def nearest_of(i: np.ndarray, j: np.ndarray, differ: np.ndarray, most: int) -> n
     return np.unique(pair[np.arange(len(member)) - begin < most])
 
 
-def tree_pairs(members: DataFrame, base: DataFrame, found: DataFrame, percent: int, most: int | None = None) -> DataFrame:
+def tree_pairs(buckets: DataFrame, base: DataFrame, found: DataFrame, percent: int, most: int | None = None) -> DataFrame:
     """Pairs (a, b) of large buckets that the signature trees leave open; with
     ``most`` only that many of each node in a tree, the most similar."""
-    rows = members.select(F.col("b").alias("shingle"), F.col("c").alias("tree"), F.col("a").alias("node"), F.col("na").alias("n"))
-    rows = rows.join(found, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
-    # buckets of one component are done
-    mixed = rows.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("shingle")
-    rows = written(rows.join(mixed, "shingle", "left_semi"), "trees")
-    trees = rows.groupBy("shingle", "tree").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    x, y = (trees.select("shingle", *(F.col(c).alias(f"{c}{k}") for c in ("tree", "lo", "hi"))) for k in (1, 2))
-    duos = x.join(y, "shingle").where((F.col("tree1") <= F.col("tree2")) & (100 * F.col("hi1") >= percent * F.col("lo2"))
-                                      & (100 * F.col("hi2") >= percent * F.col("lo1"))).select("shingle", "tree1", "tree2")
-    keep = ["shingle", "tree1", "tree2", "node", "n", "comp"]
-    sides = rows.join(duos.withColumnRenamed("tree1", "tree"), ["shingle", "tree"]).withColumnRenamed("tree", "tree1").select(*keep, F.lit(0).alias("side"))
-    other = (rows.join(duos.where("tree1 < tree2").withColumnRenamed("tree2", "tree"), ["shingle", "tree"])
-             .withColumnRenamed("tree", "tree2").select(*keep, F.lit(1).alias("side")))
+    label = found.select("node", "label")
+    named = buckets.select("tree", "s", F.explode("members").alias("node")).join(label, "node", "left").withColumn("comp", F.coalesce("label", "node"))
+    span = written(named.groupBy("tree", "s").agg(F.min("comp").alias("x"), F.max("comp").alias("y")), "spans")
+    # buckets of one component are done; trees of one bucket stay or go together
+    whole = span.where("s is not null").groupBy("s").agg(F.min("x").alias("x"), F.max("y").alias("y")).where("x <> y").select("s")
+    mixed = span.where("s is null and x <> y").select("tree").unionByName(span.join(whole, "s", "left_semi").select("tree"))
+    trees = written(buckets.join(small(written(mixed, "open")), "tree", "left_semi"), "trees")
+    several = trees.where("s is not null")
+    x, y = (several.select("s", *(F.col(c).alias(f"{c}{k}") for c in ("tree", "lo", "hi"))) for k in (1, 2))
+    duos = x.join(y, "s").where((F.col("tree1") < F.col("tree2")) & (100 * F.col("hi1") >= percent * F.col("lo2"))
+                                & (100 * F.col("hi2") >= percent * F.col("lo1"))).select("tree1", "tree2")
+    held = several.select("tree", "members")
+    sides = trees.select(F.col("tree").alias("tree1"), F.col("tree").alias("tree2"), F.lit(0).alias("side"), "members")
+    for k in (1, 2):
+        sides = sides.unionByName(held.join(duos, held["tree"] == duos[f"tree{k}"]).select("tree1", "tree2", F.lit(k - 1).alias("side"), "members"))
     # bitmaps come last, and only those of nodes in open trees: they are what weighs
-    nodes = small(written(rows.select("node").distinct(), "nodes"))
-    bitmaps = base.where("bitmap is not null").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("bitmap").alias("bitmap"))
+    nodes = small(written(trees.select(F.explode("members").alias("node")).distinct(), "nodes"))
+    about = (base.where("bitmap is not null").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("bitmap").alias("bitmap"), F.first("n").alias("n"))
+             .join(label, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         node = pdf["node"].to_numpy()
@@ -404,7 +421,8 @@ def tree_pairs(members: DataFrame, base: DataFrame, found: DataFrame, percent: i
             i, j = i[keep], j[keep]
         return pd.DataFrame({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])})
 
-    return sides.unionByName(other).join(bitmaps, "node").groupBy("shingle", "tree1", "tree2").applyInPandas(run, "a long, b long").distinct()
+    rows = sides.select("tree1", "tree2", "side", F.explode("members").alias("node"))
+    return rows.join(about, "node").groupBy("tree1", "tree2").applyInPandas(run, "a long, b long").distinct()
 
 
 def _beside(pairs: DataFrame, data: DataFrame) -> DataFrame:
@@ -532,9 +550,9 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, Dat
     likely = pairs.where((F.col("small") >= need) | (2 * (F.col("small") + F.col("large")) >= need) & (F.col("large") > 0)).where(total > 0)
     links = checked(likely, docs, base, k, percent)
     found = written(components(links), "found")
-    members = met.where("kind = 2")
+    buckets = large_buckets(met)
     for most in (*NEAREST, None):  # the last round takes every open pair
-        more = checked(possible(tree_pairs(members, base, found, percent, most), base, percent), docs, base, k, percent)
+        more = checked(possible(tree_pairs(buckets, base, found, percent, most), base, percent), docs, base, k, percent)
         if more.isEmpty():
             continue
         # components of components: their labels are smallest nodes already

@@ -12,8 +12,9 @@ chosen terms are counted over all documents and give the IDF weights.
 
 *Index.*  Per term, postings (example, weight) in order of example, in blocks
 of ``BLOCK`` examples with each block's largest weight.  A query adds up its
-terms' block maxima; a block whose bound is below the k-th best cosine so far
-can hold no neighbour and is not opened.  The result is exact.
+terms' block maxima; a block whose bound is below the k-th best cosine of the blocks with the
+greatest bounds can hold no neighbour and is not opened.  Many queries are worked
+on at once.  The result is exact.
 
 *Score.*  Votes of the k nearest, weighted by 1 / (0.02 + distance), are turned
 into a probability by a step function fitted on examples that vote without
@@ -48,6 +49,10 @@ BREAKS = np.ones(256, dtype=bool)
 BREAKS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 PREFIXES = (4, 5, 6, 7)
 BLOCK = 64
+#: blocks that a query opens before its bound counts
+FIRST = 16
+#: cosines held at a time (queries x examples), and votes remembered by a worker
+TABLE, KNOWN = 1 << 20, 200_000
 _BITS = 22
 _TOP = U64(64 - _BITS)
 
@@ -123,35 +128,48 @@ class BlockMax:
         self.block = self.doc[self.begin] // BLOCK if len(chunk) else np.zeros(0, np.int64)
         self.first = np.searchsorted(term[self.begin] if len(chunk) else term, np.arange(n_terms + 1))
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of greatest cosine above 0 (ties: lowest number), and the cosines."""
-        chunk = np.concatenate([np.arange(self.first[t], self.first[t + 1]) for t in terms])
-        q = np.repeat(weights, self.first[terms + 1] - self.first[terms])
-        bound = np.bincount(self.block[chunk], weights=self.top[chunk] * q, minlength=self.n_blocks)
-        by_block = np.argsort(self.block[chunk], kind="stable")
-        chunk, q = chunk[by_block], q[by_block]
-        where = np.searchsorted(self.block[chunk], np.arange(self.n_blocks + 1))
-        best_doc, best = np.zeros(0, np.int64), np.zeros(0)
-        todo, step = np.argsort(-bound, kind="stable"), 16
-        todo = todo[bound[todo] > 0]
-        for a in range(0, len(todo), step):  # blocks from the greatest bound down
-            some = todo[a:a + step]
-            if len(best) >= k:
-                some = some[bound[some] >= best[k - 1] - 1e-12]
-                if not len(some):
-                    break
-            at = np.concatenate([np.arange(where[x], where[x + 1]) for x in some.tolist()])
-            n = self.stop[chunk[at]] - self.begin[chunk[at]]
-            p = np.repeat(self.begin[chunk[at]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            doc, inverse = np.unique(self.doc[p], return_inverse=True)
-            cosine = np.bincount(inverse, weights=self.weight[p] * np.repeat(q[at], n))
-            if skip >= 0:
-                keep = doc != skip
-                doc, cosine = doc[keep], cosine[keep]
-            best_doc, best = np.r_[best_doc, doc], np.r_[best, cosine]
-            order = np.lexsort((best_doc, -best.round(12)))[:k]
-            best_doc, best = best_doc[order], best[order]
-        return best_doc, best
+    def nearest(self, at: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query i has the terms ``at[i]:at[i + 1]``.  (query, example, cosine) of
+        each query's k examples of greatest cosine above 0 (ties: lowest number),
+        best first; ``skip[i]`` is an example that query i leaves out."""
+        n, no = len(at) - 1, (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        if not n or not self.n:
+            return no
+        many = self.first[terms + 1] - self.first[terms]
+        chunk = np.repeat(self.first[terms] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        query = np.repeat(np.repeat(np.arange(n), np.diff(at)), many)
+        q, cell = np.repeat(weights, many), query * self.n_blocks + self.block[chunk]
+        bound = np.bincount(cell, weights=self.top[chunk] * q, minlength=n * self.n_blocks).reshape(n, self.n_blocks)
+        cosine = np.zeros(n * self.n)
+
+        def open_blocks(which: np.ndarray) -> None:
+            some = np.flatnonzero(which.ravel()[cell])
+            size = self.stop[chunk[some]] - self.begin[chunk[some]]
+            p = np.repeat(self.begin[chunk[some]] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            cosine[:] += np.bincount(np.repeat(query[some], size) * self.n + self.doc[p], weights=self.weight[p] * np.repeat(q[some], size), minlength=len(cosine))
+            if skip is not None:
+                cosine[np.flatnonzero(skip >= 0) * self.n + skip[skip >= 0]] = 0
+
+        # the blocks of greatest bounds give each query's k-th best so far; of the
+        # others only those that can beat it are opened
+        first = np.zeros(bound.shape, dtype=bool)
+        np.put_along_axis(first, np.argpartition(-bound, min(FIRST, self.n_blocks) - 1, axis=1)[:, :FIRST], True, axis=1)
+        first &= bound > 0
+        open_blocks(first)
+        table = cosine.reshape(n, self.n)
+        kth = np.partition(table, self.n - k, axis=1)[:, self.n - k] if k < self.n else np.zeros(n)
+        rest = ~first & (bound > 0) & (bound >= kth[:, None] - 1e-12)
+        if rest.any():
+            open_blocks(rest)
+        near = table.round(12)
+        if k < self.n:
+            kth = np.partition(near, self.n - k, axis=1)[:, self.n - k]
+        who, what = np.nonzero((near >= kth[:, None]) & (near > 0))
+        order = np.lexsort((what, -near[who, what], who))
+        who, what = who[order], what[order]
+        rank = np.arange(len(who)) - np.searchsorted(who, who)
+        who, what = who[rank < k], what[rank < k]
+        return who, what, table[who, what]
 
 
 @dataclass
@@ -164,13 +182,19 @@ class Model:
     none: float  # probability of a text without chosen terms
     names: np.ndarray  # example numbers to doc_id
 
-    def vote(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        """Raw vote (NaN without neighbours), neighbours, cosines."""
-        near, cosine = self.index.nearest(terms, weights, self.k, skip)
-        if not len(near):
-            return float("nan"), near, cosine
-        pull = 1 / (0.02 + 1 - np.minimum(cosine, 1))
-        return float((pull * self.index.labels[near]).sum() / pull.sum()), near, cosine
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], skip: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Some vectors at a time: number of the first, raw votes (NaN without
+        neighbours), and (vector, example, cosine) of the neighbours."""
+        step = max(1, TABLE // max(1, self.index.n))
+        for a in range(0, len(vectors), step):
+            some = vectors[a:a + step]
+            at = np.r_[0, np.cumsum([len(t) for t, _ in some])]
+            who, near, cosine = self.index.nearest(at, np.concatenate([t for t, _ in some]), np.concatenate([w for _, w in some]), self.k,
+                                                   None if skip is None else skip[a:a + step])
+            pull = 1 / (0.02 + 1 - np.minimum(cosine, 1))
+            total = np.bincount(who, weights=pull, minlength=len(some))
+            toxic = np.bincount(who, weights=pull * self.index.labels[near], minlength=len(some))
+            yield a, np.where(total > 0, toxic / np.where(total > 0, total, 1), np.nan), who, near, cosine
 
     def calibrated(self, vote: float) -> float:
         if vote != vote:
@@ -181,19 +205,39 @@ class Model:
 
     def scores(self, column: pa.Array, evidence: bool = False) -> tuple[np.ndarray, list]:
         out, why = np.full(len(column), self.none), [None] * len(column)
-        memory: dict[bytes, float] = {}
+        if not self.index.n:
+            return out, why
+        if not hasattr(self, "_known"):
+            self._known: dict[bytes, float] = {}  # votes of this worker's earlier vectors
         for b in blocks(column, fold=True, breaks=BREAKS):
+            new: dict[bytes, int] = {}
+            vectors, where, keys = [], [], []
             for d, t, w in self.terms.vectors(b):
                 key = t.tobytes() + w.tobytes()
-                if key in memory and not evidence:
-                    out[b.row + d] = memory[key]
+                if not evidence and key in self._known:
+                    out[b.row + d] = self._known[key]
                     continue
-                vote, near, cosine = self.vote(t, w)
-                out[b.row + d] = memory[key] = self.calibrated(vote)
+                if key not in new:
+                    new[key] = len(vectors)
+                    vectors.append((t, w))
+                    keys.append(key)
+                where.append((b.row + d, new[key]))
+            score, reasons = np.zeros(len(vectors)), [[] for _ in vectors]
+            for a, votes, who, near, cosine in self.votes(vectors):
+                score[a:a + len(votes)] = [self.calibrated(v) for v in votes.tolist()]
                 if evidence:
-                    why[b.row + d] = [{"doc_id": int(self.names[n]), "cosine": float(c), "toxic": int(self.index.labels[n])} for n, c in zip(near, cosine)]
+                    for i, e, c in zip((a + who).tolist(), near.tolist(), cosine.tolist()):
+                        reasons[i].append({"doc_id": int(self.names[e]), "cosine": c, "toxic": int(self.index.labels[e])})
+            for row, i in where:
+                out[row] = score[i]
+                why[row] = reasons[i] if evidence else None
+            if len(self._known) < KNOWN:
+                self._known.update(zip(keys, score.tolist()))
         return out, why
 
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "_known"}
+
 
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never learnt from."""
@@ -235,7 +279,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 12_000, k: int = 15)
                      bad / total if total else 0.0, np.zeros(0, np.int64))
     # sure terms: the lower bound of |log odds| against the usual share
     usual = float(np.log(bad / (total - bad)))
-    tally = sample.select("text", "toxic").mapInArrow(count, "term long, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where("n >= 5")
+    tally = sample.select("text", "toxic").mapInArrow(count, "term long, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     odds = F.log((F.col("bad") + 0.5 * bad / total) / (F.col("n") - F.col("bad") + 0.5 * (total - bad) / total)) - usual
     sure = F.abs(odds) - 2.6 * F.sqrt(1 / (F.col("bad") + 0.5 * bad / total) + 1 / (F.col("n") - F.col("bad") + 0.5 * (total - bad) / total))
     picked = tally.withColumn("sure", sure).where("sure > 0").select("term").collect()  # bounded by the examples' features
@@ -279,7 +323,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 12_000, k: int = 15)
     vecs = [(np.array(r["terms"]), np.array(r["weights"])) for r in rows]
     none = (sum(blank) + bad / total) / (len(blank) + 1)
     model = Model(weighted, BlockMax(len(keys), vecs, y), k, np.ones(1), np.zeros(1), none, np.array([r["doc_id"] for r in rows], dtype=np.int64))
-    votes = np.array([model.vote(t, w, skip=i)[0] for i, (t, w) in enumerate(vecs)])
+    votes = np.concatenate([v for _, v, *_ in model.votes(vecs, np.arange(len(vecs)))]) if vecs else np.zeros(0)
     model.edges, model.steps = rising_steps(votes[~np.isnan(votes)], y[~np.isnan(votes)])
     return model
 

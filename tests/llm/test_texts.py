@@ -147,16 +147,56 @@ def test_nearest_is_exact():
             w = rng.integers(1, 4, len(t)).astype(float)
             vecs.append((t, w / np.sqrt((w * w).sum())))
         index = toxicity.BlockMax(terms, vecs, np.zeros(n))
-        for _ in range(20):
-            t = np.sort(rng.choice(terms, 4, replace=False))
-            w = np.full(4, 0.5)
-            near, cosine = index.nearest(t, w, 7)
+        asked = [np.sort(rng.choice(terms, rng.integers(1, 5), replace=False)) for _ in range(20)]
+        at, skip = np.r_[0, np.cumsum([len(t) for t in asked])], rng.integers(-1, n, 20)
+        who, near, cosine = index.nearest(at, np.concatenate(asked), np.full(at[-1], 0.5), 7, skip)
+        for q, t in enumerate(asked):
             full = np.zeros(n)
             for i, (x, y) in enumerate(vecs):
                 full[i] = sum(0.5 * b for a, b in zip(x, y) if a in t)
+            if skip[q] >= 0:
+                full[skip[q]] = 0
             order = [i for i in np.lexsort((np.arange(n), -full.round(12))) if full[i] > 0][:7]
-            assert near.tolist() == order
-            assert np.allclose(cosine, full[order])
+            assert near[who == q].tolist() == order
+            assert np.allclose(cosine[who == q], full[order])
+    assert not len(toxicity.BlockMax(3, [], np.zeros(0)).nearest(np.array([0, 1]), np.array([1]), np.ones(1), 3)[0])
+
+
+def test_scores_equal_brute_force(spark):
+    """Terms, IDF over all documents, cosines, votes and steps without index, keys or blocks of texts."""
+    ship(spark)
+    texts, y = toxic_corpus(11, 400)
+    docs = frame(spark, texts).repartition(3)
+    labels = spark.createDataFrame([(i, v) for i, v in enumerate(y) if i % 2], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, k=5)
+
+    def strings(text):
+        words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", text.lower())
+        return [("word", w) for w in words] + [("start", w[:p]) for w in words for p in toxicity.PREFIXES if len(w) > p]
+
+    def key(kind, string):
+        b = next(toxicity.blocks(pa.array([string + ("x" if kind == "start" else "")]), fold=True, breaks=toxicity.BREAKS))
+        return int(toxicity.features(b)[0][0] if kind == "word" else toxicity.features(b)[0][1 + toxicity.PREFIXES.index(len(string))])
+
+    every = [strings(t) for t in texts]
+    chosen = {f for fs in every for f in fs if key(*f) in set(model.terms.keys.tolist())}
+    assert len(chosen) == len(model.terms.keys) > 10
+    idf = {f: math.log1p(len(texts) / sum(f in fs for fs in every)) for f in chosen}
+
+    def vector(fs):
+        w = {f: (1 + math.log(fs.count(f))) * idf[f] for f in set(fs) & chosen}
+        size = math.sqrt(sum(x * x for x in w.values()))
+        return {f: x / size for f, x in w.items()}
+
+    vectors, learnt = [vector(fs) for fs in every], set(model.names.tolist())
+    got = {r["doc_id"]: r["score"] for r in docs.select("doc_id", toxicity.toxicity(model, docs, F.col("text")).alias("score")).collect()}
+    rank = {int(d): i for i, d in enumerate(model.names)}
+    for d, v in enumerate(vectors):
+        cosines = [(round(c, 12), -rank[e], c, e) for e in learnt if (c := sum(x * vectors[e].get(f, 0) for f, x in v.items())) > 0]
+        best = sorted(cosines, reverse=True)[:5]
+        pull = [(1 / (0.02 + 1 - min(c, 1)), y[e]) for *_, c, e in best]
+        want = model.calibrated(sum(p * t for p, t in pull) / sum(p for p, _ in pull)) if pull else model.none
+        assert math.isclose(got[d], want, abs_tol=1e-9)
 
 
 def test_steps_rise_and_average():
