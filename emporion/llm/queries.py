@@ -170,6 +170,33 @@ def op13_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.judged(seen, "documents").select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+#: every pair that shares a shingle is compared, and classes are followed link by link
+OP10_SQL = r"""
+with recursive worded as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), shingled as (
+  select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [w]
+    else list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3])) end) as shingle
+  from worded
+), sized as (
+  select doc_id, count(*) as n from shingled group by doc_id
+), linked as (
+  select a.doc_id as x, b.doc_id as y
+  from shingled a join shingled b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+  join sized s on s.doc_id = a.doc_id join sized t on t.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, s.n, t.n
+  having 100 * count(*) >= 85 * (s.n + t.n - count(*))
+), reached as (
+  select x, y from linked
+  union
+  select r.x, l.y from reached r join linked l on l.x = r.y
+)
+select d.doc_id, coalesce(any_value(n), 0) as n_shingles, least(d.doc_id, coalesce(min(y), d.doc_id)) as component_id
+from documents d left join sized s on s.doc_id = d.doc_id left join reached r on r.x = d.doc_id
+group by d.doc_id
+"""
+
 OP13_SQL = """
 select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
        doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
@@ -179,4 +206,4 @@ window same as (partition by coalesce(text, ''))
 
 
 QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op3_randomness_battery, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op7_mcd_outliers, op8_dominance_packing, op9_nearest_toxic, op10_signature_tree, op11_chebyshev_whitening, op12_cover_runs, op13_digest_index)}
-ORACLE: dict[str, str] = {"op13_digest_index": OP13_SQL}
+ORACLE: dict[str, str] = {"op10_signature_tree": OP10_SQL, "op13_digest_index": OP13_SQL}

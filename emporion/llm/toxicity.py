@@ -52,7 +52,7 @@ BLOCK = 64
 #: blocks that a query opens before its bound counts
 FIRST = 16
 #: cosines held at a time (queries x examples), and votes remembered by a worker
-TABLE, KNOWN = 1 << 20, 200_000
+TABLE, KNOWN = 1 << 18, 200_000
 _BITS = 22
 _TOP = U64(64 - _BITS)
 
@@ -323,7 +323,19 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 12_000, k: int = 15)
     vecs = [(np.array(r["terms"]), np.array(r["weights"])) for r in rows]
     none = (sum(blank) + bad / total) / (len(blank) + 1)
     model = Model(weighted, BlockMax(len(keys), vecs, y), k, np.ones(1), np.zeros(1), none, np.array([r["doc_id"] for r in rows], dtype=np.int64))
-    votes = np.concatenate([v for _, v, *_ in model.votes(vecs, np.arange(len(vecs)))]) if vecs else np.zeros(0)
+    asked = spark.sparkContext.broadcast((model, vecs))
+
+    def without_itself(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, every = asked.value
+        for batch in batches:
+            i = batch.column("id").to_numpy()
+            found = [v for _, v, *_ in own.votes([every[x] for x in i.tolist()], i)]
+            if found:
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.concatenate(found))], names=["id", "vote"])
+
+    votes = np.full(len(vecs), np.nan)
+    for r in spark.range(0, len(vecs), 1, -(-len(vecs) // 500) or 1).mapInArrow(without_itself, "id long, vote double").collect():  # a row an example
+        votes[r["id"]] = r["vote"]
     model.edges, model.steps = rising_steps(votes[~np.isnan(votes)], y[~np.isnan(votes)])
     return model
 
