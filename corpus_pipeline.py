@@ -24,7 +24,8 @@ TOXIC = 0.5
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return docs.where(toxicity.toxicity(model, docs, F.col("text")) < TOXIC)
+    blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return docs.where(blank | (toxicity.toxicity(model, docs, F.col("text")) < TOXIC))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
