@@ -152,20 +152,24 @@ class BlockMax:
 
         # the blocks of greatest bounds give each query's k-th best so far; of the
         # others only those that can beat it are opened
+        best = np.argpartition(-bound, min(FIRST, self.n_blocks) - 1, axis=1)[:, :FIRST]
         first = np.zeros(bound.shape, dtype=bool)
-        np.put_along_axis(first, np.argpartition(-bound, min(FIRST, self.n_blocks) - 1, axis=1)[:, :FIRST], True, axis=1)
+        np.put_along_axis(first, best, True, axis=1)
         first &= bound > 0
         open_blocks(first)
         table = cosine.reshape(n, self.n)
-        kth = np.partition(table, self.n - k, axis=1)[:, self.n - k] if k < self.n else np.zeros(n)
+        kth, width = np.zeros(n), best.shape[1] * BLOCK
+        if k < width:
+            seen = np.minimum((best[:, :, None] * BLOCK + np.arange(BLOCK)).reshape(n, width), self.n)
+            seen = np.take_along_axis(np.concatenate([table, np.zeros((n, 1))], axis=1), seen, axis=1)
+            kth = np.partition(seen, width - k, axis=1)[:, width - k]
         rest = ~first & (bound > 0) & (bound >= kth[:, None] - 1e-12)
         if rest.any():
             open_blocks(rest)
-        near = table.round(12)
-        if k < self.n:
-            kth = np.partition(near, self.n - k, axis=1)[:, self.n - k]
-        who, what = np.nonzero((near >= kth[:, None]) & (near > 0))
-        order = np.lexsort((what, -near[who, what], who))
+        # no neighbour is below what the first blocks gave; ties by twelve digits
+        who, what = np.nonzero((table >= kth[:, None] - 1e-11) & (table > 0))
+        near = table[who, what].round(12)
+        order = np.lexsort((what, -near, who))
         who, what = who[order], what[order]
         rank = np.arange(len(who)) - np.searchsorted(who, who)
         who, what = who[rank < k], what[rank < k]
