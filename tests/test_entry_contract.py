@@ -7,7 +7,7 @@ from emporion.plans.queries import QUERIES
 
 def test_keys_match_and_columns_are_named(spark):
     qs, sql = QUERIES, oracle_sql()
-    assert set(qs) <= set(sql) <= set(queries()) and len(qs) == 41
+    assert set(qs) <= set(sql) <= set(queries()) and len(qs) == 42
     for name, fn in qs.items():
         cols = fn(spark, SF_SMALL).columns
         assert len(cols) == len(set(cols)), name
