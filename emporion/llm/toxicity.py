@@ -7,7 +7,7 @@ index, and calibrated to a probability.
 *Features* are words and the beginnings of words (``PREFIXES`` bytes long), so
 that inflected and compound words share some.  The labels choose all
 whose share of toxic examples is surely above or below the usual share (lower
-bound of the log odds), however many there are.  Document frequencies of the
+bound of the log odds, from ``SUPPORT`` examples on), however many there are.  Document frequencies of the
 chosen terms are counted over all documents and give the IDF weights.
 
 *Index.*  Per term, postings (example, weight) in order of example, in blocks
@@ -49,6 +49,8 @@ BREAKS = np.ones(256, dtype=bool)
 BREAKS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 PREFIXES = (4, 5, 6, 7)
 BLOCK = 64
+#: examples that hold a term, at least: with fewer the bound on its log odds says nothing (chance words would reject clean texts)
+SUPPORT = 5
 #: blocks that a query opens before its bound counts
 FIRST = 16
 #: cosines held at a time (queries x examples), and votes remembered by a worker
@@ -283,7 +285,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 12_000, k: int = 15)
                      bad / total if total else 0.0, np.zeros(0, np.int64))
     # sure terms: the lower bound of |log odds| against the usual share
     usual = float(np.log(bad / (total - bad)))
-    tally = sample.select("text", "toxic").mapInArrow(count, "term long, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    tally = sample.select("text", "toxic").mapInArrow(count, "term long, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where(f"n >= {SUPPORT}")
     odds = F.log((F.col("bad") + 0.5 * bad / total) / (F.col("n") - F.col("bad") + 0.5 * (total - bad) / total)) - usual
     sure = F.abs(odds) - 2.6 * F.sqrt(1 / (F.col("bad") + 0.5 * bad / total) + 1 / (F.col("n") - F.col("bad") + 0.5 * (total - bad) / total))
     picked = tally.withColumn("sure", sure).where("sure > 0").select("term").collect()  # bounded by the examples' features
