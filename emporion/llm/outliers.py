@@ -3,10 +3,19 @@
 Statistics of every whole text (words are runs without space and U+0009 to
 U+000D) give a base verdict, and transformed statistics a vector per document.
 Per language and source the minimum-covariance-determinant estimate is found by
-concentration steps: from medians and quartiles, the ``SHARE`` of documents with
-the smallest Mahalanobis distances gives the next mean and covariance.  A
-document beyond the chi-squared quantile ``QUANTILE`` of its group's consistent
-estimate is rejected.
+concentration steps: the ``SHARE`` of documents with the smallest Mahalanobis
+distances gives the next mean and covariance.  Three first estimates (medians
+and quartile spreads; the same with the correlations of squashed values; mean
+and covariance of all) take ``TRIAL`` steps each; the one of the least
+determinant goes on until no group's determinant falls any more (``STEPS`` at
+most).  A document beyond the chi-squared quantile ``QUANTILE`` of its group's
+consistent estimate is rejected.
+
+A share that is zero in nearly all documents of a group has no spread, so its
+determinant would be zero: each statistic has a least standard deviation.  For
+the shares of symbols, repeated lines and repeated words it is given as the
+percentage (``ALONE``) at which a document goes by that share alone where the
+others have none.
 
 Groups are never gathered: medians and distance quantiles are read from
 histograms, means and covariances from sums of whole numbers (vectors are kept
@@ -35,10 +44,30 @@ SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WINDOW = 8
 UNIT = 1024
-SHARE, QUANTILE, STEPS, LEAST = 0.75, 0.999999, 3, 200
-#: (name, least standard deviation): the floor keeps a share that is nearly
-#: always zero from making every other value an outlier
-VECTOR = (("length", 0.7), ("word_length", 0.08), ("symbols", 0.6), ("lines", 0.8), ("repeats", 1.0), ("capitals", 0.4))
+SHARE, QUANTILE, LEAST = 0.75, 0.999, 200
+TRIAL, STEPS, FALL = 2, 12, 1e-3
+#: per cent at which a share rejects by itself in a group that has none of it
+ALONE = {"symbols": 15, "lines": 40, "repeats": 25}
+
+
+def chi2_cdf(x: float, d: int) -> float:
+    """For even d."""
+    return 1 - math.exp(-x / 2) * sum((x / 2) ** i / math.factorial(i) for i in range(d // 2))
+
+
+def chi2_quantile(q: float, d: int) -> float:
+    lo, hi = 0.0, 1000.0
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if chi2_cdf(mid, d) < q else (lo, mid)
+    return hi
+
+
+NAMES = ("length", "word_length", "symbols", "lines", "repeats", "capitals")
+#: by itself a text a hundred times the usual length, or words 1.4 times as long, is no outlier
+LOOSE = {"length": 1.0, "word_length": 0.08, "capitals": 0.4}
+#: (name, least standard deviation)
+VECTOR = tuple((n, LOOSE[n] if n in LOOSE else math.log1p(ALONE[n]) / math.sqrt(chi2_quantile(QUANTILE, len(NAMES)))) for n in NAMES)
 D = len(VECTOR)
 #: tables with a row per group are broadcast up to so many groups (230 bytes each)
 FEW_GROUPS = 100_000
@@ -92,21 +121,9 @@ def vector() -> list[Column]:
     return [F.round(v * UNIT).cast("long").alias(f"x{i}") for i, v in enumerate(values)]
 
 
-def chi2_cdf(x: float, d: int) -> float:
-    """For even d."""
-    return 1 - math.exp(-x / 2) * sum((x / 2) ** i / math.factorial(i) for i in range(d // 2))
-
-
-def chi2_quantile(q: float, d: int) -> float:
-    lo, hi = 0.0, 1000.0
-    for _ in range(200):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if chi2_cdf(mid, d) < q else (lo, mid)
-    return hi
-
-
 def _whitening(means: DataFrame) -> DataFrame:
-    """From (g, m_i, s_ij) the mean and the inverse Cholesky factor w_ij."""
+    """From (g, start, m_i, s_ij) the mean, the inverse Cholesky factor w_ij and
+    the logarithm of the determinant."""
     # floors go on the diagonal; each step only needs columns of the steps before
     out = means.withColumns({f"s{i}_{i}": F.greatest(F.col(f"s{i}_{i}"), F.lit((floor * UNIT) ** 2)) for i, (_, floor) in enumerate(VECTOR)})
     for j in range(D):
@@ -119,7 +136,8 @@ def _whitening(means: DataFrame) -> DataFrame:
     for i in range(D):
         row = {f"w{i}_{j}": -sum((F.col(f"l{i}_{k}") * F.col(f"w{k}_{j}") for k in range(j, i)), F.lit(0.0)) / F.col(f"l{i}_{i}") for j in range(i)}
         out = out.withColumns({**row, f"w{i}_{i}": 1 / F.col(f"l{i}_{i}")})
-    keep = ["g", *(f"m{i}" for i in range(D)), *(f"w{i}_{j}" for i in range(D) for j in range(i + 1))]
+    out = out.withColumn("logdet", 2 * sum((F.log(f"l{i}_{i}") for i in range(D)), F.lit(0.0)))
+    keep = ["g", "start", "logdet", *(f"m{i}" for i in range(D)), *(f"w{i}_{j}" for i in range(D) for j in range(i + 1))]
     return written(out.select(*keep), "whitening")
 
 
@@ -141,24 +159,70 @@ def _first(rows: DataFrame) -> DataFrame:
     quart = cum.groupBy("g", "i").agg(*at).withColumn("sd", (F.col("q3") - F.col("q1")) * 16 / F.lit(1.349))
     wide = quart.groupBy("g").agg(*(F.max(F.when(F.col("i") == i, F.col("q2") * 16 + 8)).cast("double").alias(f"m{i}") for i in range(D)),
                                   *(F.max(F.when(F.col("i") == i, F.col("sd") * F.col("sd"))).alias(f"s{i}_{i}") for i in range(D)))
-    return _whitening(wide.withColumns({f"s{i}_{j}": F.lit(0.0) for i in range(D) for j in range(i)}))
+    return _whitening(wide.withColumns({"start": F.lit(0), **{f"s{i}_{j}": F.lit(0.0) for i in range(D) for j in range(i)}}))
+
+
+def _moments(rows: DataFrame, by: list[str], scale: float = 1.0) -> DataFrame:
+    """Means m_i and covariances s_ij of the whole numbers x_i."""
+    sums = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), *(F.sum(f"x{i}").alias(f"t{i}") for i in range(D)),
+        *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"t{i}_{j}") for i in range(D) for j in range(i + 1)))
+    return sums.select(*by, *((F.col(f"t{i}") / F.col("n")).alias(f"m{i}") for i in range(D)),
+                       *(((F.col(f"t{i}_{j}") - F.col(f"t{i}").cast("double") * F.col(f"t{j}") / F.col("n")) / F.col("n") * scale).alias(f"s{i}_{j}")
+                         for i in range(D) for j in range(i + 1)))
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Three first estimates per group, told apart by ``start``."""
+    first = _first(rows)
+    plain = _whitening(_moments(rows, ["g"]).withColumn("start", F.lit(1)))
+    # values in spreads, squashed to (-1, 1): far ones hardly bend their correlations
+    squashed = rows.join(small(first, FEW_GROUPS), "g").select(
+        "g", *(F.round(F.tanh((F.col(f"x{i}") - F.col(f"m{i}")) * F.col(f"w{i}_{i}")) * UNIT).cast("long").alias(f"x{i}") for i in range(D)))
+    spread = first.select("g", *(F.col(f"m{i}").alias(f"c{i}") for i in range(D)), *((1 / F.col(f"w{i}_{i}")).alias(f"d{i}") for i in range(D)))
+    own = _moments(squashed, ["g"]).join(small(spread, FEW_GROUPS), "g")
+
+    def bent(i: int, j: int) -> Column:
+        share = F.lit(1.0) if i == j else F.coalesce(F.try_divide(f"s{i}_{j}", F.sqrt(F.col(f"s{i}_{i}") * F.col(f"s{j}_{j}"))), F.lit(0.0))
+        return (share * F.col(f"d{i}") * F.col(f"d{j}")).alias(f"s{i}_{j}")
+
+    shaped = own.select("g", F.lit(2).alias("start"), *(F.col(f"c{i}").alias(f"m{i}") for i in range(D)),
+                        *(bent(i, j) for i in range(D) for j in range(i + 1)))
+    return first.unionByName(plain).unionByName(_whitening(shaped))
 
 
 def _concentrated(rows: DataFrame, now: DataFrame, scale: float) -> DataFrame:
-    """One concentration step: mean and covariance of the nearest ``SHARE``."""
+    """One concentration step of every start: mean and covariance of the nearest ``SHARE``."""
     now = small(now, FEW_GROUPS)
     near = rows.join(now, "g").withColumn("bin", F.floor(F.log(_distance() + 1e-6) * 50).cast("long"))
-    bins = near.groupBy("g", "bin").count()
-    by = Window.partitionBy("g")
+    bins = near.groupBy("g", "start", "bin").count()
+    by = Window.partitionBy("g", "start")
     cum = bins.withColumn("cum", F.sum("count").over(by.orderBy("bin"))).withColumn("n", F.sum("count").over(by))
-    cut = cum.groupBy("g").agg(F.min(F.when(F.col("cum") >= SHARE * F.col("n"), F.col("bin"))).alias("cut"))
-    sums = near.join(small(written(cut, "cut"), FEW_GROUPS), "g").where("bin <= cut").groupBy("g").agg(
-        F.count(F.lit(1)).alias("n"), *(F.sum(f"x{i}").alias(f"t{i}") for i in range(D)),
-        *(F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"t{i}_{j}") for i in range(D) for j in range(i + 1)))
-    means = sums.select("g", *((F.col(f"t{i}") / F.col("n")).alias(f"m{i}") for i in range(D)),
-                        *(((F.col(f"t{i}_{j}") - F.col(f"t{i}").cast("double") * F.col(f"t{j}") / F.col("n")) / F.col("n") * scale).alias(f"s{i}_{j}")
-                          for i in range(D) for j in range(i + 1)))
-    return _whitening(means)
+    cut = cum.groupBy("g", "start").agg(F.min(F.when(F.col("cum") >= SHARE * F.col("n"), F.col("bin"))).alias("cut"))
+    nearest = near.join(small(written(cut, "cut"), FEW_GROUPS), ["g", "start"]).where("bin <= cut")
+    return _whitening(_moments(nearest, ["g", "start"], scale))
+
+
+def _least(estimates: DataFrame) -> DataFrame:
+    """Per group the estimate of the least determinant."""
+    best = estimates.groupBy("g").agg(F.min_by(F.struct(*(c for c in estimates.columns if c != "g")), F.struct("logdet", "start")).alias("e"))
+    return best.select("g", "e.*")
+
+
+def least_determinant(rows: DataFrame) -> DataFrame:
+    """The estimate of each group of ``rows`` (g, x_i)."""
+    scale = SHARE / chi2_cdf(chi2_quantile(SHARE, D), D + 2)
+    now = _starts(rows)
+    for _ in range(TRIAL):
+        now = _concentrated(rows, now, scale)
+    now = written(_least(now), "least")
+    for _ in range(STEPS):
+        after = _concentrated(rows, now, scale)
+        fall = now.join(after.select("g", F.col("logdet").alias("next")), "g").agg(F.max(F.col("logdet") - F.col("next"))).first()[0]
+        now = written(_least(now.unionByName(after.withColumn("start", F.lit(-1)))), "least")
+        if fall is None or fall < FALL:
+            break
+    return now
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -168,18 +232,14 @@ def judged(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("own", F.to_json(F.array("lang", "source"))).withColumn("tongue", F.to_json(F.array("lang")))
     count = rows.groupBy("own", "tongue").count()
     sized = (count.withColumn("in_tongue", F.sum("count").over(Window.partitionBy("tongue"))))
-    whole = count.agg(F.sum("count").alias("in_all"))
     group = (F.when(F.col("count") >= LEAST, F.col("own")).when(F.col("in_tongue") >= LEAST, F.col("tongue"))
-             .when(F.col("in_all") >= LEAST, F.lit("")))
-    groups = sized.join(F.broadcast(whole)).select("own", group.alias("g"))
+             .when(F.lit(rows.count() >= LEAST), F.lit("")))
+    groups = sized.select("own", group.alias("g"))
     groups = small(written(groups, "groups"), FEW_GROUPS)
     named = written(rows.join(groups, "own").select(*(c for c in rows.columns if c not in ("own", "tongue")), "g", *vector()), "vectors")
     some = named.where("g is not null").select("g", *(f"x{i}" for i in range(D)))
-    consistent = SHARE / chi2_cdf(chi2_quantile(SHARE, D), D + 2)
-    now = _first(some)
-    for _ in range(STEPS):
-        now = _concentrated(some, now, consistent)
-    out = named.join(small(now, FEW_GROUPS), "g", "left").withColumn("distance", F.when(F.col("g").isNotNull(), _distance()))
+    now = least_determinant(some)
+    out = named.join(small(now.drop("start", "logdet"), FEW_GROUPS), "g", "left").withColumn("distance", F.when(F.col("g").isNotNull(), _distance()))
     failed = base_failed()
     near = F.coalesce(F.col("distance") <= chi2_quantile(QUANTILE, D), F.lit(True))
     return out.select(*(c for c in rows.columns if c not in ("own", "tongue")), failed.alias("base_failed"), "distance", (~failed & near).alias("kept"))

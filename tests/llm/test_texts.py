@@ -362,6 +362,38 @@ def test_outliers(spark, odd_docs, no_docs):
     assert outliers.judged(no_docs).count() == 0
 
 
+def test_single_faults_are_outliers(spark):
+    """Half of the lines repeated, or a quarter of symbols, in a clean group; very long clean texts stay."""
+    rng = random.Random(12)
+    rows = [(i, "\n".join(prose(rng, 12) for _ in range(rng.randint(8, 40))), "en", "clean", 0) for i in range(600)]
+    rows[3] = (3, "\n".join(prose(rng, 12) for _ in range(400)), "en", "clean", 0)
+    for i in (10, 11, 12):
+        lines = [prose(rng, 7) for _ in range(12)]
+        rows[i] = (i, "\n".join(lines + lines[:1] * 14), "en", "clean", 0)   # short lines in between hide no window
+    for i in (20, 21, 22):
+        words = prose(rng, 200).split()
+        rows[i] = (i, " ".join("#" * round(len(w) * 0.35) + w for w in words), "en", "clean", 0)
+    found = outliers.judged(spark.createDataFrame(rows, DOCS)).collect()
+    gone = {r["doc_id"] for r in found if not r["kept"]}
+    assert {10, 11, 12, 20, 21, 22} <= gone and 3 not in gone and len(gone) <= 6 + 3
+
+
+def test_least_determinant(spark):
+    """A start that a far cluster of a fifth has bent is not the one that is kept."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (1000, outliers.D)) * [2000, 300, 900, 1500, 1300, 900]
+    x[:200] = rng.normal(0, 1, (200, outliers.D)) * 50 + [9000, 3000, 9000, 9000, 9000, 9000]
+    rows = spark.createDataFrame([("g", *map(int, r)) for r in np.round(x)], "g string, " + ", ".join(f"x{i} long" for i in range(outliers.D)))
+    starts = outliers._starts(rows).collect()
+    assert sorted(r["start"] for r in starts) == [0, 1, 2]
+    got = outliers.least_determinant(rows)
+    assert got.count() == 1
+    far = rows.join(got, "g").withColumn("d", outliers._distance())
+    bound = outliers.chi2_quantile(outliers.QUANTILE, outliers.D)
+    assert far.where(F.col("d") > bound).count() >= 200
+    assert far.where((F.col("d") > bound) & (F.col("x0") < 6000)).count() < 20
+
+
 def test_concentration_against_numpy(spark):
     """Mean and covariance of one step equal those of numpy on the same rows."""
     rng = np.random.default_rng(2)
