@@ -70,7 +70,7 @@ class Flatten:
     """Visitor over the parts of one message."""
 
     def __init__(self, tokens_per: dict[str, int]):
-        self.tokens_per, self.out, self.attachments = tokens_per, [], []
+        self.tokens_per, self.out, self.texts, self.attachments = tokens_per, [], [], []
 
     def visit(self, part: dict) -> None:
         kind = part["type"] or "text"
@@ -79,9 +79,19 @@ class Flatten:
         (self.visit_text if kind == "text" else self.visit_attachment)(part, kind)
 
     def visit_text(self, part: dict, kind: str) -> None:
-        self.out.append(escape(part["text"] or ""))
+        self.texts.append(part["text"] or "")
+
+    def flush(self) -> None:
+        """Neighbouring texts are escaped as one, so that none makes a control string with the next."""
+        self.out.append(escape("".join(self.texts)))
+        self.texts = []
+
+    def flattened(self) -> str:
+        self.flush()
+        return "".join(self.out)
 
     def visit_attachment(self, part: dict, kind: str) -> None:
+        self.flush()
         n = len(self.attachments)
         self.out.append(f"<|{kind}:{n}|>")
         # a given size counts units (image tiles, audio seconds, document pages)
@@ -115,7 +125,7 @@ def format_messages(messages: DataFrame, parts: Column | None = None, tokens_per
                 visitor = Flatten(rates)
                 for part in (content or []) if typed else parts_of(content or ""):
                     visitor.visit(part)
-                formatted.append(f"<|role:{escape(role)}|>\n{''.join(visitor.out)}{END}")
+                formatted.append(f"<|role:{escape(role)}|>\n{visitor.flattened()}{END}")
                 attached.append(visitor.attachments)
                 tokens.append(sum(a["tokens"] for a in visitor.attachments))
             yield pa.RecordBatch.from_arrays(

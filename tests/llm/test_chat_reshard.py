@@ -22,12 +22,25 @@ def test_a_message_reads_back(role, text):
     v = chat.Flatten(chat.TOKENS_PER)
     for part in chat.parts_of(text):
         v.visit(part)
-    body = "".join(v.out)
+    body = v.flattened()
     assert chat.unescape(chat.escape(text)) == text
     assert "</s>" not in body and "[INST]" not in body and "<|end|>" not in body
     assert chat.parse_message(f"<|role:{chat.escape(role)}|>\n{body}{chat.END}", v.attachments) == (role, text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(["<", "|", ">", "|image:0|", "</", "s>", "[", "INST]", "&", "lt;", "<|end|", ">\n"]), st.none()), max_size=8))
+def test_no_control_string_over_part_borders(pieces):
+    """Neighbouring text parts (None: an attachment) never join to a control string."""
+    v = chat.Flatten(chat.TOKENS_PER)
+    for p in pieces:
+        v.visit({"type": "image" if p is None else "text", "text": p, "ref": "r", "size": None})
+    body = v.flattened()
+    assert len(chat._PLACE.findall(body)) == pieces.count(None)
+    assert "</s>" not in body and "[INST]" not in body and "<|end|>" not in body
+    assert chat.parse_message(f"<|role:|>\n{body}{chat.END}", v.attachments) == ("", "".join("r" if p is None else p for p in pieces))
+
+
 def test_typed_parts(spark):
     ship(spark)
     part = lambda kind, text=None, ref=None, size=None: (kind, text, ref, size)
