@@ -205,5 +205,36 @@ window same as (partition by coalesce(text, ''))
 """
 
 
+#: links to media files (as the visitor finds them) count as their placeholders: kind, number, five signs
+OP6_SQL = r"""
+with rows as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), linked as (
+    select *, regexp_extract_all(text, 'https?://[^\s<>|]+?\.(?:png|jpe?g|gif|webp|wav|mp3|flac|ogg|pdf|docx?|pptx?)\b') as links,
+        regexp_replace(text, 'https?://[^\s<>|]+?\.(?:png|jpe?g|gif|webp|wav|mp3|flac|ogg|pdf|docx?|pptx?)\b', chr(31), 'g') as bare
+    from rows
+), sized as (
+    select *, length(bare) - len(links) + length(role) as plain,
+        role || chr(31) || bare as both_texts,
+        coalesce(list_sum(list_transform(range(len(links)), lambda i: 5 + length(i::varchar) + case
+            when regexp_matches(links[i + 1], '(png|jpe?g|gif|webp)$') then 5
+            when regexp_matches(links[i + 1], '(wav|mp3|flac|ogg)$') then 5 else 8 end)), 0) as places
+    from linked
+), safe as (
+    select *, length(replace(replace(replace(replace(replace(replace(replace(both_texts,
+            '&', '&amp;'), '<|', '&lt;|'), '|>', '|&gt;'), '</s>', '&lt;/s>'), '<s>', '&lt;s>'),
+            '[INST]', '&#91;INST]'), '[/INST]', '&#91;/INST]')) - length(both_texts) as more
+    from sized
+)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+    coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn nulls first, text) filter (where role = 'assistant'), '')) as loss_sha256,
+    sum(plain + more + places + length('<|role:' || '|>') + 1 + length('<|end|>') + 1)::bigint as formatted_chars
+from safe group by conv_id
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_licence_sentences, op2_token_planes, op3_randomness_battery, op4_flow_resharding, op5_seeded_alignment, op6_typed_chat, op7_mcd_outliers, op8_dominance_packing, op9_nearest_toxic, op10_signature_tree, op11_chebyshev_whitening, op12_cover_runs, op13_digest_index)}
-ORACLE: dict[str, str] = {"op10_signature_tree": OP10_SQL, "op13_digest_index": OP13_SQL}
+ORACLE: dict[str, str] = {"op6_typed_chat": OP6_SQL, "op10_signature_tree": OP10_SQL, "op13_digest_index": OP13_SQL}
