@@ -15,7 +15,8 @@ A share that is zero in nearly all documents of a group has no spread, so its
 determinant would be zero: each statistic has a least standard deviation.  For
 the shares of symbols, repeated lines and repeated words it is given as the
 percentage (``ALONE``) at which a document goes by that share alone where the
-others have none.
+others have none.  A repeated line also repeats words, so where neither share
+has a spread the two count as correlated (``SHARED``), not as two faults.
 
 Groups are never gathered: medians and distance quantiles are read from
 histograms, means and covariances from sums of whole numbers (vectors are kept
@@ -45,7 +46,7 @@ CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WINDOW = 8
 UNIT = 1024
 SHARE, QUANTILE, LEAST = 0.75, 0.999, 200
-TRIAL, STEPS, FALL = 2, 12, 1e-3
+TRIAL, STEPS, FALL = 2, 6, 0.01
 #: per cent at which a share rejects by itself in a group that has none of it
 ALONE = {"symbols": 15, "lines": 40, "repeats": 25}
 
@@ -63,12 +64,15 @@ def chi2_quantile(q: float, d: int) -> float:
     return hi
 
 
+#: correlation of repeated lines and repeated words in a group that has neither
+SHARED = 0.5
 NAMES = ("length", "word_length", "symbols", "lines", "repeats", "capitals")
 #: by itself a text a hundred times the usual length, or words 1.4 times as long, is no outlier
 LOOSE = {"length": 1.0, "word_length": 0.08, "capitals": 0.4}
 #: (name, least standard deviation)
 VECTOR = tuple((n, LOOSE[n] if n in LOOSE else math.log1p(ALONE[n]) / math.sqrt(chi2_quantile(QUANTILE, len(NAMES)))) for n in NAMES)
 D = len(VECTOR)
+LINES, REPEATS = NAMES.index("lines"), NAMES.index("repeats")
 #: tables with a row per group are broadcast up to so many groups (230 bytes each)
 FEW_GROUPS = 100_000
 
@@ -124,8 +128,12 @@ def vector() -> list[Column]:
 def _whitening(means: DataFrame) -> DataFrame:
     """From (g, start, m_i, s_ij) the mean, the inverse Cholesky factor w_ij and
     the logarithm of the determinant."""
+    least = {i: (floor * UNIT) ** 2 for i, (_, floor) in enumerate(VECTOR)}
+    flat = (F.col(f"s{LINES}_{LINES}") < least[LINES]) & (F.col(f"s{REPEATS}_{REPEATS}") < least[REPEATS])
+    both = F.col(f"s{REPEATS}_{LINES}")
+    means = means.withColumn(f"s{REPEATS}_{LINES}", F.when(flat, F.greatest(both, F.lit(SHARED * math.sqrt(least[LINES] * least[REPEATS])))).otherwise(both))
     # floors go on the diagonal; each step only needs columns of the steps before
-    out = means.withColumns({f"s{i}_{i}": F.greatest(F.col(f"s{i}_{i}"), F.lit((floor * UNIT) ** 2)) for i, (_, floor) in enumerate(VECTOR)})
+    out = means.withColumns({f"s{i}_{i}": F.greatest(F.col(f"s{i}_{i}"), F.lit(least[i])) for i in range(D)})
     for j in range(D):
         diagonal = F.col(f"s{j}_{j}") - sum((F.col(f"l{j}_{k}") * F.col(f"l{j}_{k}") for k in range(j)), F.lit(0.0))
         # correlated statistics: at least a tenth of the floor stays
@@ -200,7 +208,8 @@ def _concentrated(rows: DataFrame, now: DataFrame, scale: float) -> DataFrame:
     cum = bins.withColumn("cum", F.sum("count").over(by.orderBy("bin"))).withColumn("n", F.sum("count").over(by))
     cut = cum.groupBy("g", "start").agg(F.min(F.when(F.col("cum") >= SHARE * F.col("n"), F.col("bin"))).alias("cut"))
     nearest = near.join(small(written(cut, "cut"), FEW_GROUPS), ["g", "start"]).where("bin <= cut")
-    return _whitening(_moments(nearest, ["g", "start"], scale))
+    # written first: the steps of the factorisation are planned on a table, not on the whole pass
+    return _whitening(written(_moments(nearest, ["g", "start"], scale), "moments"))
 
 
 def _least(estimates: DataFrame) -> DataFrame:
