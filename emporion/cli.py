@@ -117,6 +117,24 @@ def _models(a: argparse.Namespace) -> int:
     return 1 if failed and a.fail_on_test else 0
 
 
+def _refresh(a: argparse.Namespace) -> int:
+    from .plans.refresh import Models
+    spark = _session()
+    models = Models(spark, a.output, parts=a.customer_parts)
+    orders, clicks = spark.read.parquet(a.orders), spark.read.parquet(a.clicks)
+    if a.build:
+        models.build(orders, clicks)
+        return 0
+    if a.batch is None or not (a.new_orders or a.new_clicks):
+        print("[refresh] needs --batch and --new-orders or --new-clicks (or --build)", file=sys.stderr)
+        return 2
+    new_orders = spark.read.parquet(a.new_orders) if a.new_orders else orders.where("false")
+    new_clicks = spark.read.parquet(a.new_clicks) if a.new_clicks else clicks.where("false")
+    for name, written in models.refresh(orders, clicks, new_orders, new_clicks, a.batch).items():
+        print(f"[refresh] {name}: {len(written)} partitions")
+    return 0
+
+
 def _query(a: argparse.Namespace) -> int:
     from .plans.queries import QUERIES
     spark = _session()
@@ -196,6 +214,15 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--gates", action="store_true", help="check volume, freshness and lake before, tests and SLA after; fail on error")
     m.add_argument("--as-of", help="ISO time of the checks; default: now")
     m.add_argument("--lake", help="order lake that must hold rows (--gates)")
+    r = sub.add_parser("refresh", help="bring kept models up to new rows, writing only the partitions they reach")
+    r.add_argument("--orders", required=True, help="order lake, new rows included")
+    r.add_argument("--clicks", required=True, help="click lake, new rows included")
+    r.add_argument("--new-orders", help="the new rows alone (a landing batch)")
+    r.add_argument("--new-clicks", help="the new rows alone (a landing batch)")
+    r.add_argument("--output", required=True)
+    r.add_argument("--batch", help="name of this refresh; a run that was cut short is repeated with the same one")
+    r.add_argument("--build", action="store_true", help="first build from all rows")
+    r.add_argument("--customer-parts", type=int, default=64)
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--sf-dir", required=True)
@@ -207,7 +234,7 @@ def main(argv: list[str] | None = None) -> int:
     f.add_argument("--output", required=True)
     f.add_argument("--days-per-file", type=int, default=8)
     a = p.parse_args(argv)
-    handler = {"stream-attribution": _attribution, "hourly": _hourly, "models": _models, "query": _query, "make-feed": _make_feed}.get(a.command, _stream)
+    handler = {"stream-attribution": _attribution, "hourly": _hourly, "models": _models, "refresh": _refresh, "query": _query, "make-feed": _make_feed}.get(a.command, _stream)
     return handler(a)
 
 

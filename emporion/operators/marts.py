@@ -90,7 +90,11 @@ _DAILY_COLUMNS = [
 def daily_revenue(enriched: DataFrame, with_audit: bool = False) -> DataFrame:
     """Reference form: 'week over week' = the value 7 *rows* earlier within
     (category, shipping_state) by date (``lag(.., 7)``)."""
-    d = daily_revenue_base(enriched)
+    return daily_revenue_of(daily_revenue_base(enriched), with_audit)
+
+
+def daily_revenue_of(d: DataFrame, with_audit: bool = False) -> DataFrame:
+    """The mart from the rows of ``daily_revenue_base``."""
     w = Window.partitionBy("category", "shipping_state").orderBy("order_date")
     prior = F.lag("_gross", 7).over(w)
     out = d.withColumn("_prior", prior).select(
@@ -144,7 +148,11 @@ def _product_order():
 def product_performance(enriched: DataFrame, with_audit: bool = False) -> DataFrame:
     """Reference form: rank by revenue within (category, day); running
     revenue and a 7-*row* rolling average of units per product."""
-    p = product_daily(enriched)
+    return product_performance_of(product_daily(enriched), with_audit)
+
+
+def product_performance_of(p: DataFrame, with_audit: bool = False) -> DataFrame:
+    """The mart from the rows of ``product_daily``."""
     rank_w = Window.partitionBy("category", "order_date").orderBy(F.col("_revenue").desc())
     run_w = (Window.partitionBy("product_id").orderBy(*_product_order())
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
