@@ -203,3 +203,68 @@ def test_all_sure_terms(spark):
     scores, why = model.scores(pa.array(bad), evidence=True)
     assert all(why) and (scores >= 0.5).all()
     assert model.scores(pa.array(["w1x1 w2x2"]))[0][0] < 0.5
+
+
+# ---------------------------------------------------------------- licence tags and further notices
+
+@pytest.mark.parametrize("tag,expression", [
+    ("MIT OR Apache-2.0", "MIT OR Apache-2.0"), ("(mit or apache-2.0)", "(MIT OR Apache-2.0)"), ("LGPL-2.1-or-later", "LGPL-2.1-or-later"),
+    ("GPL-2.0-only WITH Classpath-exception-2.0", "GPL-2.0-only WITH Classpath-exception-2.0"), ("GPL-2.0+ */", "GPL-2.0+"),
+    ("MIT AND (BSD-3-Clause OR (ISC AND Zlib)) -->", "MIT AND (BSD-3-Clause OR (ISC AND Zlib))"), ("LicenseRef-Own-1", "LicenseRef-Own-1"),
+    ("MIT and nothing else", "MIT"), ("MIT OR", "MIT"), ("(MIT", None), ("OR MIT", None), ("(" * 3000 + "MIT" + ")" * 3000, "(" * 3000 + "MIT" + ")" * 3000)])
+def test_licence_tags(tag, expression):
+    found = licences.sentence_ids(f"code\n// SPDX-License-Identifier: {tag}\nMore code")
+    names, left = licences.match_rules(found)
+    assert names == ([expression] if expression else []) and left == 0
+    assert [x[0] for x in found] == (["SpdxTag"] if expression else ["?"])
+
+
+AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND,\nEXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF\nMERCHANTABILITY.'
+ISC_END = '''THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS.'''
+
+
+def gnu(kind, what, version):
+    return f'''This {what} is free software; you can redistribute it and/or
+modify it under the terms of the GNU {kind} General Public
+License as published by the Free Software Foundation; either
+version {version} of the License, or (at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+{kind} General Public License for more details.
+
+You should have received a copy of the GNU {kind} General Public
+License along with this {what}; if not, see <https://www.gnu.org/licenses/>.'''
+
+
+@pytest.mark.parametrize("first,mark,last", [([], "", []), ([], "# ", []), (["/*"], " * ", [" */"])])
+@pytest.mark.parametrize("name,text", [
+    ("LGPL-2.1-or-later", gnu("Lesser", "library", "2.1")), ("LGPL-3.0-or-later", gnu("Lesser", "library", "3")),
+    ("AGPL-3.0-or-later", gnu("Affero", "program", "3")),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+            "copyright notice and this permission notice appear in all copies.\n\n" + ISC_END),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for\nany purpose with or without fee is hereby granted.\n\n" + ISC_END),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or\n"
+                  "distribute this software, for any purpose.\n\n" + AS_IS + "\nIN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR\nOTHER LIABILITY, ARISING FROM THE SOFTWARE."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any damages\n"
+             "arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\n"
+             "freely, subject to the following restrictions:\n\n1. The origin of this software must not be misrepresented."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0.\n(See accompanying file LICENSE_1_0.txt or copy at\nhttps://www.boost.org/LICENSE_1_0.txt)"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 which is available at\nhttp://www.eclipse.org/legal/epl-2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/."),
+])
+def test_further_notices(name, text, first, mark, last):
+    found = licences.sentence_ids("\n".join(["x = 1", "", commented(text, first, mark, last), "", "y = 2"]))
+    names, left = licences.match_rules(found)
+    assert names == [name] and left == 0 and "?" not in [x[0] for x in found], found
+
+
+def test_unknown_permission_notice():
+    own = licences.sentence_ids("Permission to copy this work is given to friends of the author only.")
+    assert [x[0] for x in own] == ["?"]
+    assert not licences.sentence_ids("She asked for permission to leave and it was granted.")
