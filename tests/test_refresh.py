@@ -139,3 +139,20 @@ def test_refresh_of_empty_models(spark, world):
     nothing.build(old.where("false"), seen.where("false"))
     nothing.refresh(far, seen.where("false"), far, seen.where("false"), 0)
     assert nothing.read("mart_daily_revenue").count() == 1
+
+
+def test_command(spark, world):
+    from emporion import cli
+    scratch, orders, clicks, _ = world
+    base, days = f"{scratch}/cmd", "event_date between '2024-01-24' and '2024-01-26'"
+    paths = {}
+    for name, df, since in (("orders", orders, 0), ("clicks", clicks, 0), ("new_orders", orders, 2), ("new_clicks", clicks, 2)):
+        paths[name] = f"{scratch}/cmd-{name}"
+        df.where(days).where(F.col("batch") >= since).drop("batch").write.mode("overwrite").parquet(paths[name])
+    args = ["refresh", "--orders", paths["orders"], "--clicks", paths["clicks"], "--output", base, "--customer-parts", "4"]
+    assert cli.main(args) == 2                       # neither a first build nor new rows
+    assert cli.main([*args, "--build"]) == 0
+    before = {name: rows(refresh.Models(spark, base, 4), name) for name in refresh.PARTITIONS}
+    # rows that are in the tables already change nothing
+    assert cli.main([*args, "--batch", "7", "--new-orders", paths["new_orders"], "--new-clicks", paths["new_clicks"]]) == 0
+    assert {name: rows(refresh.Models(spark, base, 4), name) for name in refresh.PARTITIONS} == before
