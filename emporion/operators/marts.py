@@ -37,14 +37,26 @@ def not_cancelled(enriched: DataFrame) -> DataFrame:
 _DAILY_GROUP = ["order_date", "category", "shipping_state"]
 
 
+#: order columns that the daily, product and customer marts read; orders are rows, so
+#: their ids are not carried
+DAILY_READS = ["customer_id", "category", "quantity", "order_total", "shipping_state", "is_cancelled",
+               "order_value_tier", "order_placed_at"]
+PRODUCT_READS = ["customer_id", "product_id", "product_name", "category", "quantity", "unit_price",
+                 "order_total", "is_cancelled", "order_placed_at"]
+CUSTOMER_READS = ["customer_id", "product_id", "category", "order_total", "payment_method", "is_cancelled",
+                  "order_placed_at"]
+
+
 def _flag(c: str, v: str):
     return F.when(F.col(c) == v, F.lit(1)).otherwise(0)
 
 
 def daily_revenue_base(enriched: DataFrame) -> DataFrame:
-    o = not_cancelled(enriched).withColumn("order_date", F.to_date("order_placed_at"))
+    # dealt once by the group that the running count needs: orders of one customer, day and
+    # amount are too rare to be worth a shuffle of their own
+    o = not_cancelled(enriched).withColumn("order_date", F.to_date("order_placed_at")).repartition(*_DAILY_GROUP)
     amounts = o.groupBy(*_DAILY_GROUP, "customer_id", "order_total").agg(
-        F.count("order_id").alias("n"), F.sum("quantity").alias("items"),
+        F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("items"),
         F.sum(_flag("order_value_tier", "HIGH_VALUE")).alias("high"),
         F.sum(_flag("order_value_tier", "MID_VALUE")).alias("mid"),
         F.sum(_flag("order_value_tier", "LOW_VALUE")).alias("low"),
@@ -125,11 +137,10 @@ def daily_revenue_calendar(enriched: DataFrame) -> DataFrame:
 # ---------------------------------------------------------- product performance
 
 def product_daily(enriched: DataFrame) -> DataFrame:
-    o = not_cancelled(enriched)
-    return o.groupBy(
-        "product_id", "product_name", "category", F.to_date("order_placed_at").alias("order_date")
-    ).agg(
-        F.count("order_id").alias("times_ordered"),
+    # dealt once by product, which the running columns need too
+    o = not_cancelled(enriched).withColumn("order_date", F.to_date("order_placed_at")).repartition("product_id")
+    return o.groupBy("product_id", "product_name", "category", "order_date").agg(
+        F.count(F.lit(1)).alias("times_ordered"),
         F.count_distinct("customer_id").alias("unique_buyers"),
         F.sum("quantity").cast("bigint").alias("units_sold"),
         F.sum("order_total").alias("_revenue"),
@@ -157,13 +168,15 @@ def product_performance_of(p: DataFrame, with_audit: bool = False) -> DataFrame:
     run_w = (Window.partitionBy("product_id").orderBy(*_product_order())
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     roll_w = Window.partitionBy("product_id").orderBy(*_product_order()).rowsBetween(-6, Window.currentRow)
-    out = p.select(
+    # running columns first, while the rows still lie by product
+    running = p.withColumns({"_running": F.sum("_revenue").over(run_w), "_rolling": F.avg("units_sold").over(roll_w)})
+    out = running.withColumn("_rank", F.rank().over(rank_w)).select(
         "product_id", "product_name", "category", "order_date", "times_ordered",
         "unique_buyers", "units_sold", money("_revenue").alias("total_revenue"),
         "avg_selling_price", "google_orders", "email_orders",
-        F.rank().over(rank_w).cast("bigint").alias("revenue_rank_in_category"),
-        money(F.sum("_revenue").over(run_w)).alias("cumulative_revenue"),
-        F.avg("units_sold").over(roll_w).alias("rolling_7d_avg_units"),
+        F.col("_rank").cast("bigint").alias("revenue_rank_in_category"),
+        money("_running").alias("cumulative_revenue"),
+        F.col("_rolling").alias("rolling_7d_avg_units"),
     )
     if with_audit:
         out = out.withColumn("updated_at", F.current_timestamp())
@@ -209,11 +222,17 @@ def _mode(kind: int) -> Column:
     return F.min_by("value", F.when((F.col("kind") == kind) & F.col("value").isNotNull(), F.struct(-F.col("n"), "value")))
 
 
+def by_customer(rows: DataFrame) -> DataFrame:
+    """Rows dealt by customer before they are exploded into pairs, so that one narrow row
+    is shuffled in place of a row a pair; not needed for a table bucketed by customer."""
+    return rows.repartition("customer_id")
+
+
 def customer_order_summary(enriched: DataFrame) -> DataFrame:
     pairs = _counted(not_cancelled(enriched), ["category", "product_id", "payment_method", "attribution_channel"],
-                     {"order_id": F.col("order_id"), "total": F.col("order_total"), "placed": F.col("order_placed_at")})
+                     {"order": F.lit(1), "total": F.col("order_total"), "placed": F.col("order_placed_at")})
     counted = pairs.groupBy("customer_id", "kind", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.count("order_id").alias("orders"), F.sum("total").alias("total"),
+        F.count(F.lit(1)).alias("n"), F.count("order").alias("orders"), F.sum("total").alias("total"),
         F.count("total").alias("totals"), F.min("placed").alias("first"), F.max("placed").alias("last"))
     return counted.groupBy("customer_id").agg(
         F.sum("orders").alias("total_orders"),
