@@ -19,10 +19,13 @@ is kept (one row per order_id), unmatched ones get the defaults
   begins with carry rows: a copy of each session that is live at its start.  A
   customer with huge activity is split over the pieces; the copies are at most
   one per piece a session covers (24 a day for hours).
-* Rows are dealt by (customer, date, piece) and sorted by Spark (the sort
-  spills); the sweep streams over them in Arrow batches and holds one batch and
-  the live sessions, never a whole piece.  Orders without customer or time match
-  nothing and go round the shuffle.
+* Rows are dealt by (customer, piece) and sorted by Spark (the sort spills); the
+  sweep streams over them in Arrow batches and holds one batch and the live
+  sessions, never a whole piece.  Orders without customer or time match nothing;
+  they are dealt by their order_id, so the orders are read once.
+* Only order ids that occur more than once need a best match.  A caller that knows
+  them (``repeated_orders``) names them: all other orders leave the sweep as they
+  are, without a second shuffle, and carry only the columns that are asked for.
 * The best match of a repeated order_id uses ``row_number() == 1`` so that
   Catalyst inserts a partial WindowGroupLimit before the shuffle (at most one
   row per order per map task crosses the network).  Ties are broken by
@@ -40,7 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -137,7 +140,8 @@ def _sweep(batches: Iterator[pa.RecordBatch], keys: list[str], orders: list[str]
         last = [rows.column(k)[n - 1] for k in keys]
         for k in keys:
             c = rows.column(k).combine_chunks()
-            fresh[1:] |= pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            # a row without customer is a group of its own
+            fresh[1:] |= pc.not_equal(c.slice(1), c.slice(0, n - 1)).fill_null(True).to_numpy(zero_copy_only=False)
         is_order = rows.column("_is_order").to_numpy()
         at, until = (rows.column(c).cast(pa.int64()).fill_null(0).to_pylist() for c in ("_at", "_cover_end"))
         pool = rows.select(payload) if live is None else pa.concat_tables([live, rows.select(payload)])
@@ -164,41 +168,80 @@ def _sweep(batches: Iterator[pa.RecordBatch], keys: list[str], orders: list[str]
         yield from found.to_batches()
 
 
+def repeated_orders(orders: DataFrame) -> DataFrame:
+    """``order_hash`` of the order ids that may occur more than once (all that do,
+    and what shares a 64-bit hash with another id).  To be written before use: its size
+    then tells Spark how to join it."""
+    return (orders.groupBy(order_hash()).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("order_hash"))
+
+
+def order_hash(order_id: str | Column = "order_id") -> Column:
+    return F.xxhash64(order_id).alias("order_hash")
+
+
 def latest_live_session(orders: DataFrame, sessions: DataFrame, grace: str = ATTRIBUTION_GRACE,
-                        bucket_minutes: int = 60) -> DataFrame:
-    """``ORDER_COLUMNS`` of every order row and the columns of the session that
-    is live at its time with the latest start (ties: the least session_id,
-    device, browser, channel), null where there is none."""
-    o, s = orders.select(*ORDER_COLUMNS), session_candidates(sessions, grace, bucket_minutes)
-    keys, placed = ["customer_id", "_date", "_bucket"], F.col("order_placed_at")
+                        bucket_minutes: int = 60, columns: list[str] = ORDER_COLUMNS) -> DataFrame:
+    """``columns`` of every order row and the columns of the session that is live
+    at its time with the latest start (ties: the least session_id, device, browser,
+    channel), null where there is none."""
+    o = orders.select(*{*columns, "order_id", "customer_id", "order_placed_at"})
+    s = session_candidates(sessions, grace, bucket_minutes)
+    # only the time itself is shuffled: it is the order's, or the session's start
+    keys, placed = ["customer_id", "_bucket"], F.col("order_placed_at")
+    carried = [c for c in columns if c not in ("customer_id", "order_placed_at")]
+    session_columns = _SESSION_PAYLOAD[1:]
     can_match = F.col("customer_id").isNotNull() & placed.isNotNull()
-    none = [F.lit(None).cast(s.schema[c].dataType).alias(c) for c in _SESSION_PAYLOAD]
-    order_rows = o.where(can_match).select(
-        *ORDER_COLUMNS, F.to_date(placed).alias("_date"), _bucket(placed, bucket_minutes).alias("_bucket"),
-        placed.alias("_at"), F.lit(True).alias("_is_order"), *none, F.lit(None).cast(s.schema["_cover_end"].dataType).alias("_cover_end"))
-    start_rows = s.select(
-        F.col("_s_customer").alias("customer_id"), F.col("_s_date").alias("_date"), "_bucket",
-        F.col("session_start").alias("_at"), F.lit(False).alias("_is_order"), *_SESSION_PAYLOAD, "_cover_end")
+    apart = F.timestamp_add("SECOND", F.pmod(F.xxhash64("order_id"), F.lit(86_400)).cast("int"), F.lit("1970-01-01").cast("timestamp_ntz"))
+    order_rows = o.select(
+        "customer_id", F.when(can_match, _bucket(placed, bucket_minutes)).otherwise(apart).alias("_bucket"),
+        placed.alias("_at"), F.lit(True).alias("_is_order"), *carried)
+    start_rows = s.where(F.col("_cover_end").isNotNull() & (F.to_date("_bucket") == F.col("_s_date"))).select(
+        F.col("_s_customer").alias("customer_id"), "_bucket",
+        F.col("session_start").alias("_at"), F.lit(False).alias("_is_order"), *session_columns, "_cover_end")
     merged = order_rows.unionByName(start_rows, allowMissingColumns=True).repartition(*keys)
     ordered = merged.sortWithinPartitions(*keys, "_at", "_is_order", *(F.col(c).desc_nulls_first() for c in _SESSION_TIEBREAK))
-    types = [*(o.schema[c] for c in ORDER_COLUMNS), *(s.schema[c] for c in _SESSION_PAYLOAD)]
-    schema = StructType([StructField(f.name, f.dataType) for f in types])  # any payload is null where nothing matches
+    types = {f.name: f.dataType for f in (*s.schema, *o.schema)}
+    own, found = ["customer_id", "_at", *carried], ["_at", *session_columns]
+    names = ["customer_id", "order_placed_at", *carried, *_SESSION_PAYLOAD]
+    schema = StructType([StructField(c, types[c]) for c in names])  # any payload is null where nothing matches
     ship(orders.sparkSession)
-    found = ordered.mapInArrow(lambda batches: _sweep(batches, keys, ORDER_COLUMNS, _SESSION_PAYLOAD), schema)
-    return found.unionByName(o.where(~can_match).select(*ORDER_COLUMNS, *none))
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _sweep(batches, keys, own, found):
+            yield pa.RecordBatch.from_arrays(b.columns, names=names)
+
+    return ordered.mapInArrow(sweep, schema).select(*columns, *_SESSION_PAYLOAD)
 
 
 def orders_enriched(stg_orders: DataFrame, sessions: DataFrame, grace: str = ATTRIBUTION_GRACE,
-                    bucket_minutes: int = 60) -> DataFrame:
+                    bucket_minutes: int = 60, repeated: DataFrame | None = None,
+                    columns: list[str] | None = None) -> DataFrame:
     """``bucket_minutes`` sets the width of the pieces of the sweep: narrower
     ones split a hot customer-day into smaller groups at the cost of more carry
-    rows; the result is the same for any width."""
-    return with_defaults(_ranked(latest_live_session(stg_orders, sessions, grace, bucket_minutes)).filter(F.col("match_rank") == 1))
+    rows; the result is the same for any width.
+
+    ``repeated`` are the written ``repeated_orders`` (without it any order id may
+    be repeated); ``columns`` are the order columns that are asked for (default: all)."""
+    wanted = [c for c in ORDER_COLUMNS if columns is None or c in columns]
+
+    def best(orders: DataFrame) -> DataFrame:
+        return with_defaults(_ranked(latest_live_session(orders, sessions, grace, bucket_minutes)).filter(F.col("match_rank") == 1), wanted)
+
+    def only(orders: DataFrame) -> DataFrame:
+        return with_defaults(latest_live_session(orders, sessions, grace, bucket_minutes, wanted), wanted)
+
+    if repeated is None:
+        return best(stg_orders)
+    if repeated.isEmpty():
+        return only(stg_orders)
+    again = order_hash() == repeated["order_hash"]
+    return (only(stg_orders.join(repeated, again, "left_anti"))
+            .unionByName(best(stg_orders.join(repeated, again, "left_semi"))))
 
 
-def with_defaults(best: DataFrame) -> DataFrame:
+def with_defaults(best: DataFrame, columns: list[str] = ORDER_COLUMNS) -> DataFrame:
     return best.select(
-        *ORDER_COLUMNS,
+        *columns,
         "session_id",
         F.coalesce("device_type", F.lit("unknown")).alias("device_type"),
         F.coalesce("browser", F.lit("unknown")).alias("browser"),

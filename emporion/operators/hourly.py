@@ -110,13 +110,17 @@ def hourly_top_products(orders: DataFrame, processing_hour: str | None = None, t
     return out
 
 
+#: order columns that the hourly attribution reads (orders are rows)
+ATTRIBUTION_READS = ["customer_id", "order_total", "order_placed_at"]
+
+
 def hourly_attribution(enriched: DataFrame, processing_hour: str | None = None) -> DataFrame:
     """Orders joined to click sessions (the attribution join), rolled up per
     hour and channel/device: the orders+clickstream hourly output."""
     return enriched.groupBy(
         _hour_key(enriched, processing_hour, "order_placed_at"), "attribution_channel", "device_type"
     ).agg(
-        F.count("order_id").alias("order_count"),
+        F.count(F.lit(1)).alias("order_count"),
         F.count("session_id").alias("attributed_orders"),
         F.sum("order_total").cast("double").alias("revenue"),
         F.count_distinct("customer_id").alias("unique_customers"),

@@ -67,8 +67,13 @@ def sessions_df(spark: SparkSession, sf: str) -> DataFrame:
     return sessions.user_sessions(stg_clicks_df(spark, sf))
 
 
-def enriched_df(spark: SparkSession, sf: str) -> DataFrame:
-    return attribution.orders_enriched(stg_orders_df(spark, sf), sessions_df(spark, sf))
+def enriched_df(spark: SparkSession, sf: str, columns: list[str] | None = None, us: DataFrame | None = None) -> DataFrame:
+    """All orders with their sessions; ``columns`` are the order columns that the caller reads."""
+    repeated = fixtures.repeated_orders(spark, sf)
+    if repeated is not None:
+        repeated = materialize(repeated, scratch_path(spark, "repeated", uuid.uuid4().hex))
+    return attribution.orders_enriched(stg_orders_df(spark, sf), sessions_df(spark, sf) if us is None else us,
+                                       repeated=repeated, columns=columns)
 
 
 # ------------------------------------------------------------------ registry
@@ -110,29 +115,29 @@ def q_orders_enriched(spark, sf):
 
 @query("daily_revenue")
 def q_daily_revenue(spark, sf):
-    return marts.daily_revenue(enriched_df(spark, sf))
+    return marts.daily_revenue(enriched_df(spark, sf, marts.DAILY_READS))
 
 
 @query("daily_revenue_calendar")
 def q_daily_revenue_calendar(spark, sf):
-    return marts.daily_revenue_calendar(enriched_df(spark, sf))
+    return marts.daily_revenue_calendar(enriched_df(spark, sf, marts.DAILY_READS))
 
 
 @query("product_performance")
 def q_product_performance(spark, sf):
-    return marts.product_performance(enriched_df(spark, sf))
+    return marts.product_performance(enriched_df(spark, sf, marts.PRODUCT_READS))
 
 
 @query("product_rolling_calendar")
 def q_product_rolling_calendar(spark, sf):
-    return marts.product_rolling_calendar(enriched_df(spark, sf))
+    return marts.product_rolling_calendar(enriched_df(spark, sf, marts.PRODUCT_READS))
 
 
 @query("user_behavior")
 def q_user_behavior(spark, sf):
     # sessions are read by two branches: written once
     us = materialize(sessions_df(spark, sf), scratch_path(spark, "sessions", uuid.uuid4().hex))
-    return marts.user_behavior(attribution.orders_enriched(stg_orders_df(spark, sf), us), us)
+    return marts.user_behavior(marts.by_customer(enriched_df(spark, sf, marts.CUSTOMER_READS, us)), marts.by_customer(us))
 
 
 @query("product_dim")
@@ -268,7 +273,7 @@ def q_hourly_top_products(spark, sf):
 
 @query("hourly_attribution")
 def q_hourly_attribution(spark, sf):
-    return hourly.hourly_attribution(enriched_df(spark, sf))
+    return hourly.hourly_attribution(enriched_df(spark, sf, hourly.ATTRIBUTION_READS))
 
 
 # ---------------------------------------------------------------- inventory
@@ -374,7 +379,7 @@ def q_dq_recent_volume(spark, sf):
 
 @query("dq_mart_sla")
 def q_dq_mart_sla(spark, sf):
-    return quality.mart_sla(marts.daily_revenue(enriched_df(spark, sf)), "order_date", MART_SLA_MINUTES, AS_OF)
+    return quality.mart_sla(marts.daily_revenue(enriched_df(spark, sf, marts.DAILY_READS)), "order_date", MART_SLA_MINUTES, AS_OF)
 
 
 def suite_models(spark, sf, checks, found):
@@ -390,9 +395,10 @@ def suite_models(spark, sf, checks, found):
     so = model("stg_orders", staging.stg_orders(model("raw_orders", fixtures.raw_orders(spark, sf))))
     sc = model("stg_clickstream", staging.stg_clickstream(model("raw_clicks", fixtures.raw_clicks(spark, sf))))
     us = model("user_sessions", sessions.user_sessions(sc))
-    en = model("orders_enriched", attribution.orders_enriched(so, us))
+    repeated = materialize(attribution.repeated_orders(so), f"{base}/repeated")
+    en = model("orders_enriched", attribution.orders_enriched(so, us, repeated=repeated))
     model("daily_revenue", marts.daily_revenue(en))
-    model("user_behavior", marts.user_behavior(en, us))
+    model("user_behavior", marts.user_behavior(marts.by_customer(en), marts.by_customer(us)))
     return models
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.attribution import repeated_orders as repeated_orders_of
 from ..schemas import MONEY
 
 EPOCH = "2024-01-01 00:00:00"
@@ -30,6 +31,21 @@ def _seconds_after_epoch(n: Column) -> Column:
     return F.timestamp_add("SECOND", n, F.lit(EPOCH).cast("timestamp_ntz"))
 
 
+def _order_id() -> Column:
+    return F.concat(F.lit("ORD-"), "l_orderkey", F.lit("-"), "l_linenumber", F.lit("-"), "l_partkey", F.lit("-"), "l_suppkey")
+
+
+def repeated_orders(spark: SparkSession, sf_dir: str) -> DataFrame | None:
+    """``attribution.repeated_orders`` of ``raw_orders``, from the keys of its tables
+    alone.  Where the lineitems meet each order, customer, nation and part once, an id
+    is repeated by lineitems only; where some key is repeated, any id may be (None)."""
+    for name, key in (("nation", "n_nationkey"), ("customer", "c_custkey"), ("part", "p_partkey"), ("orders", "o_orderkey")):
+        rows = read_table(spark, sf_dir, name).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        if not rows.where(F.col(key).isNotNull() & (F.col("n") > 1)).isEmpty():
+            return None
+    return repeated_orders_of(read_table(spark, sf_dir, "lineitem").select(_order_id().alias("order_id")))
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed order event per lineitem (lineitem x orders x customer x
     nation x part).  Event time is spread over 30 days by a fixed hash."""
@@ -42,18 +58,18 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     na = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     pa = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
 
-    j = (li.join(od, li.l_orderkey == od.o_orderkey)
-           .join(cu, F.col("o_custkey") == F.col("c_custkey"))
-           .join(na, F.col("c_nationkey") == F.col("n_nationkey"))
-           .join(pa, F.col("l_partkey") == F.col("p_partkey")))
+    # orders meet their customers first: the lineitems, by far the most rows, are
+    # shuffled for orders and parts only
+    placed = (od.join(cu, od.o_custkey == cu.c_custkey).join(na, F.col("c_nationkey") == F.col("n_nationkey"))
+                .select("o_orderkey", "o_custkey", "o_orderstatus", "n_name"))
+    j = li.join(placed, li.l_orderkey == F.col("o_orderkey")).join(pa, F.col("l_partkey") == F.col("p_partkey"))
 
     units = F.lit(1) + F.col("l_quantity").cast("int") % 4
     price = (F.col("p_retailprice") / 30).cast(MONEY)
     n = (F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 104729 + F.col("l_partkey") * 31) % SPAN_SECONDS
     ts = _seconds_after_epoch(n)
     return j.select(
-        F.concat(F.lit("ORD-"), "l_orderkey", F.lit("-"), "l_linenumber", F.lit("-"),
-                 "l_partkey", F.lit("-"), "l_suppkey").alias("order_id"),
+        _order_id().alias("order_id"),
         F.when(F.col("l_orderkey") % 101 == 0, F.lit(None).cast("string"))
          .when(F.col("o_custkey") % 2 == 0, F.concat(F.lit("CUST-"), "o_custkey"))
          .otherwise(F.concat(F.lit("CUST-"), "o_custkey", F.lit("-"), F.col("l_partkey") % 20))
