@@ -5,11 +5,12 @@ the violating rows/values, like a SQL test that fails when it returns rows.
 ``run_suite`` returns one row per test.  Row-level tests of a model are counted
 while the model is written (``row_conditions`` as an ``Observation``), so they
 need no scan of their own; for a model that was not written so, they share one
-aggregation pass.  A uniqueness test is one grouping of the written model.
+aggregation pass.  A uniqueness test groups the values whose hash occurs twice.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expressions import micros_between
+from ..session import scratch_path
 from ..sources.missing import read_parquet_if_there
 
 
@@ -32,6 +34,16 @@ def unique(df: DataFrame, column: str) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("occurrences")).filter(F.col("occurrences") > 1))
 
 
+def maybe_repeated(df: DataFrame, column: str, path: str) -> DataFrame:
+    """The rows of ``df`` whose ``column`` may occur more than once (all rows of such
+    values, and of values that share a 64-bit hash).  The hashes are counted and written
+    first: only they are shuffled, and the few that stay need no shuffle of ``df``."""
+    h = F.xxhash64(column)
+    df.groupBy(h.alias("_hash")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_hash").write.parquet(path)
+    hashes = df.sparkSession.read.parquet(path)
+    return df.join(hashes, h == hashes["_hash"], "left_semi")
+
+
 def accepted_values(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     """Rows whose non-null value is outside the domain."""
     return df.filter(F.col(column).isNotNull() & ~F.col(column).isin(*values))
@@ -47,6 +59,11 @@ def order_total_positive(stg_orders: DataFrame) -> DataFrame:
     return stg_orders.filter(F.col("order_total") <= 0).select("order_id", "customer_id", "order_total")
 
 
+def written_duplicate_order_ids(enriched: DataFrame) -> DataFrame:
+    """``duplicate_order_ids`` of a written table."""
+    return duplicate_order_ids(maybe_repeated(enriched, "order_id", scratch_path(enriched.sparkSession, "repeated", uuid.uuid4().hex)))
+
+
 def duplicate_order_ids(enriched: DataFrame) -> DataFrame:
     return (enriched.groupBy("order_id").agg(F.count(F.lit(1)).alias("occurrences"))
                     .filter(F.col("occurrences") > 1))
@@ -149,7 +166,8 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check], observed: dict[
             parts.append(wide.select(F.expr(f"stack({len(open_)}, {stack}) as (check_name, violations)")))
     for c in checks:
         if c.kind == "unique":
-            v = unique(models[c.model], c.column).agg(F.count(F.lit(1)).alias("violations"))
+            rows = maybe_repeated(models[c.model], c.column, scratch_path(spark, "repeated", uuid.uuid4().hex))
+            v = unique(rows, c.column).agg(F.count(F.lit(1)).alias("violations"))
         elif c.kind == "singular" and not isinstance(c.arg, str):
             v = c.arg(models).agg(F.count(F.lit(1)).alias("violations"))
         else:
@@ -200,5 +218,5 @@ def default_checks(accepted: dict[str, list[str]]) -> list[Check]:
               accepted["customer_segment"]),
         Check("assert_order_total_positive", "stg_orders", "order_total", "singular", "order_total <= 0"),
         Check("assert_no_duplicate_order_ids", "orders_enriched", "order_id", "singular",
-              lambda m: duplicate_order_ids(m["orders_enriched"])),
+              lambda m: written_duplicate_order_ids(m["orders_enriched"])),
     ]
