@@ -63,6 +63,10 @@ SMALL = 16
 #: nodes in one signature tree
 TREE_ROWS = 4096
 LEAF, FAN = 8, 8
+#: bitmap words compared at a time (8 MB an array), whatever the width of the bitmaps
+WORDS = 1 << 20
+#: pairs held before those beyond a node's most similar ones are dropped
+PAIRS = 1 << 18
 #: partners of each node in the first traversals
 NEAREST = (2,)
 
@@ -277,10 +281,11 @@ def large_buckets(met: DataFrame) -> DataFrame:
     return written(same.select("tree", "lo", "hi", "s", "members"), "buckets")
 
 
-def traverse(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, side: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def traverse(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, side: np.ndarray | None, percent: int, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Dual traversal of a signature tree with itself, or of the trees of two
     sides: index pairs whose sizes, bitmaps and components leave a link open,
-    and how many bits differ."""
+    and how many bits differ; with ``most`` at least the pairs that ``nearest_of``
+    keeps, which are then all that is held."""
     order = np.lexsort((n, comp, side if side is not None else np.zeros(len(n), np.int64)))
     n, bits, comp = n[order], bits[order], comp[order]
     split = int((side == 0).sum()) if side is not None else len(n)
@@ -300,7 +305,14 @@ def traverse(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, side: np.ndarray
                 return out
             groups, offsets = out[-1], np.arange(0, len(lo), FAN)
 
+    words = max(1, bits.shape[1])
+
     def open_(x: tuple, y: tuple, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        step = max(1, WORDS // words)
+        parts = [some_open(x, y, i[a:a + step], j[a:a + step]) for a in range(0, len(i), step)]
+        return np.concatenate(parts) if parts else np.zeros(0, bool)
+
+    def some_open(x: tuple, y: tuple, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         lo, hi = x[0][i] + y[0][j], x[1][i] + y[1][j]
         differ = np.bitwise_count((x[5][i] & ~y[4][j]) | (y[5][j] & ~x[4][i])).sum(axis=1, dtype=np.int64)
         most = np.minimum((hi - differ) // 2, np.minimum(x[1][i], y[1][j]))
@@ -337,9 +349,10 @@ def traverse(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, side: np.ndarray
             if side is None:
                 up = i <= j
                 i, j = i[up], j[up]
-    out = []
-    for a in range(0, len(i), 20_000):  # leaf pairs to rows, some at a time
-        x, y = i[a:a + 20_000], j[a:a + 20_000]
+    out, held = [], 0
+    step = max(1, WORDS // (words * LEAF * LEAF))
+    for a in range(0, len(i), step):  # leaf pairs to rows, some at a time
+        x, y = i[a:a + step], j[a:a + step]
         x, y = expand(x * LEAF, np.minimum(x * LEAF + LEAF, split) - x * LEAF,
                       y * LEAF + (split if side is not None else 0),
                       np.minimum(y * LEAF + LEAF, len(n) - split if side is not None else len(n)) - y * LEAF)
@@ -347,13 +360,18 @@ def traverse(n: np.ndarray, bits: np.ndarray, comp: np.ndarray, side: np.ndarray
             up = x < y
             x, y = x[up], y[up]
         differ = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
-        most = np.minimum((n[x] + n[y] - differ) // 2, np.minimum(n[x], n[y]))
-        keep = (comp[x] != comp[y]) & ((100 + percent) * most >= percent * (n[x] + n[y]))
+        common = np.minimum((n[x] + n[y] - differ) // 2, np.minimum(n[x], n[y]))
+        keep = (comp[x] != comp[y]) & ((100 + percent) * common >= percent * (n[x] + n[y]))
         out.append((order[x[keep]], order[y[keep]], differ[keep]))
+        held += int(keep.sum())
+        if most is not None and held > max(PAIRS, 4 * most * len(n)):  # at most ``most`` a node stay
+            some = tuple(np.concatenate(z) for z in zip(*out))
+            near = nearest_of(*some, most)
+            out, held = [tuple(z[near] for z in some)], len(near)
     return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
 
 
-def open_pairs(n: np.ndarray, bitmaps: list[bytes], comp: np.ndarray, side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def open_pairs(n: np.ndarray, bitmaps: list[bytes], comp: np.ndarray, side: np.ndarray, percent: int, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``traverse`` for bitmaps of several widths.  Linked sets differ in width
     by a factor of two at most; there the wider is folded."""
     width, out = np.array([len(b) for b in bitmaps]), []
@@ -362,7 +380,7 @@ def open_pairs(n: np.ndarray, bitmaps: list[bytes], comp: np.ndarray, side: np.n
 
     def add(rows: np.ndarray, b: np.ndarray, sides: np.ndarray | None) -> None:
         if len(rows) > 1 and (sides is None or 0 < sides.sum() < len(sides)):
-            i, j, d = traverse(n[rows], b, comp[rows], sides, percent)
+            i, j, d = traverse(n[rows], b, comp[rows], sides, percent, most)
             out.append((rows[i], rows[j], d))
 
     for w, rows in at.items():
@@ -415,7 +433,7 @@ def tree_pairs(buckets: DataFrame, base: DataFrame, found: DataFrame, percent: i
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         node = pdf["node"].to_numpy()
-        i, j, differ = open_pairs(pdf["n"].to_numpy(), pdf["bitmap"].tolist(), pdf["comp"].to_numpy(), pdf["side"].to_numpy(), percent)
+        i, j, differ = open_pairs(pdf["n"].to_numpy(), pdf["bitmap"].tolist(), pdf["comp"].to_numpy(), pdf["side"].to_numpy(), percent, most)
         if most is not None and len(i):
             keep = nearest_of(i, j, differ, most)
             i, j = i[keep], j[keep]

@@ -160,3 +160,27 @@ def test_one_document_of_each_class_stays(spark, odd_docs, no_docs):
     assert texts["x " * 5000] == 1 and texts["word"] == 1 and texts["no id here"] == 1 and texts[None] == 1
     assert jaccard.one_of_each(no_docs).count() == 0 and no_docs.schema.simpleString().startswith("struct<doc_id")
     assert DOCS
+
+
+@pytest.mark.parametrize("nodes, shingles_each", [(600, 4000), (2500, 100)])
+def test_traversal_holds_a_bounded_number_of_words_and_pairs(nodes, shingles_each):
+    """Near copies of any width: what one task holds at a time does not grow with the pairs."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    base, rows = rng.integers(0, 1 << 63, shingles_each).astype(np.uint64), []
+    for _ in range(nodes):
+        keys = base.copy()
+        keys[rng.integers(0, len(keys), len(keys) // 40)] = rng.integers(0, 1 << 63, len(keys) // 40)
+        rows.append(np.unique(keys))
+    n, bitmaps = np.array([len(r) for r in rows]), [jaccard.bitmap_of(r) for r in rows]
+    about = (n, bitmaps, np.arange(nodes), np.zeros(nodes, np.int64), 85)
+    every = jaccard.open_pairs(*about)
+    want = jaccard.nearest_of(*every, 2)
+    tracemalloc.start()
+    near = jaccard.open_pairs(*about, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = jaccard.nearest_of(*near, 2)
+    assert len(every[0]) > 100_000 and all((a[want] == b[got]).all() for a, b in zip(every, near))
+    assert peak < 100e6
