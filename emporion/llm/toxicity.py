@@ -315,20 +315,21 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 12_000, k: int = 15)
         for batch in batches:
             names, toxic = batch.column("doc_id").to_pylist(), batch.column("toxic").to_pylist()
             for b in blocks(batch.column("text"), fold=True, breaks=BREAKS):
-                got = {d: (x.tolist(), w.tolist()) for d, x, w in t.vectors(b)}
-                rows = [(names[b.row + d], toxic[b.row + d], *got.get(d, ([], []))) for d in range(b.n_docs)]
-                kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.float64())]
+                # numbers as bytes: the driver holds no object a number
+                got = {d: (x.astype(np.int64).tobytes(), w.astype(np.float64).tobytes()) for d, x, w in t.vectors(b)}
+                rows = [(names[b.row + d], toxic[b.row + d], *got.get(d, (b"", b""))) for d in range(b.n_docs)]
+                kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=["doc_id", "toxic", "terms", "weights"])
 
-    rows = sorted(sample.mapInArrow(vectors, "doc_id long, toxic int, terms array<long>, weights array<double>").collect(),
-                  key=lambda r: (r["doc_id"], r["terms"], r["weights"]))  # at most `examples` documents
-    blank = [r["toxic"] for r in rows if not r["terms"]]
-    # similar examples next to each other make block maxima tight
-    rows = sorted((r for r in rows if r["terms"]), key=lambda r: (r["terms"], r["doc_id"]))
-    y = np.array([r["toxic"] for r in rows], dtype=float)
-    vecs = [(np.array(r["terms"]), np.array(r["weights"])) for r in rows]
+    rows = [(r["doc_id"], int(r["toxic"]), np.frombuffer(r["terms"], np.int64), np.frombuffer(r["weights"]))
+            for r in sample.mapInArrow(vectors, "doc_id long, toxic int, terms binary, weights binary").collect()]  # at most `examples` documents
+    blank = [toxic for _, toxic, terms, _ in rows if not len(terms)]
+    # similar examples next to each other make block maxima tight; as big-endian bytes terms sort like lists
+    rows = sorted((r for r in rows if len(r[2])), key=lambda r: (r[2].astype(">i8").tobytes(), r[0]))
+    y = np.array([r[1] for r in rows], dtype=float)
+    vecs = [(r[2], r[3]) for r in rows]
     none = (sum(blank) + bad / total) / (len(blank) + 1)
-    model = Model(weighted, BlockMax(len(keys), vecs, y), k, np.ones(1), np.zeros(1), none, np.array([r["doc_id"] for r in rows], dtype=np.int64))
+    model = Model(weighted, BlockMax(len(keys), vecs, y), k, np.ones(1), np.zeros(1), none, np.array([r[0] for r in rows], dtype=np.int64))
     asked = spark.sparkContext.broadcast((model, vecs))
 
     def without_itself(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
