@@ -59,9 +59,10 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     pa = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
 
     # orders meet their customers first: the lineitems, by far the most rows, are
-    # shuffled for orders and parts only
+    # shuffled for orders and parts only, and of the two sides a task holds the orders
+    # alone: a hash of them, where a merge would sort its lineitems as well
     placed = (od.join(cu, od.o_custkey == cu.c_custkey).join(na, F.col("c_nationkey") == F.col("n_nationkey"))
-                .select("o_orderkey", "o_custkey", "o_orderstatus", "n_name"))
+                .select("o_orderkey", "o_custkey", "o_orderstatus", "n_name").hint("shuffle_hash"))
     j = li.join(placed, li.l_orderkey == F.col("o_orderkey")).join(pa, F.col("l_partkey") == F.col("p_partkey"))
 
     units = F.lit(1) + F.col("l_quantity").cast("int") % 4

@@ -91,6 +91,7 @@ def test_lineitems_meet_orders_that_know_their_customers(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
     moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
     assert len(moved) == 6 and sum("l_orderkey" in line or "l_partkey" in line for line in moved) == 2
+    assert "ShuffledHashJoin [l_orderkey" in plan and "Sort [l_orderkey" not in plan  # no task sorts its lineitems for this
 
 
 def test_marts_deal_the_orders_once(spark, landed):
