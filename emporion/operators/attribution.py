@@ -23,6 +23,7 @@ is kept (one row per order_id), unmatched ones get the defaults
   sweep streams over them in Arrow batches and holds one batch and the live
   sessions, never a whole piece.  Orders without customer or time match nothing;
   they are dealt by their order_id, so the orders are read once.
+* Sessions carry what orders them and what is asked of them: a carry row is narrow.
 * Only order ids that occur more than once need a best match.  A caller that knows
   them (``repeated_orders``) names them: all other orders leave the sweep as they
   are, without a second shuffle, and carry only the columns that are asked for.
@@ -58,7 +59,8 @@ ORDER_COLUMNS = [
 ]
 
 _SESSION_TIEBREAK = ["session_id", "device_type", "browser", "attribution_channel"]
-_SESSION_PAYLOAD = ["session_start", *_SESSION_TIEBREAK, "session_outcome", "engagement_score"]
+SESSION_COLUMNS = [*_SESSION_TIEBREAK, "session_outcome", "engagement_score"]
+_SESSION_PAYLOAD = ["session_start", *SESSION_COLUMNS]
 
 _PAYLOAD_TIEBREAK = [
     "order_placed_at", "customer_id", "product_id", "product_name", "category", "quantity",
@@ -180,8 +182,9 @@ def order_hash(order_id: str | Column = "order_id") -> Column:
 
 
 def latest_live_session(orders: DataFrame, sessions: DataFrame, grace: str = ATTRIBUTION_GRACE,
-                        bucket_minutes: int = 60, columns: list[str] = ORDER_COLUMNS) -> DataFrame:
-    """``columns`` of every order row and the columns of the session that is live
+                        bucket_minutes: int = 60, columns: list[str] = ORDER_COLUMNS,
+                        payload: list[str] = _SESSION_PAYLOAD) -> DataFrame:
+    """``columns`` of every order row and ``payload`` of the session that is live
     at its time with the latest start (ties: the least session_id, device, browser,
     channel), null where there is none."""
     o = orders.select(*{*columns, "order_id", "customer_id", "order_placed_at"})
@@ -189,7 +192,8 @@ def latest_live_session(orders: DataFrame, sessions: DataFrame, grace: str = ATT
     # only the time itself is shuffled: it is the order's, or the session's start
     keys, placed = ["customer_id", "_bucket"], F.col("order_placed_at")
     carried = [c for c in columns if c not in ("customer_id", "order_placed_at")]
-    session_columns = _SESSION_PAYLOAD[1:]
+    found_columns = [c for c in payload if c != "session_start"]
+    session_columns = [*_SESSION_TIEBREAK, *(c for c in found_columns if c not in _SESSION_TIEBREAK)]
     can_match = F.col("customer_id").isNotNull() & placed.isNotNull()
     apart = F.timestamp_add("SECOND", F.pmod(F.xxhash64("order_id"), F.lit(86_400)).cast("int"), F.lit("1970-01-01").cast("timestamp_ntz"))
     order_rows = o.select(
@@ -201,8 +205,8 @@ def latest_live_session(orders: DataFrame, sessions: DataFrame, grace: str = ATT
     merged = order_rows.unionByName(start_rows, allowMissingColumns=True).repartition(*keys)
     ordered = merged.sortWithinPartitions(*keys, "_at", "_is_order", *(F.col(c).desc_nulls_first() for c in _SESSION_TIEBREAK))
     types = {f.name: f.dataType for f in (*s.schema, *o.schema)}
-    own, found = ["customer_id", "_at", *carried], ["_at", *session_columns]
-    names = ["customer_id", "order_placed_at", *carried, *_SESSION_PAYLOAD]
+    own, found = ["customer_id", "_at", *carried], ["_at", *found_columns]
+    names = ["customer_id", "order_placed_at", *carried, "session_start", *found_columns]
     schema = StructType([StructField(c, types[c]) for c in names])  # any payload is null where nothing matches
     ship(orders.sparkSession)
 
@@ -210,25 +214,27 @@ def latest_live_session(orders: DataFrame, sessions: DataFrame, grace: str = ATT
         for b in _sweep(batches, keys, own, found):
             yield pa.RecordBatch.from_arrays(b.columns, names=names)
 
-    return ordered.mapInArrow(sweep, schema).select(*columns, *_SESSION_PAYLOAD)
+    return ordered.mapInArrow(sweep, schema).select(*columns, *payload)
 
 
 def orders_enriched(stg_orders: DataFrame, sessions: DataFrame, grace: str = ATTRIBUTION_GRACE,
                     bucket_minutes: int = 60, repeated: DataFrame | None = None,
-                    columns: list[str] | None = None) -> DataFrame:
+                    columns: list[str] | None = None, session_columns: list[str] | None = None) -> DataFrame:
     """``bucket_minutes`` sets the width of the pieces of the sweep: narrower
     ones split a hot customer-day into smaller groups at the cost of more carry
     rows; the result is the same for any width.
 
     ``repeated`` are the written ``repeated_orders`` (without it any order id may
-    be repeated); ``columns`` are the order columns that are asked for (default: all)."""
+    be repeated); ``columns`` and ``session_columns`` are the columns of orders and
+    sessions that are asked for (default: all)."""
     wanted = [c for c in ORDER_COLUMNS if columns is None or c in columns]
+    payload = [c for c in SESSION_COLUMNS if session_columns is None or c in session_columns]
 
     def best(orders: DataFrame) -> DataFrame:
-        return with_defaults(_ranked(latest_live_session(orders, sessions, grace, bucket_minutes)).filter(F.col("match_rank") == 1), wanted)
+        return with_defaults(_ranked(latest_live_session(orders, sessions, grace, bucket_minutes)).filter(F.col("match_rank") == 1), wanted, payload)
 
     def only(orders: DataFrame) -> DataFrame:
-        return with_defaults(latest_live_session(orders, sessions, grace, bucket_minutes, wanted), wanted)
+        return with_defaults(latest_live_session(orders, sessions, grace, bucket_minutes, wanted, payload), wanted, payload)
 
     if repeated is None:
         return best(stg_orders)
@@ -239,13 +245,6 @@ def orders_enriched(stg_orders: DataFrame, sessions: DataFrame, grace: str = ATT
             .unionByName(best(stg_orders.join(repeated, again, "left_semi"))))
 
 
-def with_defaults(best: DataFrame, columns: list[str] = ORDER_COLUMNS) -> DataFrame:
-    return best.select(
-        *columns,
-        "session_id",
-        F.coalesce("device_type", F.lit("unknown")).alias("device_type"),
-        F.coalesce("browser", F.lit("unknown")).alias("browser"),
-        F.coalesce("attribution_channel", F.lit("direct")).alias("attribution_channel"),
-        "session_outcome",
-        "engagement_score",
-    )
+def with_defaults(best: DataFrame, columns: list[str] = ORDER_COLUMNS, payload: list[str] = SESSION_COLUMNS) -> DataFrame:
+    default = {"device_type": "unknown", "browser": "unknown", "attribution_channel": "direct"}
+    return best.select(*columns, *(F.coalesce(c, F.lit(default[c])).alias(c) if c in default else c for c in payload))

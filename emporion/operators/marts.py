@@ -41,10 +41,13 @@ _DAILY_GROUP = ["order_date", "category", "shipping_state"]
 #: their ids are not carried
 DAILY_READS = ["customer_id", "category", "quantity", "order_total", "shipping_state", "is_cancelled",
                "order_value_tier", "order_placed_at"]
-PRODUCT_READS = ["customer_id", "product_id", "product_name", "category", "quantity", "unit_price",
-                 "order_total", "is_cancelled", "order_placed_at"]
+PRODUCT_READS = ["customer_id", "product_id", "quantity", "unit_price", "order_total", "is_cancelled", "order_placed_at"]
+#: what names a product: read with the orders, or from a table of products (``names``)
+PRODUCT_NAMES = ["product_name", "category"]
 CUSTOMER_READS = ["customer_id", "product_id", "category", "order_total", "payment_method", "is_cancelled",
                   "order_placed_at"]
+#: session columns that they read
+DAILY_SESSIONS, CHANNEL = ["device_type", "attribution_channel"], ["attribution_channel"]
 
 
 def _flag(c: str, v: str):
@@ -136,10 +139,12 @@ def daily_revenue_calendar(enriched: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------- product performance
 
-def product_daily(enriched: DataFrame) -> DataFrame:
+def product_daily(enriched: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """``names`` has one row a product (product_id, product_name, category): orders then
+    come without them, and each product is named once, when its orders are counted."""
     # dealt once by product, which the running columns need too
     o = not_cancelled(enriched).withColumn("order_date", F.to_date("order_placed_at")).repartition("product_id")
-    return o.groupBy("product_id", "product_name", "category", "order_date").agg(
+    daily = o.groupBy("product_id", *(PRODUCT_NAMES if names is None else []), "order_date").agg(
         F.count(F.lit(1)).alias("times_ordered"),
         F.count_distinct("customer_id").alias("unique_buyers"),
         F.sum("quantity").cast("bigint").alias("units_sold"),
@@ -148,6 +153,7 @@ def product_daily(enriched: DataFrame) -> DataFrame:
         _count_eq("attribution_channel", "google").alias("google_orders"),
         _count_eq("attribution_channel", "email_campaign").alias("email_orders"),
     )
+    return daily if names is None else daily.join(names.select("product_id", *PRODUCT_NAMES), "product_id")
 
 
 def _product_order():
@@ -156,10 +162,10 @@ def _product_order():
     return ["order_date", "product_name", "category"]
 
 
-def product_performance(enriched: DataFrame, with_audit: bool = False) -> DataFrame:
+def product_performance(enriched: DataFrame, with_audit: bool = False, names: DataFrame | None = None) -> DataFrame:
     """Reference form: rank by revenue within (category, day); running
     revenue and a 7-*row* rolling average of units per product."""
-    return product_performance_of(product_daily(enriched), with_audit)
+    return product_performance_of(product_daily(enriched, names), with_audit)
 
 
 def product_performance_of(p: DataFrame, with_audit: bool = False) -> DataFrame:
@@ -183,10 +189,10 @@ def product_performance_of(p: DataFrame, with_audit: bool = False) -> DataFrame:
     return out
 
 
-def product_rolling_calendar(enriched: DataFrame) -> DataFrame:
+def product_rolling_calendar(enriched: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Variant: true 7-day rolling average (RANGE over day numbers: the day
     itself and the 6 calendar days before it)."""
-    p = product_daily(enriched).withColumn("_day", F.unix_date("order_date"))
+    p = product_daily(enriched, names).withColumn("_day", F.unix_date("order_date"))
     w = Window.partitionBy("product_id").orderBy("_day").rangeBetween(-6, 0)
     return p.select(
         "product_id", "product_name", "category", "order_date", "units_sold",

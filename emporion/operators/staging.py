@@ -47,6 +47,11 @@ def stg_orders(raw: DataFrame) -> DataFrame:
     )
 
 
+def stg_product_names(raw: DataFrame) -> DataFrame:
+    """Names of products as ``stg_orders`` gives them with each order."""
+    return raw.select("product_id", upper_trim("product_name").alias("product_name"), upper_trim("category").alias("category"))
+
+
 def stg_clickstream(raw: DataFrame) -> DataFrame:
     gate = (F.col("event_id").isNotNull() & F.col("session_id").isNotNull()
             & F.col("event_timestamp").isNotNull())

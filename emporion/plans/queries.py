@@ -67,13 +67,26 @@ def sessions_df(spark: SparkSession, sf: str) -> DataFrame:
     return sessions.user_sessions(stg_clicks_df(spark, sf))
 
 
-def enriched_df(spark: SparkSession, sf: str, columns: list[str] | None = None, us: DataFrame | None = None) -> DataFrame:
-    """All orders with their sessions; ``columns`` are the order columns that the caller reads."""
+def enriched_df(spark: SparkSession, sf: str, columns: list[str] | None = None, us: DataFrame | None = None,
+                session_columns: list[str] | None = None) -> DataFrame:
+    """All orders with their sessions; ``columns`` and ``session_columns`` are what the caller reads of them."""
     repeated = fixtures.repeated_orders(spark, sf)
     if repeated is not None:
         repeated = materialize(repeated, scratch_path(spark, "repeated", uuid.uuid4().hex))
     return attribution.orders_enriched(stg_orders_df(spark, sf), sessions_df(spark, sf) if us is None else us,
-                                       repeated=repeated, columns=columns)
+                                       repeated=repeated, columns=columns, session_columns=session_columns)
+
+
+def daily_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return enriched_df(spark, sf, marts.DAILY_READS, session_columns=marts.DAILY_SESSIONS)
+
+
+def product_orders(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame | None]:
+    """What the product marts read, and the products' names where the orders come without them."""
+    names = fixtures.product_names(spark, sf)
+    reads = marts.PRODUCT_READS if names is not None else [*marts.PRODUCT_READS, *marts.PRODUCT_NAMES]
+    return (enriched_df(spark, sf, reads, session_columns=marts.CHANNEL),
+            None if names is None else staging.stg_product_names(names))
 
 
 # ------------------------------------------------------------------ registry
@@ -115,29 +128,31 @@ def q_orders_enriched(spark, sf):
 
 @query("daily_revenue")
 def q_daily_revenue(spark, sf):
-    return marts.daily_revenue(enriched_df(spark, sf, marts.DAILY_READS))
+    return marts.daily_revenue(daily_orders(spark, sf))
 
 
 @query("daily_revenue_calendar")
 def q_daily_revenue_calendar(spark, sf):
-    return marts.daily_revenue_calendar(enriched_df(spark, sf, marts.DAILY_READS))
+    return marts.daily_revenue_calendar(daily_orders(spark, sf))
 
 
 @query("product_performance")
 def q_product_performance(spark, sf):
-    return marts.product_performance(enriched_df(spark, sf, marts.PRODUCT_READS))
+    orders, names = product_orders(spark, sf)
+    return marts.product_performance(orders, names=names)
 
 
 @query("product_rolling_calendar")
 def q_product_rolling_calendar(spark, sf):
-    return marts.product_rolling_calendar(enriched_df(spark, sf, marts.PRODUCT_READS))
+    orders, names = product_orders(spark, sf)
+    return marts.product_rolling_calendar(orders, names=names)
 
 
 @query("user_behavior")
 def q_user_behavior(spark, sf):
     # sessions are read by two branches: written once
     us = materialize(sessions_df(spark, sf), scratch_path(spark, "sessions", uuid.uuid4().hex))
-    return marts.user_behavior(marts.by_customer(enriched_df(spark, sf, marts.CUSTOMER_READS, us)), marts.by_customer(us))
+    return marts.user_behavior(marts.by_customer(enriched_df(spark, sf, marts.CUSTOMER_READS, us, marts.CHANNEL)), marts.by_customer(us))
 
 
 @query("product_dim")
@@ -379,7 +394,7 @@ def q_dq_recent_volume(spark, sf):
 
 @query("dq_mart_sla")
 def q_dq_mart_sla(spark, sf):
-    return quality.mart_sla(marts.daily_revenue(enriched_df(spark, sf, marts.DAILY_READS)), "order_date", MART_SLA_MINUTES, AS_OF)
+    return quality.mart_sla(marts.daily_revenue(daily_orders(spark, sf)), "order_date", MART_SLA_MINUTES, AS_OF)
 
 
 def suite_models(spark, sf, checks, found):

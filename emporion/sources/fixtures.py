@@ -35,13 +35,28 @@ def _order_id() -> Column:
     return F.concat(F.lit("ORD-"), "l_orderkey", F.lit("-"), "l_linenumber", F.lit("-"), "l_partkey", F.lit("-"), "l_suppkey")
 
 
+def _has_repeats(rows: DataFrame, key: str) -> bool:
+    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return not counted.where(F.col(key).isNotNull() & (F.col("n") > 1)).isEmpty()
+
+
+def _product_columns() -> list[Column]:
+    return [F.concat(F.lit("  "), "p_name", F.lit(" ")).alias("product_name"), F.lower("p_type").alias("category")]
+
+
+def product_names(spark: SparkSession, sf_dir: str) -> DataFrame | None:
+    """Product id, name and category as ``raw_orders`` has them, one row a product; None
+    where a part's key is repeated, so that an order alone tells its product's name."""
+    part = read_table(spark, sf_dir, "part")
+    return None if _has_repeats(part, "p_partkey") else part.select(F.concat(F.lit("P"), "p_partkey").alias("product_id"), *_product_columns())
+
+
 def repeated_orders(spark: SparkSession, sf_dir: str) -> DataFrame | None:
     """``attribution.repeated_orders`` of ``raw_orders``, from the keys of its tables
     alone.  Where the lineitems meet each order, customer, nation and part once, an id
     is repeated by lineitems only; where some key is repeated, any id may be (None)."""
     for name, key in (("nation", "n_nationkey"), ("customer", "c_custkey"), ("part", "p_partkey"), ("orders", "o_orderkey")):
-        rows = read_table(spark, sf_dir, name).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        if not rows.where(F.col(key).isNotNull() & (F.col("n") > 1)).isEmpty():
+        if _has_repeats(read_table(spark, sf_dir, name), key):
             return None
     return repeated_orders_of(read_table(spark, sf_dir, "lineitem").select(_order_id().alias("order_id")))
 
@@ -76,8 +91,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.concat(F.lit("CUST-"), "o_custkey", F.lit("-"), F.col("l_partkey") % 20))
          .alias("customer_id"),
         F.concat(F.lit("P"), "l_partkey").alias("product_id"),
-        F.concat(F.lit("  "), "p_name", F.lit(" ")).alias("product_name"),
-        F.lower("p_type").alias("category"),
+        *_product_columns(),
         F.when(F.col("l_orderkey") % 89 == 0, F.lit(0)).otherwise(units).cast("int").alias("quantity"),
         F.when(F.col("l_orderkey") % 83 == 0, F.lit(None).cast(MONEY)).otherwise(price).alias("unit_price"),
         (F.when(F.col("l_orderkey") % 97 == 0, F.lit(-1)).otherwise(F.lit(1)) * price * units)

@@ -109,3 +109,29 @@ def test_values_that_occur_once_are_not_grouped(spark, landed, scratch):
     assert few.count() == 100
     assert _rows(quality.unique(few, "order_id")) == _rows(quality.unique(o, "order_id"))
     assert _rows(quality.written_duplicate_order_ids(o)) == _rows(quality.duplicate_order_ids(o))
+
+
+def test_sweep_carries_the_session_columns_asked_for(landed):
+    o, s, repeated = landed
+    full = attribution.orders_enriched(o, s, repeated=repeated)
+    for some in (["device_type", "attribution_channel"], ["attribution_channel"], ["session_id", "engagement_score"], []):
+        got = attribution.orders_enriched(o, s, repeated=repeated, columns=["order_id", "order_total"], session_columns=some)
+        assert got.columns == ["order_id", "order_total", *some] and _rows(got) == _rows(full.select(got.columns))
+    once = o.join(repeated, attribution.order_hash() == repeated["order_hash"], "left_anti")
+    plan = _plan(attribution.orders_enriched(once, s, repeated=repeated.limit(0), columns=["order_total"], session_columns=marts.DAILY_SESSIONS))
+    assert "session_outcome" not in plan and "engagement_score" not in plan
+
+
+def test_products_are_named_once(spark, scratch):
+    orders, names = Q.product_orders(spark, SF_SMALL)
+    assert not {"product_name", "category", "session_id"} & set(orders.columns)
+    full = Q.enriched_df(spark, SF_SMALL)
+    for mart in (marts.product_performance, marts.product_rolling_calendar):
+        assert _rows(mart(orders, names=names)) == _rows(mart(full))
+    for name in ("lineitem", "orders", "customer", "nation", "part", "events"):
+        fixtures.read_table(spark, SF_SMALL, name).write.parquet(f"{scratch}/{name}.parquet")
+    again = fixtures.read_table(spark, SF_SMALL, "part").limit(9).withColumn("p_name", F.lit("another"))
+    again.write.mode("append").parquet(f"{scratch}/part.parquet")
+    orders, names = Q.product_orders(spark, scratch)
+    assert names is None and "product_name" in orders.columns  # a product of two names: the order has its own
+    assert _rows(marts.product_performance(orders)) == _rows(marts.product_performance(Q.enriched_df(spark, scratch)))
