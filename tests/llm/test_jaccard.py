@@ -184,3 +184,50 @@ def test_traversal_holds_a_bounded_number_of_words_and_pairs(nodes, shingles_eac
     got = jaccard.nearest_of(*near, 2)
     assert len(every[0]) > 100_000 and all((a[want] == b[got]).all() for a, b in zip(every, near))
     assert peak < 100e6
+
+
+def test_a_class_of_near_copies_costs_few_whole_set_checks(spark, monkeypatch):
+    ship(spark)
+    rng, texts = random.Random(11), []
+    for _ in range(8):
+        base = prose(rng, 120).split()
+        for _ in range(14):  # every two of a class link, and meet in small buckets only
+            w = list(base)
+            w[rng.randrange(120)] = f"edit{rng.randrange(10**9)}"
+            texts.append(" ".join(w))
+        # shares most first words with its class, but links with none of it
+        texts.append(" ".join(x if i % 9 else f"other{rng.randrange(10**9)}" for i, x in enumerate(base)))
+    rows, sent, checked = list(enumerate(texts)), [], jaccard.checked
+
+    def spy(pairs, *rest):
+        pairs = jaccard.written(pairs.select("a", "b"), "spied")
+        sent.append(pairs.count())
+        return checked(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "checked", spy)
+    got, _ = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 4, 85)
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == classes(rows, 4, 85)
+    assert 8 * 13 <= sum(sent) < 2 * len(rows)
+
+
+def test_bitmaps_drop_no_link(spark):
+    ship(spark)
+    rng, pool = np.random.default_rng(5), np.arange(1, 3000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    sets = [np.unique(np.concatenate([pool[:size - int(cut)], jaccard.mix(rng.integers(1, 1 << 62, int(cut)).astype(np.uint64))]))
+            for size in (60, 480, 540, 1000, 1100, 2500) for cut in (0, 1, size // 30, size // 14, size // 5, size // 2)]
+    base = spark.createDataFrame([(i, len(x), bytearray(jaccard.bitmap_of(x))) for i, x in enumerate(sets)], "node long, n long, bitmap binary")
+    pairs = spark.createDataFrame([(a, b) for b in range(len(sets)) for a in range(b)], "a long, b long")
+    kept = {(r["a"], r["b"]) for r in jaccard.similar(pairs, base, 85).collect()}
+    for b in range(len(sets)):
+        for a in range(b):
+            both, total = len(np.intersect1d(sets[a], sets[b])), len(sets[a]) + len(sets[b])
+            if 100 * both >= 85 * (total - both):
+                assert (a, b) in kept
+    assert 0 < len(kept) < pairs.count() // 3
+
+
+def test_pairs_apart_are_those_of_two_components(spark):
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (4, 5), (3, 6)], "a long, b long")
+    assert {(r["a"], r["b"]) for r in jaccard.least_partners(pairs).collect()} == {(1, 2), (1, 3), (4, 5), (3, 6)}
+    found = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (6, 6)], "node long, label long")
+    assert {(r["a"], r["b"]) for r in jaccard.apart(pairs, found).collect()} == {(4, 5), (3, 6)}
