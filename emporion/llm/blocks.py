@@ -12,8 +12,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: bytes of text per block; one longer text is a block of its own
-BLOCK_BYTES = 1 << 21
+#: bytes of text per block; one longer text is a block of its own.  A block's arrays are
+#: some hundred times that: two workers an executor share its memory with Spark
+BLOCK_BYTES = 1 << 19
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = U64(pow(int(_BASE), -1, 1 << 64))

@@ -419,3 +419,21 @@ def test_concentration_against_numpy(spark):
 
 def test_digest_of_no_span():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c4")
+
+
+def test_a_block_holds_a_bounded_part_of_a_batch():
+    """Whatever the batch, the arrays of the block in hand are what a worker holds beside it."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from emporion.llm import blocks
+
+    texts = pa.array(["some words of a text that goes on and on " * 40] * 2500)  # 4 MB
+    tracemalloc.start()
+    n = 0
+    for b in blocks.blocks(texts, fold=True):
+        n += len(b.shingles(5)[0])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 2500 * (400 - 4) and peak < 80 << 20, peak >> 20
