@@ -219,22 +219,28 @@ def latest_live_session(orders: DataFrame, sessions: DataFrame, grace: str = ATT
 
 def orders_enriched(stg_orders: DataFrame, sessions: DataFrame, grace: str = ATTRIBUTION_GRACE,
                     bucket_minutes: int = 60, repeated: DataFrame | None = None,
-                    columns: list[str] | None = None, session_columns: list[str] | None = None) -> DataFrame:
+                    columns: list[str] | None = None, session_columns: list[str] | None = None,
+                    where: Column | None = None) -> DataFrame:
     """``bucket_minutes`` sets the width of the pieces of the sweep: narrower
     ones split a hot customer-day into smaller groups at the cost of more carry
     rows; the result is the same for any width.
 
     ``repeated`` are the written ``repeated_orders`` (without it any order id may
     be repeated); ``columns`` and ``session_columns`` are the columns of orders and
-    sessions that are asked for (default: all)."""
+    sessions that are asked for (default: all).  ``where`` are the orders asked for, by
+    order columns alone: repeated ones are dropped by it after their best match is known
+    (it may be one that goes), all others before the sweep."""
     wanted = [c for c in ORDER_COLUMNS if columns is None or c in columns]
     payload = [c for c in SESSION_COLUMNS if session_columns is None or c in session_columns]
 
+    where = F.lit(True) if where is None else where
+
     def best(orders: DataFrame) -> DataFrame:
-        return with_defaults(_ranked(latest_live_session(orders, sessions, grace, bucket_minutes)).filter(F.col("match_rank") == 1), wanted, payload)
+        first = _ranked(latest_live_session(orders, sessions, grace, bucket_minutes)).filter(F.col("match_rank") == 1)
+        return with_defaults(first.filter(where), wanted, payload)
 
     def only(orders: DataFrame) -> DataFrame:
-        return with_defaults(latest_live_session(orders, sessions, grace, bucket_minutes, wanted, payload), wanted, payload)
+        return with_defaults(latest_live_session(orders.filter(where), sessions, grace, bucket_minutes, wanted, payload), wanted, payload)
 
     if repeated is None:
         return best(stg_orders)

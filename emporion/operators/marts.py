@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import customer_segment, micros_between, money, pct_change, whole_days_between
+from ..functions.expressions import customer_segment, micros_between, money, order_value_tier, pct_change, whole_days_between
 
 
 def _count_eq(c: str, v: str):
@@ -38,9 +38,8 @@ _DAILY_GROUP = ["order_date", "category", "shipping_state"]
 
 
 #: order columns that the daily, product and customer marts read; orders are rows, so
-#: their ids are not carried
-DAILY_READS = ["customer_id", "category", "quantity", "order_total", "shipping_state", "is_cancelled",
-               "order_value_tier", "order_placed_at"]
+#: their ids are not carried; the daily mart takes the tier from the total
+DAILY_READS = ["customer_id", "category", "quantity", "order_total", "shipping_state", "is_cancelled", "order_placed_at"]
 PRODUCT_READS = ["customer_id", "product_id", "quantity", "unit_price", "order_total", "is_cancelled", "order_placed_at"]
 #: what names a product: read with the orders, or from a table of products (``names``)
 PRODUCT_NAMES = ["product_name", "category"]
@@ -50,19 +49,21 @@ CUSTOMER_READS = ["customer_id", "product_id", "category", "order_total", "payme
 DAILY_SESSIONS, CHANNEL = ["device_type", "attribution_channel"], ["attribution_channel"]
 
 
-def _flag(c: str, v: str):
-    return F.when(F.col(c) == v, F.lit(1)).otherwise(0)
+def _flag(c: str | Column, v: str):
+    return F.when((F.col(c) if isinstance(c, str) else c) == v, F.lit(1)).otherwise(0)
 
 
 def daily_revenue_base(enriched: DataFrame) -> DataFrame:
     # dealt once by the group that the running count needs: orders of one customer, day and
     # amount are too rare to be worth a shuffle of their own
-    o = not_cancelled(enriched).withColumn("order_date", F.to_date("order_placed_at")).repartition(*_DAILY_GROUP)
+    reads = [F.col(c) for c in ("category", "shipping_state", "customer_id", "quantity", "order_total", *DAILY_SESSIONS)]
+    o = not_cancelled(enriched).select(F.to_date("order_placed_at").alias("order_date"), *reads).repartition(*_DAILY_GROUP)
+    tier = order_value_tier("order_total")
     amounts = o.groupBy(*_DAILY_GROUP, "customer_id", "order_total").agg(
         F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("items"),
-        F.sum(_flag("order_value_tier", "HIGH_VALUE")).alias("high"),
-        F.sum(_flag("order_value_tier", "MID_VALUE")).alias("mid"),
-        F.sum(_flag("order_value_tier", "LOW_VALUE")).alias("low"),
+        F.sum(_flag(tier, "HIGH_VALUE")).alias("high"),
+        F.sum(_flag(tier, "MID_VALUE")).alias("mid"),
+        F.sum(_flag(tier, "LOW_VALUE")).alias("low"),
         F.sum(_flag("attribution_channel", "google")).alias("google"),
         F.sum(_flag("attribution_channel", "email_campaign")).alias("email"),
         F.sum(_flag("attribution_channel", "direct")).alias("direct"),

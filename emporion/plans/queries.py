@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, TimestampType
 
@@ -68,17 +68,17 @@ def sessions_df(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enriched_df(spark: SparkSession, sf: str, columns: list[str] | None = None, us: DataFrame | None = None,
-                session_columns: list[str] | None = None) -> DataFrame:
-    """All orders with their sessions; ``columns`` and ``session_columns`` are what the caller reads of them."""
+                session_columns: list[str] | None = None, where: Column | None = None) -> DataFrame:
+    """All orders (``where``: those the caller reads) with their sessions; ``columns`` and ``session_columns`` are what the caller reads of them."""
     repeated = fixtures.repeated_orders(spark, sf)
     if repeated is not None:
         repeated = materialize(repeated, scratch_path(spark, "repeated", uuid.uuid4().hex))
     return attribution.orders_enriched(stg_orders_df(spark, sf), sessions_df(spark, sf) if us is None else us,
-                                       repeated=repeated, columns=columns, session_columns=session_columns)
+                                       repeated=repeated, columns=columns, session_columns=session_columns, where=where)
 
 
 def daily_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return enriched_df(spark, sf, marts.DAILY_READS, session_columns=marts.DAILY_SESSIONS)
+    return enriched_df(spark, sf, marts.DAILY_READS, session_columns=marts.DAILY_SESSIONS, where=~F.col("is_cancelled"))
 
 
 def product_orders(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame | None]:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from emporion.functions.expressions import order_value_tier
 from emporion.operators import attribution, marts, quality
 from emporion.plans import queries as Q
 from emporion.sources import fixtures
@@ -135,3 +136,20 @@ def test_products_are_named_once(spark, scratch):
     orders, names = Q.product_orders(spark, scratch)
     assert names is None and "product_name" in orders.columns  # a product of two names: the order has its own
     assert _rows(marts.product_performance(orders)) == _rows(marts.product_performance(Q.enriched_df(spark, scratch)))
+
+
+@pytest.mark.parametrize("mart", [marts.daily_revenue, marts.daily_revenue_calendar])
+def test_daily_marts_deal_only_what_they_count(landed, mart):
+    """Cancelled orders leave before the sweep, and the tier is not dealt; of a repeated id the best match may be one that is cancelled."""
+    o, s, repeated = landed
+    o = (o.withColumn("is_cancelled", F.coalesce(F.minute("order_placed_at") % 3 == 0, F.lit(False)))
+         .withColumn("order_total", (F.col("order_total") * 60).cast("decimal(24,2)")).withColumn("order_value_tier", order_value_tier("order_total")))
+    reads = {"columns": marts.DAILY_READS, "session_columns": marts.DAILY_SESSIONS, "where": ~F.col("is_cancelled")}
+    want = _rows(mart(attribution.orders_enriched(o, s)))
+    assert want and _rows(mart(attribution.orders_enriched(o, s, repeated=repeated, **reads))) == want
+    assert _rows(mart(attribution.orders_enriched(o, s, **reads))) == want
+    once = o.join(repeated, attribution.order_hash() == repeated["order_hash"], "left_anti")
+    plan = _plan(mart(attribution.orders_enriched(once, s, repeated=repeated.limit(0), **reads)))
+    below = plan[plan.index("MapInArrow"):]
+    assert "order_value_tier" not in plan and "is_cancelled" in below
+    assert plan.count("NOT is_cancelled") == below.count("NOT is_cancelled") + 1
