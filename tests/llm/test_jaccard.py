@@ -231,3 +231,18 @@ def test_pairs_apart_are_those_of_two_components(spark):
     assert {(r["a"], r["b"]) for r in jaccard.least_partners(pairs).collect()} == {(1, 2), (1, 3), (4, 5), (3, 6)}
     found = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (6, 6)], "node long, label long")
     assert {(r["a"], r["b"]) for r in jaccard.apart(pairs, found).collect()} == {(4, 5), (3, 6)}
+
+
+def test_stars_are_not_joined_again(spark, monkeypatch):
+    """Edges that are stars already are written once; a chain ends with the round that makes it a star."""
+    ship(spark)
+    names, write = [], components.written
+    monkeypatch.setattr(components, "written", lambda df, what: names.append(what) or write(df, what))
+    stars = [(1, x) for x in range(10, 40)] + [(x, 2) for x in range(50, 60)] + [(3, 3)]
+    got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert got == {1: 1, 2: 2} | dict.fromkeys(range(10, 40), 1) | dict.fromkeys(range(50, 60), 2) and len(names) == 1
+    names.clear()
+    got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1} and len(names) == 2
+    for edges, yes in (([(2, 1), (3, 1)], True), ([(2, 1), (3, 2)], False), ([(3, 1), (3, 2)], False), ([(2, 1), (4, 3)], True), ([], True)):
+        assert components.are_stars(spark.createDataFrame(edges, "u long, v long")) is yes
