@@ -183,10 +183,11 @@ def order_hash(order_id: str | Column = "order_id") -> Column:
 
 def latest_live_session(orders: DataFrame, sessions: DataFrame, grace: str = ATTRIBUTION_GRACE,
                         bucket_minutes: int = 60, columns: list[str] = ORDER_COLUMNS,
-                        payload: list[str] = _SESSION_PAYLOAD) -> DataFrame:
+                        payload: list[str] = _SESSION_PAYLOAD, customers: int | None = None) -> DataFrame:
     """``columns`` of every order row and ``payload`` of the session that is live
     at its time with the latest start (ties: the least session_id, device, browser,
-    channel), null where there is none."""
+    channel), null where there is none.  ``customers``: as for ``orders_enriched``."""
+    bucket_minutes = 1440 if customers else bucket_minutes
     o = orders.select(*{*columns, "order_id", "customer_id", "order_placed_at"})
     s = session_candidates(sessions, grace, bucket_minutes)
     # only the time itself is shuffled: it is the order's, or the session's start
@@ -202,7 +203,11 @@ def latest_live_session(orders: DataFrame, sessions: DataFrame, grace: str = ATT
     start_rows = s.where(F.col("_cover_end").isNotNull() & (F.to_date("_bucket") == F.col("_s_date"))).select(
         F.col("_s_customer").alias("customer_id"), "_bucket",
         F.col("session_start").alias("_at"), F.lit(False).alias("_is_order"), *session_columns, "_cover_end")
-    merged = order_rows.unionByName(start_rows, allowMissingColumns=True).repartition(*keys)
+    merged = order_rows.unionByName(start_rows, allowMissingColumns=True)
+    if customers:  # the day is read off the time, not dealt; rows without time are a group of no session
+        merged = merged.drop("_bucket").repartition(customers, "customer_id").withColumn("_bucket", _bucket(F.col("_at"), bucket_minutes))
+    else:
+        merged = merged.repartition(*keys)
     ordered = merged.sortWithinPartitions(*keys, "_at", "_is_order", *(F.col(c).desc_nulls_first() for c in _SESSION_TIEBREAK))
     types = {f.name: f.dataType for f in (*s.schema, *o.schema)}
     own, found = ["customer_id", "_at", *carried], ["_at", *found_columns]
@@ -220,7 +225,7 @@ def latest_live_session(orders: DataFrame, sessions: DataFrame, grace: str = ATT
 def orders_enriched(stg_orders: DataFrame, sessions: DataFrame, grace: str = ATTRIBUTION_GRACE,
                     bucket_minutes: int = 60, repeated: DataFrame | None = None,
                     columns: list[str] | None = None, session_columns: list[str] | None = None,
-                    where: Column | None = None) -> DataFrame:
+                    where: Column | None = None, customers: int | None = None) -> DataFrame:
     """``bucket_minutes`` sets the width of the pieces of the sweep: narrower
     ones split a hot customer-day into smaller groups at the cost of more carry
     rows; the result is the same for any width.
@@ -229,18 +234,22 @@ def orders_enriched(stg_orders: DataFrame, sessions: DataFrame, grace: str = ATT
     be repeated); ``columns`` and ``session_columns`` are the columns of orders and
     sessions that are asked for (default: all).  ``where`` are the orders asked for, by
     order columns alone: repeated ones are dropped by it after their best match is known
-    (it may be one that goes), all others before the sweep."""
+    (it may be one that goes), all others before the sweep.  ``customers`` is for a caller
+    that groups the result by customer: all rows are dealt once, by customer alone, into
+    that many partitions, and lie as in a table with that many buckets.  A customer then is
+    one task's, as in that grouping; pieces would split nothing and are days, without carry rows."""
     wanted = [c for c in ORDER_COLUMNS if columns is None or c in columns]
     payload = [c for c in SESSION_COLUMNS if session_columns is None or c in session_columns]
 
     where = F.lit(True) if where is None else where
 
     def best(orders: DataFrame) -> DataFrame:
-        first = _ranked(latest_live_session(orders, sessions, grace, bucket_minutes)).filter(F.col("match_rank") == 1)
-        return with_defaults(first.filter(where), wanted, payload)
+        first = _ranked(latest_live_session(orders, sessions, grace, bucket_minutes, customers=customers)).filter(F.col("match_rank") == 1)
+        rows = with_defaults(first.filter(where), wanted, payload)
+        return rows.repartition(customers, "customer_id") if customers else rows
 
     def only(orders: DataFrame) -> DataFrame:
-        return with_defaults(latest_live_session(orders.filter(where), sessions, grace, bucket_minutes, wanted, payload), wanted, payload)
+        return with_defaults(latest_live_session(orders.filter(where), sessions, grace, bucket_minutes, wanted, payload, customers), wanted, payload)
 
     if repeated is None:
         return best(stg_orders)

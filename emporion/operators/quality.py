@@ -34,14 +34,16 @@ def unique(df: DataFrame, column: str) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("occurrences")).filter(F.col("occurrences") > 1))
 
 
-def maybe_repeated(df: DataFrame, column: str, path: str) -> DataFrame:
+def maybe_repeated(df: DataFrame, column: str, path: str | None = None, hashes: DataFrame | None = None) -> DataFrame:
     """The rows of ``df`` whose ``column`` may occur more than once (all rows of such
     values, and of values that share a 64-bit hash).  The hashes are counted and written
-    first: only they are shuffled, and the few that stay need no shuffle of ``df``."""
+    first: only they are shuffled, and the few that stay need no shuffle of ``df``.
+    ``hashes`` are such hashes (one column) where they are written already."""
     h = F.xxhash64(column)
-    df.groupBy(h.alias("_hash")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_hash").write.parquet(path)
-    hashes = df.sparkSession.read.parquet(path)
-    return df.join(hashes, h == hashes["_hash"], "left_semi")
+    if hashes is None:
+        df.groupBy(h.alias("_hash")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_hash").write.parquet(path)
+        hashes = df.sparkSession.read.parquet(path)
+    return df.join(hashes, h == hashes[hashes.columns[0]], "left_semi")
 
 
 def accepted_values(df: DataFrame, column: str, values: list[str]) -> DataFrame:
@@ -148,11 +150,13 @@ def row_conditions(checks: list[Check], model: str) -> dict[str, Column]:
     return out
 
 
-def run_suite(models: dict[str, DataFrame], checks: list[Check], observed: dict[str, int] | None = None) -> DataFrame:
+def run_suite(models: dict[str, DataFrame], checks: list[Check], observed: dict[str, int] | None = None,
+              hashes: dict[tuple[str, str], DataFrame] | None = None) -> DataFrame:
     """One row per check: (check_name, model, column_name, test, violations,
     status).  ``observed`` has the violations of row-level checks that were
-    counted while their model was written."""
-    observed = observed or {}
+    counted while their model was written, ``hashes`` the written hashes that occur
+    twice in a (model, column)."""
+    observed, hashes = observed or {}, hashes or {}
     spark = next(iter(models.values())).sparkSession
     parts: list[DataFrame] = []
     known = [(c.name, int(observed[c.name])) for c in checks if c.name in observed]
@@ -166,7 +170,8 @@ def run_suite(models: dict[str, DataFrame], checks: list[Check], observed: dict[
             parts.append(wide.select(F.expr(f"stack({len(open_)}, {stack}) as (check_name, violations)")))
     for c in checks:
         if c.kind == "unique":
-            rows = maybe_repeated(models[c.model], c.column, scratch_path(spark, "repeated", uuid.uuid4().hex))
+            rows = maybe_repeated(models[c.model], c.column, scratch_path(spark, "repeated", uuid.uuid4().hex),
+                                  hashes.get((c.model, c.column)))
             v = unique(rows, c.column).agg(F.count(F.lit(1)).alias("violations"))
         elif c.kind == "singular" and not isinstance(c.arg, str):
             v = c.arg(models).agg(F.count(F.lit(1)).alias("violations"))

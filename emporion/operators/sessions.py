@@ -4,14 +4,16 @@
 (session_id, customer_id, device_type, browser, referrer).  ``sessions_by_id``
 is the one-row-per-session_id variant (attributes of the first event).
 
-Both are single hash aggregations; partial aggregation runs map-side, so a hot
-session costs one partial row per map task, not one task holding all its
-events.  The two exact distinct counts are planned by Catalyst as one Expand.
+Exact distinct counts come from one counted table (session, kind, value): every event is
+exploded into its page, which carries the measures, and its product; equal ones are
+counted map-side, so a hot session's events are never in one task.  Unlike Catalyst's
+Expand this has no third row for the measures and keeps the session's columns, so that
+events which lie by session (``by_session``) are not shuffled again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import engagement_score, micros_between, seconds_between, session_outcome
@@ -19,30 +21,51 @@ from ..functions.expressions import engagement_score, micros_between, seconds_be
 SESSION_KEYS = ["session_id", "customer_id", "device_type", "browser", "referrer"]
 
 
-def _count_type(t: str):
-    return F.count(F.when(F.col("event_type") == t, F.lit(1)))
-
-
-def _session_measures():
-    ts = F.col("event_occurred_at")
-    return [
-        F.min(ts).alias("session_start"),
-        F.max(ts).alias("session_end"),
-        F.count(F.lit(1)).alias("total_events"),
-        F.count_distinct("page").alias("unique_pages_viewed"),
-        _count_type("PAGE_VIEW").alias("page_views"),
-        _count_type("PRODUCT_VIEW").alias("product_views"),
-        _count_type("SEARCH").alias("searches"),
-        _count_type("ADD_TO_CART").alias("add_to_cart_events"),
-        _count_type("CHECKOUT_START").alias("checkout_starts"),
-        _count_type("CHECKOUT_COMPLETE").alias("conversions"),
-        F.count_distinct("product_id").alias("unique_products_viewed"),
-        F.max("cart_value").alias("max_cart_value"),
-        F.bool_or(F.col("event_type") == "PRODUCT_VIEW").alias("reached_consideration"),
-        F.bool_or(F.col("event_type") == "ADD_TO_CART").alias("reached_intent"),
-        F.bool_or(F.col("event_type") == "CHECKOUT_START").alias("reached_purchase_intent"),
-        F.bool_or(F.col("event_type") == "CHECKOUT_COMPLETE").alias("converted"),
-    ]
+_COUNTS = {
+    "page_views": "PAGE_VIEW",
+    "product_views": "PRODUCT_VIEW",
+    "searches": "SEARCH",
+    "add_to_cart_events": "ADD_TO_CART",
+    "checkout_starts": "CHECKOUT_START",
+    "conversions": "CHECKOUT_COMPLETE",
+}
+_REACHED = {
+    "reached_consideration": "PRODUCT_VIEW",
+    "reached_intent": "ADD_TO_CART",
+    "reached_purchase_intent": "CHECKOUT_START",
+    "converted": "CHECKOUT_COMPLETE",
+}
+
+
+def _pages_and_products(clicks: DataFrame, keys: list[str], carried: dict[str, Column]) -> DataFrame:
+    """A row for the page (kind 0, with what is ``carried``) and one for the product (kind 1) of each event."""
+    def pair(kind: int, value: str) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.col(value).alias("value"),
+                        *((c if kind == 0 else F.lit(None)).alias(name) for name, c in carried.items()))
+
+    return clicks.select(*keys, F.inline(F.array(pair(0, "page"), pair(1, "product_id")))).where("kind = 0 OR value IS NOT NULL")
+
+
+def _roll_up(clicks: DataFrame, keys: list[str], first: Column | None = None) -> DataFrame:
+    """Measures of each session; ``first`` is a column whose least value is kept as ``_first``."""
+    carried = {"at": F.col("event_occurred_at"), "type": F.col("event_type"), "cart": F.col("cart_value")}
+    least = {} if first is None else {"_first": first}
+    counted = _pages_and_products(clicks, keys, {**carried, **least}).groupBy(*keys, "kind", "value").agg(
+        F.min("at").alias("start"), F.max("at").alias("end"), F.max("cart").alias("cart"),
+        F.count(F.when(F.col("kind") == 0, F.lit(1))).alias("events"),
+        *(F.count(F.when(F.col("type") == t, F.lit(1))).alias(c) for c, t in _COUNTS.items()),
+        *(F.bool_or(F.col("type") == t).alias(c) for c, t in _REACHED.items()),
+        *(F.min(c).alias(c) for c in least))
+    return counted.groupBy(*keys).agg(
+        F.min("start").alias("session_start"),
+        F.max("end").alias("session_end"),
+        F.sum("events").alias("total_events"),
+        F.count(F.when(F.col("kind") == 0, F.col("value"))).alias("unique_pages_viewed"),
+        F.count(F.when(F.col("kind") == 1, F.col("value"))).alias("unique_products_viewed"),
+        F.max("cart").alias("max_cart_value"),
+        *(F.sum(c).alias(c) for c in _COUNTS),
+        *(F.bool_or(c).alias(c) for c in _REACHED),
+        *(F.min(c).alias(c) for c in least))
 
 
 def _finish(agg: DataFrame, keys: list[str]) -> DataFrame:
@@ -60,14 +83,20 @@ def _finish(agg: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def user_sessions(stg_clicks: DataFrame) -> DataFrame:
-    return _finish(stg_clicks.groupBy(*SESSION_KEYS).agg(*_session_measures()), SESSION_KEYS)
+    return _finish(_roll_up(stg_clicks, SESSION_KEYS), SESSION_KEYS)
+
+
+def by_session(stg_clicks: DataFrame) -> DataFrame:
+    """Events dealt by the grain of ``user_sessions``: a narrow row an event is shuffled once,
+    in place of exploded and counted ones twice.  All events of one session of a customer
+    and device are then one task's, which spills rather than holds them."""
+    return stg_clicks.repartition(*SESSION_KEYS)
 
 
 def sessions_by_id(stg_clicks: DataFrame) -> DataFrame:
     """One row per session_id; customer/device/browser/referrer are taken
     from the earliest event (ties broken by event_id)."""
-    first = F.min(F.struct("event_occurred_at", "event_id", *SESSION_KEYS[1:])).alias("_first")
-    agg = stg_clicks.groupBy("session_id").agg(first, *_session_measures())
+    agg = _roll_up(stg_clicks, ["session_id"], F.struct("event_occurred_at", "event_id", *SESSION_KEYS[1:]))
     return _finish(agg.select("*", *(F.col(f"_first.{c}").alias(c) for c in SESSION_KEYS[1:])), SESSION_KEYS)
 
 

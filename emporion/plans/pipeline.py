@@ -34,35 +34,48 @@ class ModelRun:
 
 log = logging.getLogger("emporion.hourly")
 
+def observed(df: DataFrame, counters: dict[str, Column] | None) -> tuple[DataFrame, Observation | None]:
+    """``df`` that counts the rows of each condition while it is read once."""
+    if not counters:
+        return df, None
+    observation = Observation()
+    return df.observe(observation, *(F.count_if(c).alias(name) for name, c in counters.items())), observation
+
+
+def counted(observation: Observation) -> dict[str, int]:
+    return {name: n for name, n in observation.get.items() if n is not None}
+
+
 def materialize(df: DataFrame, path: str, view: str | None = None, table: str | None = None,
                 analyze: bool = False, counters: dict[str, Column] | None = None, found: dict[str, int] | None = None,
-                bucket_by: tuple[int, str] | None = None) -> DataFrame:
+                bucket_by: tuple[int, str] | None = None, dealt: bool = False, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet at ``path`` and return the re-read table.
     ``table`` registers it in the catalog (and ``analyze`` computes its
     statistics for the cost-based optimizer); ``bucket_by`` (number, column) then
     buckets and sorts it, so that joins and groups by that column need no
-    shuffle.  ``counters`` are conditions whose rows are counted on the way
+    shuffle (``dealt``: the rows lie so already).  ``codec`` compresses the files
+    (default: the session's).  ``counters`` are conditions whose rows are counted on the way
     (no pass of their own); the counts are put into ``found``."""
-    observation = Observation() if counters else None
-    if observation is not None:
-        df = df.observe(observation, *(F.count_if(c).alias(name) for name, c in counters.items()))
+    df, observation = observed(df, counters)
+    options = {"compression": codec} if codec else {}
     spark = df.sparkSession
     if table:
         spark.catalog.dropTempView(table)   # a same-named temp view would shadow the table
-        writer = df.write.mode("overwrite").option("path", path)
+        writer = df.write.mode("overwrite").options(path=path, **options)
         if bucket_by:
             # dealt as the buckets are: one sorted file a bucket
-            writer = (df.repartition(bucket_by[0], bucket_by[1]).write.mode("overwrite").option("path", path)
+            df = df if dealt else df.repartition(bucket_by[0], bucket_by[1])
+            writer = (df.write.mode("overwrite").options(path=path, **options)
                       .bucketBy(*bucket_by).sortBy(bucket_by[1]))
         writer.saveAsTable(table)
         if analyze:
             spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
         out = spark.table(table)
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").options(**options).parquet(path)
         out = spark.read.parquet(path)
     if observation is not None:
-        found.update({name: n for name, n in observation.get.items() if n is not None})
+        found.update(counted(observation))
     if view and view != table:   # a catalog table is already resolvable by name
         out.createOrReplaceTempView(view)
     return out

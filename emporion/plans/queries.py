@@ -32,7 +32,7 @@ from ..schemas import (
 from ..functions.timeutil import utc_wall
 from ..session import scratch_path
 from ..sources import fixtures
-from .pipeline import materialize
+from .pipeline import counted, materialize, observed
 
 # Fixed evaluation time for the freshness/volume/SLA checks of the registry
 # (the test data covers 2024-01-01 .. 2024-01-30).
@@ -397,27 +397,48 @@ def q_dq_mart_sla(spark, sf):
     return quality.mart_sla(marts.daily_revenue(daily_orders(spark, sf)), "order_date", MART_SLA_MINUTES, AS_OF)
 
 
+#: order columns of the data tests' orders_enriched: what its test and its two marts read
+SUITE_READS = ["order_id", *dict.fromkeys([*marts.DAILY_READS, *marts.CUSTOMER_READS])]
+
+
 def suite_models(spark, sf, checks, found):
-    """The models of the data tests, each written once as in a model run; their row
-    checks are counted while they are written."""
-    base = scratch_path(spark, "suite", uuid.uuid4().hex)
+    """The models of the data tests; row checks are counted while a model is written.
+
+    As in a model run, the landed and staged tables are views, but the staged orders,
+    which are read twice and stand behind joins, are written once; the landed orders'
+    rows are counted on their way there.  The enriched orders lie by customer, so that
+    the customers' mart need not deal them again.  Also returns the written hashes of
+    order ids that occur twice."""
+    run = uuid.uuid4().hex
+    base = scratch_path(spark, "suite", run)
     models = {}
 
-    def model(name, df):
-        models[name] = materialize(df, f"{base}/{name}", counters=quality.row_conditions(checks, name), found=found)
+    def model(name, df, **how):
+        models[name] = materialize(df, f"{base}/{name}", counters=quality.row_conditions(checks, name), found=found,
+                                   codec="zstd", **how)
         return models[name]
 
-    so = model("stg_orders", staging.stg_orders(model("raw_orders", fixtures.raw_orders(spark, sf))))
-    sc = model("stg_clickstream", staging.stg_clickstream(model("raw_clicks", fixtures.raw_clicks(spark, sf))))
-    us = model("user_sessions", sessions.user_sessions(sc))
+    models["raw_orders"] = fixtures.raw_orders(spark, sf)
+    landed, rows = observed(models["raw_orders"], quality.row_conditions(checks, "raw_orders"))
+    so = model("stg_orders", staging.stg_orders(landed))
+    found.update(counted(rows))
+    models["raw_clicks"] = fixtures.raw_clicks(spark, sf)
+    sc = models["stg_clickstream"] = staging.stg_clickstream(models["raw_clicks"])
+    us = model("user_sessions", sessions.user_sessions(sessions.by_session(sc)))
     repeated = materialize(attribution.repeated_orders(so), f"{base}/repeated")
-    en = model("orders_enriched", attribution.orders_enriched(so, us, repeated=repeated))
+    buckets, table = int(spark.conf.get("spark.sql.shuffle.partitions")), f"suite_{run}"
+    en = model("orders_enriched",
+               attribution.orders_enriched(so, us, repeated=repeated, columns=SUITE_READS, session_columns=marts.DAILY_SESSIONS,
+                                           customers=buckets),
+               table=table, bucket_by=(buckets, "customer_id"), dealt=True)
+    spark.sql(f"DROP TABLE {table}")  # the name alone: its files stay, and are what was read
     model("daily_revenue", marts.daily_revenue(en))
-    model("user_behavior", marts.user_behavior(marts.by_customer(en), marts.by_customer(us)))
-    return models
+    model("user_behavior", marts.user_behavior(en, marts.by_customer(us)))
+    return models, {("stg_orders", "order_id"): repeated}
 
 
 @query("dq_suite")
 def q_dq_suite(spark, sf):
     checks, found = quality.default_checks(ACCEPTED), {}
-    return quality.run_suite(suite_models(spark, sf, checks, found), checks, found)
+    models, hashes = suite_models(spark, sf, checks, found)
+    return quality.run_suite(models, checks, found, hashes)

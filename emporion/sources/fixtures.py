@@ -65,7 +65,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed order event per lineitem (lineitem x orders x customer x
     nation x part).  Event time is spread over 30 days by a fixed hash."""
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        (F.lit(1) + F.col("l_quantity").cast("int") % 4).alias("units"), (F.col("l_returnflag") == "R").alias("returned"),
     )
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -75,12 +76,20 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # orders meet their customers first: the lineitems, by far the most rows, are
     # shuffled for orders and parts only, and of the two sides a task holds the orders
-    # alone: a hash of them, where a merge would sort its lineitems as well
-    placed = (od.join(cu, od.o_custkey == cu.c_custkey).join(na, F.col("c_nationkey") == F.col("n_nationkey"))
-                .select("o_orderkey", "o_custkey", "o_orderstatus", "n_name").hint("shuffle_hash"))
-    j = li.join(placed, li.l_orderkey == F.col("o_orderkey")).join(pa, F.col("l_partkey") == F.col("p_partkey"))
-
-    units = F.lit(1) + F.col("l_quantity").cast("int") % 4
+    # alone: a hash of them, where a merge would sort its lineitems as well.  On to the parts
+    # they carry keys and numbers alone; nations and states of orders are named last
+    placed = (od.join(cu, od.o_custkey == cu.c_custkey)
+                .select("o_orderkey", "o_custkey", "o_orderstatus", "c_nationkey").hint("shuffle_hash"))
+    states = ["CANCELLED", "cancelled", "SHIPPED", "PROCESSING"]
+    state = (F.when(F.col("returned") & (F.col("l_linenumber") == 1), 0)
+              .when(F.col("returned") & (F.col("l_linenumber") == 2), 1)
+              .when(F.col("o_orderstatus") == "F", 2)
+              .when(F.col("o_orderstatus") == "P", 3).otherwise(4))
+    lines = li.join(placed, li.l_orderkey == F.col("o_orderkey")).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "units", "o_custkey", "c_nationkey", state.alias("state"))
+    j = lines.join(pa, F.col("l_partkey") == F.col("p_partkey")).join(na, F.col("c_nationkey") == F.col("n_nationkey"))
+
+    units = F.col("units")
     price = (F.col("p_retailprice") / 30).cast(MONEY)
     n = (F.col("l_orderkey") * 7919 + F.col("l_linenumber") * 104729 + F.col("l_partkey") * 31) % SPAN_SECONDS
     ts = _seconds_after_epoch(n)
@@ -96,15 +105,12 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_orderkey") % 83 == 0, F.lit(None).cast(MONEY)).otherwise(price).alias("unit_price"),
         (F.when(F.col("l_orderkey") % 97 == 0, F.lit(-1)).otherwise(F.lit(1)) * price * units)
          .cast(MONEY).alias("order_total"),
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1), "CANCELLED")
-         .when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 2), "cancelled")
-         .when(F.col("o_orderstatus") == "F", "SHIPPED")
-         .when(F.col("o_orderstatus") == "P", "PROCESSING")
-         .otherwise("PLACED").alias("order_status"),
+        F.when(F.col("state") == 0, states[0]).when(F.col("state") == 1, states[1]).when(F.col("state") == 2, states[2])
+         .when(F.col("state") == 3, states[3]).otherwise("PLACED").alias("order_status"),
         F.col("n_name").alias("shipping_state"),
-        F.when(F.col("o_orderkey") % 4 == 0, "credit_card")
-         .when(F.col("o_orderkey") % 4 == 1, "debit_card")
-         .when(F.col("o_orderkey") % 4 == 2, "paypal")
+        F.when(F.col("l_orderkey") % 4 == 0, "credit_card")  # the order's key, as joined
+         .when(F.col("l_orderkey") % 4 == 1, "debit_card")
+         .when(F.col("l_orderkey") % 4 == 2, "paypal")
          .otherwise("apple_pay").alias("payment_method"),
         ts.alias("event_timestamp"),
         F.timestamp_add("SECOND", F.lit(PROCESSING_DELAY_SECONDS), ts).alias("processed_at"),

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from emporion.functions.expressions import order_value_tier
-from emporion.operators import attribution, marts, quality
+from emporion.operators import attribution, marts, quality, staging
 from emporion.plans import queries as Q
+from emporion.plans.pipeline import materialize
 from emporion.sources import fixtures
 from test_attribution import D, ORDER_SCHEMA, SESSION_SCHEMA, _o, _s
 
@@ -153,3 +154,62 @@ def test_daily_marts_deal_only_what_they_count(landed, mart):
     below = plan[plan.index("MapInArrow"):]
     assert "order_value_tier" not in plan and "is_cancelled" in below
     assert plan.count("NOT is_cancelled") == below.count("NOT is_cancelled") + 1
+
+
+def test_orders_dealt_by_customer_are_the_same(spark, landed, scratch):
+    """Dealt by customer alone, without carry rows: same matches, and the rows lie as a table's buckets."""
+    o, s, repeated = landed
+    want = _rows(attribution.orders_enriched(o, s))
+    assert _rows(attribution.orders_enriched(o, s, customers=5)) == want
+    assert _rows(attribution.orders_enriched(o, s, repeated=repeated, customers=5)) == want
+    hot = o.withColumn("customer_id", F.when(F.col("customer_id").isNotNull(), F.lit("C1")))
+    assert _rows(attribution.orders_enriched(hot, s, repeated=repeated, customers=3)) == _rows(attribution.orders_enriched(hot, s))
+    long = s.withColumn("session_start", F.date_trunc("day", "session_start"))
+    assert (attribution.session_candidates(long, bucket_minutes=1440).count() == long.where("customer_id IS NOT NULL").count()
+            < attribution.session_candidates(long).count())
+    en = attribution.orders_enriched(o, s, repeated=repeated, customers=5)
+    materialize(en, f"{scratch}/t", table="t_dealt", bucket_by=(5, "customer_id"), dealt=True, codec="zstd")
+    table = spark.table("t_dealt")
+    assert _rows(table) == want and len([f for f in table.inputFiles() if f.endswith(".zstd.parquet")]) <= 10
+    assert "Exchange" not in _plan(marts.customer_order_summary(table))
+    assert _rows(marts.customer_order_summary(table)) == _rows(marts.customer_order_summary(attribution.orders_enriched(o, s)))
+    spark.sql("DROP TABLE t_dealt")
+
+
+def test_suite_writes_and_deals_once(spark, scratch):
+    """Staged orders are written once, landed ones and clicks not at all; the customers' mart deals no orders;
+    the violations are those of the whole models, counted by themselves, also where ids repeat."""
+    for name in ("lineitem", "orders", "customer", "nation", "part", "events"):
+        fixtures.read_table(spark, SF_SMALL, name).write.parquet(f"{scratch}/{name}.parquet")
+    fixtures.read_table(spark, SF_SMALL, "lineitem").limit(9).write.mode("append").parquet(f"{scratch}/lineitem.parquet")
+    checks, found = quality.default_checks(Q.ACCEPTED), {}
+    models, hashes = Q.suite_models(spark, scratch, checks, found)
+    en = models["orders_enriched"]
+    assert sorted(en.columns) == sorted([*Q.SUITE_READS, *marts.DAILY_SESSIONS]) and "product_name" not in en.columns
+    for name in ("raw_orders", "raw_clicks", "stg_clickstream"):
+        assert all("/suite/" not in f for f in models[name].inputFiles()), name
+    summary = marts.customer_order_summary(en)
+    assert "Exchange" not in _plan(summary) and not [t for t in spark.catalog.listTables() if t.name.startswith("suite_")]
+    raw = fixtures.raw_orders(spark, scratch)
+    assert {n: raw.filter(bad).count() for n, bad in quality.row_conditions(checks, "raw_orders").items()}.items() <= found.items()
+    so, us = staging.stg_orders(raw), Q.sessions_df(spark, scratch)
+    whole = attribution.orders_enriched(so, us)
+    assert _rows(en) == _rows(whole.select(en.columns))
+    full = {"raw_orders": raw, "stg_orders": so, "raw_clicks": fixtures.raw_clicks(spark, scratch), "stg_clickstream": Q.stg_clicks_df(spark, scratch),
+            "user_sessions": us, "orders_enriched": whole, "daily_revenue": marts.daily_revenue(whole), "user_behavior": marts.user_behavior(whole, us)}
+    got = _rows(quality.run_suite(models, checks, found, hashes))
+    assert len(got) == len(checks) and got == _rows(quality.run_suite(full, checks))
+    assert so.count() - so.select("order_id").distinct().count() >= 5
+
+
+def test_lineitems_carry_no_names_to_the_parts(spark):
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(fixtures.raw_orders(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    below = plan[plan.index("SortMergeJoin [l_partkey"):]
+    assert "n_name" not in below[:below.index("p_partkey")] and "BroadcastExchange" not in below.split("p_name")[0]
+    dealt = plan[plan.index("Exchange hashpartitioning(l_partkey"):].splitlines()[1]
+    assert "Project" in dealt and "o_orderkey" not in dealt and "l_returnflag" not in dealt.split("AS")[-1]

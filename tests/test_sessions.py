@@ -1,6 +1,7 @@
 """Gap sessionisation: two-level batch form == sequential definition, for any
 chunk width; the 30-minute edge merges."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -62,3 +63,31 @@ def test_sessions_by_id_first_event_tie_break(spark):
     assert (r.device_type, r.browser, r.referrer) == ("mobile", "safari", "direct")
     assert (r.total_events, r.conversions, r.session_outcome) == (3, 1, "CONVERTED")
     assert len(sessions.user_sessions(df).collect()) == 3        # the 5-key grain splits it
+
+
+def test_user_sessions_equal_plain_aggregates(spark):
+    """Odd events (nulls everywhere, repeated pages and products) against one plain aggregation per
+    session; events that lie by session are not shuffled again."""
+    F, rng = sessions.F, random.Random(7)
+    some = lambda *v: rng.choice([None, *v])
+    types = [*sessions._COUNTS.values(), "page_view", "OTHER"]
+    rows = [(f"E{i}", some("S1", "S2", "S3"), some("C1", "C2"), some(*types), some("/a", "/b", "/c", ""), some("mobile", "desktop"), "edge", some("google"),
+             some("P1", "P2", "/a"), some(1, 2, -3), some(*(T0 + timedelta(minutes=m) for m in range(9)))) for i in range(400)]
+    rows += [(f"N{i}", "S9", None, None, None, None, None, None, None, None, None) for i in range(3)]
+    df = spark.createDataFrame(rows, "event_id string, session_id string, customer_id string, event_type string, page string, device_type string, "
+                                     "browser string, referrer string, product_id string, cart_value int, event_occurred_at timestamp_ntz").repartition(5)
+    df = df.withColumn("cart_value", F.col("cart_value").cast("decimal(10,2)"))
+
+    def plain(keys):
+        kind, at = F.col("event_type"), F.col("event_occurred_at")
+        return df.groupBy(*keys).agg(
+            F.min(at), F.max(at), F.count(F.lit(1)), F.count_distinct("page"), F.count_distinct("product_id"), F.max("cart_value"),
+            *(F.count(F.when(kind == t, 1)) for t in sessions._COUNTS.values()), *(F.bool_or(kind == t) for t in sessions._REACHED.values()))
+
+    names = ["session_start", "session_end", "total_events", "unique_pages_viewed", "unique_products_viewed", "max_cart_value", *sessions._COUNTS, *sessions._REACHED]
+    text = lambda t: sorted(map(str, map(tuple, t.collect())))
+    for keys, got in ((sessions.SESSION_KEYS, sessions.user_sessions(df)), (sessions.SESSION_KEYS, sessions.user_sessions(sessions.by_session(df))),
+                      (["session_id"], sessions.sessions_by_id(df))):
+        assert text(got.select(*keys, *names)) == text(plain(keys))
+    plan = sessions.user_sessions(sessions.by_session(df))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Expand" not in plan
